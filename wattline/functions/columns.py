@@ -49,3 +49,10 @@ def hash_uniform(key: Column, salt: str, lo: float, hi: float) -> Column:
 def carbon_offset(gen_mwh: str | Column, factor: float = 0.42) -> Column:
     """tCO2e avoided by clean generation; the grid factor is a parameter (0.42 t/MWh by default)."""
     return col_(gen_mwh) * F.lit(factor)
+
+
+def dround(c: str | Column, scale: int) -> Column:
+    """Round in DECIMAL: the double is first snapped to 9 decimals (removing binary noise such as
+    3.4499999999999997 for 3.45), then rounded HALF_UP.  Rounding the double directly makes ties
+    depend on the engine's rounding method."""
+    return F.round(col_(c).cast("decimal(38,9)"), scale).cast("double")

@@ -31,3 +31,8 @@ def month_of(ts: str) -> str:
 
 def hour_ts(ts: str) -> str:
     return f"CAST(date_trunc('hour', {ts}) AS TIMESTAMP)"
+
+
+def dround(expr: str, scale: int) -> str:
+    """Mirror of ``columns.dround``."""
+    return f"CAST(round(CAST({expr} AS DECIMAL(38,9)), {scale}) AS DOUBLE)"
