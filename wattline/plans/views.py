@@ -11,7 +11,7 @@ VIEWS = {
          event_id AS msg_offset
   FROM events)""",
     "generation": """generation AS (
-  SELECT l_orderkey AS gen_order, l_linenumber AS gen_line, l_suppkey AS plant_id,
+  SELECT l_orderkey AS gen_order, l_linenumber AS gen_line, l_suppkey AS plant_id, l_partkey AS asset_id,
          l_shipdate AS ts, l_quantity AS mwh, l_extendedprice AS revenue,
          l_quantity * l_discount AS curtailed, l_discount AS curtail_rate, l_tax AS spot_adj,
          l_linestatus AS status, l_returnflag AS flag

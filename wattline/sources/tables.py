@@ -43,6 +43,7 @@ def generation(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_orderkey").alias("gen_order"),
         F.col("l_linenumber").alias("gen_line"),
         F.col("l_suppkey").alias("plant_id"),
+        F.col("l_partkey").alias("asset_id"),
         F.col("l_shipdate").alias("ts"),
         F.col("l_quantity").alias("mwh"),
         F.col("l_extendedprice").alias("revenue"),
