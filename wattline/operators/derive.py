@@ -125,3 +125,22 @@ def explode_nested(stories: DataFrame, tasks: str = "tasks", owner: str = "owner
 
 def col_or_null(df: DataFrame, c: str, t: str) -> Column:
     return col_(c) if c in df.columns else F.lit(None).cast(t)
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFrame:
+    """Exact discrete quantiles (the value at 1-based rank ceil(p x n) of the sorted non-NULL
+    values, the SQL ``percentile_disc`` rule) as one row with columns q0, q1, ...
+
+    Distributed: the column is range-partitioned and sorted by ``dense_sequence`` (no task holds
+    more than one range), n comes from a scalar subquery, and the wanted ranks are filtered out.
+    ``percentile_approx`` is the cheaper choice when a rank error of n / accuracy is acceptable."""
+    v = df.select(F.col(col).alias("_v")).filter(F.col("_v").isNotNull())
+    n = v.select(F.count(F.lit(1))).scalar()
+    ranked = dense_sequence(v, ["_v"], "_rank")
+    targets = [F.greatest(F.lit(1), F.ceil(F.lit(p) * n)) for p in probs]
+    wanted = None
+    for t in targets:
+        wanted = (F.col("_rank") == t) if wanted is None else (wanted | (F.col("_rank") == t))
+    picked = ranked.filter(wanted)
+    return picked.agg(*[F.max(F.when(F.col("_rank") == t, F.col("_v"))).alias(f"q{i}")
+                        for i, t in enumerate(targets)])

@@ -112,23 +112,28 @@ def reconcile_totals(a: DataFrame, b: DataFrame, keys: Sequence[str], tol: float
                     (F.abs(diff) <= F.lit(tol)).alias("ok"))
 
 
-def profile(df: DataFrame, cols: Sequence[str], scale: int = 4, accuracy: int = 100_000) -> DataFrame:
-    """Per numeric column: rows, min, max, mean, stddev (from exact sums), p50 and p95 (from
-    the mergeable quantile sketch), all in one aggregate, then unpivoted."""
+def profile(df: DataFrame, cols: Sequence[str], scale: int = 4) -> DataFrame:
+    """Per numeric column: rows, min, max, mean, stddev (from exact sums) in one aggregate,
+    and exact p50 / p95 from a distributed sort of the column (``derive.exact_quantiles``)."""
+    from wattline.operators.derive import exact_quantiles
     exprs = []
     for i, c in enumerate(cols):
         v = F.col(c).cast(f"decimal(18,{scale})")
         exprs.append(F.struct(
             F.count(F.col(c)).alias("n"), F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max"),
-            F.sum(v).cast("double").alias("s1"), F.sum(v * v).cast("double").alias("s2"),
-            F.percentile_approx(c, [0.5, 0.95], accuracy).alias("q")).alias(f"_p{i}"))
+            F.sum(v).cast("double").alias("s1"), F.sum(v * v).cast("double").alias("s2")).alias(f"_p{i}"))
     a = df.agg(*exprs)
     long = a.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"_p{i}").alias("p"))
                                         for i, c in enumerate(cols)])).alias("x")).select("x.column_name", "x.p.*")
+    qs = None
+    for c in cols:
+        q = exact_quantiles(df, c, [0.5, 0.95]).select(
+            F.lit(c).alias("column_name"), F.col("q0").cast("double").alias("p50"), F.col("q1").cast("double").alias("p95"))
+        qs = q if qs is None else qs.unionByName(q)
     var = (F.col("s2") - F.col("s1") * F.col("s1") / F.col("n")) / (F.col("n") - 1)
-    return long.select("column_name", "n", "min", "max", dround(F.col("s1") / F.col("n"), 6).alias("mean"),
-                       dround(F.when(var > 0, F.sqrt(var)).otherwise(F.lit(0.0)), 6).alias("stddev"),
-                       F.col("q")[0].cast("double").alias("p50"), F.col("q")[1].cast("double").alias("p95"))
+    stats = long.select("column_name", "n", "min", "max", dround(F.col("s1") / F.col("n"), 6).alias("mean"),
+                        dround(F.when(var > 0, F.sqrt(var)).otherwise(F.lit(0.0)), 6).alias("stddev"))
+    return stats.join(qs, "column_name")
 
 
 def distinct_coverage(df: DataFrame, group: str, cols: Mapping[str, Column]) -> DataFrame:
