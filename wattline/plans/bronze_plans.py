@@ -1 +1,358 @@
-"""Placeholder."""
+"""Bronze queries (S1-S13, S17, S20, P1-P6, U1, F1, F5, V16) on messages derived from ``events``."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from wattline import schemas
+from wattline.operators import decode as DC
+from wattline.plans.registry import register
+from wattline.session import scratch_path
+from wattline.sources import bronze as B
+from wattline.sources import messages as M
+
+BATCH = "batch-0"
+FK = M.FAULTS
+MSG_REJECT = (FK["null_payload"], FK["truncated"], FK["array"], FK["bad_utf8"])
+ROW_REJECT = (FK["bad_number"], FK["no_node"])
+ISO_SQL = "'%Y-%m-%dT%H:%M:%S.%f'"
+
+# DuckDB form of ``messages.telemetry_messages``: what each event's message is and how it breaks.
+MSG_SQL = f"""WITH m AS (
+  SELECT event_id AS "offset", CAST(user_id % {M.PARTITIONS} AS INTEGER) AS "partition",
+         CASE event_type {' '.join(f"WHEN '{a}' THEN '{b}'" for a, b in M.TOPIC_OF_SOURCE.items())} END AS topic,
+         CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, user_id, ts, value AS mw, event_type
+  FROM events),
+mm AS (SELECT *,
+         CASE WHEN k = {FK['null_payload']} THEN 'null payload' WHEN k = {FK['bad_utf8']} THEN 'invalid utf-8'
+              WHEN k = {FK['array']} THEN 'not a json object' WHEN k = {FK['truncated']} THEN 'invalid json' END
+           AS error_message,
+         CASE WHEN k < 50 THEN 'chile' ELSE 'ff' END AS ds
+       FROM m)
+"""
+
+
+def _topics(spark, sf, topics=None):
+    return M.read_topics(spark, M.publish_topics(spark, sf), topics)
+
+
+def _msgs(spark, sf, topics=None):
+    return DC.decode_json(_topics(spark, sf, topics))
+
+
+@register("publish_messages", MSG_SQL + f"""
+SELECT CASE WHEN k = {FK['no_node']} THEN
+              CASE WHEN event_type = 'error' THEN 'PLT-' || "offset" ELSE ':' || strftime(ts, {ISO_SQL}) END
+            ELSE 'N' || user_id || CASE WHEN event_type <> 'error' THEN ':' || strftime(ts, {ISO_SQL}) ELSE '' END
+       END AS key,
+       topic, "partition", "offset", ts AS timestamp, k = {FK['null_payload']} AS value_is_null
+FROM mm""", "S3 S4")
+def publish_messages(spark, sf):
+    m = _topics(spark, sf)
+    return m.select(F.col("key").cast("string").alias("key"), "topic", "partition", "offset",
+                    F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
+                    F.col("value").isNull().alias("value_is_null"))
+
+
+@register("decode_json", MSG_SQL + f"""
+SELECT topic, "partition", "offset", error_message,
+       CASE WHEN error_message IS NULL AND k <> {FK['no_node']} THEN 'N' || user_id END AS node_id,
+       CASE WHEN error_message IS NULL AND k <> {FK['no_dataset']} THEN ds END AS _dataset
+FROM mm""", "P1 S5")
+def decode_json(spark, sf):
+    d = _msgs(spark, sf)
+    ok = F.col("error_message").isNull()
+    return d.select("topic", "partition", "offset", "error_message",
+                    F.when(ok, F.col("p.node_id")).alias("node_id"), F.when(ok, F.col("p._dataset")).alias("_dataset"))
+
+
+@register("normalize_currency", MSG_SQL + f"""
+SELECT "offset", CASE WHEN k <> {FK['no_dataset']} THEN ds END AS _dataset,
+       CAST(k AS DOUBLE) AS spot_price, mw AS revenue, CAST(NULL AS DOUBLE) AS ppa_price,
+       CAST(NULL AS DOUBLE) AS curtailment_cost
+FROM mm WHERE topic = 'energy.bronze.dispatch' AND error_message IS NULL""", "P3 B13")
+def normalize_currency(spark, sf):
+    d = DC.normalize_currency(_msgs(spark, sf).filter(
+        (F.col("topic") == "energy.bronze.dispatch") & F.col("error_message").isNull()))
+    return d.select("offset", F.col("p._dataset").alias("_dataset"),
+                    *[F.col(m).try_cast("double").alias(m) for m in ("spot_price", "revenue", "ppa_price", "curtailment_cost")])
+
+
+@register("normalize_ppa", MSG_SQL + f"""
+SELECT "offset", CAST(k AS DOUBLE) AS ppa_price_mwh
+FROM mm WHERE topic = 'energy.bronze.plants' AND error_message IS NULL""", "P4")
+def normalize_ppa(spark, sf):
+    d = DC.normalize_ppa(_msgs(spark, sf).filter(
+        (F.col("topic") == "energy.bronze.plants") & F.col("error_message").isNull()))
+    return d.select("offset", F.col("ppa_price_mwh").try_cast("double").alias("ppa_price_mwh"))
+
+
+_SCADA_NULLS = ", ".join(f"CAST(NULL AS VARCHAR) AS {c}" for c in ("hydro_mw", "geothermal_mw", "tidal_mw",
+                                                                     "total_generation_mw"))
+
+
+@register("project_to_schema", MSG_SQL + f"""
+SELECT "offset", strftime(ts, {ISO_SQL}) AS timestamp,
+       CASE WHEN k <> {FK['no_node']} THEN 'N' || user_id END AS node_id,
+       CASE WHEN k = {FK['bad_number']} THEN 'n/a' ELSE CAST(mw AS VARCHAR) END AS solar_mw,
+       CAST(k AS VARCHAR) AS wind_mw, {_SCADA_NULLS}
+FROM mm WHERE topic = 'energy.bronze.scada' AND error_message IS NULL""", "P5")
+def project_to_schema(spark, sf):
+    d = _msgs(spark, sf).filter((F.col("topic") == "energy.bronze.scada") & F.col("error_message").isNull())
+    p = DC.project_to_schema(d, "scada_telemetry")
+    cols = [n for n, _, _ in schemas.BRONZE_COLUMNS["scada_telemetry"]]
+    return p.select("offset", *cols)
+
+
+def _scada_typed(spark, sf):
+    d = _msgs(spark, sf).filter((F.col("topic") == "energy.bronze.scada") & F.col("error_message").isNull())
+    return DC.cast_typed(DC.project_to_schema(d, "scada_telemetry"), "scada_telemetry")
+
+
+_SCADA_TYPED_SQL = f"""
+SELECT "offset", ts AS timestamp, CASE WHEN k <> {FK['no_node']} THEN 'N' || user_id END AS node_id,
+       CASE WHEN k <> {FK['bad_number']} THEN mw END AS solar_mw, CAST(k AS DOUBLE) AS wind_mw,
+       CAST(NULL AS DOUBLE) AS hydro_mw, CAST(NULL AS DOUBLE) AS geothermal_mw, CAST(NULL AS DOUBLE) AS tidal_mw,
+       CAST(NULL AS DOUBLE) AS total_generation_mw,
+       list_filter([CASE WHEN k = {FK['no_node']} THEN 'missing node_id' END,
+                    CASE WHEN k = {FK['bad_number']} THEN 'bad solar_mw' END], lambda x: x IS NOT NULL) AS reasons,
+       k NOT IN {ROW_REJECT} AS is_good
+FROM mm WHERE topic = 'energy.bronze.scada' AND error_message IS NULL"""
+
+
+@register("cast_typed", MSG_SQL + _SCADA_TYPED_SQL, "P6 F5 S13")
+def cast_typed(spark, sf):
+    t = _scada_typed(spark, sf)
+    cols = [n for n, _, _ in schemas.BRONZE_COLUMNS["scada_telemetry"]]
+    return t.select("offset", *[F.col(c).cast("timestamp_ntz").alias(c) if c == "timestamp" else F.col(c) for c in cols],
+                    "reasons", (F.size("reasons") == 0).alias("is_good"))
+
+
+@register("enrich_meta", MSG_SQL + f"""
+SELECT "offset", topic AS _source, '{BATCH}' AS _batch_id, "partition" AS _kafka_partition,
+       "offset" AS _kafka_offset, CASE WHEN k <> {FK['no_dataset']} THEN ds ELSE 'unknown' END AS _dataset,
+       CAST(ts AS DATE) AS event_date
+FROM mm WHERE topic = 'energy.bronze.scada' AND error_message IS NULL AND k NOT IN {ROW_REJECT}""", "P2")
+def enrich_meta(spark, sf):
+    t = _scada_typed(spark, sf).filter(F.size("reasons") == 0)
+    e = DC.enrich_meta(t, BATCH)
+    return e.select("offset", "_source", "_batch_id", "_kafka_partition", "_kafka_offset", "_dataset", "event_date")
+
+
+SUBSET = ["scada", "weather", "demand"]
+
+
+@register("route_topics", MSG_SQL + f"""
+SELECT CASE topic {' '.join(f"WHEN '{t}' THEN '{b}'" for t, b in schemas.TOPIC_TABLE.items())} END AS table_name,
+       COUNT_IF(error_message IS NULL AND k NOT IN {ROW_REJECT}) AS landed,
+       COUNT_IF(error_message IS NOT NULL OR k IN {ROW_REJECT}) AS rejected
+FROM mm WHERE topic IN ({', '.join(f"'energy.bronze.{t}'" for t in SUBSET)}) GROUP BY 1""", "S12 S6 F1")
+def route_topics(spark, sf):
+    d = _msgs(spark, sf, SUBSET)
+    out = None
+    for topic, table in schemas.TOPIC_TABLE.items():
+        if topic.split(".")[-1] not in SUBSET:
+            continue
+        part = d.filter(F.col("topic") == topic)
+        good, bad = DC.to_table(part, table, BATCH)
+        msg_bad = part.filter(F.col("error_message").isNotNull())
+        # one pass per table: tag and count the three outcomes together
+        u = (good.select(F.lit(1).alias("g"), F.lit(0).alias("b"))
+             .unionByName(bad.select(F.lit(0).alias("g"), F.lit(1).alias("b")))
+             .unionByName(msg_bad.select(F.lit(0).alias("g"), F.lit(1).alias("b"))))
+        c = u.agg(F.sum("g").cast("long").alias("landed"), F.sum("b").cast("long").alias("rejected")).select(
+            F.lit(table).alias("table_name"), "landed", "rejected")
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
+def _dlq(spark, sf):
+    d = _msgs(spark, sf)
+    rejects = None
+    for topic, table in schemas.TOPIC_TABLE.items():
+        _, bad = DC.to_table(d.filter(F.col("topic") == topic), table, BATCH)
+        rejects = bad.select(*DC.PASS, "reasons") if rejects is None else rejects.unionByName(bad.select(*DC.PASS, "reasons"))
+    return DC.dlq_rows(d, BATCH, rejects)
+
+
+def _first_metric(topic_col: str) -> str:
+    return (f"CASE {topic_col} WHEN 'energy.bronze.scada' THEN 'bad solar_mw' WHEN 'energy.bronze.weather' THEN "
+            f"'bad temperature_c' WHEN 'energy.bronze.demand' THEN 'bad demand_mw' WHEN 'energy.bronze.dispatch' "
+            f"THEN 'bad total_generation_mw' WHEN 'energy.bronze.plants' THEN 'bad capacity_mw' END")
+
+
+_DLQ_SQL = MSG_SQL + f""", d AS (
+SELECT topic, "partition" AS partition_id, "offset" AS offset_id,
+       CASE WHEN k = {FK['no_node']} THEN
+              CASE WHEN event_type = 'error' THEN 'PLT-' || "offset" ELSE ':' || strftime(ts, {ISO_SQL}) END
+            ELSE 'N' || user_id || CASE WHEN event_type <> 'error' THEN ':' || strftime(ts, {ISO_SQL}) ELSE '' END
+       END AS key,
+       COALESCE(error_message, CASE WHEN k = {FK['no_node']} THEN 'missing node_id' ELSE {_first_metric('topic')} END)
+         AS error_message,
+       '{BATCH}' AS _batch_id, k <> {FK['null_payload']} AS has_value, k
+FROM mm WHERE error_message IS NOT NULL OR k IN {ROW_REJECT})
+"""
+
+
+@register("dlq_rows", _DLQ_SQL + "SELECT topic, partition_id, offset_id, key, error_message, _batch_id, has_value FROM d",
+          "S10 T4")
+def dlq_rows(spark, sf):
+    q = _dlq(spark, sf)
+    return q.select("topic", "partition_id", "offset_id", "key", "error_message", "_batch_id",
+                    F.col("value").isNotNull().alias("has_value"))
+
+
+def repair(text):
+    """S11 fix-up for replay: close a truncated object, unwrap a one-element array."""
+    t = F.trim(text)
+    return (F.when(t.startswith("[") & t.endswith("]"), F.expr("substring(trim(value), 2, length(trim(value)) - 2)"))
+            .when(t.startswith("{") & ~t.endswith("}"), F.concat(t, F.lit("}")))
+            .otherwise(text))
+
+
+@register("dlq_replay", _DLQ_SQL + f"""
+SELECT topic, offset_id, CASE WHEN k = {FK['null_payload']} THEN 'null payload'
+                              WHEN k = {FK['bad_utf8']} THEN 'invalid json' END AS replay_error
+FROM d""", "S11")
+def dlq_replay(spark, sf):
+    """Re-drive dead letters: repair the text, decode again, and drop messages that have landed
+    since (left anti join on topic, partition, offset against the landed rows)."""
+    dlq = _dlq(spark, sf)
+    fixed = dlq.select(F.col("key").cast("binary").alias("key"), F.encode(repair(F.col("value")), "UTF-8").alias("value"),
+                       "topic", F.col("partition_id").alias("partition"), F.col("offset_id").alias("offset"))
+    again = DC.decode_json(fixed)
+    d = _msgs(spark, sf)
+    landed = None
+    for topic, table in schemas.TOPIC_TABLE.items():
+        good, _ = DC.to_table(d.filter(F.col("topic") == topic), table, BATCH)
+        k = good.select(F.col("_source").alias("topic"),
+                        (F.col("_kafka_offset") if table != "plants" else F.lit(None).cast("long")).alias("offset"))
+        landed = k if landed is None else landed.unionByName(k)
+    todo = again.join(landed, ["topic", "offset"], "left_anti")
+    return todo.select("topic", F.col("offset").alias("offset_id"), F.col("error_message").alias("replay_error"))
+
+
+@register("dlq_threshold", MSG_SQL + f"""
+SELECT topic, COUNT_IF(error_message IS NULL AND k NOT IN {ROW_REJECT}) AS landed,
+       COUNT_IF(error_message IS NOT NULL OR k IN {ROW_REJECT}) AS rejected,
+       round(COUNT_IF(error_message IS NOT NULL OR k IN {ROW_REJECT}) / COUNT(*), 6) AS reject_share,
+       COUNT_IF(error_message IS NOT NULL OR k IN {ROW_REJECT}) / COUNT(*) > 0.05 AS alert
+FROM mm GROUP BY 1""", "V16 A2")
+def dlq_threshold(spark, sf):
+    d = _msgs(spark, sf)
+    dlq = _dlq(spark, sf).groupBy("topic").agg(F.count(F.lit(1)).alias("rejected"))
+    total = d.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+    j = total.join(dlq, "topic", "left").fillna(0, ["rejected"])
+    share = F.col("rejected") / F.col("n")
+    return j.select("topic", (F.col("n") - F.col("rejected")).alias("landed"), "rejected",
+                    F.round(share, 6).alias("reject_share"), (share > F.lit(0.05)).alias("alert"))
+
+
+def ingest_batch(spark, sf, root: str) -> dict[str, str]:
+    """S7-S10 batch form: decode once, route to the five tables, append each table partitioned by
+    node and day, and append all rejects to the dead-letter table.  The decoded frame is persisted
+    so the source is read once for the six writes."""
+    d = _msgs(spark, sf).persist()
+    try:
+        rejects = None
+        for topic, table in schemas.TOPIC_TABLE.items():
+            good, bad = DC.to_table(d.filter(F.col("topic") == topic), table, BATCH)
+            B.append_table(good, root, table)
+            b = bad.select(*DC.PASS, "reasons")
+            rejects = b if rejects is None else rejects.unionByName(b)
+        B.append_table(DC.dlq_rows(d, BATCH, rejects), root, "dead_letter_queue")
+    finally:
+        d.unpersist()
+    return {t: f"{root}/{t}" for t in list(schemas.TOPIC_TABLE.values()) + ["dead_letter_queue"]}
+
+
+@register("bronze_ingest", MSG_SQL + f"""
+SELECT "offset" AS _kafka_offset, 'N' || user_id AS node_id, CAST(ts AS DATE) AS event_date, mw AS solar_mw,
+       CASE WHEN k <> {FK['no_dataset']} THEN ds ELSE 'unknown' END AS _dataset
+FROM mm WHERE topic = 'energy.bronze.scada' AND error_message IS NULL AND k NOT IN {ROW_REJECT}""",
+          "S7 S8 S9 S13 S14 T1")
+def bronze_ingest(spark, sf):
+    root = scratch_path(spark, "bronze")
+    ingest_batch(spark, sf, root)
+    s = B.read_table(spark, root, "scada_telemetry")
+    return s.select("_kafka_offset", "node_id", F.col("event_date").cast("date").alias("event_date"), "solar_mw", "_dataset")
+
+
+@register("union_datasets", MSG_SQL + f"""
+SELECT "offset", CASE WHEN k <> {FK['no_dataset']} THEN ds END AS _dataset,
+       CASE WHEN k <> {FK['no_dataset']} AND ds = 'chile' THEN -CAST(k AS DOUBLE) END AS lat,
+       CASE WHEN k <> {FK['no_dataset']} AND ds = 'chile' THEN mw END AS lon,
+       CASE WHEN ds = 'chile' AND k <> {FK['no_dataset']} THEN CAST(k AS DOUBLE) END AS ppa_price_usd_mwh,
+       CASE WHEN NOT (ds = 'chile' AND k <> {FK['no_dataset']}) THEN CAST(k AS DOUBLE) END AS ppa_price_gil_mwh
+FROM mm WHERE topic = 'energy.bronze.plants' AND error_message IS NULL""", "U1")
+def union_datasets(spark, sf):
+    d = _msgs(spark, sf).filter((F.col("topic") == "energy.bronze.plants") & F.col("error_message").isNull())
+    chile = d.filter(F.col("p._dataset") == "chile").select(
+        "offset", F.col("p._dataset").alias("_dataset"), F.col("p.lat").try_cast("double").alias("lat"),
+        F.col("p.lon").try_cast("double").alias("lon"), F.col("p.ppa_price_usd_mwh").try_cast("double").alias("ppa_price_usd_mwh"))
+    ff = d.filter(~F.coalesce(F.col("p._dataset") == "chile", F.lit(False))).select(
+        "offset", F.col("p._dataset").alias("_dataset"),
+        F.col("p.ppa_price_gil_mwh").try_cast("double").alias("ppa_price_gil_mwh"))
+    return chile.unionByName(ff, allowMissingColumns=True)
+
+
+EVOLVE_AT = "2024-01-16 00:00:00"
+
+
+@register("schema_evolution", MSG_SQL + f"""
+SELECT "offset" AS _kafka_offset, CASE WHEN ts >= TIMESTAMP '{EVOLVE_AT}' THEN CAST(k AS DOUBLE) / 2 END AS inverter_temp_c
+FROM mm WHERE topic = 'energy.bronze.scada' AND error_message IS NULL AND k NOT IN {ROW_REJECT}""", "S17")
+def schema_evolution(spark, sf):
+    """Two appends to one table, the second with a new column; the table is read back with
+    ``mergeSchema`` and the older files show NULL for the new column."""
+    root = scratch_path(spark, "evolve")
+    good, _ = DC.to_table(_msgs(spark, sf).filter(F.col("topic") == "energy.bronze.scada"), "scada_telemetry", BATCH)
+    cut = F.lit(EVOLVE_AT).cast("timestamp")
+    B.append_table(good.filter(F.col("timestamp") < cut), root, "scada_telemetry")
+    B.append_table(good.filter(F.col("timestamp") >= cut).withColumn("inverter_temp_c", F.col("wind_mw") / 2),
+                   root, "scada_telemetry")
+    back = B.read_table(spark, root, "scada_telemetry", merge_schema=True)
+    return back.select("_kafka_offset", "inverter_temp_c")
+
+
+LANDING_FIELDS = ["timestamp", "node_id", "climate", "temperature_c", "humidity_pct", "_dataset"]
+
+
+@register("landing_scan", MSG_SQL + f"""
+SELECT CASE WHEN k NOT IN ({FK['truncated']}, {FK['bad_utf8']}, {FK['no_node']}) THEN 'N' || user_id END AS node_id,
+       CASE WHEN k NOT IN ({FK['truncated']}, {FK['bad_utf8']}, {FK['bad_number']}) THEN mw END AS temperature_c,
+       k IN ({FK['truncated']}, {FK['bad_utf8']}) AS is_corrupt
+FROM mm WHERE topic = 'energy.bronze.weather' AND k <> {FK['null_payload']}""", "S20")
+def landing_scan(spark, sf):
+    """Landed JSON-lines files (the weather payloads, written by Spark) read back with a declared
+    schema in PERMISSIVE mode: broken lines keep their text in ``_corrupt_record``; the file of
+    each row is its ``_source``."""
+    root = scratch_path(spark, "landing")
+    m = _topics(spark, sf, ["weather"]).filter(F.col("value").isNotNull())
+    m.select(F.make_valid_utf8(F.col("value").cast("string")).alias("value")).write.mode("overwrite").text(root)
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in LANDING_FIELDS]
+                          + [T.StructField("_corrupt_record", T.StringType())])
+    r = (spark.read.schema(schema).option("mode", "PERMISSIVE")
+         .option("columnNameOfCorruptRecord", "_corrupt_record").json(root)
+         .withColumn("_source", F.col("_metadata.file_path")))
+    bad = F.col("_corrupt_record").isNotNull()
+    return r.select(F.when(~bad, F.col("node_id")).alias("node_id"),
+                    F.when(~bad, F.col("temperature_c").try_cast("double")).alias("temperature_c"),
+                    bad.alias("is_corrupt"))
+
+
+SEED_COLS = ["timestamp", "node_id", "demand_mw", "residential_pct"]
+
+
+@register("seed_csv_roundtrip", MSG_SQL + f"""
+SELECT strftime(ts, {ISO_SQL}) AS timestamp, CASE WHEN k <> {FK['no_node']} THEN 'N' || user_id END AS node_id,
+       CASE WHEN k = {FK['bad_number']} THEN 'n/a' ELSE CAST(mw AS VARCHAR) END AS demand_mw,
+       CAST(k AS VARCHAR) AS residential_pct
+FROM mm WHERE topic = 'energy.bronze.demand' AND error_message IS NULL""", "S1 S2")
+def seed_csv_roundtrip(spark, sf):
+    """Seed files: the demand payloads written as header CSV, then read back all-STRING."""
+    path = scratch_path(spark, "seed_demand")
+    d = _msgs(spark, sf).filter((F.col("topic") == "energy.bronze.demand") & F.col("error_message").isNull())
+    B.write_seed_csv(DC.project_to_schema(d, "demand").select(*SEED_COLS), path)
+    return B.read_seed_csv(spark, path, SEED_COLS)
