@@ -1 +1,68 @@
-"""Placeholder."""
+"""Dimension queries (D1-D4) bound to the driver's tables.  Surrogate keys are dense 1..n in
+natural-key order, assigned without a single-partition window."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from wattline.operators import ops as O
+from wattline.plans.derive_plans import CLIMATES, _CLIMATE_SQL, _climate_col
+from wattline.plans.registry import register
+from wattline.plans.views import with_views
+from wattline.sources import tables as T
+
+
+@register("dim_node", with_views("telemetry") + f"""
+SELECT CAST(row_number() OVER (ORDER BY node_id) AS BIGINT) AS node_key, node_id, climate, n_samples, n_sources FROM (
+  SELECT node_id, {_CLIMATE_SQL} AS climate, COUNT(*) AS n_samples, COUNT(DISTINCT source_type) AS n_sources
+  FROM telemetry GROUP BY 1)""", "D1")
+def dim_node(spark, sf):
+    n = T.telemetry(spark, sf).groupBy("node_id").agg(F.count(F.lit(1)).alias("n_samples"),
+                                                        F.count_distinct("source_type").alias("n_sources"))
+    n = n.withColumn("climate", _climate_col(F.col("node_id")))
+    return O.with_surrogate(n, ["node_id"], "node_key").select("node_key", "node_id", "climate", "n_samples", "n_sources")
+
+
+@register("dim_plant", with_views("plants") + """
+SELECT CAST(row_number() OVER (ORDER BY plant_id) AS BIGINT) AS plant_key, plant_id, plant_name, node_id, region,
+       capacity_mw FROM plants""", "D2")
+def dim_plant(spark, sf):
+    p = T.plants(spark, sf).select("plant_id", "plant_name", "node_id", "region", "capacity_mw")
+    return O.with_surrogate(p, ["plant_id"], "plant_key").select(
+        "plant_key", "plant_id", "plant_name", "node_id", "region", "capacity_mw")
+
+
+@register("dim_time", """
+WITH b AS (SELECT date_trunc('hour', MIN(ts)) AS lo, date_trunc('hour', MAX(ts)) AS hi FROM events),
+h AS (SELECT unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS hour FROM b)
+SELECT CAST(hour AS TIMESTAMP) AS hour, CAST(hour AS DATE) AS day, CAST(date_trunc('month', hour) AS DATE) AS month,
+       CAST(hour(hour) AS INTEGER) AS hour_of_day, dayofweek(hour) IN (0, 6) AS is_weekend,
+       CASE WHEN month(hour) IN (12, 1, 2) THEN 'summer' WHEN month(hour) IN (6, 7, 8) THEN 'winter'
+            WHEN month(hour) IN (3, 4, 5) THEN 'autumn' ELSE 'spring' END AS season
+FROM h""", "D3")
+def dim_time(spark, sf):
+    e = T.scan(spark, sf, "events")
+    return O.calendar_dim(F.min("ts"), F.max("ts"), e, southern=True)
+
+
+@register("dim_asset", with_views("assets") + """
+SELECT CAST(row_number() OVER (ORDER BY asset_id) AS BIGINT) AS asset_key, asset_id, asset_name, make, model
+FROM assets""", "D4")
+def dim_asset(spark, sf):
+    a = T.assets(spark, sf).select("asset_id", "asset_name", "make", "model")
+    return O.with_surrogate(a, ["asset_id"], "asset_key").select("asset_key", "asset_id", "asset_name", "make", "model")
+
+
+@register("dim_weather_station", with_views("telemetry") + """
+SELECT CAST(row_number() OVER (ORDER BY station_id) AS BIGINT) AS station_key, * FROM (
+  SELECT 'WS-' || node_id AS station_id, node_id, COUNT(*) AS n_observations, MIN(ts) AS first_seen,
+         MAX(ts) AS last_seen FROM telemetry WHERE source_type = 'view' GROUP BY 1, 2)""", "D4")
+def dim_weather_station(spark, sf):
+    t = T.telemetry(spark, sf).filter(F.col("source_type") == "view")
+    s = t.groupBy(F.concat(F.lit("WS-"), F.col("node_id").cast("string")).alias("station_id"), "node_id").agg(
+        F.count(F.lit(1)).alias("n_observations"), F.min("ts").alias("first_seen"), F.max("ts").alias("last_seen"))
+    return O.with_surrogate(s, ["station_id"], "station_key").select(
+        "station_key", "station_id", "node_id", "n_observations", "first_seen", "last_seen")
+
+
+_ = CLIMATES
