@@ -45,7 +45,7 @@ SELECT CASE WHEN k = {FK['no_node']} THEN
               CASE WHEN event_type = 'error' THEN 'PLT-' || "offset" ELSE ':' || strftime(ts, {ISO_SQL}) END
             ELSE 'N' || user_id || CASE WHEN event_type <> 'error' THEN ':' || strftime(ts, {ISO_SQL}) ELSE '' END
        END AS key,
-       topic, "partition", "offset", ts AS timestamp, k = {FK['null_payload']} AS value_is_null
+       topic, "partition", "offset", ts + to_seconds(k) AS timestamp, k = {FK['null_payload']} AS value_is_null
 FROM mm""", "S3 S4")
 def publish_messages(spark, sf):
     m = _topics(spark, sf)

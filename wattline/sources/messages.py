@@ -77,7 +77,8 @@ def file_source(spark: SparkSession, path: str, max_files: int = 1) -> DataFrame
 
 
 def telemetry_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages derived from ``events`` (one per event, offset = event id, partition = node mod 6).
+    """Messages derived from ``events`` (one per event, offset = event id, partition = node mod 6,
+    broker timestamp = event time + k seconds of publishing delay).
 
     Payload per topic: the table's key columns plus two metrics (the sample and props.k), with
     currency-suffixed price names by dataset (k < 50 -> 'chile'/usd, else 'ff'/gil).  The FAULTS
@@ -134,7 +135,8 @@ def telemetry_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = m.select(
         F.encode(message_key(F.col("_payload")), "UTF-8").alias("key"), value.alias("value"),
         F.col("_topic").alias("topic"), F.pmod(F.col("node_id"), F.lit(PARTITIONS)).cast("int").alias("partition"),
-        F.col("msg_offset").alias("offset"), F.col("ts").cast("timestamp").alias("timestamp"))
+        F.col("msg_offset").alias("offset"),
+        (F.col("ts").cast("timestamp") + F.make_dt_interval(secs=F.col("_k").cast("decimal(18,6)"))).alias("timestamp"))
     return m
 
 
@@ -159,3 +161,12 @@ def read_topics(spark: SparkSession, path: str, topics: Sequence[str] | None = N
     """Batch read of the topic store; a topic filter prunes directories."""
     df = spark.read.parquet(path).select("key", "value", "topic", "partition", "offset", "timestamp")
     return select_topics(df, topics)
+
+
+def payload_k(value: Column) -> Column:
+    """The event's props.k as carried by a message of this binding (each topic's second metric
+    field holds it); NULL when the payload does not parse."""
+    text = F.make_valid_utf8(value.cast("string"))
+    fields = ["wind_mw", "humidity_pct", "residential_pct", "spot_price_usd", "spot_price_gil",
+              "ppa_price_usd_mwh", "ppa_price_gil_mwh"]
+    return F.coalesce(*[F.get_json_object(text, f"$.{f}") for f in fields]).try_cast("int")
