@@ -1 +1,81 @@
-"""Placeholder."""
+"""Layout queries (S14-S16, S18, S19): data written with a layout and read back through it."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from wattline.functions.columns import exact_sum
+from wattline.plans import gold_plans
+from wattline.plans.registry import ORACLE, register
+from wattline.plans.sqlparts import xs
+from wattline.plans.views import with_views
+from wattline.session import scratch_path
+from wattline.sources import bronze as B
+from wattline.sources import tables as T
+
+DAY_FROM, DAY_TO = "2024-01-10", "2024-01-12"
+RETAIN_AS_OF, RETAIN_YEARS = "2001-12-31", 3
+
+
+@register("partitioned_layout", with_views("telemetry") + f"""
+SELECT CAST(ts AS DATE) AS event_date, node_id, COUNT(*) AS n, {xs('mw', 4)} AS mw_sum FROM telemetry
+WHERE CAST(ts AS DATE) BETWEEN DATE '{DAY_FROM}' AND DATE '{DAY_TO}' AND node_id < 50 GROUP BY 1, 2""", "S14")
+def partitioned_layout(spark, sf):
+    """Day partitions plus node clustering: the date predicate prunes directories, the node
+    predicate skips row groups by their min/max statistics."""
+    path = scratch_path(spark, "telemetry_by_day")
+    t = T.telemetry(spark, sf).withColumn("event_date", F.to_date("ts")).withColumnRenamed("ts", "timestamp")
+    B.append_table(t, path, "telemetry")
+    r = B.read_table(spark, path, "telemetry")
+    r = r.filter(F.col("event_date").between(F.lit(DAY_FROM).cast("date"), F.lit(DAY_TO).cast("date"))
+                 & (F.col("node_id") < 50))
+    return r.groupBy("event_date", "node_id").agg(F.count(F.lit(1)).alias("n"), exact_sum("mw", 4, "mw_sum"))
+
+
+@register("clustered_layout", with_views("generation") + f"""
+SELECT plant_id, COUNT(*) AS n, {xs('mwh', 2)} AS mwh FROM generation WHERE plant_id BETWEEN 10 AND 19 GROUP BY 1""",
+          "S15")
+def clustered_layout(spark, sf):
+    """Range-clustered files on (plant, time): a plant-range predicate reads only the files and
+    row groups whose min/max cover it."""
+    path = scratch_path(spark, "generation_clustered")
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    B.clustered_write(T.generation(spark, sf), path, ["plant_id", "ts"], files)
+    r = spark.read.parquet(path).filter(F.col("plant_id").between(10, 19))
+    return r.groupBy("plant_id").agg(F.count(F.lit(1)).alias("n"), exact_sum("mwh", 2, "mwh"))
+
+
+@register("compaction", with_views("generation") + f"""
+SELECT CAST(year(ts) AS INTEGER) AS year, COUNT(*) AS n, {xs('mwh', 2)} AS mwh FROM generation GROUP BY 1""", "S16")
+def compaction(spark, sf):
+    """Many small files per year are rewritten to one file per year at a new location; the
+    content is unchanged (this query reads the compacted copy)."""
+    src, dst = scratch_path(spark, "small_files"), scratch_path(spark, "compacted")
+    g = T.generation(spark, sf).withColumn("year", F.year("ts"))
+    g.repartition(32).write.mode("overwrite").partitionBy("year").parquet(src)
+    B.compact(spark, src, dst, 1, ["year"])
+    r = spark.read.parquet(dst)
+    return r.groupBy("year").agg(F.count(F.lit(1)).alias("n"), exact_sum("mwh", 2, "mwh"))
+
+
+@register("retention_filter", with_views("generation") + f"""
+SELECT CAST(year(ts) AS INTEGER) AS year, COUNT(*) AS n FROM generation
+WHERE CAST(ts AS DATE) >= DATE '{RETAIN_AS_OF}' - INTERVAL {12 * RETAIN_YEARS} MONTH GROUP BY 1""", "S18")
+def retention_filter(spark, sf):
+    """Keep the last 3 years before ``as_of`` (SCADA keeps 7, weather 3, trading 10: a parameter)."""
+    g = T.generation(spark, sf).withColumn("event_date", F.to_date("ts"))
+    kept = B.retain(g, "event_date", RETAIN_AS_OF, RETAIN_YEARS)
+    return kept.groupBy(F.year("ts").alias("year")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("gold_materialize", ORACLE["fact_revenue_region_month"], "S19")
+def gold_materialize(spark, sf):
+    """The fact table is stored partitioned by region.  A stale copy is written first (one
+    region wrong), then only that region is recomputed and written with dynamic partition
+    overwrite: the other regions' files are left as they were, and the result is correct."""
+    path = scratch_path(spark, "fact_revenue")
+    fact = gold_plans.fact_revenue_region_month(spark, sf)
+    stale = fact.withColumn("revenue", F.when(F.col("region") == "ASIA", F.col("revenue") * 2).otherwise(F.col("revenue")))
+    B.materialize(stale, path, ["region"])
+    B.materialize(fact.filter(F.col("region") == "ASIA"), path, ["region"])
+    return spark.read.parquet(path).select(*fact.columns)
