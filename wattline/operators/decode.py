@@ -34,22 +34,30 @@ def payload_fields() -> list[str]:
     return names + ["_dataset"]
 
 
-PARSE_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in payload_fields()]
-                            + [T.StructField("_corrupt", T.StringType())])
+PARSE_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in payload_fields()])
 
 
 def decode_json(msgs: DataFrame) -> DataFrame:
-    """Text of the value (bad UTF-8 replaced), parsed fields under ``p``, and the reject reason
-    for the message as a whole: null payload, invalid UTF-8, not a JSON object, invalid JSON."""
+    """Text of the value (bad UTF-8 replaced), its fields under ``p`` (all STRING), and the
+    reject reason for the message as a whole: null payload, invalid UTF-8, not a JSON object,
+    invalid JSON.  Fields of a rejected message are not meaningful; consumers filter on
+    ``error_message`` first.
+
+    The fields come from one ``json_tuple`` (a generator: one parse per row for all fields, and a
+    plan barrier, so later projections refer to its outputs instead of re-inlining a parse into
+    every field reference).  A one-field ``from_json`` flags text that is not valid JSON."""
+    fields = payload_fields()
     raw = F.col("value").cast("string")
-    text = F.make_valid_utf8(raw)
-    parsed = F.from_json(text, PARSE_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    d = msgs.withColumn("value_text", F.make_valid_utf8(raw))
+    d = d.select("*", F.json_tuple("value_text", *fields).alias(*[f"_j{i}" for i in range(len(fields))]))
+    probe = F.from_json("value_text", "_c string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_c"})
     err = (F.when(F.col("value").isNull(), F.lit("null payload"))
            .when(~F.is_valid_utf8(raw), F.lit("invalid utf-8"))
-           .when(~F.ltrim(text).startswith("{"), F.lit("not a json object"))
-           .when(F.col("p._corrupt").isNotNull(), F.lit("invalid json")))
-    return (msgs.withColumns({"value_text": text, "p": parsed})
-            .withColumn("error_message", err))
+           .when(~F.ltrim("value_text").startswith("{"), F.lit("not a json object"))
+           .when(probe["_c"].isNotNull(), F.lit("invalid json")))
+    parsed = F.struct(*[F.col(f"_j{i}").alias(f) for i, f in enumerate(fields)])
+    return (d.withColumn("error_message", err).withColumn("p", parsed)
+            .drop(*[f"_j{i}" for i in range(len(fields))]))
 
 
 def normalize_currency(df: DataFrame) -> DataFrame:
@@ -76,17 +84,23 @@ def project_to_schema(df: DataFrame, table: str) -> DataFrame:
 
 def cast_typed(df: DataFrame, table: str) -> DataFrame:
     """P6 + F5: ``try_cast`` to the declared types (ANSI stays on; a bad value never fails the
-    job).  Reasons: a NOT NULL column that is NULL, or a non-NULL string that does not cast."""
-    typed, reasons = [], []
+    job).  Reasons: a NOT NULL column that is NULL, or a non-NULL string that does not cast.
+
+    ``is_good`` is a plain boolean (an OR of the checks) so that filters on it stay cheap when
+    Catalyst pushes them below the projection; the reasons array is only built for output."""
+    typed, checks = [], []
     for n, t, nullable in schemas.BRONZE_COLUMNS[table]:
         s = F.col(n)
         v = F.try_to_timestamp(s) if isinstance(t, T.TimestampType) else s.try_cast(t)
         typed.append(v.alias(n))
-        reasons.append(F.when(s.isNotNull() & v.isNull(), F.lit(f"bad {n}")))
+        checks.append((f"bad {n}", s.isNotNull() & v.isNull()))
         if not nullable:
-            reasons.append(F.when(s.isNull(), F.lit(f"missing {n}")))
-    r = F.filter(F.array(*reasons), lambda x: x.isNotNull())
-    return df.select(*PASS, *typed, "_dataset", r.alias("reasons"))
+            checks.append((f"missing {n}", s.isNull()))
+    bad = None
+    for _, c in checks:
+        bad = c if bad is None else (bad | c)
+    r = F.filter(F.array(*[F.when(c, F.lit(label)) for label, c in checks]), lambda x: x.isNotNull())
+    return df.select(*PASS, *typed, "_dataset", r.alias("reasons"), (~bad).alias("is_good"))
 
 
 def enrich_meta(df: DataFrame, batch_id: str | Column, with_offsets: bool = True,
@@ -116,8 +130,8 @@ def to_table(decoded: DataFrame, table: str, batch_id: str | Column) -> tuple[Da
     ok = decoded.filter(F.col("error_message").isNull())
     ok = normalize_ppa(normalize_currency(ok))
     typed = cast_typed(project_to_schema(ok, table), table)
-    good = typed.filter(F.size("reasons") == 0).drop("reasons")
-    bad = typed.filter(F.size("reasons") > 0)
+    good = typed.filter(F.col("is_good")).drop("reasons", "is_good")
+    bad = typed.filter(~F.col("is_good")).drop("is_good")
     is_plants = table == "plants"
     good = enrich_meta(good, batch_id, with_offsets=not is_plants, ts_col=None if is_plants else "timestamp")
     cols = [f.name for f in schemas.bronze_schema(table).fields]
@@ -139,3 +153,42 @@ def dlq_rows(decoded: DataFrame, batch_id: str | Column, typed_rejects: DataFram
     if typed_rejects is None:
         return msg
     return msg.unionByName(shape(typed_rejects, F.array_join("reasons", "; ")))
+
+
+def _field(table: str, n: str) -> Column:
+    """A payload field of a decoded row as its table sees it (money names normalized)."""
+    if n in MONEY:
+        return F.coalesce(F.col(f"p.{n}_gil"), F.col(f"p.{n}_usd"), F.col(f"p.{n}"))
+    if n == "ppa_price_mwh":
+        return F.coalesce(F.col("p.ppa_price_mwh"), *[F.col(f"p.ppa_price_{c}_mwh") for c in CURRENCIES])
+    return F.col(f"p.{n}")
+
+
+def row_reject_reason(decoded: DataFrame) -> Column:
+    """The typed-cast reasons of a decoded row for its own topic's table, joined with '; '
+    (NULL when the row is good).  One CASE over the topic: every topic is checked in one pass."""
+    expr = None
+    for topic, table in schemas.TOPIC_TABLE.items():
+        parts = []
+        for n, t, nullable in schemas.BRONZE_COLUMNS[table]:
+            s = _field(table, n)
+            v = F.try_to_timestamp(s) if isinstance(t, T.TimestampType) else s.try_cast(t)
+            parts.append(F.when(s.isNotNull() & v.isNull(), F.lit(f"bad {n}")))
+            if not nullable:
+                parts.append(F.when(s.isNull(), F.lit(f"missing {n}")))
+        why = F.nullif(F.concat_ws("; ", *parts), F.lit(""))
+        expr = F.when(F.col("topic") == topic, why) if expr is None else expr.when(F.col("topic") == topic, why)
+    return expr
+
+
+def dlq_one_pass(decoded: DataFrame, batch_id: str | Column) -> DataFrame:
+    """S10 in one pass: a message is a dead letter for its message-level error or, when it
+    parses, for its typed-cast reasons (same rows and messages as ``dlq_rows`` with the per-table
+    rejects, without a branch per table)."""
+    b = batch_id if isinstance(batch_id, Column) else F.lit(batch_id)
+    err = F.coalesce(F.col("error_message"), row_reject_reason(decoded))
+    out = decoded.select(
+        F.current_timestamp().alias("received_at"), "topic", F.col("partition").cast("int").alias("partition_id"),
+        F.col("offset").cast("long").alias("offset_id"), F.make_valid_utf8(F.col("key").cast("string")).alias("key"),
+        F.col("value_text").alias("value"), err.alias("error_message"), b.cast("string").alias("_batch_id"))
+    return out.filter(F.col("error_message").isNotNull())

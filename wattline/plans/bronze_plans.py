@@ -125,7 +125,7 @@ def cast_typed(spark, sf):
     t = _scada_typed(spark, sf)
     cols = [n for n, _, _ in schemas.BRONZE_COLUMNS["scada_telemetry"]]
     return t.select("offset", *[F.col(c).cast("timestamp_ntz").alias(c) if c == "timestamp" else F.col(c) for c in cols],
-                    "reasons", (F.size("reasons") == 0).alias("is_good"))
+                    "reasons", "is_good")
 
 
 @register("enrich_meta", MSG_SQL + f"""
@@ -134,7 +134,7 @@ SELECT "offset", topic AS _source, '{BATCH}' AS _batch_id, "partition" AS _kafka
        CAST(ts AS DATE) AS event_date
 FROM mm WHERE topic = 'energy.bronze.scada' AND error_message IS NULL AND k NOT IN {ROW_REJECT}""", "P2")
 def enrich_meta(spark, sf):
-    t = _scada_typed(spark, sf).filter(F.size("reasons") == 0)
+    t = _scada_typed(spark, sf).filter(F.col("is_good"))
     e = DC.enrich_meta(t, BATCH)
     return e.select("offset", "_source", "_batch_id", "_kafka_partition", "_kafka_offset", "_dataset", "event_date")
 
@@ -167,12 +167,7 @@ def route_topics(spark, sf):
 
 
 def _dlq(spark, sf):
-    d = _msgs(spark, sf)
-    rejects = None
-    for topic, table in schemas.TOPIC_TABLE.items():
-        _, bad = DC.to_table(d.filter(F.col("topic") == topic), table, BATCH)
-        rejects = bad.select(*DC.PASS, "reasons") if rejects is None else rejects.unionByName(bad.select(*DC.PASS, "reasons"))
-    return DC.dlq_rows(d, BATCH, rejects)
+    return DC.dlq_one_pass(_msgs(spark, sf), BATCH)
 
 
 def _first_metric(topic_col: str) -> str:

@@ -106,10 +106,10 @@ def lineage_table(spark, sf):
         part = d.filter(F.col("topic") == topic)
         ok = DC.normalize_ppa(DC.normalize_currency(part.filter(F.col("error_message").isNull())))
         typed = DC.cast_typed(DC.project_to_schema(ok, table), table)
-        g = typed.filter(F.size("reasons") == 0).select(F.col("topic").alias("_source"), F.lit(bronze_plans.BATCH).alias("_b"),
+        g = typed.filter(F.col("is_good")).select(F.col("topic").alias("_source"), F.lit(bronze_plans.BATCH).alias("_b"),
                                                         F.lit(table).alias("_t"), "offset")
         rows = g if rows is None else rows.unionByName(g)
-        b = typed.filter(F.size("reasons") > 0).select(*DC.PASS, "reasons")
+        b = typed.filter(~F.col("is_good")).select(*DC.PASS, "reasons")
         rejects = b if rejects is None else rejects.unionByName(b)
     dlq = DC.dlq_rows(d, bronze_plans.BATCH, rejects).select(
         F.col("topic").alias("_source"), F.col("_batch_id").alias("_b"), F.lit("dead_letter_queue").alias("_t"),
