@@ -121,3 +121,30 @@ def demand_curve(h: Column, base: Column, peak_mult: Column,
     load = load * mult(morning_spike, (h >= 7) & (h <= 10))
     load = load * mult(heating, (h <= 7) | (h >= 20))
     return load
+
+
+# Fixed values (must equal the reference's): season and latitude factors of the grid widget.
+# Season is meteorological for the southern hemisphere: Dec-Feb summer, Jun-Aug winter.
+SOLAR_SEASON_EFF = {"summer": 1.0, "winter": 0.6, "other": 0.85}
+SOLAR_SEASON_PEAK = {"summer": 13.5, "winter": 12.5, "other": 13.0}
+SOLAR_SEASON_SPREAD = {"summer": 4.0, "winter": 3.0, "other": 3.5}
+WIND_SEASON = {"summer": 0.8, "winter": 1.2, "other": 1.0}
+HYDRO_SEASON = {"summer": 0.75, "winter": 1.15, "other": 0.95}
+DEMAND_SEASON = {"summer": 0.9, "winter": 1.15, "other": 1.0}
+WIND_LATITUDE = [(35.0, 1.25), (30.0, 1.0)]   # |lat| above 35 -> 1.25, above 30 -> 1.0, else 0.75
+WIND_LATITUDE_LOW = 0.75
+
+
+def southern_season(month: Column) -> Column:
+    return (F.when(month.isin(12, 1, 2), F.lit("summer")).when(month.isin(6, 7, 8), F.lit("winter"))
+            .otherwise(F.lit("other")))
+
+
+def season_factor(table: dict[str, float], season: Column) -> Column:
+    return lookup(table, season, table["other"])
+
+
+def wind_latitude_factor(lat: Column) -> Column:
+    (t1, f1), (t2, f2) = WIND_LATITUDE
+    a = F.abs(lat)
+    return F.when(a > t1, F.lit(f1)).when(a > t2, F.lit(f2)).otherwise(F.lit(WIND_LATITUDE_LOW))

@@ -176,7 +176,7 @@ e AS (SELECT *, cap * ({_curve_sql('source', 'h', 'climate')}) AS curve FROM t),
 b AS (SELECT msg_offset, node_id, source, mw, {sround('curve', 4)} AS expected,
              {sround(f"curve * {_band_sql('source', 0)}", 4)} AS band_lo,
              {sround(f"curve * {_band_sql('source', 1)}", 4)} AS band_hi FROM e)""") + """
-SELECT *, mw BETWEEN band_lo AND band_hi AS in_band FROM b""", "P19 P21 P22 F4 V14")
+SELECT *, mw BETWEEN band_lo AND band_hi AS in_band FROM b""", "P19 P21 F4 V14")
 def expected_output_band(spark, sf):
     t = T.telemetry(spark, sf)
     smap = F.create_map(*[x for k, v in SOURCE_OF.items() for x in (F.lit(k), F.lit(v))])
@@ -290,3 +290,36 @@ def _stories(spark, sf):
                     F.col("l_quantity").alias("points"))
     t = li.groupBy(F.col("l_orderkey").alias("story_id")).agg(F.collect_list(task).alias("tasks"))
     return o.join(t, "story_id")
+
+
+# Node latitude of the binding: -18 - (node_id mod 38) degrees (a band from -18 to -55).
+def _lat_col(node_id):
+    return F.lit(-18.0) - F.pmod(node_id, F.lit(38)).cast("double")
+
+
+def _season_sql(m):
+    return f"CASE WHEN {m} IN (12, 1, 2) THEN 'summer' WHEN {m} IN (6, 7, 8) THEN 'winter' ELSE 'other' END"
+
+
+@register("seasonal_adjustment", with_views("telemetry", extra=f"""
+s AS (SELECT msg_offset, node_id, {_season_sql('month(ts)')} AS season,
+             {num(-18.0)} - CAST(node_id % 38 AS DOUBLE) AS lat FROM telemetry)""") + f"""
+SELECT msg_offset, node_id, season, lat,
+       {_case('season', C.SOLAR_SEASON_EFF, C.SOLAR_SEASON_EFF['other'])} AS solar_eff,
+       {_case('season', C.SOLAR_SEASON_PEAK, C.SOLAR_SEASON_PEAK['other'])} AS solar_peak_hour,
+       {_case('season', C.WIND_SEASON, C.WIND_SEASON['other'])} *
+         CASE WHEN abs(lat) > 35 THEN {num(1.25)} WHEN abs(lat) > 30 THEN {num(1.0)} ELSE {num(0.75)} END AS wind_factor,
+       {_case('season', C.HYDRO_SEASON, C.HYDRO_SEASON['other'])} AS hydro_factor,
+       {_case('season', C.DEMAND_SEASON, C.DEMAND_SEASON['other'])} AS demand_factor
+FROM s""", "P22")
+def seasonal_adjustment(spark, sf):
+    t = T.telemetry(spark, sf)
+    s = t.select("msg_offset", "node_id", C.southern_season(F.month("ts")).alias("season"),
+                 _lat_col(F.col("node_id")).alias("lat"))
+    sc = F.col("season")
+    return s.select("msg_offset", "node_id", "season", "lat",
+                    C.season_factor(C.SOLAR_SEASON_EFF, sc).alias("solar_eff"),
+                    C.season_factor(C.SOLAR_SEASON_PEAK, sc).alias("solar_peak_hour"),
+                    (C.season_factor(C.WIND_SEASON, sc) * C.wind_latitude_factor(F.col("lat"))).alias("wind_factor"),
+                    C.season_factor(C.HYDRO_SEASON, sc).alias("hydro_factor"),
+                    C.season_factor(C.DEMAND_SEASON, sc).alias("demand_factor"))
