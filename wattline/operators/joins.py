@@ -29,7 +29,8 @@ def strict_pairing(base: DataFrame, mapping: DataFrame, derived: DataFrame, base
     """Base -> mapping -> derived through two inner equi joins.  Strict: a base row with no
     mapping, or a mapping with no derived row, is an error (checked with anti joins first)."""
     missing_map = base.join(mapping, base[base_key] == mapping[map_base], "left_anti").count()
-    missing_derived = mapping.join(derived, mapping[map_derived] == derived[derived_key], "left_anti").count()
+    used = mapping.join(base, mapping[map_base] == base[base_key], "left_semi")
+    missing_derived = used.join(derived, used[map_derived] == derived[derived_key], "left_anti").count()
     if missing_map or missing_derived:
         raise ValueError(f"mapping not 1-1: {missing_map} base rows unmapped, {missing_derived} mapped ids missing")
     j = base.join(mapping, base[base_key] == mapping[map_base])
@@ -83,17 +84,19 @@ def reconcile(desired: DataFrame, current: DataFrame, key: str, cols: Sequence[s
 def prefix_lookup(declared: DataFrame, lists: DataFrame, name: str = "declared_name",
                   list_name: str = "list_name", position: str = "position", width: int = 4) -> DataFrame:
     """L1: exact case-insensitive match; else the first list (lowest position) whose trimmed
-    lower-case name shares the first ``width`` characters; else an error row.  Both fallbacks are
-    joins plus an aggregate (``min_by``), not loops."""
-    lk = lists.select(F.col(list_name), F.col(position), F.lower(F.col(list_name)).alias("_l"),
-                      F.substring(F.trim(F.lower(F.col(list_name))), 1, width).alias("_p"))
+    lower-case name shares the first ``width`` characters; else an error row.
+
+    The list side is first reduced to one winner per lower-case name and one per prefix
+    (``min_by`` aggregates), so every declared row joins to at most one row of each: no pairs are
+    formed inside a shared prefix, however many names share it."""
+    lo = F.lower(F.col(list_name))
+    by_name = lists.groupBy(lo.alias("_k")).agg(F.min_by(list_name, position).alias("_exact"))
+    by_prefix = (lists.select(list_name, position, F.substring(F.trim(lo), 1, width).alias("_k"))
+                 .groupBy("_k").agg(F.min_by(list_name, position).alias("_prefix")))
     d = declared.select(F.col(name), F.lower(F.col(name)).alias("_d"),
                         F.substring(F.trim(F.lower(F.col(name))), 1, width).alias("_dp"))
-    exact = (d.join(lk, d["_d"] == lk["_l"]).groupBy(name)
-             .agg(F.min_by(list_name, position).alias("_exact")))
-    pre = (d.filter(F.col("_dp") != "").join(lk, d["_dp"] == lk["_p"]).groupBy(name)
-           .agg(F.min_by(list_name, position).alias("_prefix")))
-    j = d.select(name).join(exact, name, "left").join(pre, name, "left")
+    j = (d.join(by_name, d["_d"] == by_name["_k"], "left").drop("_k")
+         .join(by_prefix, (d["_dp"] == by_prefix["_k"]) & (d["_dp"] != ""), "left").drop("_k"))
     return j.select(name, F.coalesce("_exact", "_prefix").alias(list_name),
                     F.when(F.col("_exact").isNotNull(), "exact").when(F.col("_prefix").isNotNull(), "prefix")
                     .otherwise("error").alias("match_kind"))

@@ -35,9 +35,10 @@ cap AS (SELECT node_id, node_name, region, {xs('capacity_mw', 2)} AS capacity_mw
 dem AS (SELECT node_id, {xs('demand_mw', 6)} AS demand_mwh FROM demand GROUP BY 1),
 base AS (SELECT cap.*, demand_mwh FROM cap JOIN dem USING (node_id)),
 map AS (SELECT node_id AS base_id, 'FF-' || node_name AS ff_id FROM nodes),
+gm AS (SELECT node_id, {xs('mwh', 2)} AS mwh FROM generation g JOIN plants p USING (plant_id) GROUP BY 1),
 ff AS (SELECT 'FF-' || node_name AS ff_node, lower(node_name) AS ff_name, region AS ff_region,
-              {xs('mwh', 2)} AS ff_capacity_mw
-       FROM generation g JOIN plants p USING (plant_id) GROUP BY 1, 2, 3)""")
+              COALESCE(gm.mwh, CAST(0 AS DOUBLE)) AS ff_capacity_mw
+       FROM nodes LEFT JOIN gm USING (node_id))""")
 
 
 @register("node_mapping", _NODE_SQL + f"""
@@ -54,10 +55,11 @@ def node_mapping(spark, sf):
     nodes = T.nodes(spark, sf)
     mapping = J.broadcast_if_small(nodes.select(F.col("node_id").alias("base_id"),
                                                 F.concat(F.lit("FF-"), F.col("node_name")).alias("ff_id")))
-    g = T.generation(spark, sf).select("plant_id", "mwh").join(p.select("plant_id", "node_name", "region"), "plant_id")
-    ff = g.groupBy(F.concat(F.lit("FF-"), F.col("node_name")).alias("ff_node"),
-                   F.lower("node_name").alias("ff_name"), F.col("region").alias("ff_region")).agg(
-        exact_sum("mwh", 2, "ff_capacity_mw"))
+    gm = (T.generation(spark, sf).select("plant_id", "mwh").join(p.select("plant_id", "node_id"), "plant_id")
+          .groupBy("node_id").agg(exact_sum("mwh", 2, "mwh")))
+    ff = nodes.join(gm, "node_id", "left").select(
+        F.concat(F.lit("FF-"), F.col("node_name")).alias("ff_node"), F.lower("node_name").alias("ff_name"),
+        F.col("region").alias("ff_region"), F.coalesce(F.col("mwh"), F.lit(0.0)).alias("ff_capacity_mw"))
     j = J.strict_pairing(base, mapping, ff, "node_id", "base_id", "ff_id", "ff_node")
     return j.select(F.col("node_id").alias("base_node"), F.col("node_name").alias("base_name"),
                     F.col("region").alias("base_region"), F.col("capacity_mw").alias("base_capacity_mw"),
