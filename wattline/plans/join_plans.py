@@ -149,8 +149,8 @@ def merge_upsert(spark, sf):
                             LINE_KEY, ["_loaded_at"])
     stage = scratch_path(spark, "merge_stage")
     merged.write.mode("overwrite").partitionBy("year").parquet(stage)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    spark.read.parquet(stage).select(*current.columns).write.mode("overwrite").partitionBy("year").parquet(table)
+    (spark.read.parquet(stage).select(*current.columns).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(table))
     return spark.read.parquet(table).select("gen_order", "gen_line", "plant_id", "year", "revenue", "version")
 
 

@@ -32,7 +32,6 @@ def get_spark(app: str = "wattline", cpus: int | str | None = None,
         .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "32MB")
         .config("spark.sql.autoBroadcastJoinThreshold", "32MB")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.driver.memory", os.environ.get("WATTLINE_DRIVER_MEMORY", "16g"))
     )
     spark = builder.getOrCreate()

@@ -93,9 +93,8 @@ def retain(df: DataFrame, date_col: str, as_of: str, years: int) -> DataFrame:
 
 def materialize(df: DataFrame, path: str, partition_by: Sequence[str]) -> str:
     """Dynamic partition overwrite: a re-run replaces only the partitions it produces."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by).parquet(path))
     return path
 
 

@@ -66,11 +66,26 @@ def nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+PLANT_BROADCAST_ROWS = 2_000_000
+_ROWS: dict[tuple[str, str, str], int] = {}
+
+
+def row_count(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """Row count of a driver table, once per session (Parquet answers it from file footers)."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _ROWS:
+        _ROWS[key] = scan(spark, sf_dir, name).count()
+    return _ROWS[key]
+
+
 def plants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """supplier ⋈ nodes -> plants.  The node side is bounded (25 rows) and broadcast; the plant side
-    grows with the data and is never hinted."""
+    """supplier ⋈ nodes -> plants.  The node side is bounded (25 rows) and broadcast.  The plant
+    side grows with the data: it carries a broadcast hint only while its row count is under
+    ``PLANT_BROADCAST_ROWS``, so a fact table joined to it is never chosen as the broadcast side
+    from a small file-size estimate; above the bound the join stays a shuffle join (AQE splits
+    skewed partitions)."""
     s = scan(spark, sf_dir, "supplier")
-    return s.join(F.broadcast(nodes(spark, sf_dir)), s.s_nationkey == F.col("node_id")).select(
+    out = s.join(F.broadcast(nodes(spark, sf_dir)), s.s_nationkey == F.col("node_id")).select(
         F.col("s_suppkey").alias("plant_id"),
         F.col("s_name").alias("plant_name"),
         F.col("node_id"),
@@ -79,6 +94,7 @@ def plants(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.greatest(F.abs(F.col("s_acctbal")), F.lit(1.0)).alias("capacity_mw"),
         F.col("s_acctbal").alias("acctbal"),
     )
+    return F.broadcast(out) if row_count(spark, sf_dir, "supplier") <= PLANT_BROADCAST_ROWS else out
 
 
 def demand(spark: SparkSession, sf_dir: str) -> DataFrame:
