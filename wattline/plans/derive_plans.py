@@ -179,10 +179,13 @@ b AS (SELECT msg_offset, node_id, source, mw, {sround('curve', 4)} AS expected,
 SELECT *, mw BETWEEN band_lo AND band_hi AS in_band FROM b""", "P19 P21 F4 V14")
 def expected_output_band(spark, sf):
     t = T.telemetry(spark, sf)
+    # installed capacity ~ the observed peak of each (node, source): an aggregate joined back
+    # (map-side partial maxima), not a window over the raw rows of a possibly hot node
+    caps = t.groupBy("node_id", "source_type").agg(F.max("mw").alias("cap"))
     smap = F.create_map(*[x for k, v in SOURCE_OF.items() for x in (F.lit(k), F.lit(v))])
-    t = t.select("msg_offset", "node_id", F.element_at(smap, F.col("source_type")).alias("source"), "mw",
-                 F.hour("ts").alias("h"), _climate_col(F.col("node_id")).alias("climate"),
-                 F.max("mw").over(Window.partitionBy("node_id", "source_type")).alias("cap"))
+    t = t.join(caps, ["node_id", "source_type"]).select(
+        "msg_offset", "node_id", F.element_at(smap, F.col("source_type")).alias("source"), "mw",
+        F.hour("ts").alias("h"), _climate_col(F.col("node_id")).alias("climate"), "cap")
     e = t.withColumn("curve", F.col("cap") * C.source_curve(F.col("source"), F.col("h"), F.col("climate")))
     b = e.select("msg_offset", "node_id", "source", "mw",
                  dround("curve", 4).alias("expected"),
