@@ -16,6 +16,9 @@ def test_restart_on_checkpoint_is_idempotent_and_equals_batch(spark):
     q1 = S.ingest(spark, land, root, ck)
     n1 = B.read_table(spark, root, "scada_telemetry").count()
     assert len([p for p in q1.recentProgress if p.numInputRows > 0]) == 3   # one file per micro-batch
+    seen = sum(p.observedMetrics[S.LOAD_METRICS]["messages"] for p in q1.recentProgress
+               if S.LOAD_METRICS in p.observedMetrics)
+    assert seen == spark.read.parquet(land).count()                          # A2 counters per batch
     q2 = S.ingest(spark, land, root, ck)                                      # same checkpoint
     assert sum(p.numInputRows for p in q2.recentProgress) == 0
     assert B.read_table(spark, root, "scada_telemetry").count() == n1

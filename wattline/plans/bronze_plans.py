@@ -249,13 +249,10 @@ def ingest_batch(spark, sf, root: str) -> dict[str, str]:
     so the source is read once for the six writes."""
     d = _msgs(spark, sf).persist()
     try:
-        rejects = None
         for topic, table in schemas.TOPIC_TABLE.items():
-            good, bad = DC.to_table(d.filter(F.col("topic") == topic), table, BATCH)
+            good, _ = DC.to_table(d.filter(F.col("topic") == topic), table, BATCH)
             B.append_table(good, root, table)
-            b = bad.select(*DC.PASS, "reasons")
-            rejects = b if rejects is None else rejects.unionByName(b)
-        B.append_table(DC.dlq_rows(d, BATCH, rejects), root, "dead_letter_queue")
+        B.append_table(DC.dlq_one_pass(d, BATCH), root, "dead_letter_queue")
     finally:
         d.unpersist()
     return {t: f"{root}/{t}" for t in list(schemas.TOPIC_TABLE.values()) + ["dead_letter_queue"]}

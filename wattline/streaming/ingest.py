@@ -56,18 +56,15 @@ def scada_rows(stream: DataFrame, batch_id: str = "stream") -> DataFrame:
 
 
 def ingest_batch(root: str) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` body — decode once (persisted), route to the five tables and the
-    dead-letter table, each written for this epoch only (exactly-once on retry)."""
+    """``foreachBatch`` body over decoded rows — persisted once, routed to the five tables
+    and the dead-letter table, each written for this epoch only (exactly-once on retry)."""
     def run(batch: DataFrame, epoch: int) -> None:
-        d = DC.decode_json(batch).persist()
+        d = batch.persist()
         try:
-            rejects = None
             for topic, table in schemas.TOPIC_TABLE.items():
-                good, bad = DC.to_table(d.filter(F.col("topic") == topic), table, F.lit(str(epoch)))
+                good, _ = DC.to_table(d.filter(F.col("topic") == topic), table, F.lit(str(epoch)))
                 B.write_epoch(good, root, table, epoch)
-                b = bad.select(*DC.PASS, "reasons")
-                rejects = b if rejects is None else rejects.unionByName(b)
-            B.write_epoch(DC.dlq_rows(d, F.lit(str(epoch)), rejects), root, "dead_letter_queue", epoch)
+            B.write_epoch(DC.dlq_one_pass(d, F.lit(str(epoch))), root, "dead_letter_queue", epoch)
         finally:
             d.unpersist()
     return run
@@ -80,10 +77,17 @@ def run_available(writer, checkpoint: str):
     return q
 
 
+LOAD_METRICS = "load_totals"
+
+
 def ingest(spark: SparkSession, source_path: str, root: str, checkpoint: str, files_per_trigger: int = 1):
-    """Kafka-shaped stream -> Bronze tables + dead letters."""
-    s = message_stream(spark, source_path, files_per_trigger)
-    return run_available(s.writeStream.foreachBatch(ingest_batch(root)), checkpoint)
+    """T1-T4 + A2: Kafka-shaped stream -> Bronze tables + dead letters.  Per-batch counters
+    (messages, message-level rejects) are attached with ``observe`` and reported in each
+    progress event under ``observedMetrics['load_totals']``."""
+    d = DC.decode_json(message_stream(spark, source_path, files_per_trigger))
+    d = d.observe(LOAD_METRICS, F.count(F.lit(1)).alias("messages"),
+                  F.count_if(F.col("error_message").isNotNull()).alias("rejected_messages"))
+    return run_available(d.writeStream.foreachBatch(ingest_batch(root)), checkpoint)
 
 
 def replay_dedup(stream: DataFrame, delay: str = "1 day") -> DataFrame:
