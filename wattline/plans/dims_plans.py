@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wattline.operators import ops as O
-from wattline.plans.derive_plans import CLIMATES, _CLIMATE_SQL, _climate_col
+from wattline.plans.derive_plans import _CLIMATE_SQL, _climate_col
 from wattline.plans.registry import register
 from wattline.plans.views import with_views
 from wattline.sources import tables as T
@@ -63,6 +63,3 @@ def dim_weather_station(spark, sf):
         F.count(F.lit(1)).alias("n_observations"), F.min("ts").alias("first_seen"), F.max("ts").alias("last_seen"))
     return O.with_surrogate(s, ["station_id"], "station_key").select(
         "station_key", "station_id", "node_id", "n_observations", "first_seen", "last_seen")
-
-
-_ = CLIMATES

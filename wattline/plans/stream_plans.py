@@ -10,7 +10,6 @@ from wattline.functions.columns import dround
 from wattline.plans import bronze_plans as BP
 from wattline.plans.derive_plans import _climate_col
 from wattline.plans.registry import register
-from wattline.plans.sqlparts import num
 from wattline.session import scratch_path
 from wattline.sources import bronze as B
 from wattline.sources import messages as M
@@ -221,6 +220,3 @@ def stream_moving_average(spark, sf):
     r = spark.read.parquet(_cached(spark, sf, "movavg", build))
     return r.select(F.col("window.start").cast("timestamp_ntz").alias("window_start"), "node_id", "n",
                     dround(F.col("mw_sum").cast("double") / F.col("n"), 4).alias("avg_mw"))
-
-
-_ = num
