@@ -10,6 +10,8 @@ from tools.check_oracle import rows_key
 
 QUERIES = E.queries()
 ORACLE = E.oracle_sql()
+DUCK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean",
+              "DATE": "date", "TIMESTAMP": "timestamp_ntz", "VARCHAR[]": "array<string>"}
 
 
 @pytest.fixture(scope="module")
@@ -40,6 +42,9 @@ def test_query_matches_oracle(spark, con, name):
     rel = con.sql(ORACLE[name])
     ocols = rel.columns
     assert sorted(cols) == sorted(ocols)
+    stypes = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    otypes = {c: DUCK_TYPES.get(str(t), str(t)) for c, t in zip(ocols, rel.types)}
+    assert stypes == otypes
     orows = [tuple(r[ocols.index(c)] for c in cols) for r in rel.fetchall()]
     assert len(rows) == len(orows)
     assert rows_key(rows, cols, True) == rows_key(orows, cols, True)

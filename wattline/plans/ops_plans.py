@@ -33,8 +33,8 @@ log AS (SELECT ts, msg_offset AS seq, '[INCIDENT] [' || CASE WHEN source_type =
                ELSE 'P2' END || '] node N' || node_id || ' fault' AS full_title,
                'mw=' || CAST(mw AS VARCHAR) AS body, CASE WHEN source_type = 'error' THEN 'open' ELSE 'close' END AS action
         FROM telemetry WHERE source_type IN ('error', 'purchase')),
-e AS (SELECT *, SUM(CASE WHEN action = 'close' THEN 1 ELSE 0 END) OVER (PARTITION BY full_title ORDER BY ts, seq
-                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - CASE WHEN action = 'close' THEN 1 ELSE 0 END
+e AS (SELECT *, CAST(SUM(CASE WHEN action = 'close' THEN 1 ELSE 0 END) OVER (PARTITION BY full_title ORDER BY ts, seq
+                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - CASE WHEN action = 'close' THEN 1 ELSE 0 END AS BIGINT)
                 AS episode FROM log)""")
 
 
@@ -81,7 +81,8 @@ WITH k AS (SELECT l_orderkey, COUNT(*) AS n_children,
                   to_json(list({'l_linenumber': l_linenumber, 'l_quantity': l_quantity, 'l_returnflag': l_returnflag}
                                ORDER BY l_linenumber, l_quantity, l_returnflag)) AS children_json
            FROM lineitem GROUP BY 1)
-SELECT o_orderkey, o_orderstatus, COALESCE(n_children, 0) AS n_children, COALESCE(children_json, '[]') AS children_json
+SELECT o_orderkey, o_orderstatus, COALESCE(n_children, 0) AS n_children,
+       CAST(COALESCE(children_json, '[]') AS VARCHAR) AS children_json
 FROM orders LEFT JOIN k ON o_orderkey = l_orderkey""", "A15")
 def nested_snapshot(spark, sf):
     o = T.scan(spark, sf, "orders").select("o_orderkey", "o_orderstatus")

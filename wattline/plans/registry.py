@@ -17,6 +17,25 @@ ORACLE: dict[str, str] = {}
 IDS: dict[str, str] = {}
 
 
+def bigint_counts(sql: str) -> str:
+    """DuckDB types COUNT_IF as HUGEINT; Spark's count_if is BIGINT.  Wrap each COUNT_IF(...) of
+    our oracle text in a BIGINT cast so the two result schemas agree."""
+    out, i, key = [], 0, "COUNT_IF("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 0, j + len(key) - 1
+        while True:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            if depth == 0:
+                break
+            k += 1
+        out.append(sql[i:j] + "CAST(" + sql[j:k + 1] + " AS BIGINT)")
+        i = k + 1
+
+
 def register(name: str, sql: str | None, ids: str = "") -> Callable[[QueryFn], QueryFn]:
     def deco(fn: QueryFn) -> QueryFn:
         if name in QUERIES:
@@ -24,7 +43,7 @@ def register(name: str, sql: str | None, ids: str = "") -> Callable[[QueryFn], Q
         QUERIES[name] = fn
         IDS[name] = ids
         if sql is not None:
-            ORACLE[name] = sql
+            ORACLE[name] = bigint_counts(sql)
         return fn
     return deco
 
