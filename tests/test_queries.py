@@ -28,10 +28,8 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-def test_every_query_has_an_oracle_or_is_declared_rows_only():
-    rows_only = set(QUERIES) - set(ORACLE)
-    assert rows_only == {"derive_scenario"}
-    assert set(ORACLE) <= set(QUERIES)
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLE)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))

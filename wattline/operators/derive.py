@@ -97,9 +97,9 @@ def derive_scenario(base: DataFrame, key: str, caps: Sequence[str], overrides: M
     out = base
     for c in caps:
         f = F.lit(overrides.get(c, 0.0))
-        out = out.withColumn(f"ff_{c}", F.round(F.col(c) * f * hash_uniform(k, c, *jitter)).cast("long"))
-    return (out.withColumn("ff_demand", F.round(F.col("base_demand") * hash_uniform(k, "demand", 0.85, 1.15)).cast("long"))
-            .withColumn("ff_peak_mult", F.round(F.col("peak_mult") * hash_uniform(k, "peak", 0.9, 1.1), 2)))
+        out = out.withColumn(f"ff_{c}", dround(F.col(c) * f * hash_uniform(k, c, *jitter), 0).cast("long"))
+    return (out.withColumn("ff_demand", dround(F.col("base_demand") * hash_uniform(k, "demand", 0.85, 1.15), 0).cast("long"))
+            .withColumn("ff_peak_mult", dround(F.col("peak_mult") * hash_uniform(k, "peak", 0.9, 1.1), 2)))
 
 
 def anonymize(df: DataFrame, id_col: str, salt: str, name_col: str | None = None,

@@ -241,11 +241,43 @@ def climate_factor(spark, sf):
                           "wind_factor": C.wind_factor(F.col("climate"))})
 
 
-@register("derive_scenario", None, "P23 J1")
+SCENARIO_OVERRIDES = {"A_cap": 1.0, "N_cap": 0.8}
+SCENARIO_JITTER = (0.85, 1.15)
+
+
+def _u_sql(key: str, salt: str, lo: float, hi: float) -> str:
+    h = f"CAST(('0x' || substring(md5(CAST({key} AS VARCHAR) || '|{salt}'), 1, 8)) AS BIGINT)"
+    return f"({num(lo)} + {num(hi - lo)} * (({h} % 1000000) / {num(1000000.0)}))"
+
+
+_SC_FLAGS = ", ".join(
+    f"CAST(COALESCE(SUM(CASE WHEN flag = '{f}' THEN CAST(mwh AS DECIMAL(28,2)) END), 0) AS DOUBLE) AS {f}_cap"
+    for f in FLAGS)
+def _ff_cap_sql(flag: str) -> str:
+    col = f"{flag}_cap"
+    factor = num(SCENARIO_OVERRIDES.get(col, 0.0))
+    draw = _u_sql("node_id", col, *SCENARIO_JITTER)
+    return f"CAST({sround(f'{col} * {factor} * {draw}', 0)} AS BIGINT) AS ff_{col}"
+
+
+_SC_FF = ",\n       ".join(_ff_cap_sql(f) for f in FLAGS)
+
+
+@register("derive_scenario", with_views("generation", "plants", "demand", extra=f"""
+gw AS (SELECT node_id, {_SC_FLAGS} FROM generation g JOIN plants p USING (plant_id) GROUP BY 1),
+dd AS (SELECT node_id, {day_of('ts')} AS day, {xs('demand_mw', 6)} AS demand_mwh FROM demand GROUP BY 1, 2),
+dm AS (SELECT node_id, CAST(SUM(CAST(demand_mwh AS DECIMAL(38,6))) AS DOUBLE) / COUNT(*) AS base_demand,
+              MAX(demand_mwh) AS mx FROM dd GROUP BY 1),
+b AS (SELECT gw.*, base_demand, mx / base_demand AS peak_mult FROM gw JOIN dm USING (node_id))""") + f"""
+SELECT node_id, A_cap, N_cap, R_cap, base_demand, peak_mult,
+       {_SC_FF},
+       CAST({sround('base_demand * ' + _u_sql('node_id', 'demand', 0.85, 1.15), 0)} AS BIGINT) AS ff_demand,
+       {sround('peak_mult * ' + _u_sql('node_id', 'peak', 0.9, 1.1), 2)} AS ff_peak_mult
+FROM b""", "P23 B11")
 def derive_scenario(spark, sf):
-    """Rows-only: the jitter is drawn with xxhash64, which DuckDB does not have."""
-    return _scenario_base(spark, sf).transform(
-        lambda b: D.derive_scenario(b, "node_id", ["A_cap", "N_cap", "R_cap"], {"A_cap": 1.0, "N_cap": 0.8}))
+    """Derived (second) node set: capacity overrides x a per-node jitter drawn by hash."""
+    return D.derive_scenario(_scenario_base(spark, sf), "node_id", ["A_cap", "N_cap", "R_cap"],
+                             SCENARIO_OVERRIDES, SCENARIO_JITTER)
 
 
 def _scenario_base(spark, sf):
@@ -254,8 +286,9 @@ def _scenario_base(spark, sf):
             .groupBy("node_id").pivot("flag", FLAGS).agg(F.sum("mwh")))
     caps = caps.select("node_id", *[F.coalesce(F.col(f), F.lit(0)).cast("double").alias(f"{f}_cap") for f in FLAGS])
     dd = gold.node_day_demand(T.demand(spark, sf))
-    dem = dd.groupBy("node_id").agg(F.avg("demand_mwh").alias("base_demand"),
-                                    (F.max("demand_mwh") / F.avg("demand_mwh")).alias("peak_mult"))
+    dem = dd.groupBy("node_id").agg((exact_sum("demand_mwh", 6) / F.count(F.lit(1))).alias("base_demand"),
+                                    F.max("demand_mwh").alias("_mx"))
+    dem = dem.withColumn("peak_mult", F.col("_mx") / F.col("base_demand")).drop("_mx")
     return caps.join(dem, "node_id")
 
 
