@@ -26,3 +26,16 @@ def test_restart_on_checkpoint_is_idempotent_and_equals_batch(spark):
     stream = B.read_table(spark, root, "scada_telemetry").select(*batch.columns)
     assert stream.exceptAll(batch.withColumn("event_date", F.col("event_date"))).count() == 0
     assert batch.count() == n1
+
+
+def test_landing_splits_each_range_into_files_and_keeps_one_range_per_batch(spark, monkeypatch):
+    monkeypatch.setattr(S, "ROWS_PER_ARRIVAL_FILE", 50)
+    land = S.landing(spark, SF_SMALL, chunks=3)
+    n = S._FILES_PER_BATCH[land]
+    assert n > 1
+    files = [f for f in spark.read.parquet(land).inputFiles()]
+    assert len(files) == 3 * n                                               # n files per range
+    root, ck = scratch_path(spark, "t_bronze_multi"), scratch_path(spark, "t_ck_multi")
+    q = S.ingest(spark, land, root, ck)
+    assert len([p for p in q.recentProgress if p.numInputRows > 0]) == 3     # one range per micro-batch
+    assert sum(p.numInputRows for p in q.recentProgress) == spark.read.parquet(land).count()

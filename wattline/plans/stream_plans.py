@@ -86,7 +86,7 @@ def stream_replay_dedup(spark, sf):
         msgs = M.read_topics(spark, M.publish_topics(spark, sf))
         k = M.payload_k(F.col("value"))
         # re-deliveries: a second copy of some messages arrives after everything else
-        msgs.filter(F.coalesce(k, F.lit(99)) < REPLAY_MAX_K).coalesce(1).write.mode("append").parquet(path)
+        S.append_arrivals(msgs.filter(F.coalesce(k, F.lit(99)) < REPLAY_MAX_K), path)
         out = S.replay_dedup(S.message_stream(spark, path)).select("topic", "partition", "offset")
         return _file_sink(out, spark, "replay_dedup")
     return spark.read.parquet(_cached(spark, sf, "replay", build))

@@ -24,28 +24,49 @@ from wattline.sources import messages as M
 WATERMARK = "10 minutes"
 
 
+ROWS_PER_ARRIVAL_FILE = 2_000_000   # about 300 MB of messages per arrival file
+_FILES_PER_BATCH: dict[str, int] = {}
+
+
 def landing(spark: SparkSession, sf_dir: str, chunks: int = 6, held_back: Column | None = None) -> str:
     """Arrival files for a stream: the messages of the topic store cut into ``chunks`` equal
-    event-time ranges, written one job per range in time order (the file source replays files in
-    arrival order).  Rows matching ``held_back`` are kept out of their range and arrive last, as
-    late deliveries.  Range edges come from one min/max aggregate."""
+    event-time ranges that arrive in time order (the file source replays files in arrival order),
+    one micro-batch per range.  Rows matching ``held_back`` are kept out of their range and arrive
+    last, as late deliveries.
+
+    The topic store is read once: one aggregate gives the range edges and the smallest range's
+    row count, one write stages the messages partitioned by range, and each range is then read
+    back alone (partition pruning) and written as ``n`` round-robin files, ``n`` growing with the
+    data (``ROWS_PER_ARRIVAL_FILE``), so no task carries a whole range.  The stream reads
+    ``n`` files per trigger (``message_stream``), which keeps one range per micro-batch."""
     msgs = M.read_topics(spark, M.publish_topics(spark, sf_dir))
-    path = scratch_path(spark, "landing")
+    path, stage = scratch_path(spark, "landing"), scratch_path(spark, "landing_stage")
     t = F.unix_micros(F.col("timestamp"))
     lo, hi = msgs.agg(F.min(t), F.max(t)).first()
     step = (hi - lo) // chunks + 1
-    on_time = msgs if held_back is None else msgs.filter(~held_back)
-    for i in range(chunks):
-        part = on_time.filter((t >= F.lit(lo + i * step)) & (t < F.lit(lo + (i + 1) * step)))
-        part.coalesce(1).write.mode("append").parquet(path)
-    if held_back is not None:
-        msgs.filter(held_back).coalesce(1).write.mode("append").parquet(path)
+    late = F.lit(False) if held_back is None else F.coalesce(held_back, F.lit(False))
+    slot = F.when(late, F.lit(chunks)).otherwise(F.expr(f"(unix_micros(timestamp) - {lo}) div {step}"))
+    msgs.withColumn("_slot", slot).write.partitionBy("_slot").parquet(stage)
+    staged = spark.read.parquet(stage)
+    sizes = dict(staged.groupBy("_slot").count().collect())     # one row per range (at most chunks + 1)
+    smallest = min(sizes.get(i, 0) for i in range(chunks))
+    n = max(1, smallest // ROWS_PER_ARRIVAL_FILE)
+    for i in range(chunks + (1 if held_back is not None else 0)):
+        append_arrivals(staged.filter(F.col("_slot") == i).drop("_slot"), path, n)
+    _FILES_PER_BATCH[path] = n
     return path
 
 
-def message_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
-    """The file source with the Kafka columns; ``maxFilesPerTrigger`` bounds a micro-batch."""
-    return M.file_source(spark, path, files_per_trigger)
+def append_arrivals(df: DataFrame, path: str, n: int | None = None) -> None:
+    """Write one arrival (a later micro-batch of ``path``'s stream) as ``n`` round-robin files."""
+    n = n or _FILES_PER_BATCH.get(path, 1)
+    df.repartition(n).write.mode("append").parquet(path)
+
+
+def message_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+    """The file source with the Kafka columns; ``maxFilesPerTrigger`` bounds a micro-batch
+    (by default the file count of one arrival of a ``landing`` folder)."""
+    return M.file_source(spark, path, files_per_trigger or _FILES_PER_BATCH.get(path, 1))
 
 
 def scada_rows(stream: DataFrame, batch_id: str = "stream") -> DataFrame:
@@ -80,7 +101,8 @@ def run_available(writer, checkpoint: str):
 LOAD_METRICS = "load_totals"
 
 
-def ingest(spark: SparkSession, source_path: str, root: str, checkpoint: str, files_per_trigger: int = 1):
+def ingest(spark: SparkSession, source_path: str, root: str, checkpoint: str,
+           files_per_trigger: int | None = None):
     """T1-T4 + A2: Kafka-shaped stream -> Bronze tables + dead letters.  Per-batch counters
     (messages, message-level rejects) are attached with ``observe`` and reported in each
     progress event under ``observedMetrics['load_totals']``."""
