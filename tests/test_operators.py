@@ -2,6 +2,7 @@
 duplicates and bad rows included)."""
 
 import datetime as dt
+import math
 
 import pytest
 from pyspark.sql import Window
@@ -117,6 +118,17 @@ def test_dense_sequence_and_quantiles(spark):
     assert (q.q0, q.q1) == (499, 949)
 
 
+def test_exact_quantiles_with_a_hot_value(spark):
+    # a third of the rows share one value; the answer is the percentile_disc rank rule
+    rows = [(7,)] * 400 + [(i,) for i in range(800)] + [(None,)] * 5
+    df = spark.createDataFrame(rows, "x int").repartition(4)
+    xs = sorted(r[0] for r in rows if r[0] is not None)
+    probs = [0.0, 0.1, 0.25, 0.5, 0.95, 1.0]
+    want = [xs[max(1, math.ceil(p * len(xs))) - 1] for p in probs]
+    q = exact_quantiles(df, "x", probs).first()
+    assert [q[f"q{i}"] for i in range(len(probs))] == want
+
+
 def test_split_and_unpivot(spark):
     df = spark.createDataFrame([(1, 250.0), (2, 50.0)], "p int, capacity_mw double")
     u = split_units(df).collect()

@@ -127,20 +127,45 @@ def col_or_null(df: DataFrame, c: str, t: str) -> Column:
     return col_(c) if c in df.columns else F.lit(None).cast(t)
 
 
+def running_total(df: DataFrame, order: Sequence[str], weight: str, name: str,
+                  partitions: int | None = None) -> DataFrame:
+    """Running sum of ``weight`` in the order of ``order`` (keys must be unique), without a global
+    window: rows are range-partitioned on the keys, a window per range partition gives the sum
+    inside it, and prefix sums of the per-partition totals (one row per partition, broadcast) add
+    what the earlier ranges hold.  Unique keys keep the ranges balanced."""
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tagged = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
+    totals = tagged.groupBy("_pid").agg(F.sum(weight).alias("_t"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_pid", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (tagged.join(F.broadcast(offsets), "_pid")
+            .withColumn(name, F.col("_off") + F.sum(weight).over(inside))
+            .drop("_pid", "_off"))
+
+
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFrame:
     """Exact discrete quantiles (the value at 1-based rank ceil(p x n) of the sorted non-NULL
     values, the SQL ``percentile_disc`` rule) as one row with columns q0, q1, ...
 
-    Distributed: the column is range-partitioned and sorted by ``dense_sequence`` (no task holds
-    more than one range), n comes from a scalar subquery, and the wanted ranks are filtered out.
-    ``percentile_approx`` is the cheaper choice when a rank error of n / accuracy is acceptable."""
+    Distributed and skew-safe: rows are first counted per distinct value (a hash aggregate with a
+    map-side partial step, so a value held by a third of all rows becomes one row before any
+    shuffle); a running total of those counts in value order (``running_total``, balanced range
+    partitions over unique values) gives each value's rank interval, and the value whose interval
+    holds a wanted rank is picked.  n is a scalar subquery over the counts.  ``percentile_approx`` is the
+    cheaper choice when a rank error of n / accuracy is acceptable."""
     v = df.select(F.col(col).alias("_v")).filter(F.col("_v").isNotNull())
-    n = v.select(F.count(F.lit(1))).scalar()
-    ranked = dense_sequence(v, ["_v"], "_rank")
+    counts = v.groupBy("_v").agg(F.count(F.lit(1)).alias("_c"))
+    n = counts.select(F.coalesce(F.sum("_c"), F.lit(0))).scalar()
+    cum = running_total(counts, ["_v"], "_c", "_cum")
     targets = [F.greatest(F.lit(1), F.ceil(F.lit(p) * n)) for p in probs]
+
+    def holds(t: Column) -> Column:
+        return (F.col("_cum") - F.col("_c") < t) & (F.col("_cum") >= t)
     wanted = None
     for t in targets:
-        wanted = (F.col("_rank") == t) if wanted is None else (wanted | (F.col("_rank") == t))
-    picked = ranked.filter(wanted)
-    return picked.agg(*[F.max(F.when(F.col("_rank") == t, F.col("_v"))).alias(f"q{i}")
+        wanted = holds(t) if wanted is None else (wanted | holds(t))
+    picked = cum.filter(wanted)
+    return picked.agg(*[F.max(F.when(holds(t), F.col("_v"))).alias(f"q{i}")
                         for i, t in enumerate(targets)])
