@@ -66,7 +66,7 @@ def nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-PLANT_BROADCAST_ROWS = 2_000_000
+PLANT_BROADCAST_ROWS = 500_000   # about 50 MB of plant rows per executor
 _ROWS: dict[tuple[str, str, str], int] = {}
 
 
