@@ -158,15 +158,19 @@ def _schema_sql() -> str:
            "WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp' WHEN 'DATE' THEN 'date' "
            "ELSE lower(data_type) END")
     tabs = ", ".join(f"'{t}'" for t in schemas.DRIVER_TYPES)
+    counts = " UNION ALL ".join(f"SELECT '{t}' AS table_name, COUNT(*) AS table_rows FROM {t}"
+                                for t in schemas.DRIVER_TYPES)
     return f"""
 WITH d AS ({decl}),
 a AS (SELECT DISTINCT table_name, column_name, {fam} AS actual_type FROM information_schema.columns
-      WHERE table_name IN ({tabs}))
-SELECT COALESCE(d.table_name, a.table_name) AS table_name, COALESCE(d.column_name, a.column_name) AS column_name,
+      WHERE table_name IN ({tabs})),
+c AS (SELECT COALESCE(d.table_name, a.table_name) AS table_name, COALESCE(d.column_name, a.column_name) AS column_name,
        declared_type, actual_type,
        CASE WHEN actual_type IS NULL THEN 'missing' WHEN declared_type IS NULL THEN 'extra'
             WHEN declared_type = actual_type THEN 'ok' ELSE 'type_mismatch' END AS status
-FROM d FULL OUTER JOIN a ON d.table_name = a.table_name AND d.column_name = a.column_name"""
+FROM d FULL OUTER JOIN a ON d.table_name = a.table_name AND d.column_name = a.column_name),
+n AS ({counts})
+SELECT c.*, n.table_rows, n.table_rows > 0 AS non_empty FROM c JOIN n USING (table_name)"""
 
 
 @register("dq_schema", _schema_sql(), "V1")
