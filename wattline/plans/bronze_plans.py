@@ -139,19 +139,19 @@ def enrich_meta(spark, sf):
     return e.select("offset", "_source", "_batch_id", "_kafka_partition", "_kafka_offset", "_dataset", "event_date")
 
 
-SUBSET = ["scada", "weather", "demand"]
+ROUTED = [t.split(".")[-1] for t in schemas.TOPIC_TABLE]   # every topic
 
 
 @register("route_topics", MSG_SQL + f"""
 SELECT CASE topic {' '.join(f"WHEN '{t}' THEN '{b}'" for t, b in schemas.TOPIC_TABLE.items())} END AS table_name,
        COUNT_IF(error_message IS NULL AND k NOT IN {ROW_REJECT}) AS landed,
        COUNT_IF(error_message IS NOT NULL OR k IN {ROW_REJECT}) AS rejected
-FROM mm WHERE topic IN ({', '.join(f"'energy.bronze.{t}'" for t in SUBSET)}) GROUP BY 1""", "S12 S6 F1")
+FROM mm WHERE topic IN ({', '.join(f"'energy.bronze.{t}'" for t in ROUTED)}) GROUP BY 1""", "S12 S6 F1")
 def route_topics(spark, sf):
-    d = _msgs(spark, sf, SUBSET)
+    d = _msgs(spark, sf, ROUTED)
     out = None
     for topic, table in schemas.TOPIC_TABLE.items():
-        if topic.split(".")[-1] not in SUBSET:
+        if topic.split(".")[-1] not in ROUTED:
             continue
         part = d.filter(F.col("topic") == topic)
         good, bad = DC.to_table(part, table, BATCH)

@@ -48,12 +48,12 @@ def clustered_layout(spark, sf):
 @register("compaction", with_views("generation") + f"""
 SELECT CAST(year(ts) AS INTEGER) AS year, COUNT(*) AS n, {xs('mwh', 2)} AS mwh FROM generation GROUP BY 1""", "S16")
 def compaction(spark, sf):
-    """Many small files per year are rewritten to one file per year at a new location; the
-    content is unchanged (this query reads the compacted copy)."""
+    """Many small files per year are rewritten at a new location into files of the target size
+    (one per year at this scale); the content is unchanged (this query reads the compacted copy)."""
     src, dst = scratch_path(spark, "small_files"), scratch_path(spark, "compacted")
     g = T.generation(spark, sf).withColumn("year", F.year("ts"))
     g.repartition(32).write.mode("overwrite").partitionBy("year").parquet(src)
-    B.compact(spark, src, dst, 1, ["year"])
+    B.compact(spark, src, dst, partition_by=["year"], order=["plant_id", "ts"])
     r = spark.read.parquet(dst)
     return r.groupBy("year").agg(F.count(F.lit(1)).alias("n"), exact_sum("mwh", 2, "mwh"))
 

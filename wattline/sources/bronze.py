@@ -25,15 +25,16 @@ def partition_cols(table: str) -> list[str]:
 
 
 def _layout(df: DataFrame, table: str, bounded: bool = False):
-    """Series rows are range-partitioned on (day, node) — a hot day is split across tasks by node
-    range — and sorted by node and time inside each file, so node predicates skip row groups.
-    Directories are per day only: a directory per node would multiply the file count by the node
-    count, which grows with the data.  A bounded micro-batch (``bounded``) is hash-partitioned by
-    day instead, which saves the range-sampling job on every epoch."""
+    """Series rows are range-partitioned on (day, node, time) — a hot day, or a hot node inside a
+    day, is split across tasks by node and time range — and sorted by node and time inside each
+    file, so node predicates skip row groups.  Directories are per day only: a directory per node
+    would multiply the file count by the node count, which grows with the data.  Micro-batches
+    (``bounded``) are laid out the same way: hashing them by day alone would put a hot day in one
+    task."""
     parts = partition_cols(table)
     if not parts:
         return df, parts
-    spread = df.repartition(*parts) if bounded else df.repartitionByRange(*parts, "node_id")
+    spread = df.repartitionByRange(*parts, *CLUSTER)
     return spread.sortWithinPartitions(*parts, *CLUSTER), parts
 
 
@@ -76,11 +77,21 @@ def clustered_write(df: DataFrame, path: str, keys: Sequence[str], files: int) -
     return path
 
 
-def compact(spark: SparkSession, src: str, dst: str, files: int, partition_by: Sequence[str] = ()) -> str:
-    """Rewrite a table into ``files`` files per partition directory at a new location (never
-    in place: the source stays readable until the caller switches to ``dst``)."""
+def compact(spark: SparkSession, src: str, dst: str, target_file_bytes: int = 256 * 1024 * 1024,
+            partition_by: Sequence[str] = (), order: Sequence[str] = ()) -> str:
+    """Rewrite a table into files of about ``target_file_bytes`` at a new location (never in
+    place: the source stays readable until the caller switches to ``dst``).  The file count comes
+    from the table's size on disk (the file-size metadata column, one row per file); rows are
+    range-partitioned on the directory columns plus ``order``, so each task writes a contiguous
+    slice of one or a few directories and a large directory is split over many tasks rather than
+    written by one."""
     df = spark.read.parquet(src)
-    w = (df.repartition(files, *partition_by) if partition_by else df.coalesce(files)).write.mode("overwrite")
+    per_file = df.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("b")).distinct()
+    size = per_file.agg(F.sum("b")).first()[0] or 0
+    files = max(1, -(-size // target_file_bytes))
+    keys = [*partition_by, *order]
+    laid = df.repartitionByRange(files, *keys).sortWithinPartitions(*keys) if keys else df.coalesce(files)
+    w = laid.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(dst)

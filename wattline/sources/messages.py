@@ -151,8 +151,9 @@ def publish_topics(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _PUBLISHED:
         path = scratch_path(spark, "topics")
-        (telemetry_messages(spark, sf_dir).repartition("topic")
-         .write.mode("overwrite").partitionBy("topic").parquet(path))
+        # no shuffle by topic: with a handful of topics that would put a whole topic in one task;
+        # each task writes its own rows of every topic (the writer sorts them by topic locally)
+        telemetry_messages(spark, sf_dir).write.mode("overwrite").partitionBy("topic").parquet(path)
         _PUBLISHED[key] = path
     return _PUBLISHED[key]
 
