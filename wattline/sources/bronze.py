@@ -24,13 +24,12 @@ def partition_cols(table: str) -> list[str]:
     return [] if table in ("plants", "dead_letter_queue") else SERIES_PARTITIONS
 
 
-def _layout(df: DataFrame, table: str, bounded: bool = False):
+def _layout(df: DataFrame, table: str):
     """Series rows are range-partitioned on (day, node, time) — a hot day, or a hot node inside a
     day, is split across tasks by node and time range — and sorted by node and time inside each
     file, so node predicates skip row groups.  Directories are per day only: a directory per node
     would multiply the file count by the node count, which grows with the data.  Micro-batches
-    (``bounded``) are laid out the same way: hashing them by day alone would put a hot day in one
-    task."""
+    are laid out the same way: hashing them by day alone would put a hot day in one task."""
     parts = partition_cols(table)
     if not parts:
         return df, parts
@@ -53,7 +52,7 @@ def write_epoch(df: DataFrame, root: str, table: str, epoch: int, fmt: str = "pa
     """Exactly-once write of one micro-batch: the batch goes to ``<table>/batch=<epoch>`` with
     overwrite, so a retried epoch replaces its own output instead of appending it twice."""
     path = f"{root}/{table}/batch={epoch}"
-    laid, parts = _layout(df, table, bounded=True)
+    laid, parts = _layout(df, table)
     w = laid.write.mode("overwrite").format(fmt)
     if parts:
         w = w.partitionBy(*parts)
