@@ -7,9 +7,11 @@ import pytest
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 from tools.check_oracle import rows_key
+from wattline.plans import registry
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+E.queries()  # loads the registry; the optional subpackage has its own tests
+QUERIES = registry.QUERIES
+ORACLE = registry.ORACLE
 DUCK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean",
               "DATE": "date", "TIMESTAMP": "timestamp_ntz", "VARCHAR[]": "array<string>"}
 
