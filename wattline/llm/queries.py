@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import exact_dedup, license_scan, mixing, sharding
+import public_tokenizers
+
+from wattline.llm import bpe, exact_dedup, license_scan, mixing, quality, sharding
 from wattline.llm.common import table
 
 
@@ -15,11 +17,24 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op4_quality_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.train(docs, labels, use=~quality.held_out())
+    scored = quality.score(docs, model, ["doc_id"])
+    return scored.select("doc_id", quality.held_out().alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op5_mix_pivotal(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return bpe.encode(table(spark, sf_dir, "documents"), ranks)
+
+
 def op9_shard_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"), shards=16)
 
@@ -38,7 +53,9 @@ FROM n"""
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
+    "op4_quality_attention": op4_quality_attention,
     "op5_mix_pivotal": op5_mix_pivotal,
+    "op8_byte_bpe": op8_byte_bpe,
     "op9_shard_bytes": op9_shard_bytes,
     "op10_exact_dedup_stream": op10_exact_dedup_stream,
 }

@@ -100,3 +100,17 @@ def blocks(column: pa.Array, block_bytes: int = BLOCK_BYTES) -> Iterator[tuple[i
         j = min(j, n)
         yield i, j, data[at[i]:at[j]], at[i:j + 1] - at[i]
         i = j
+
+
+def segment_hash(data: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte segments that start at ``start`` and reach to the next one or the end."""
+    if not len(start):
+        return np.zeros(0, dtype=np.uint64)
+    length = np.diff(np.append(start, len(data)))
+    lo = start[0]
+    offset = np.arange(lo, len(data)) - np.repeat(start, length)
+    power = np.ones(int(length.max()) + 1, dtype=np.uint64)
+    power[1:] = _BASE
+    power = np.multiply.accumulate(power)
+    value = (data[lo:].astype(np.uint64) + np.uint64(1)) * power[offset]
+    return mix(np.add.reduceat(value, start - lo) + length.astype(np.uint64) * _C2)
