@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from wattline.llm import bpe, exact_dedup, license_scan, mixing, quality, sharding
+from wattline.llm import ann, bpe, exact_dedup, license_scan, mixing, near_dedup, quality, sharding, url_filter
 from wattline.llm.common import table
 
 
@@ -17,6 +17,19 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+RULES = [url_filter.Rule(*r) for r in (
+    ("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"), ("block", "com", "/de/"))]
+
+
+def op2_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(table(spark, sf_dir, "pages"), RULES)
+
+
+def op3_ann_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op4_quality_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = quality.train(docs, labels, use=~quality.held_out())
@@ -30,6 +43,10 @@ def op5_mix_pivotal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op6_minhash_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=2)
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     return bpe.encode(table(spark, sf_dir, "documents"), ranks)
@@ -53,8 +70,11 @@ FROM n"""
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
+    "op2_url_templates": op2_url_templates,
+    "op3_ann_projections": op3_ann_projections,
     "op4_quality_attention": op4_quality_attention,
     "op5_mix_pivotal": op5_mix_pivotal,
+    "op6_minhash_bayes": op6_minhash_bayes,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_shard_bytes": op9_shard_bytes,
     "op10_exact_dedup_stream": op10_exact_dedup_stream,
