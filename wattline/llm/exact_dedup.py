@@ -21,8 +21,11 @@ from pyspark.sql import functions as F
 
 from wattline.llm.common import SPACES, scratch, written
 
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: State on disk; without file preallocation, which costs megabytes for each state partition.
+_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def normalised(text: Column) -> Column:
@@ -69,8 +72,9 @@ def drain(spark: SparkSession, log_path: str, checkpoint: str, updates: str) ->
     again).  Counts only grow and keepers only fall, so the last state of a digest has the largest
     count and the smallest keeper.
     """
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in _STORE}
+    for k, v in _STORE.items():
+        spark.conf.set(k, v)
     try:
         counted = (spark.readStream.schema(LOG).parquet(log_path)
                    .groupBy("digest").agg(F.min(_keeper()).alias("keeper"), F.count(F.lit(1)).alias("group_size")))
@@ -81,10 +85,11 @@ def drain(spark: SparkSession, log_path: str, checkpoint: str, updates: str) ->
         (counted.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).foreachBatch(land).start().awaitTermination())
     finally:
-        if before:
-            spark.conf.set(_PROVIDER, before)
-        else:
-            spark.conf.unset(_PROVIDER)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
     landed = spark.read.schema(f"{_STATE}, batch int").parquet(updates)
     return landed.groupBy("digest").agg(F.min("keeper").alias("keeper"), F.max("group_size").alias("group_size"))
 
