@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattline.llm.common import written
-from wattline.llm.tokens import blocks, segment_hash
+from wattline.llm.tokens import blocks, ragged, segment_hash
 
 #: Words of the broadcast dictionary at most (about 30 bytes each).
 DICTIONARY_WORDS = 1 << 20
@@ -201,15 +201,6 @@ def merge_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 # --- tables -----------------------------------------------------------------------------------
 
-def _ragged(first: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """Indices first[k], first[k]+1, ... (length[k] of them) for each k in turn."""
-    total = int(length.sum())
-    if not total:
-        return np.zeros(0, dtype=np.int64)
-    ends = np.cumsum(length)
-    return np.arange(total) - np.repeat(ends - length, length) + np.repeat(first, length)
-
-
 class Codec:
     """What a task needs: the pieces of the ids, the ranks and the dictionary of folded words."""
 
@@ -226,7 +217,7 @@ class Codec:
         self.classes = np.repeat(*runs)
 
     def decode(self, ids: np.ndarray) -> np.ndarray:
-        return self.bytes[_ragged(self.at[ids], self.size[ids])]
+        return self.bytes[ragged(self.at[ids], self.size[ids])]
 
     def _merged(self, word: bytes) -> list[int]:
         found = self.cache.get(word)
@@ -261,7 +252,7 @@ class Codec:
         first[~known] = len(self.ids) + np.cumsum(rare_len) - rare_len
         ids = np.concatenate([self.ids, rare_ids]) if len(rare_ids) else self.ids
         per_word = length[of]
-        out = ids[_ragged(first[of], per_word)]
+        out = ids[ragged(first[of], per_word)]
         if not np.array_equal(self.decode(out), data):
             words = [self._merged(raw[s:e]) for s, e in zip(start, end)]
             per_word = np.fromiter(map(len, words), np.int64, len(words))
@@ -286,7 +277,7 @@ def distinct_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 short = end[where] - start[where] <= FOLD_BYTES
                 where, times = where[short], times[short]
                 size = end[where] - start[where]
-                packed = data[_ragged(start[where], size)]
+                packed = data[ragged(start[where], size)]
                 offsets = np.append(0, np.cumsum(size)).astype(np.int32)
                 words = pa.Array.from_buffers(pa.binary(), len(where), [None, pa.py_buffer(offsets), pa.py_buffer(packed)])
                 yield pa.RecordBatch.from_arrays([words, pa.array(times, pa.int64())], ["word", "times"])
@@ -324,7 +315,7 @@ def codec_parts(docs: DataFrame, ranks: dict[bytes, int], text_col: str = "text"
     size = np.diff(np.asarray(ids.offsets)).astype(np.int64) if len(words) else np.zeros(0, np.int64)
     flat = np.asarray(ids.flatten()).astype(np.uint32)
     first = np.cumsum(size) - size
-    flat = flat[_ragged(first[order], size[order])]
+    flat = flat[ragged(first[order], size[order])]
     return ranks, class_runs(), key[order], np.append(0, np.cumsum(size[order])), flat
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from wattline.llm import ann, bpe, exact_dedup, license_scan, mixing, near_dedup, quality, sharding, url_filter
+from wattline.llm import ann, bpe, exact_dedup, license_scan, mixing, near_dedup, quality, sharding, substring_dedup, url_filter
 from wattline.llm.common import table
 
 
@@ -47,6 +47,10 @@ def op6_minhash_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=2)
 
 
+def op7_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), window=20)
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     return bpe.encode(table(spark, sf_dir, "documents"), ranks)
@@ -62,6 +66,19 @@ def op10_exact_dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+OP7_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, unnest(range(1, len(w) - 18)) AS s FROM d WHERE len(w) >= 20),
+h AS (SELECT s.doc_id, s.s, md5(array_to_string(w[s.s : s.s + 19], ' ')) AS h FROM s JOIN d ON s.doc_id = d.doc_id),
+r AS (SELECT doc_id, s FROM (SELECT *, row_number() OVER (PARTITION BY h ORDER BY doc_id, s) AS k FROM h) WHERE k > 1),
+g AS (SELECT DISTINCT doc_id, s + k AS i FROM r, range(0, 20) AS x(k)),
+p AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM d),
+k AS (SELECT p.doc_id, string_agg(word, ' ' ORDER BY p.i) AS kept, count(*) AS n
+      FROM p LEFT JOIN g ON p.doc_id = g.doc_id AND p.i = g.i WHERE g.i IS NULL GROUP BY p.doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k ON d.doc_id = k.doc_id"""
+
 OP10_SQL = r"""
 WITH n AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS h FROM documents)
 SELECT doc_id, min(doc_id) OVER (PARTITION BY h) AS keep_id, count(*) OVER (PARTITION BY h) AS group_size,
@@ -75,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_attention": op4_quality_attention,
     "op5_mix_pivotal": op5_mix_pivotal,
     "op6_minhash_bayes": op6_minhash_bayes,
+    "op7_recompression": op7_recompression,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_shard_bytes": op9_shard_bytes,
     "op10_exact_dedup_stream": op10_exact_dedup_stream,
@@ -82,5 +100,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op1_license_scan": license_scan.oracle(),
+    "op7_recompression": OP7_SQL,
     "op10_exact_dedup_stream": OP10_SQL,
 }

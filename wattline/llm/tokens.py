@@ -114,3 +114,24 @@ def segment_hash(data: np.ndarray, start: np.ndarray) -> np.ndarray:
     power = np.multiply.accumulate(power)
     value = (data[lo:].astype(np.uint64) + np.uint64(1)) * power[offset]
     return mix(np.add.reduceat(value, start - lo) + length.astype(np.uint64) * _C2)
+
+
+def ragged(first: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Indices first[k], first[k] + 1, ... (length[k] of them) for each k in turn."""
+    total = int(length.sum())
+    if not total:
+        return np.zeros(0, dtype=np.int64)
+    ends = np.cumsum(length)
+    return np.arange(total) - np.repeat(ends - length, length) + np.repeat(first, length)
+
+
+def joined(words: Words, keep: np.ndarray) -> list[bytes]:
+    """For each document its words with ``keep`` (a flag per word), joined by one space."""
+    start, size = words.start[keep], (words.end - words.start)[keep] + 1
+    padded = np.append(words.data, np.uint8(0x20))
+    flat = padded[ragged(start, size)]
+    ends = np.cumsum(size)
+    flat[ends - 1] = 0x20
+    raw = flat.tobytes()
+    at = np.append(0, ends)[np.append(0, np.cumsum(keep))[words.first]]
+    return [raw[a:b - 1] if b > a else b"" for a, b in zip(at, at[1:])]
