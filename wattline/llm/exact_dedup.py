@@ -19,7 +19,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm.common import SPACES, scratch, written
+from wattline.llm.common import SPACES, free_name, scratch, written
 
 #: State on disk; without file preallocation, which costs megabytes for each state partition.
 _STORE = {
@@ -37,21 +37,22 @@ def _digest(text_col: str) -> Column:
     return F.unhex(F.sha2(normalised(F.col(text_col)), 256))
 
 
-def with_locator(docs: DataFrame) -> DataFrame:
-    """Add ``_locator``: file and row for rows that are read from files (the same in every scan),
+def with_locator(docs: DataFrame, name: str) -> DataFrame:
+    """Add the locator: file and row for rows that are read from files (the same in every scan),
     else a running row number."""
     try:
-        return docs.withColumn("_locator", F.struct(F.col("_metadata.file_path").alias("file"),
+        return docs.withColumn(name, F.struct(F.col("_metadata.file_path").alias("file"),
                                                     F.col("_metadata.row_index").alias("row")))
     except AnalysisException:
-        return docs.withColumn("_locator", F.struct(F.lit("").alias("file"),
+        return docs.withColumn(name, F.struct(F.lit("").alias("file"),
                                                     F.monotonically_increasing_id().alias("row")))
 
 
 def arrival_log(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Append (doc, digest, locator) of every row of ``docs`` to the log at ``path``."""
-    (with_locator(docs).select(F.col(id_col).cast("long").alias("doc"), _digest(text_col).alias("digest"),
-                               F.col("_locator").alias("locator"))
+    at = free_name(docs, "_locator")
+    (with_locator(docs, at).select(F.col(id_col).cast("long").alias("doc"), _digest(text_col).alias("digest"),
+                                   F.col(at).alias("locator"))
      .write.mode("append").parquet(path))
 
 
@@ -129,8 +130,9 @@ def colliding(docs: DataFrame, state: DataFrame, text_col: str = "text") -> Data
 
 def _regrouped(docs: DataFrame, out: DataFrame, collided: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Group the rows of colliding digests by their text instead of the digest."""
-    rows = (with_locator(docs).select(F.col(id_col).cast("long").alias("doc"), F.col("_locator").alias("locator"),
-                                      _digest(text_col).alias("digest"), normalised(F.col(text_col)).alias("_norm"))
+    at = free_name(docs, "_locator")
+    rows = (with_locator(docs, at).select(F.col(id_col).cast("long").alias("doc"), F.col(at).alias("locator"),
+                                          _digest(text_col).alias("digest"), normalised(F.col(text_col)).alias("_norm"))
             .join(collided, "digest", "left_semi"))
     groups = rows.groupBy("digest", "_norm").agg(F.min(_keeper()).alias("keeper"),
                                                  F.count(F.lit(1)).alias("group_size"))
@@ -142,6 +144,6 @@ def _regrouped(docs: DataFrame, out: DataFrame, collided: DataFrame, id_col: str
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; ``docs`` must be read from files."""
-    kept = written(exact_groups(docs, id_col, text_col).where("kept").select(F.col("locator").alias("_locator")),
-                   "exact-dedup-kept")
-    return with_locator(docs).join(kept, "_locator", "left_semi").drop("_locator")
+    at = free_name(docs, "_locator")
+    kept = written(exact_groups(docs, id_col, text_col).where("kept").select(F.col("locator").alias(at)), "exact-dedup-kept")
+    return with_locator(docs, at).join(kept, at, "left_semi").select(*docs.columns)

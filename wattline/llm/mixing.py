@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wattline.llm.common import WORD, uniform, written
+from wattline.llm.common import WORD, free_name, uniform, written
 
 #: Documents per block on average, and blocks per node of the tree.
 BLOCK = 64
@@ -144,10 +144,12 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.
                          copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 
-def repeat_rows(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                source_col: str = "source") -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes its id (ids are unique here)."""
-    taken = mixed.where("copies > 0").groupBy(F.col(id_col).alias("_id")).agg(F.sum("copies").alias("_copies"))
-    first = docs.join(taken, F.col(id_col).eqNullSafe(F.col("_id")))
-    return (first.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
-            .select(*docs.columns))
+def repeat_rows(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes its id.
+
+    Rows that share an id would each be taken as often as all of them together, so ids must be unique.
+    """
+    key, times = free_name(docs, "_id"), free_name(docs, "_copies")
+    taken = mixed.where("copies > 0").groupBy(F.col(id_col).alias(key)).agg(F.sum("copies").alias(times))
+    both = docs.join(taken, F.col(id_col).eqNullSafe(F.col(key)))
+    return (both.withColumn(times, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times)))).select(*docs.columns))

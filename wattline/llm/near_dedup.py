@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import written
+from wattline.llm.common import free_name, written
 from wattline.llm.components import components
 from wattline.llm.tokens import Words, blocks, pair_hash
 
@@ -296,3 +296,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     return some.unionByName(none).select(
         F.col("doc").alias(id_col), F.col("size").alias("n_shingles"), "component_id",
         F.col("doc").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose id is kept, with all their columns."""
+    key = free_name(docs, "_kept")
+    kept = written(near_duplicates(docs, width, percent, id_col, text_col).where("kept").select(F.col(id_col).alias(key)), "near-kept")
+    return docs.join(kept, F.col(id_col).eqNullSafe(F.col(key)), "left_semi")

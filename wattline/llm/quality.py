@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wattline.llm.common import free_name
 from wattline.llm.tokens import Words, blocks
 
 #: Labelled documents the model is fitted on at most.
@@ -202,7 +203,7 @@ def score(docs: DataFrame, model: Attention, keep: list[str], text_col: str = "t
                 part = pa.RecordBatch.from_arrays([*kept.slice(i, j - i).columns, got], [*keep, out_col])
                 yield part if least is None else part.filter(pc.greater_equal(got, least))
 
-    return docs.select(*keep, F.col(text_col).alias("_text")).mapInArrow(run, schema)
+    return docs.select(*keep, F.col(text_col).alias(free_name(docs, "_text"))).mapInArrow(run, schema)
 
 
 def held_out(id_col: str = "doc_id") -> Column:
