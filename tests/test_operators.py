@@ -118,6 +118,25 @@ def test_dense_sequence_and_quantiles(spark):
     assert (q.q0, q.q1) == (499, 949)
 
 
+def test_ppa_price_of_any_currency(spark):
+    cases = {'{"ppa_price_eur_mwh":"3"}': "3", '{"ppa_price_x":"1","ppa_price_mwh":"2"}': "2", '{"ppa_price_usd":"9"}': None,
+             '{"ppa_price":"9"}': None, '{}': None, '{"ppa_price_gil_mwh":"4","node_id":"N"}': "4"}
+    msgs = spark.createDataFrame([(b"k", v.encode(), "energy.bronze.plants", 0, i, ts(1)) for i, v in enumerate(cases)],
+                                 "key binary, value binary, topic string, partition int, offset long, timestamp timestamp")
+    got = {r.offset: r.ppa_price_mwh for r in DC.normalize_ppa(DC.decode_json(msgs)).collect()}
+    assert [got[i] for i in range(len(cases))] == list(cases.values())
+
+
+@pytest.mark.parametrize("parts", [4, 8, 16, 200])
+def test_dense_sequence_is_right_at_any_partition_count(spark, parts):
+    """Payload columns make the plans of the rows and of the counts differ; the slices must not."""
+    df = spark.range(0, 200_000, 1, 12).selectExpr("id * 7919 % 200000 AS k", "repeat('x', 50) AS payload", "id")
+    seq = dense_sequence(df, ["k"], "n", parts)
+    assert seq.filter("n <> k + 1").count() == 0 and seq.select("n").distinct().count() == 200_000
+    q = exact_quantiles(df, "k", [0.25, 0.999]).first()
+    assert (q.q0, q.q1) == (49_999, 199_799)
+
+
 def test_exact_quantiles_with_a_hot_value(spark):
     # a third of the rows share one value; the answer is the percentile_disc rank rule
     rows = [(7,)] * 400 + [(i,) for i in range(800)] + [(None,)] * 5
@@ -152,20 +171,26 @@ def test_decode_cases(spark):
         (b'{"timestamp":"2024-01-01T00:00:00","solar_mw":"2"}', 7),
         (good.replace('"_dataset"', '"extra":"x","_dataset"').encode(), 8),
         (b'{"timestamp":"2024-01-01T00:00:00","node_id":"N2"}', 9),
+        (good.encode() + b" trailing", 10), ((good + good).encode(), 11), ((good + "," + good).encode(), 12),
+        (("\n\t " + good + "\r\n").encode(), 13), ((good + "]").encode(), 14), (good[:-1].encode(), 15), (b"", 16), (b"null", 17),
     ]
     msgs = spark.createDataFrame([(b"k", v, "energy.bronze.scada", 0, o, ts(1)) for v, o in rows],
                                  "key binary, value binary, topic string, partition int, offset long, timestamp timestamp")
     d = DC.decode_json(msgs)
     err = {r.offset: r.error_message for r in d.collect()}
     assert err == {0: None, 1: None, 2: "not a json object", 3: "not a json object", 4: "not a json object",
-                   5: "null payload", 6: "invalid utf-8", 7: None, 8: None, 9: None}
+                   5: "null payload", 6: "invalid utf-8", 7: None, 8: None, 9: None, 10: "invalid json",
+                   11: "invalid json", 12: "invalid json", 13: None, 14: "invalid json", 15: "invalid json",
+                   16: "not a json object", 17: "not a json object"}
     good_rows, bad = DC.to_table(d, "scada_telemetry", "b1")
     g = {r._kafka_offset: r for r in good_rows.collect()}
-    assert g[0].solar_mw == 1.5 and g[1].solar_mw == 1.5 and g[8].solar_mw == 1.5
+    assert g[0].solar_mw == 1.5 and g[1].solar_mw == 1.5 and g[8].solar_mw == 1.5 and g[13].solar_mw == 1.5
     assert g[9]._dataset == "unknown"
     assert [r.reasons for r in bad.collect()] == [["missing node_id"]]
     dlq = DC.dlq_one_pass(d, "b1").collect()
-    assert len(dlq) == 6 and {r.offset_id for r in dlq} == {2, 3, 4, 5, 6, 7}
+    assert len(dlq) == 13 and {r.offset_id for r in dlq} == {2, 3, 4, 5, 6, 7, 10, 11, 12, 14, 15, 16, 17}
+    total = DC.outcomes(d).first()
+    assert (total.landed, total.rejected) == (5, 13)
     bad_utf8 = [r.value for r in dlq if r.offset_id == 6][0]
     assert "�" in bad_utf8
 

@@ -1,41 +1,103 @@
-"""Streams: a restart on the same checkpoint adds nothing (exactly-once), and the stream result
-equals the batch result."""
+"""Streams: a restart on the same checkpoint adds nothing (exactly-once), the stream result equals
+the batch result, late rows are counted one by one, and re-deliveries never land twice."""
+
+import datetime as dt
 
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
+from wattline.operators import decode as DC
 from wattline.plans import bronze_plans
 from wattline.session import scratch_path
 from wattline.sources import bronze as B
+from wattline.sources import messages as M
 from wattline.streaming import ingest as S
 
 
 def test_restart_on_checkpoint_is_idempotent_and_equals_batch(spark):
-    land = S.landing(spark, SF_SMALL, chunks=3)
+    land = S.landing(spark, SF_SMALL, scratch_path(spark, "t_landing"), chunks=3)
     root, ck = scratch_path(spark, "t_bronze"), scratch_path(spark, "t_ck")
     q1 = S.ingest(spark, land, root, ck)
-    n1 = B.read_table(spark, root, "scada_telemetry").count()
-    assert len([p for p in q1.recentProgress if p.numInputRows > 0]) == 3   # one file per micro-batch
+    n1 = B.all_tables(spark, root).count()
+    assert len([p for p in q1.recentProgress if p.numInputRows > 0]) == 3   # one range per micro-batch
     seen = sum(p.observedMetrics[S.LOAD_METRICS]["messages"] for p in q1.recentProgress
                if S.LOAD_METRICS in p.observedMetrics)
-    assert seen == spark.read.parquet(land).count()                          # A2 counters per batch
+    assert seen == spark.read.parquet(f"{land}/data").count()                # A2 counters per batch
     q2 = S.ingest(spark, land, root, ck)                                      # same checkpoint
     assert sum(p.numInputRows for p in q2.recentProgress) == 0
-    assert B.read_table(spark, root, "scada_telemetry").count() == n1
+    assert B.all_tables(spark, root).count() == n1
     batch = bronze_plans.bronze_ingest(spark, SF_SMALL)
-    stream = B.read_table(spark, root, "scada_telemetry").select(*batch.columns)
-    assert stream.exceptAll(batch.withColumn("event_date", F.col("event_date"))).count() == 0
-    assert batch.count() == n1
+    assert B.all_tables(spark, root).exceptAll(batch).count() == 0 and batch.count() == n1
 
 
-def test_landing_splits_each_range_into_files_and_keeps_one_range_per_batch(spark, monkeypatch):
-    monkeypatch.setattr(S, "ROWS_PER_ARRIVAL_FILE", 50)
-    land = S.landing(spark, SF_SMALL, chunks=3)
-    n = S._FILES_PER_BATCH[land]
+def test_landing_splits_by_the_largest_range_and_any_process_finds_the_batch_size(spark, monkeypatch):
+    monkeypatch.setattr(S, "ARRIVAL_FILE_BYTES", 5_000)
+    # one range is empty and one holds nearly everything: rows held back arrive as the last range
+    hot = F.col("topic") != "energy.bronze.plants"
+    land = S.landing(spark, SF_SMALL, scratch_path(spark, "t_landing"), chunks=3, held_back=hot)
+    n = S.files_per_arrival(spark.newSession(), land)
     assert n > 1
-    files = [f for f in spark.read.parquet(land).inputFiles()]
-    assert len(files) == 3 * n                                               # n files per range
+    files = {}
+    for r in spark.read.parquet(f"{land}/data").groupBy(F.col("_metadata.file_path").alias("f"), hot.alias("hot")).count().collect():
+        files.setdefault(r.hot, []).append(r["count"])
+    assert len(files[True]) == n and max(files[True]) < 2 * sum(files[True]) / n
     root, ck = scratch_path(spark, "t_bronze_multi"), scratch_path(spark, "t_ck_multi")
-    q = S.ingest(spark, land, root, ck)
-    assert len([p for p in q.recentProgress if p.numInputRows > 0]) == 3     # one range per micro-batch
-    assert sum(p.numInputRows for p in q.recentProgress) == spark.read.parquet(land).count()
+    q = S.ingest(spark.newSession(), land, root, ck)
+    assert len([p for p in q.recentProgress if p.numInputRows > 0]) == 4     # one range per micro-batch
+    assert sum(p.numInputRows for p in q.recentProgress) == spark.read.parquet(f"{land}/data").count()
+
+
+def scada(spark, rows):
+    """Messages of one node: (offset, minute of the day, solar_mw)."""
+    day = dt.datetime(2024, 1, 1)
+    text = '{{"timestamp":"{}","node_id":"N1","solar_mw":"{}","_dataset":"chile"}}'
+    return spark.createDataFrame(
+        [(b"k", text.format((day + dt.timedelta(minutes=m)).isoformat(), v).encode(), "energy.bronze.scada", 0, o,
+          day + dt.timedelta(minutes=m)) for o, m, v in rows],
+        "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp")
+
+
+def test_ten_late_rows_of_one_window_count_as_ten(spark):
+    root = scratch_path(spark, "t_late")
+    spark.createDataFrame([(1,)], "files_per_arrival int").write.parquet(f"{root}/plan")
+    arrivals = [[(i, i * 10, 1.0) for i in range(6)], [(100, 600, 1.0)], [(101, 700, 1.0)],
+                [(200 + i, 5 + i, 1.0) for i in range(10)], [(300, 800, 1.0)]]
+    for a in arrivals:
+        S.append_arrivals(scada(spark, a), root)
+    out, ck = scratch_path(spark, "t_late_out"), scratch_path(spark, "t_late_ck")
+
+    def write(batch, epoch):
+        batch.write.mode("overwrite").parquet(f"{out}/batch={epoch}")
+    S.run_available(S.hourly_rollup(S.scada_rows(S.message_stream(spark, root))).writeStream.outputMode("update").foreachBatch(write), ck)
+    counted = spark.read.parquet(out).groupBy("window").agg(F.max("n").alias("n")).agg(F.sum("n")).first()[0]
+    assert sum(map(len, arrivals)) - counted == 10
+
+
+def test_redelivery_replay_and_repair(spark):
+    """Second copies, in the same batch or much later, land once; repaired dead letters land once."""
+    root = scratch_path(spark, "t_ledger")
+    msgs = scada(spark, [(i, i, 1.0) for i in range(20)])
+    bad = msgs.limit(1).select("key", F.lit(b'{"node_id":"N1"').alias("value"), "topic", "partition", F.lit(99).cast("bigint").alias("offset"), "timestamp")
+    B.land(DC.decode_json(msgs.unionByName(msgs.limit(5)).unionByName(bad)), root, "1")
+    B.land(DC.decode_json(msgs.limit(7).unionByName(scada(spark, [(50, 3, 2.0)])).unionByName(bad)), root, "2")
+    assert B.read_table(spark, root, "scada_telemetry").count() == 21
+    assert B.read_table(spark, root, "dead_letter_queue").count() == 1
+    fixed = scada(spark, [(99, 9, 3.0)])
+    for run in ("3", "4", "4"):
+        B.land(DC.decode_json(fixed), root, run, landed_only=True)
+    t = B.read_table(spark, root, "scada_telemetry")
+    assert t.count() == 22 and t.filter("_kafka_offset = 99").count() == 1
+
+
+def test_publish_round_trip(spark):
+    """S3: rows published as messages decode to the same rows."""
+    rows = spark.createDataFrame([(dt.datetime(2024, 1, 1), "N1", 1.5), (dt.datetime(2024, 1, 2), "N2", None)],
+                                 "timestamp timestamp_ntz, node_id string, demand_mw double")
+    m = M.publish(rows, "energy.bronze.demand", "ff")
+    got = {r.key.decode(): r for r in DC.decode_json(m).select("key", "p", "error_message", "partition", "offset").collect()}
+    assert set(got) == {"N1:2024-01-01 00:00:00", "N2:2024-01-02 00:00:00"}
+    one, two = got["N1:2024-01-01 00:00:00"], got["N2:2024-01-02 00:00:00"]
+    assert one.error_message is None and one.p["demand_mw"] == "1.5" and one.p["_dataset"] == "ff"
+    assert "demand_mw" in two.p and two.p["demand_mw"] is None and 0 <= one.partition < M.PARTITIONS
+    good, bad = DC.to_table(DC.decode_json(m), "demand", "b")
+    assert good.count() == 1 and [r.reasons for r in bad.collect()] == [["missing demand_mw"]]

@@ -1,14 +1,12 @@
 """Bronze decode path (P1-P6, F5, S10, S12): Kafka-shaped rows -> typed table rows + rejects.
 
 Input columns: key, value (BINARY), topic, partition, offset, timestamp.  Every step is a Column
-expression on the whole frame; one ``from_json`` parses all topics with the union of their payload
-fields (numbers arrive as quoted strings, so every field is parsed as STRING and cast afterwards).
+expression on the whole frame; one strict ``from_json`` parses each payload to a map of strings
+(numbers arrive as quoted strings, so every field is cast afterwards).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,58 +16,49 @@ from wattline import schemas
 CURRENCIES = ("usd", "gil")
 PASS = ["topic", "partition", "offset", "key", "value_text"]   # carried through every step
 MONEY = ("spot_price", "ppa_price", "revenue", "curtailment_cost")
-
-
-def payload_fields() -> list[str]:
-    """Union of all topics' payload keys, including the currency-suffixed variants."""
-    names: list[str] = []
-    for cols in schemas.BRONZE_COLUMNS.values():
-        for n, _, _ in cols:
-            if n not in names:
-                names.append(n)
-    for cur in CURRENCIES:
-        for m in MONEY:
-            names.append(f"{m}_{cur}")
-        names.append(f"ppa_price_{cur}_mwh")
-    return names + ["_dataset"]
-
-
-PARSE_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in payload_fields()])
+_END = "5f3c-end-of-payload"
 
 
 def decode_json(msgs: DataFrame) -> DataFrame:
-    """Text of the value (bad UTF-8 replaced), its fields under ``p`` (all STRING), and the
+    """Text of the value (bad UTF-8 replaced), its fields as a map ``p`` of strings, and the
     reject reason for the message as a whole: null payload, invalid UTF-8, not a JSON object,
-    invalid JSON.  Fields of a rejected message are not meaningful; consumers filter on
-    ``error_message`` first.
+    invalid JSON (text after the object, or a second object, included).
 
-    The fields come from one ``json_tuple`` (a generator: one parse per row for all fields, and a
-    plan barrier, so later projections refer to its outputs instead of re-inlining a parse into
-    every field reference).  A one-field ``from_json`` flags text that is not valid JSON."""
-    fields = payload_fields()
+    Spark's parser stops after the first value, so the text is parsed as the first element of an
+    array that ends with a marker: only a text that is one whole value gives exactly two elements.
+    The parse is the output of a generator, which later projections refer to instead of repeating it."""
     raw = F.col("value").cast("string")
     d = msgs.withColumn("value_text", F.make_valid_utf8(raw))
-    d = d.select("*", F.json_tuple("value_text", *fields).alias(*[f"_j{i}" for i in range(len(fields))]))
-    probe = F.from_json("value_text", "_c string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_c"})
+    whole = F.concat(F.lit("["), F.col("value_text"), F.lit(f',{{"{_END}":""}}]'))
+    d = d.select("*", F.inline(F.array(F.struct(F.from_json(whole, "array<map<string,string>>").alias("_parsed")))))
+    one = (F.size("_parsed") == 2) & F.map_contains_key(F.get("_parsed", F.lit(1)), _END)
+    starts = F.expr(r"trim(LEADING ' \t\n\r' FROM value_text)").startswith("{")
     err = (F.when(F.col("value").isNull(), F.lit("null payload"))
            .when(~F.is_valid_utf8(raw), F.lit("invalid utf-8"))
-           .when(~F.ltrim("value_text").startswith("{"), F.lit("not a json object"))
-           .when(probe["_c"].isNotNull(), F.lit("invalid json")))
-    parsed = F.struct(*[F.col(f"_j{i}").alias(f) for i, f in enumerate(fields)])
-    return (d.withColumn("error_message", err).withColumn("p", parsed)
-            .drop(*[f"_j{i}" for i in range(len(fields))]))
+           .when(~starts, F.lit("not a json object"))
+           .when(~F.coalesce(one, F.lit(False)), F.lit("invalid json")))
+    return d.withColumn("error_message", err).withColumn("p", F.get("_parsed", F.lit(0))).drop("_parsed")
+
+
+def _money(name: str) -> Column:
+    return F.coalesce(F.col(f"p.{name}_gil"), F.col(f"p.{name}_usd"), F.col(f"p.{name}"))
+
+
+def _ppa() -> Column:
+    """The last ``ppa_price_*`` field, whatever its currency; the two that P3 takes are not among them."""
+    taken = [f"ppa_price_{c}" for c in CURRENCIES]
+    named = F.map_filter("p", lambda k, v: k.startswith("ppa_price_") & ~k.isin(taken))
+    return F.try_element_at(F.map_values(named), F.lit(-1))
 
 
 def normalize_currency(df: DataFrame) -> DataFrame:
     """``x_usd`` / ``x_gil`` -> ``x``; gil wins over usd, either wins over the plain name."""
-    return df.withColumns({m: F.coalesce(F.col(f"p.{m}_gil"), F.col(f"p.{m}_usd"), F.col(f"p.{m}"))
-                           for m in MONEY})
+    return df.withColumns({m: _money(m) for m in MONEY})
 
 
 def normalize_ppa(df: DataFrame) -> DataFrame:
-    """Any ``ppa_price_<cur>_mwh`` -> ``ppa_price_mwh``."""
-    return df.withColumn("ppa_price_mwh", F.coalesce(F.col("p.ppa_price_mwh"),
-                                                     *[F.col(f"p.ppa_price_{c}_mwh") for c in CURRENCIES]))
+    """Any ``ppa_price_*`` -> ``ppa_price_mwh``."""
+    return df.withColumn("ppa_price_mwh", _ppa())
 
 
 def project_to_schema(df: DataFrame, table: str) -> DataFrame:
@@ -118,12 +107,6 @@ def enrich_meta(df: DataFrame, batch_id: str | Column, with_offsets: bool = True
     return out
 
 
-def route(df: DataFrame, topics: Sequence[str] | None = None) -> dict[str, DataFrame]:
-    """S12 + S6: one frame per Bronze table, filtered on its topic; ``topics`` selects a subset."""
-    chosen = topics or list(schemas.TOPIC_TABLE)
-    return {schemas.TOPIC_TABLE[t]: df.filter(F.col("topic") == t) for t in chosen}
-
-
 def to_table(decoded: DataFrame, table: str, batch_id: str | Column) -> tuple[DataFrame, DataFrame]:
     """Full path for one table's rows of a decoded frame: normalize, project, cast, enrich.
     Returns (good rows in the declared schema, rejected rows with their reasons)."""
@@ -138,30 +121,9 @@ def to_table(decoded: DataFrame, table: str, batch_id: str | Column) -> tuple[Da
     return good.select(*cols), bad
 
 
-def dlq_rows(decoded: DataFrame, batch_id: str | Column, typed_rejects: DataFrame | None = None) -> DataFrame:
-    """Dead-letter rows — message-level rejects, plus rows rejected by the typed cast (their
-    reasons joined with '; ').  Key and text were carried along, so no join is needed."""
-    b = batch_id if isinstance(batch_id, Column) else F.lit(batch_id)
-
-    def shape(df: DataFrame, err: Column) -> DataFrame:
-        return df.select(
-            F.current_timestamp().alias("received_at"), "topic", F.col("partition").cast("int").alias("partition_id"),
-            F.col("offset").cast("long").alias("offset_id"), F.make_valid_utf8(F.col("key").cast("string")).alias("key"),
-            F.col("value_text").alias("value"), err.alias("error_message"), b.cast("string").alias("_batch_id"))
-
-    msg = shape(decoded.filter(F.col("error_message").isNotNull()), F.col("error_message"))
-    if typed_rejects is None:
-        return msg
-    return msg.unionByName(shape(typed_rejects, F.array_join("reasons", "; ")))
-
-
-def _field(table: str, n: str) -> Column:
+def _field(n: str) -> Column:
     """A payload field of a decoded row as its table sees it (money names normalized)."""
-    if n in MONEY:
-        return F.coalesce(F.col(f"p.{n}_gil"), F.col(f"p.{n}_usd"), F.col(f"p.{n}"))
-    if n == "ppa_price_mwh":
-        return F.coalesce(F.col("p.ppa_price_mwh"), *[F.col(f"p.ppa_price_{c}_mwh") for c in CURRENCIES])
-    return F.col(f"p.{n}")
+    return _money(n) if n in MONEY else _ppa() if n == "ppa_price_mwh" else F.col(f"p.{n}")
 
 
 def row_reject_reason(decoded: DataFrame) -> Column:
@@ -171,7 +133,7 @@ def row_reject_reason(decoded: DataFrame) -> Column:
     for topic, table in schemas.TOPIC_TABLE.items():
         parts = []
         for n, t, nullable in schemas.BRONZE_COLUMNS[table]:
-            s = _field(table, n)
+            s = _field(n)
             v = F.try_to_timestamp(s) if isinstance(t, T.TimestampType) else s.try_cast(t)
             parts.append(F.when(s.isNotNull() & v.isNull(), F.lit(f"bad {n}")))
             if not nullable:
@@ -181,14 +143,29 @@ def row_reject_reason(decoded: DataFrame) -> Column:
     return expr
 
 
+def judged(decoded: DataFrame) -> DataFrame:
+    """Decoded rows with ``reject``: the message-level error or else the typed-cast reasons, NULL
+    for a good row.  It is the output of a generator, so filters and counts don't rebuild it."""
+    why = F.coalesce(F.col("error_message"), row_reject_reason(decoded))
+    return decoded.select("*", F.inline(F.array(F.struct(why.alias("reject")))))
+
+
+def outcomes(decoded: DataFrame) -> DataFrame:
+    """S12/V16/A2 in one pass: landed and rejected messages of each topic."""
+    bad = F.col("reject").isNotNull()
+    return judged(decoded).groupBy("topic").agg(F.count_if(~bad).alias("landed"), F.count_if(bad).alias("rejected"))
+
+
 def dlq_one_pass(decoded: DataFrame, batch_id: str | Column) -> DataFrame:
-    """S10 in one pass: a message is a dead letter for its message-level error or, when it
-    parses, for its typed-cast reasons (same rows and messages as ``dlq_rows`` with the per-table
-    rejects, without a branch per table)."""
+    """A message is a dead letter for its message-level error or, when it parses, for its
+    typed-cast reasons (joined with '; ')."""
+    return dead_letters(judged(decoded), batch_id)
+
+
+def dead_letters(rows: DataFrame, batch_id: str | Column) -> DataFrame:
+    """The dead-letter rows among judged rows."""
     b = batch_id if isinstance(batch_id, Column) else F.lit(batch_id)
-    err = F.coalesce(F.col("error_message"), row_reject_reason(decoded))
-    out = decoded.select(
+    return rows.filter(F.col("reject").isNotNull()).select(
         F.current_timestamp().alias("received_at"), "topic", F.col("partition").cast("int").alias("partition_id"),
         F.col("offset").cast("long").alias("offset_id"), F.make_valid_utf8(F.col("key").cast("string")).alias("key"),
-        F.col("value_text").alias("value"), err.alias("error_message"), b.cast("string").alias("_batch_id"))
-    return out.filter(F.col("error_message").isNotNull())
+        F.col("value_text").alias("value"), F.col("reject").alias("error_message"), b.cast("string").alias("_batch_id"))

@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattline.functions.columns import carbon_offset, col_, dround, hash_uniform
+from wattline.functions.columns import carbon_offset, dround, hash_uniform
+from wattline.session import materialized
 
 
 def dispatch_measures(df: DataFrame, sources: Sequence[str], demand: str, ppa: Column,
@@ -45,26 +46,30 @@ def split_units(df: DataFrame, cap: str = "capacity_mw", unit_mw: int = 100) ->
             .withColumn("unit_capacity_mw", dround(F.col(cap) / F.col("n_units"), 1)))
 
 
+def _sliced(df: DataFrame, order: Sequence[str], partitions: int | None) -> DataFrame:
+    """``df`` range-partitioned on ``order`` with its slice number ``_pid``, written once to the
+    shared folder.  Range bounds are sampled anew whenever the plan is run, so slices are only
+    comparable between two uses once they stand in the data."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
+    return materialized(ranged, "slices")
+
+
 def dense_sequence(df: DataFrame, order: Sequence[str], name: str = "seq",
                    partitions: int | None = None) -> DataFrame:
     """1-based position of each row in ``order`` (keys must be unique), without a global window.
 
-    Rows are range-partitioned on the keys and sorted inside each partition, so partition k holds
-    the k-th slice of the order.  One small job counts rows per partition (one row per partition),
-    prefix sums of those counts give each partition's offset, and a row's position is the offset
-    plus its index inside the partition (from ``monotonically_increasing_id``).  Only the count
-    table, with one row per partition, is broadcast."""
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    tagged = ranged.withColumns({"_pid": F.spark_partition_id(), "_mid": F.monotonically_increasing_id()})
+    Slice k (see ``_sliced``) holds the k-th range of the order.  Prefix sums of the row counts per
+    slice (one row per slice, broadcast) give each slice's offset; a window inside the slice gives
+    the place in it."""
+    tagged = _sliced(df, order, partitions)
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
+    inside = Window.partitionBy("_pid").orderBy(*order)
     return (tagged.join(F.broadcast(offsets), "_pid")
-            .withColumn(name, F.col("_off") + local + F.lit(1))
-            .drop("_pid", "_mid", "_off"))
+            .withColumn(name, F.col("_off") + F.row_number().over(inside))
+            .drop("_pid", "_off"))
 
 
 def surrogate_ids(df: DataFrame, order: Sequence[str], prefix: str = "PLT", width: int = 4,
@@ -123,19 +128,13 @@ def explode_nested(stories: DataFrame, tasks: str = "tasks", owner: str = "owner
     return flat.withColumn("labels", labels).withColumn(state, F.coalesce(F.col(state), F.lit(default_state)))
 
 
-def col_or_null(df: DataFrame, c: str, t: str) -> Column:
-    return col_(c) if c in df.columns else F.lit(None).cast(t)
-
-
 def running_total(df: DataFrame, order: Sequence[str], weight: str, name: str,
                   partitions: int | None = None) -> DataFrame:
     """Running sum of ``weight`` in the order of ``order`` (keys must be unique), without a global
-    window: rows are range-partitioned on the keys, a window per range partition gives the sum
-    inside it, and prefix sums of the per-partition totals (one row per partition, broadcast) add
-    what the earlier ranges hold.  Unique keys keep the ranges balanced."""
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tagged = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
+    window: a window per slice (see ``_sliced``) gives the sum inside it, and prefix sums of the
+    totals per slice (one row per slice, broadcast) add what the earlier ranges hold.  Unique keys
+    keep the ranges balanced."""
+    tagged = _sliced(df, order, partitions)
     totals = tagged.groupBy("_pid").agg(F.sum(weight).alias("_t"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_pid", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_off"))

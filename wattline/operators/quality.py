@@ -157,7 +157,3 @@ def match_rate(a: DataFrame, b: DataFrame, key: str, left: str, right: str, rel_
     rate = ratio("matched", "n")
     return r.select("n", "matched", dround(rate, 6).alias("match_rate"),
                     F.when(rate >= F.lit(target), "pass").otherwise("fail").alias("verdict"))
-
-
-def exact_total(df: DataFrame, keys: Sequence[str], col: str, scale: int, name: str) -> DataFrame:
-    return df.groupBy(*keys).agg(exact_sum(col, scale, name))

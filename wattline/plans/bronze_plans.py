@@ -13,7 +13,6 @@ from wattline.sources import messages as M
 
 BATCH = "batch-0"
 FK = M.FAULTS
-MSG_REJECT = (FK["null_payload"], FK["truncated"], FK["array"], FK["bad_utf8"])
 ROW_REJECT = (FK["bad_number"], FK["no_node"])
 ISO_SQL = "'%Y-%m-%dT%H:%M:%S.%f'"
 
@@ -25,7 +24,8 @@ MSG_SQL = f"""WITH m AS (
   FROM events),
 mm AS (SELECT *,
          CASE WHEN k = {FK['null_payload']} THEN 'null payload' WHEN k = {FK['bad_utf8']} THEN 'invalid utf-8'
-              WHEN k = {FK['array']} THEN 'not a json object' WHEN k = {FK['truncated']} THEN 'invalid json' END
+              WHEN k = {FK['array']} THEN 'not a json object'
+              WHEN k IN ({FK['truncated']}, {FK['trailing_text']}, {FK['two_objects']}) THEN 'invalid json' END
            AS error_message,
          CASE WHEN k < 50 THEN 'chile' ELSE 'ff' END AS ds
        FROM m)
@@ -148,22 +148,9 @@ SELECT CASE topic {' '.join(f"WHEN '{t}' THEN '{b}'" for t, b in schemas.TOPIC_T
        COUNT_IF(error_message IS NOT NULL OR k IN {ROW_REJECT}) AS rejected
 FROM mm WHERE topic IN ({', '.join(f"'energy.bronze.{t}'" for t in ROUTED)}) GROUP BY 1""", "S12 S6 F1")
 def route_topics(spark, sf):
-    d = _msgs(spark, sf, ROUTED)
-    out = None
-    for topic, table in schemas.TOPIC_TABLE.items():
-        if topic.split(".")[-1] not in ROUTED:
-            continue
-        part = d.filter(F.col("topic") == topic)
-        good, bad = DC.to_table(part, table, BATCH)
-        msg_bad = part.filter(F.col("error_message").isNotNull())
-        # one pass per table: tag and count the three outcomes together
-        u = (good.select(F.lit(1).alias("g"), F.lit(0).alias("b"))
-             .unionByName(bad.select(F.lit(0).alias("g"), F.lit(1).alias("b")))
-             .unionByName(msg_bad.select(F.lit(0).alias("g"), F.lit(1).alias("b"))))
-        c = u.agg(F.sum("g").cast("long").alias("landed"), F.sum("b").cast("long").alias("rejected")).select(
-            F.lit(table).alias("table_name"), "landed", "rejected")
-        out = c if out is None else out.unionByName(c)
-    return out
+    """One scan and one parse: each message's outcome is judged once and counted by topic."""
+    names = F.create_map(*[F.lit(x) for kv in schemas.TOPIC_TABLE.items() for x in kv])
+    return DC.outcomes(_msgs(spark, sf, ROUTED)).select(F.element_at(names, F.col("topic")).alias("table_name"), "landed", "rejected")
 
 
 def _dlq(spark, sf):
@@ -205,26 +192,29 @@ def repair(text):
             .otherwise(text))
 
 
-@register("dlq_replay", _DLQ_SQL + f"""
+@register("dlq_replay", _DLQ_SQL + f""", e AS (
 SELECT topic, offset_id, CASE WHEN k = {FK['null_payload']} THEN 'null payload'
-                              WHEN k = {FK['bad_utf8']} THEN 'invalid json' END AS replay_error
-FROM d""", "S11")
+         WHEN k IN ({FK['bad_utf8']}, {FK['trailing_text']}, {FK['two_objects']}) THEN 'invalid json'
+         WHEN k IN {ROW_REJECT} THEN error_message END AS replay_error FROM d)
+SELECT topic, offset_id, replay_error, CASE WHEN replay_error IS NULL THEN 1 ELSE 0 END::BIGINT AS times_landed FROM e""", "S11")
 def dlq_replay(spark, sf):
-    """Re-drive dead letters: repair the text, decode again, and drop messages that have landed
-    since (left anti join on topic, partition, offset against the landed rows)."""
-    dlq = _dlq(spark, sf)
-    fixed = dlq.select(F.col("key").cast("binary").alias("key"), F.encode(repair(F.col("value")), "UTF-8").alias("value"),
-                       "topic", F.col("partition_id").alias("partition"), F.col("offset_id").alias("offset"))
-    again = DC.decode_json(fixed)
-    d = _msgs(spark, sf)
-    landed = None
-    for topic, table in schemas.TOPIC_TABLE.items():
-        good, _ = DC.to_table(d.filter(F.col("topic") == topic), table, BATCH)
-        k = good.select(F.col("_source").alias("topic"),
-                        (F.col("_kafka_offset") if table != "plants" else F.lit(None).cast("long")).alias("offset"))
-        landed = k if landed is None else landed.unionByName(k)
-    todo = again.join(landed, ["topic", "offset"], "left_anti")
-    return todo.select("topic", F.col("offset").alias("offset_id"), F.col("error_message").alias("replay_error"))
+    """Re-drive the dead letters of a Bronze load: repair the text, decode again and land what is
+    now good (plants included).  The replay runs twice; messages that have landed since are left
+    out by the ledger, so the second run adds nothing."""
+    root = scratch_path(spark, "replay")
+    B.land(_msgs(spark, sf), root, BATCH)
+    dead = B.read_table(spark, root, "dead_letter_queue").filter(F.col("batch") == BATCH)
+    fixed = dead.select(F.col("key").cast("binary").alias("key"), F.encode(repair(F.col("value")), "UTF-8").alias("value"),
+                        "topic", F.col("partition_id").alias("partition"), F.col("offset_id").alias("offset"))
+    for run in ("replay-1", "replay-2"):
+        B.land(DC.decode_json(fixed), root, run, landed_only=True)
+    tried = B.read_table(spark, root, "dead_letter_queue").filter("batch = 'replay-1'").select(
+        "topic", "offset_id", F.col("error_message").alias("replay_error"))
+    landed = B.ledger(spark, root).filter("landed").groupBy("topic", F.col("offset").alias("offset_id")).agg(
+        F.count(F.lit(1)).alias("times_landed"))
+    return (dead.select("topic", "offset_id").join(tried, ["topic", "offset_id"], "left")
+            .join(landed, ["topic", "offset_id"], "left")
+            .select("topic", "offset_id", "replay_error", F.coalesce("times_landed", F.lit(0)).alias("times_landed")))
 
 
 @register("dlq_threshold", MSG_SQL + f"""
@@ -234,47 +224,47 @@ SELECT topic, COUNT_IF(error_message IS NULL AND k NOT IN {ROW_REJECT}) AS lande
        COUNT_IF(error_message IS NOT NULL OR k IN {ROW_REJECT}) / COUNT(*) > 0.05 AS alert
 FROM mm GROUP BY 1""", "V16 A2")
 def dlq_threshold(spark, sf):
-    d = _msgs(spark, sf)
-    dlq = _dlq(spark, sf).groupBy("topic").agg(F.count(F.lit(1)).alias("rejected"))
-    total = d.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
-    j = total.join(dlq, "topic", "left").fillna(0, ["rejected"])
-    share = F.col("rejected") / F.col("n")
-    return j.select("topic", (F.col("n") - F.col("rejected")).alias("landed"), "rejected",
-                    F.round(share, 6).alias("reject_share"), (share > F.lit(0.05)).alias("alert"))
-
-
-def ingest_batch(spark, sf, root: str) -> dict[str, str]:
-    """S7-S10 batch form: decode once, route to the five tables, append each table partitioned by
-    node and day, and append all rejects to the dead-letter table.  The decoded frame is persisted
-    so the source is read once for the six writes."""
-    d = _msgs(spark, sf).persist()
-    try:
-        for topic, table in schemas.TOPIC_TABLE.items():
-            good, _ = DC.to_table(d.filter(F.col("topic") == topic), table, BATCH)
-            B.append_table(good, root, table)
-        B.append_table(DC.dlq_one_pass(d, BATCH), root, "dead_letter_queue")
-    finally:
-        d.unpersist()
-    return {t: f"{root}/{t}" for t in list(schemas.TOPIC_TABLE.values()) + ["dead_letter_queue"]}
-
-
-@register("bronze_ingest", MSG_SQL + f"""
-SELECT "offset" AS _kafka_offset, 'N' || user_id AS node_id, CAST(ts AS DATE) AS event_date, mw AS solar_mw,
+    share = F.col("rejected") / (F.col("landed") + F.col("rejected"))
+    return DC.outcomes(_msgs(spark, sf)).select(
+        "topic", "landed", "rejected", F.round(share, 6).alias("reject_share"), (share > F.lit(0.05)).alias("alert"))
+
+
+ALL_TABLES_SQL = f"""
+SELECT CASE topic {' '.join(f"WHEN '{t}' THEN '{b}'" for t, b in schemas.TOPIC_TABLE.items())} END AS table_name,
+       CASE WHEN event_type = 'error' THEN 'PLT-' || "offset" ELSE 'N' || user_id END AS entity,
+       CASE WHEN event_type <> 'error' THEN CAST(ts AS DATE) END AS event_date, mw AS metric,
        CASE WHEN k <> {FK['no_dataset']} THEN ds ELSE 'unknown' END AS _dataset
-FROM mm WHERE topic = 'energy.bronze.scada' AND error_message IS NULL AND k NOT IN {ROW_REJECT}""",
-          "S7 S8 S9 S13 S14 T1")
+FROM mm WHERE error_message IS NULL AND k NOT IN {ROW_REJECT}"""
+
+
+@register("bronze_ingest", MSG_SQL + ALL_TABLES_SQL, "S7 S8 S9 S13 S14 T1")
 def bronze_ingest(spark, sf):
     root = scratch_path(spark, "bronze")
-    ingest_batch(spark, sf, root)
-    s = B.read_table(spark, root, "scada_telemetry")
-    return s.select("_kafka_offset", "node_id", F.col("event_date").cast("date").alias("event_date"), "solar_mw", "_dataset")
+    B.land(_msgs(spark, sf), root, BATCH)
+    return B.all_tables(spark, root)
+
+
+@register("bronze_gate", MSG_SQL + f""", t AS ({ALL_TABLES_SQL}),
+n AS (SELECT table_name, COUNT(*) AS row_count FROM t GROUP BY 1
+      UNION ALL SELECT 'dead_letter_queue', COUNT_IF(error_message IS NOT NULL OR k IN {ROW_REJECT}) FROM mm)
+SELECT table_name, row_count, table_name = 'dead_letter_queue' OR row_count >= {schemas.MIN_ROWS} AS passes FROM n""", "A1 A2 O2")
+def bronze_gate(spark, sf):
+    """Row-count gate of a load: the five Bronze tables against the minimum, and the dead letters."""
+    root = scratch_path(spark, "gate")
+    B.land(_msgs(spark, sf), root, BATCH)
+    counts = B.all_tables(spark, root).groupBy("table_name").agg(F.count(F.lit(1)).alias("row_count"))
+    dead = B.read_table(spark, root, "dead_letter_queue").agg(F.count(F.lit(1)).alias("row_count"))
+    both = counts.unionByName(dead.withColumn("table_name", F.lit("dead_letter_queue")))
+    names = spark.createDataFrame([(t,) for t in [*schemas.TOPIC_TABLE.values(), "dead_letter_queue"]], "table_name string")
+    return (names.join(both, "table_name", "left").withColumn("row_count", F.coalesce("row_count", F.lit(0)))
+            .withColumn("passes", (F.col("table_name") == "dead_letter_queue") | (F.col("row_count") >= schemas.MIN_ROWS)))
 
 
 @register("union_datasets", MSG_SQL + f"""
 SELECT "offset", CASE WHEN k <> {FK['no_dataset']} THEN ds END AS _dataset,
        CASE WHEN k <> {FK['no_dataset']} AND ds = 'chile' THEN -CAST(k AS DOUBLE) END AS lat,
        CASE WHEN k <> {FK['no_dataset']} AND ds = 'chile' THEN mw END AS lon,
-       CASE WHEN ds = 'chile' AND k <> {FK['no_dataset']} THEN CAST(k AS DOUBLE) END AS ppa_price_usd_mwh,
+       CASE WHEN ds = 'chile' AND k NOT IN ({FK['no_dataset']}, {FK['other_currency']}) THEN CAST(k AS DOUBLE) END AS ppa_price_usd_mwh,
        CASE WHEN NOT (ds = 'chile' AND k <> {FK['no_dataset']}) THEN CAST(k AS DOUBLE) END AS ppa_price_gil_mwh
 FROM mm WHERE topic = 'energy.bronze.plants' AND error_message IS NULL""", "U1")
 def union_datasets(spark, sf):

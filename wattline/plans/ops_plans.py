@@ -101,18 +101,8 @@ SELECT topic AS _source, '{bronze_plans.BATCH}' AS _batch_id,
        COUNT(*) AS rows, MIN("offset") AS min_offset, MAX("offset") AS max_offset
 FROM mm GROUP BY 1, 2, 3""", "D5")
 def lineage_table(spark, sf):
-    d = bronze_plans._msgs(spark, sf)
-    rows, rejects = None, None
-    for topic, table in schemas.TOPIC_TABLE.items():
-        part = d.filter(F.col("topic") == topic)
-        ok = DC.normalize_ppa(DC.normalize_currency(part.filter(F.col("error_message").isNull())))
-        typed = DC.cast_typed(DC.project_to_schema(ok, table), table)
-        g = typed.filter(F.col("is_good")).select(F.col("topic").alias("_source"), F.lit(bronze_plans.BATCH).alias("_b"),
-                                                        F.lit(table).alias("_t"), "offset")
-        rows = g if rows is None else rows.unionByName(g)
-        b = typed.filter(~F.col("is_good")).select(*DC.PASS, "reasons")
-        rejects = b if rejects is None else rejects.unionByName(b)
-    dlq = DC.dlq_rows(d, bronze_plans.BATCH, rejects).select(
-        F.col("topic").alias("_source"), F.col("_batch_id").alias("_b"), F.lit("dead_letter_queue").alias("_t"),
-        F.col("offset_id").alias("offset"))
-    return O.lineage(rows.unionByName(dlq), "_source", "_b", "_t", "offset")
+    names = F.create_map(*[F.lit(x) for kv in schemas.TOPIC_TABLE.items() for x in kv])
+    to = F.when(F.col("reject").isNull(), F.element_at(names, F.col("topic"))).otherwise("dead_letter_queue")
+    rows = DC.judged(bronze_plans._msgs(spark, sf)).select(
+        F.col("topic").alias("_source"), F.lit(bronze_plans.BATCH).alias("_b"), to.alias("_t"), "offset")
+    return O.lineage(rows, "_source", "_b", "_t", "offset")

@@ -1,6 +1,9 @@
-"""Streaming queries (T1-T11, O3): each runs its Structured Streaming job once per session with
-``availableNow`` over time-ordered arrival files derived from ``events`` and returns what its sink
-holds.  The oracle is the batch meaning of the stream (e.g. windows closed by the final watermark)."""
+"""Streaming queries (T1-T11, O3): each runs its Structured Streaming job with ``availableNow`` over
+time-ordered arrival files derived from ``events`` and returns what its sink holds.  Landing, sinks
+and checkpoints stand in the shared folder under a name that follows the state of the input: the
+same input is not streamed twice, a run that was cut off goes on from its checkpoint, and changed
+input starts anew.  The oracle is the batch meaning of the stream (e.g. windows closed by the final
+watermark)."""
 
 from __future__ import annotations
 
@@ -10,65 +13,54 @@ from wattline.functions.columns import dround
 from wattline.plans import bronze_plans as BP
 from wattline.plans.derive_plans import _climate_col
 from wattline.plans.registry import register
-from wattline.session import scratch_path
 from wattline.sources import bronze as B
 from wattline.sources import messages as M
 from wattline.sources import tables as T
 from wattline.streaming import ingest as S
 
 FK = M.FAULTS
-LATE_K = 31          # fixed rule of the binding: messages with props.k = 31 are delivered late
+CHUNKS = 6
+LATE_TENS = 3        # fixed rule of the binding: messages with props.k from 30 to 39 are delivered late
 REPLAY_MAX_K = 10    # messages with props.k < 10 are delivered a second time
 STALE_AS_OF = "2024-01-31 00:00:00"
-_RUNS: dict[tuple, str] = {}
+#: Minutes after which a feed is stale.
+STALE_MINUTES = {"scada": 15, "weather": 120}
 
 
-def _cached(spark, sf, name, build):
-    key = (spark.sparkContext.applicationId, sf, name)
-    if key not in _RUNS:
-        _RUNS[key] = build()
-    return _RUNS[key]
+def _derived(spark, sf, name, build):
+    """Folder of a finished stream run; ``build(folder)`` runs it."""
+    def run(path):
+        build(path)
+        spark.range(1).coalesce(1).write.mode("overwrite").parquet(f"{path}/end")
+    return T.derived(spark, f"{sf.rstrip('/')}/events.parquet", f"stream-{name}", run, end="end/_SUCCESS")
 
 
 def _landing(spark, sf):
-    return _cached(spark, sf, "landing", lambda: S.landing(spark, sf, chunks=6))
+    return T.derived(spark, f"{sf.rstrip('/')}/events.parquet", "landing",
+                     lambda path: S.landing(spark, sf, path, CHUNKS), end="plan/_SUCCESS")
 
 
 def _ingest_root(spark, sf):
-    def build():
-        root = scratch_path(spark, "stream_bronze")
-        S.ingest(spark, _landing(spark, sf), root, scratch_path(spark, "ck_ingest"))
-        return root
-    return _cached(spark, sf, "ingest", build)
-
+    return _derived(spark, sf, "ingest", lambda path: S.ingest(spark, _landing(spark, sf), f"{path}/tables", f"{path}/checkpoint")) + "/tables"
 
-def _file_sink(df, spark, name, mode="append"):
-    out, ck = scratch_path(spark, name), scratch_path(spark, f"ck_{name}")
-    S.run_available(df.writeStream.format("parquet").option("path", out).outputMode(mode), ck)
-    return out
 
+def _file_sink(df, path, mode="append"):
+    S.run_available(df.writeStream.format("parquet").option("path", f"{path}/out").outputMode(mode), f"{path}/checkpoint")
 
-def _overwrite_sink(df, spark, name, mode="complete"):
-    """Complete-mode results: each epoch rewrites the whole (small, per-key) table."""
-    out, ck = scratch_path(spark, name), scratch_path(spark, f"ck_{name}")
 
+def _epoch_sink(df, path, mode, keep_epochs=False):
+    """``foreachBatch`` sink: the whole (small, per-key) table anew, or a folder for each epoch."""
     def write(batch, epoch):
-        batch.write.mode("overwrite").parquet(out)
-    S.run_available(df.writeStream.outputMode(mode).foreachBatch(write), ck)
-    return out
+        batch.write.mode("overwrite").parquet(f"{path}/out/batch={epoch}" if keep_epochs else f"{path}/out")
+    S.run_available(df.writeStream.outputMode(mode).foreachBatch(write), f"{path}/checkpoint")
 
 
 _SCADA_GOOD = f"""FROM mm WHERE topic = 'energy.bronze.scada' AND error_message IS NULL AND k NOT IN {BP.ROW_REJECT}"""
 
 
-@register("stream_bronze_ingest", BP.MSG_SQL + f"""
-SELECT "offset" AS _kafka_offset, 'N' || user_id AS node_id, CAST(ts AS DATE) AS event_date, mw AS solar_mw,
-       CASE WHEN k <> {FK['no_dataset']} THEN ds ELSE 'unknown' END AS _dataset {_SCADA_GOOD}""",
-          "T1 T2 T3 O3 S5 S7")
+@register("stream_bronze_ingest", BP.MSG_SQL + BP.ALL_TABLES_SQL, "T1 T2 T3 O3 S5 S7")
 def stream_bronze_ingest(spark, sf):
-    s = B.read_table(spark, _ingest_root(spark, sf), "scada_telemetry")
-    return s.select("_kafka_offset", "node_id", F.col("event_date").cast("date").alias("event_date"),
-                    "solar_mw", "_dataset")
+    return B.all_tables(spark, _ingest_root(spark, sf))
 
 
 @register("stream_dlq", BP._DLQ_SQL + "SELECT topic, partition_id, offset_id, key, error_message, has_value FROM d",
@@ -79,25 +71,26 @@ def stream_dlq(spark, sf):
                     F.col("value").isNotNull().alias("has_value"))
 
 
-@register("stream_replay_dedup", BP.MSG_SQL + """SELECT topic, "partition", "offset" FROM mm""", "T5")
+@register("stream_replay_dedup", BP.MSG_SQL + f"""
+SELECT topic, "partition", "offset", error_message IS NULL AND k NOT IN {BP.ROW_REJECT} AS landed FROM mm""", "T5")
 def stream_replay_dedup(spark, sf):
-    def build():
-        path = S.landing(spark, sf, chunks=6)
-        msgs = M.read_topics(spark, M.publish_topics(spark, sf))
+    """Ingest with re-deliveries: a second copy of some messages arrives after everything else,
+    however old; the ledger of the load keeps each message from landing (or being rejected) twice."""
+    def build(path):
+        root = S.landing(spark, sf, f"{path}/landing", CHUNKS)
         k = M.payload_k(F.col("value"))
-        # re-deliveries: a second copy of some messages arrives after everything else
-        S.append_arrivals(msgs.filter(F.coalesce(k, F.lit(99)) < REPLAY_MAX_K), path)
-        out = S.replay_dedup(S.message_stream(spark, path)).select("topic", "partition", "offset")
-        return _file_sink(out, spark, "replay_dedup")
-    return spark.read.parquet(_cached(spark, sf, "replay", build))
+        again = M.read_topics(spark, M.publish_topics(spark, sf)).filter(F.coalesce(k, F.lit(99)) < REPLAY_MAX_K)
+        S.append_arrivals(again, root)
+        S.ingest(spark, root, f"{path}/tables", f"{path}/checkpoint")
+    root = _derived(spark, sf, "replay", build) + "/tables"
+    return B.ledger(spark, root).select("topic", "partition", "offset", "landed")
 
 
-def _rollup_path(spark, sf):
-    def build():
+def _rollup_path(spark, sf, size="1 hour"):
+    def build(path):
         rows = S.scada_rows(S.message_stream(spark, _landing(spark, sf)))
-        r = S.hourly_rollup(rows)
-        return _file_sink(r, spark, "hourly_rollup")
-    return _cached(spark, sf, "rollup", build)
+        _file_sink(S.hourly_rollup(rows, size=size), path)
+    return _derived(spark, sf, f"rollup-{size.replace(' ', '')}", build) + "/out"
 
 
 _WM = f"(SELECT MAX(ts) {_SCADA_GOOD}) - INTERVAL 10 MINUTE"
@@ -115,67 +108,83 @@ def stream_hourly_rollup(spark, sf):
                     F.col("mw_sum").cast("double").alias("mw_sum"))
 
 
-@register("stream_missed_windows", _HOURLY_SQL + """
-SELECT node_id, CAST(epoch(MAX(window_start) - MIN(window_start)) / 3600 AS BIGINT) + 1 AS windows_expected,
-       COUNT(*) AS windows_seen,
-       CAST(epoch(MAX(window_start) - MIN(window_start)) / 3600 AS BIGINT) + 1 - COUNT(*) AS windows_missed
-FROM w GROUP BY 1""", "T9 J9")
+@register("stream_missed_windows", BP.MSG_SQL + f""", g AS (
+  SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS ws, 'N' || user_id AS node_id {_SCADA_GOOD}),
+w AS (SELECT DISTINCT ws, node_id FROM g WHERE ws + INTERVAL 5 MINUTE <= ({_WM})),
+b AS (SELECT CAST(epoch(MAX(ws) - MIN(ws)) / 300 AS BIGINT) + 1 AS windows_expected FROM w)
+SELECT n.node_id, windows_expected, COUNT(ws) AS windows_seen, windows_expected - COUNT(ws) AS windows_missed,
+       MAX(ws) AS last_window
+FROM (SELECT DISTINCT node_id FROM g) n CROSS JOIN b LEFT JOIN w ON w.node_id = n.node_id GROUP BY 1, 2""", "T9 J9")
 def stream_missed_windows(spark, sf):
-    r = spark.read.parquet(_rollup_path(spark, sf)).select(F.col("window.start").alias("ws"), "node_id")
-    span = (F.unix_micros(F.max("ws")) - F.unix_micros(F.min("ws"))) / F.lit(3_600_000_000)
-    expected = (span.cast("long") + 1)
-    return r.groupBy("node_id").agg(expected.alias("windows_expected"), F.count(F.lit(1)).alias("windows_seen")) \
-        .withColumn("windows_missed", F.col("windows_expected") - F.col("windows_seen"))
+    """5-minute windows that each node missed over the span of all nodes, so a node that went silent
+    (at either end, or before its first closed window) misses what the others have sent."""
+    w = spark.read.parquet(_rollup_path(spark, sf, "5 minutes")).select(F.col("window.start").alias("ws"), "node_id")
+    span = w.agg(((F.unix_micros(F.max("ws")) - F.unix_micros(F.min("ws"))) / F.lit(300_000_000)).cast("long").alias("span"))
+    known = B.read_table(spark, _ingest_root(spark, sf), "scada_telemetry").groupBy("node_id").agg(F.lit(1).alias("_"))
+    seen = w.groupBy("node_id").agg(F.count(F.lit(1)).alias("windows_seen"), F.max("ws").alias("last_window"))
+    out = known.join(seen, "node_id", "left").crossJoin(F.broadcast(span))       # one row
+    n = F.coalesce("windows_seen", F.lit(0))
+    return out.select("node_id", (F.col("span") + 1).alias("windows_expected"), n.alias("windows_seen"),
+                      (F.col("span") + 1 - n).alias("windows_missed"), F.col("last_window").cast("timestamp_ntz").alias("last_window"))
 
 
-CHUNKS = 6
 # Spark filters late rows against the watermark of the batch before the one they arrive in, and
 # evicts state with the current one.  Late rows arrive in the batch after the last chunk, so their
 # filter watermark comes from the chunks up to the second-to-last; chunks are cut on broker time.
 _LATE_SQL = BP.MSG_SQL + f""", b AS (SELECT MIN(epoch_us(ts + to_seconds(k))) AS lo,
                                        MAX(epoch_us(ts + to_seconds(k))) AS hi FROM mm),
-g AS (SELECT ts, k, 'N' || user_id AS node_id, date_trunc('hour', ts) + INTERVAL 1 HOUR AS wend,
+g AS (SELECT ts, k // 10 = {LATE_TENS} AS late, CASE WHEN k <> {FK['no_dataset']} THEN ds ELSE 'unknown' END AS dataset,
+             date_trunc('hour', ts) + INTERVAL 1 HOUR AS wend,
              (epoch_us(ts + to_seconds(k)) - lo) // ((hi - lo) // {CHUNKS} + 1) AS chunk
       FROM mm, b WHERE topic = 'energy.bronze.scada' AND error_message IS NULL AND k NOT IN {BP.ROW_REJECT}),
-wl AS (SELECT MAX(ts) - INTERVAL 10 MINUTE AS wm FROM g WHERE k <> {LATE_K} AND chunk <= {CHUNKS - 2}),
+wl AS (SELECT MAX(ts) - INTERVAL 10 MINUTE AS wm FROM g WHERE NOT late AND chunk <= {CHUNKS - 2}),
 wf AS (SELECT MAX(ts) - INTERVAL 10 MINUTE AS wm FROM g),
-kept AS (SELECT g.* FROM g, wl WHERE g.k <> {LATE_K} OR g.wend > wl.wm)
-SELECT (SELECT COUNT(*) FROM g, wl WHERE k = {LATE_K} AND wend <= wl.wm) AS late_rows_dropped,
-       (SELECT COUNT(*) FROM (SELECT DISTINCT wend, node_id FROM kept, wf WHERE wend <= wf.wm)) AS windows_emitted"""
+kept AS (SELECT g.* FROM g, wl WHERE NOT late OR g.wend > wl.wm)
+SELECT (SELECT COUNT(*) FROM g, wl WHERE late AND wend <= wl.wm) AS late_rows_dropped,
+       (SELECT COUNT(*) FROM (SELECT DISTINCT wend, dataset FROM kept, wf WHERE wend <= wf.wm)) AS windows_emitted"""
 
 
 @register("stream_late_rows", _LATE_SQL, "T6")
 def stream_late_rows(spark, sf):
-    """Late deliveries: rows held back and delivered after the rest.  A row is dropped when its
-    window's end is at or below the watermark; the count comes from the query's progress metrics."""
-    def build():
-        k = M.payload_k(F.col("value"))
-        path = S.landing(spark, sf, chunks=CHUNKS, held_back=F.coalesce(k == LATE_K, F.lit(False)))
-        rows = S.scada_rows(S.message_stream(spark, path))
-        out, ck = scratch_path(spark, "late_rollup"), scratch_path(spark, "ck_late")
-        q = S.run_available(S.hourly_rollup(rows).writeStream.format("parquet").option("path", out)
-                            .outputMode("append"), ck)
-        dropped = sum(op.numRowsDroppedByWatermark for p in q.recentProgress for op in p.stateOperators)
-        return (out, dropped)
-    out, dropped = _cached(spark, sf, "late", build)
-    emitted = spark.read.parquet(out).agg(F.count(F.lit(1)).alias("windows_emitted"))
-    return emitted.select(F.lit(dropped).cast("long").alias("late_rows_dropped"), "windows_emitted")
-
-
-@register("stream_staleness", BP.MSG_SQL + f""", g AS (SELECT 'N' || user_id AS node_id, MAX(ts) AS last_seen
-  {_SCADA_GOOD} GROUP BY 1)
-SELECT node_id, last_seen,
+    """Late deliveries: rows held back and delivered after the rest; many of them share a window.
+
+    A row is dropped when its window's end is at or below the watermark.  The count is of input rows:
+    the good rows of the landing less the rows that all windows, open ones included, have counted
+    (an update-mode run).  The windows emitted are those of the append-mode run."""
+    k = M.payload_k(F.col("value"))
+    held = F.coalesce(F.floor(k / 10) == LATE_TENS, F.lit(False))
+    root = T.derived(spark, f"{sf.rstrip('/')}/events.parquet", "landing-late",
+                     lambda path: S.landing(spark, sf, path, CHUNKS, held), end="plan/_SUCCESS")
+
+    def windows():
+        return S.hourly_rollup(S.scada_rows(S.message_stream(spark, root)), key="_dataset")
+    emitted = spark.read.parquet(_derived(spark, sf, "late", lambda path: _file_sink(windows(), path)) + "/out")
+    updates = spark.read.parquet(_derived(spark, sf, "late-updates", lambda path: _epoch_sink(windows(), path, "update", True)) + "/out")
+    counted = updates.groupBy("window", "_dataset").agg(F.max("n").alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("counted"))
+    sent = S.scada_rows(spark.read.parquet(f"{root}/data")).agg(F.count(F.lit(1)).alias("sent"))
+    return (emitted.agg(F.count(F.lit(1)).alias("windows_emitted")).crossJoin(counted).crossJoin(sent)    # one row each
+            .select((F.col("sent") - F.col("counted")).alias("late_rows_dropped"), "windows_emitted"))
+
+
+_STALE_SQL = " ".join(f"WHEN '{f}' THEN {m}" for f, m in STALE_MINUTES.items())
+
+
+@register("stream_staleness", BP.MSG_SQL + f""", g AS (SELECT split_part(topic, '.', 3) AS feed, 'N' || user_id AS node_id, MAX(ts) AS last_seen
+  FROM mm WHERE topic IN ({', '.join(f"'energy.bronze.{f}'" for f in STALE_MINUTES)}) AND error_message IS NULL AND k NOT IN {BP.ROW_REJECT}
+  GROUP BY 1, 2)
+SELECT feed, node_id, last_seen,
        CAST(round(CAST((epoch_us(TIMESTAMP '{STALE_AS_OF}') - epoch_us(last_seen)) / 6e7 AS DECIMAL(38,9)), 2) AS DOUBLE)
          AS minutes_since,
-       (epoch_us(TIMESTAMP '{STALE_AS_OF}') - epoch_us(last_seen)) / 6e7 > 15 AS is_stale FROM g""", "T7")
+       (epoch_us(TIMESTAMP '{STALE_AS_OF}') - epoch_us(last_seen)) / 6e7 > CASE feed {_STALE_SQL} END AS is_stale FROM g""", "T7")
 def stream_staleness(spark, sf):
-    def build():
-        rows = S.scada_rows(S.message_stream(spark, _landing(spark, sf)))
-        return _overwrite_sink(S.last_seen(rows), spark, "last_seen")
-    r = spark.read.parquet(_cached(spark, sf, "stale", build))
+    def build(path):
+        rows = S.feed_rows(S.message_stream(spark, _landing(spark, sf)), {f"energy.bronze.{f}": f for f in STALE_MINUTES})
+        _epoch_sink(S.last_seen(rows, "feed", "node_id"), path, "complete")
+    r = spark.read.parquet(_derived(spark, sf, "stale", build) + "/out")
     mins = (F.unix_micros(F.lit(STALE_AS_OF).cast("timestamp")) - F.unix_micros("last_seen")) / F.lit(6e7)
-    return r.select("node_id", F.col("last_seen").cast("timestamp_ntz").alias("last_seen"),
-                    dround(mins, 2).alias("minutes_since"), (mins > 15).alias("is_stale"))
+    limit = F.element_at(F.create_map(*[F.lit(x) for kv in STALE_MINUTES.items() for x in kv]), F.col("feed"))
+    return r.select("feed", "node_id", F.col("last_seen").cast("timestamp_ntz").alias("last_seen"),
+                    dround(mins, 2).alias("minutes_since"), (mins > limit).alias("is_stale"))
 
 
 @register("stream_ingestion_lag", BP.MSG_SQL + """
@@ -184,9 +193,8 @@ SELECT topic, COUNT(*) AS n, CAST(quantile_disc(k, 0.5) AS DOUBLE) AS p50_lag_s,
        quantile_disc(k, 0.95) < 300 AS meets_target
 FROM mm WHERE error_message IS NULL AND topic <> 'energy.bronze.plants' GROUP BY 1""", "T8")
 def stream_ingestion_lag(spark, sf):
-    def build():
-        return _overwrite_sink(S.lag_stats(S.message_stream(spark, _landing(spark, sf))), spark, "lag")
-    r = spark.read.parquet(_cached(spark, sf, "lag", build))
+    r = spark.read.parquet(_derived(spark, sf, "lag", lambda path: _epoch_sink(
+        S.lag_stats(S.message_stream(spark, _landing(spark, sf))), path, "complete")) + "/out")
     return r.select("topic", "n", F.col("q")[0].alias("p50_lag_s"), F.col("q")[1].alias("p95_lag_s"),
                     "max_lag_s", (F.col("q")[1] < 300).alias("meets_target"))
 
@@ -197,14 +205,13 @@ _CLIM_SQL = "([" + ", ".join(f"'{c}'" for c in M.CLIMATES) + f"])[(user_id % {le
 @register("stream_enrich", BP.MSG_SQL + f"""
 SELECT "offset" AS _kafka_offset, 'N' || user_id AS node_id, {_CLIM_SQL} AS climate {_SCADA_GOOD}""", "T10 J6")
 def stream_enrich(spark, sf):
-    def build():
+    def build(path):
         dim = (T.telemetry(spark, sf).select("node_id").distinct()
                .select(F.concat(F.lit("N"), F.col("node_id").cast("string")).alias("node_id"),
                        _climate_col(F.col("node_id")).alias("climate")))
         rows = S.scada_rows(S.message_stream(spark, _landing(spark, sf)))
-        out = S.enrich(rows, dim).select("_kafka_offset", "node_id", "climate")
-        return _file_sink(out, spark, "enrich")
-    return spark.read.parquet(_cached(spark, sf, "enrich", build))
+        _file_sink(S.enrich(rows, dim).select("_kafka_offset", "node_id", "climate"), path)
+    return spark.read.parquet(_derived(spark, sf, "enrich", build) + "/out")
 
 
 @register("stream_moving_average", BP.MSG_SQL + f""", g AS (SELECT ts, 'N' || user_id AS node_id, mw {_SCADA_GOOD}),
@@ -214,9 +221,9 @@ SELECT window_start, node_id, COUNT(*) AS n,
        {'CAST(round(CAST(CAST(SUM(CAST(mw AS DECIMAL(28,4))) AS DOUBLE) / COUNT(*) AS DECIMAL(38,9)), 4) AS DOUBLE)'} AS avg_mw
 FROM x GROUP BY 1, 2 HAVING window_start + INTERVAL 1 HOUR <= ({_WM})""", "T11")
 def stream_moving_average(spark, sf):
-    def build():
+    def build(path):
         rows = S.scada_rows(S.message_stream(spark, _landing(spark, sf)))
-        return _file_sink(S.hourly_rollup(rows, slide="15 minutes"), spark, "moving_avg")
-    r = spark.read.parquet(_cached(spark, sf, "movavg", build))
+        _file_sink(S.hourly_rollup(rows, slide="15 minutes"), path)
+    r = spark.read.parquet(_derived(spark, sf, "movavg", build) + "/out")
     return r.select(F.col("window.start").cast("timestamp_ntz").alias("window_start"), "node_id", "n",
                     dround(F.col("mw_sum").cast("double") / F.col("n"), 4).alias("avg_mw"))

@@ -7,24 +7,30 @@ session has none, which is the case in local tests.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark import SparkConf
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(app: str = "wattline", cpus: int | str | None = None,
-              shuffle_partitions: int | None = None) -> SparkSession:
+              shuffle_partitions: int | None = None, master: str | None = None) -> SparkSession:
     """Session tuned for the engine: AQE with skew handling, UTC, ANSI on, no UI.
 
+    The master is ``master``, else the one the launcher has set (``spark-submit --master``), else
+    ``local[cpus]``.
+
     ``spark.sql.shuffle.partitions`` is the upper bound AQE coalesces from: on a cluster set it
     to about (largest shuffle size / 128 MB), e.g. 20,000-80,000 for a 100 TB scan, through
     ``WATTLINE_SHUFFLE_PARTITIONS``; locally it defaults to 8."""
     cpus = cpus or os.environ.get("BENCH_CPUS", "8")
     parts = shuffle_partitions or int(os.environ.get("WATTLINE_SHUFFLE_PARTITIONS", "8"))
     builder = (
-        SparkSession.builder.master(f"local[{cpus}]")
+        SparkSession.builder.master(master or SparkConf().get("spark.master") or f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -51,10 +57,16 @@ def get_spark(app: str = "wattline", cpus: int | str | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set one only when the session has none (tests)."""
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    Only a local session may do without the setting: it gets a temporary folder, removed when the
+    process ends.  On a cluster a folder of the driver's machine would lose rows, so this raises."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.partition("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="wattline-ckpt-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", base)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(base)
@@ -63,7 +75,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder, for written tables and stream state."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return f"{base}/wattline/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{ensure_checkpoint_dir(spark)}/wattline/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialized(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back: values fixed by the run that wrote
+    them stay, and a join with it reads a plain scan, whose partner AQE can split when skewed."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattline import schemas
+from wattline.operators import decode as DC
 
 SERIES_PARTITIONS = ["event_date"]
 CLUSTER = ["node_id", "timestamp"]
@@ -48,9 +49,9 @@ def append_table(df: DataFrame, root: str, table: str, fmt: str = "parquet") ->
     return path
 
 
-def write_epoch(df: DataFrame, root: str, table: str, epoch: int, fmt: str = "parquet") -> str:
-    """Exactly-once write of one micro-batch: the batch goes to ``<table>/batch=<epoch>`` with
-    overwrite, so a retried epoch replaces its own output instead of appending it twice."""
+def write_epoch(df: DataFrame, root: str, table: str, epoch: int | str, fmt: str = "parquet") -> str:
+    """Exactly-once write of one batch: it goes to ``<table>/batch=<epoch>`` with overwrite, so a
+    retried epoch replaces its own output instead of appending it twice."""
     path = f"{root}/{table}/batch={epoch}"
     laid, parts = _layout(df, table)
     w = laid.write.mode("overwrite").format(fmt)
@@ -60,6 +61,65 @@ def write_epoch(df: DataFrame, root: str, table: str, epoch: int, fmt: str = "pa
     return path
 
 
+LEDGER = "landed_messages"
+LEDGER_SCHEMA = "topic string, partition int, offset bigint, landed boolean, batch string"
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def ledger(spark: SparkSession, root: str) -> DataFrame:
+    """Keys of all messages taken so far: landed in a table, or (``landed`` false) dead letters."""
+    path = f"{root}/{LEDGER}"
+    if not exists(spark, path):
+        return spark.createDataFrame([], LEDGER_SCHEMA)
+    return spark.read.schema(LEDGER_SCHEMA).parquet(path)
+
+
+def land(decoded: DataFrame, root: str, epoch: int | str, landed_only: bool = False) -> None:
+    """One batch of decoded messages into the five tables and the dead-letter table.
+
+    Messages that an earlier batch has taken (left anti join with the ledger; with ``landed_only``
+    dead letters may come again) and second copies inside the batch are left out.  What remains is
+    judged once and staged by topic and outcome; every table is written from its own part of the
+    stage.  All writes carry the epoch, so a retry replaces them."""
+    spark = decoded.sparkSession
+    before = ledger(spark, root).filter(F.col("batch") != F.lit(str(epoch)))
+    if landed_only:
+        before = before.filter("landed")
+    keys = ["topic", "partition", "offset"]
+    new = DC.judged(decoded).join(before.select(*keys), keys, "left_anti").dropDuplicates(keys)
+    stage = f"{root}/_stage/batch={epoch}"
+    parted = new.withColumn("_topic", F.col("topic")).withColumn("landed", F.col("reject").isNull())
+    parted.write.mode("overwrite").partitionBy("_topic", "landed").parquet(stage)
+    staged = spark.read.schema(parted.schema).parquet(stage)
+    for topic, table in schemas.TOPIC_TABLE.items():
+        good, _ = DC.to_table(staged.filter((F.col("_topic") == topic) & F.col("landed")), table, F.lit(str(epoch)))
+        write_epoch(good, root, table, epoch)
+    write_epoch(DC.dead_letters(staged.filter(~F.col("landed")), F.lit(str(epoch))), root, "dead_letter_queue", epoch)
+    staged.select(*keys, "landed").write.mode("overwrite").parquet(f"{root}/{LEDGER}/batch={epoch}")
+
+
+#: One metric of each table, for queries over all of them.
+METRIC = {"scada_telemetry": "solar_mw", "weather": "temperature_c", "demand": "demand_mw",
+          "grid_dispatch": "total_generation_mw", "plants": "capacity_mw"}
+
+
+def all_tables(spark: SparkSession, root: str) -> DataFrame:
+    """The five tables in one shape: table, entity (plant or node), day, metric, dataset, batch."""
+    out = None
+    for table, metric in METRIC.items():
+        plant = table == "plants"
+        t = read_table(spark, root, table).select(
+            F.lit(table).alias("table_name"), F.col("plant_id" if plant else "node_id").alias("entity"),
+            (F.lit(None) if plant else F.col("event_date")).cast("date").alias("event_date"),
+            F.col(metric).alias("metric"), "_dataset")
+        out = t if out is None else out.unionByName(t)
+    return out
+
+
 def read_table(spark: SparkSession, root: str, table: str, fmt: str = "parquet",
                merge_schema: bool = False) -> DataFrame:
     r = spark.read.format(fmt)
@@ -80,13 +140,13 @@ def compact(spark: SparkSession, src: str, dst: str, target_file_bytes: int = 25
             partition_by: Sequence[str] = (), order: Sequence[str] = ()) -> str:
     """Rewrite a table into files of about ``target_file_bytes`` at a new location (never in
     place: the source stays readable until the caller switches to ``dst``).  The file count comes
-    from the table's size on disk (the file-size metadata column, one row per file); rows are
+    from the table's size on disk (a listing, no row is read for it); rows are
     range-partitioned on the directory columns plus ``order``, so each task writes a contiguous
     slice of one or a few directories and a large directory is split over many tasks rather than
     written by one."""
     df = spark.read.parquet(src)
-    per_file = df.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("b")).distinct()
-    size = per_file.agg(F.sum("b")).first()[0] or 0
+    at = spark._jvm.org.apache.hadoop.fs.Path(src)
+    size = at.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
     files = max(1, -(-size // target_file_bytes))
     keys = [*partition_by, *order]
     laid = df.repartitionByRange(files, *keys).sortWithinPartitions(*keys) if keys else df.coalesce(files)
@@ -125,7 +185,3 @@ def write_seed_csv(df: DataFrame, path: str) -> str:
     """Header CSV, columns in the frame's order."""
     df.write.mode("overwrite").option("header", True).csv(path)
     return path
-
-
-def dlq_schema_frame(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], schemas.DLQ_SCHEMA)

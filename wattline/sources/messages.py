@@ -25,7 +25,8 @@ PARTITIONS = 6
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 # Fault rules of the binding, on the event's props.k (0..99): which messages arrive damaged.
 FAULTS = {"null_payload": 7, "truncated": 13, "array": 42, "bad_utf8": 88, "bad_number": 55,
-          "no_node": 66, "no_dataset": 77, "bare_numbers": 99}
+          "no_node": 66, "no_dataset": 77, "bare_numbers": 99,
+          "trailing_text": 21, "two_objects": 22, "leading_newline": 23, "other_currency": 24}
 CLIMATES = ["desert", "arid", "tropical", "arctic", "mountain", "monsoon", "coastal", "island", "urban",
             "plains", "highland", "temperate", "rainy", "volcanic"]
 
@@ -114,7 +115,8 @@ def telemetry_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("total_generation_mw", F.when(on("signup"), mw_s)),
         (F.concat(F.lit("spot_price_"), cur), F.when(on("signup"), k)),
         (F.concat(F.lit("revenue_"), cur), F.when(on("signup"), F.col("mw").cast("string"))),
-        (F.concat(F.lit("ppa_price_"), cur, F.lit("_mwh")), F.when(on("error"), k)),
+        (F.concat(F.lit("ppa_price_"), F.when(ki == FAULTS["other_currency"], F.lit("eur")).otherwise(cur), F.lit("_mwh")),
+         F.when(on("error"), k)),
         ("lat", F.when(on("error") & (ds == "chile"), F.concat(F.lit("-"), k))),
         ("lon", F.when(on("error") & (ds == "chile"), F.col("mw").cast("string"))),
         ("_dataset", F.when(ki != FAULTS["no_dataset"], ds)),
@@ -123,6 +125,9 @@ def telemetry_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     payload = F.map_from_entries(F.filter(F.array(*structs), lambda e: e["v"].isNotNull()))
     js = F.to_json(payload)
     body = (F.when(ki == FAULTS["truncated"], F.expr("substring(_js, 1, length(_js) - 1)"))
+            .when(ki == FAULTS["trailing_text"], F.concat(F.col("_js"), F.lit(" trailing")))
+            .when(ki == FAULTS["two_objects"], F.concat(F.col("_js"), F.col("_js")))
+            .when(ki == FAULTS["leading_newline"], F.concat(F.lit("\n"), F.col("_js")))
             .when(ki == FAULTS["array"], F.concat(F.lit("["), F.col("_js"), F.lit("]")))
             .when(ki == FAULTS["bare_numbers"], F.regexp_replace("_js", r'"(-?[0-9]+(\.[0-9]+)?)"', "$1"))
             .otherwise(F.col("_js")))
@@ -140,22 +145,16 @@ def telemetry_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m
 
 
-_PUBLISHED: dict[tuple[str, str], str] = {}
-
-
 def publish_topics(spark: SparkSession, sf_dir: str) -> str:
-    """Flow A: write the telemetry messages once to a topic store (Parquet, one directory per
-    topic, under the shared checkpoint folder) and return its path.  Consumers scan the store, as
-    they would read a broker; the write happens once per session and input directory."""
-    from wattline.session import scratch_path
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _PUBLISHED:
-        path = scratch_path(spark, "topics")
+    """Flow A: write the telemetry messages to a topic store (Parquet, one directory per topic,
+    in the shared folder) and return its path.  Consumers scan the store, as they would read a
+    broker.  The store is named after the state of its input (files, sizes, times), so a grown or
+    changed input gets a new one and an unchanged one is found again, by any process."""
+    def write(path: str) -> None:
         # no shuffle by topic: with a handful of topics that would put a whole topic in one task;
         # each task writes its own rows of every topic (the writer sorts them by topic locally)
         telemetry_messages(spark, sf_dir).write.mode("overwrite").partitionBy("topic").parquet(path)
-        _PUBLISHED[key] = path
-    return _PUBLISHED[key]
+    return T.derived(spark, f"{sf_dir.rstrip('/')}/events.parquet", "topics", write)
 
 
 def read_topics(spark: SparkSession, path: str, topics: Sequence[str] | None = None) -> DataFrame:
@@ -169,5 +168,5 @@ def payload_k(value: Column) -> Column:
     field holds it); NULL when the payload does not parse."""
     text = F.make_valid_utf8(value.cast("string"))
     fields = ["wind_mw", "humidity_pct", "residential_pct", "spot_price_usd", "spot_price_gil",
-              "ppa_price_usd_mwh", "ppa_price_gil_mwh"]
+              "ppa_price_usd_mwh", "ppa_price_gil_mwh", "ppa_price_eur_mwh"]
     return F.coalesce(*[F.get_json_object(text, f"$.{f}") for f in fields]).try_cast("int")

@@ -7,9 +7,14 @@ query does not use and pushes its filters into the scan.
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wattline.session import ensure_checkpoint_dir
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -66,22 +71,32 @@ def nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-PLANT_BROADCAST_ROWS = 500_000   # about 50 MB of plant rows per executor
-_ROWS: dict[tuple[str, str, str], int] = {}
+#: Size on disk up to which the plant table is broadcast (a few times that in memory).
+PLANT_BROADCAST_BYTES = 16 << 20
+
+
+def files_of(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(path, bytes, modification time) of the files at or directly under ``path``, by listing only."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed = at.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(at)
+    return sorted((str(f.getPath()), f.getLen(), f.getModificationTime()) for f in listed if f.isFile())
 
 
-def row_count(spark: SparkSession, sf_dir: str, name: str) -> int:
-    """Row count of a driver table, once per session (Parquet answers it from file footers)."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _ROWS:
-        _ROWS[key] = scan(spark, sf_dir, name).count()
-    return _ROWS[key]
+def derived(spark: SparkSession, source: str, name: str, write: Callable[[str], None], end: str = "_SUCCESS") -> str:
+    """Folder of what is derived from the files at ``source``: named after their state, made by
+    ``write`` unless a finished one (which has the file ``end``) is there."""
+    state = hashlib.sha256(repr(files_of(spark, source)).encode()).hexdigest()[:16]
+    path = f"{ensure_checkpoint_dir(spark)}/wattline/{name}-{state}"
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{end}")
+    if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+        write(path)
+    return path
 
 
 def plants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """supplier ⋈ nodes -> plants.  The node side is bounded (25 rows) and broadcast.  The plant
-    side grows with the data: it carries a broadcast hint only while its row count is under
-    ``PLANT_BROADCAST_ROWS``, so a fact table joined to it is never chosen as the broadcast side
+    side grows with the data: it carries a broadcast hint only while its files are under
+    ``PLANT_BROADCAST_BYTES``, so a fact table joined to it is never chosen as the broadcast side
     from a small file-size estimate; above the bound the join stays a shuffle join (AQE splits
     skewed partitions)."""
     s = scan(spark, sf_dir, "supplier")
@@ -94,7 +109,8 @@ def plants(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.greatest(F.abs(F.col("s_acctbal")), F.lit(1.0)).alias("capacity_mw"),
         F.col("s_acctbal").alias("acctbal"),
     )
-    return F.broadcast(out) if row_count(spark, sf_dir, "supplier") <= PLANT_BROADCAST_ROWS else out
+    size = sum(f[1] for f in files_of(spark, f"{sf_dir.rstrip('/')}/supplier.parquet"))
+    return F.broadcast(out) if size <= PLANT_BROADCAST_BYTES else out
 
 
 def demand(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,58 +15,61 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline import schemas
 from wattline.operators import decode as DC
-from wattline.session import scratch_path
 from wattline.sources import bronze as B
 from wattline.sources import messages as M
+from wattline.sources import tables as T
 
 WATERMARK = "10 minutes"
 
 
-ROWS_PER_ARRIVAL_FILE = 2_000_000   # about 300 MB of messages per arrival file
-_FILES_PER_BATCH: dict[str, int] = {}
+#: Size of an arrival file (the largest range of a landing decides how many files each one gets).
+ARRIVAL_FILE_BYTES = 128 << 20
+_PLAN = "files_per_arrival int"
 
 
-def landing(spark: SparkSession, sf_dir: str, chunks: int = 6, held_back: Column | None = None) -> str:
-    """Arrival files for a stream: the messages of the topic store cut into ``chunks`` equal
-    event-time ranges that arrive in time order (the file source replays files in arrival order),
-    one micro-batch per range.  Rows matching ``held_back`` are kept out of their range and arrive
-    last, as late deliveries.
+def landing(spark: SparkSession, sf_dir: str, root: str, chunks: int = 6, held_back: Column | None = None) -> str:
+    """Arrival files for a stream, under ``root``: the messages of the topic store cut into
+    ``chunks`` equal event-time ranges that arrive in time order (the file source replays files in
+    arrival order), one micro-batch per range.  Rows matching ``held_back`` are kept out of their
+    range and arrive last, as late deliveries.
 
-    The topic store is read once: one aggregate gives the range edges and the smallest range's
-    row count, one write stages the messages partitioned by range, and each range is then read
-    back alone (partition pruning) and written as ``n`` round-robin files, ``n`` growing with the
-    data (``ROWS_PER_ARRIVAL_FILE``), so no task carries a whole range.  The stream reads
-    ``n`` files per trigger (``message_stream``), which keeps one range per micro-batch."""
+    The messages are staged partitioned by range, and each range is read back alone (partition
+    pruning) and written as ``n`` round-robin files.  ``n`` follows the bytes of the largest range, so
+    no task carries a hot range.  It is stored beside the files (``files_per_arrival``): every process
+    that streams from ``root`` reads ``n`` files per trigger, one range per micro-batch."""
     msgs = M.read_topics(spark, M.publish_topics(spark, sf_dir))
-    path, stage = scratch_path(spark, "landing"), scratch_path(spark, "landing_stage")
     t = F.unix_micros(F.col("timestamp"))
     lo, hi = msgs.agg(F.min(t), F.max(t)).first()
     step = (hi - lo) // chunks + 1
     late = F.lit(False) if held_back is None else F.coalesce(held_back, F.lit(False))
     slot = F.when(late, F.lit(chunks)).otherwise(F.expr(f"(unix_micros(timestamp) - {lo}) div {step}"))
-    msgs.withColumn("_slot", slot).write.partitionBy("_slot").parquet(stage)
+    stage = f"{root}/stage"
+    msgs.withColumn("_slot", slot).write.mode("overwrite").partitionBy("_slot").parquet(stage)
     staged = spark.read.parquet(stage)
-    sizes = dict(staged.groupBy("_slot").count().collect())     # one row per range (at most chunks + 1)
-    smallest = min(sizes.get(i, 0) for i in range(chunks))
-    n = max(1, smallest // ROWS_PER_ARRIVAL_FILE)
-    for i in range(chunks + (1 if held_back is not None else 0)):
-        append_arrivals(staged.filter(F.col("_slot") == i).drop("_slot"), path, n)
-    _FILES_PER_BATCH[path] = n
-    return path
+    slots = range(chunks + (held_back is not None))
+    largest = max(sum(f[1] for f in T.files_of(spark, f"{stage}/_slot={i}")) if B.exists(spark, f"{stage}/_slot={i}") else 0
+                  for i in slots)
+    n = max(1, -(-largest // ARRIVAL_FILE_BYTES))
+    for i in slots:
+        staged.filter(F.col("_slot") == i).drop("_slot").repartition(n).write.mode("append" if i else "overwrite").parquet(f"{root}/data")
+    spark.createDataFrame([(n,)], _PLAN).coalesce(1).write.mode("overwrite").parquet(f"{root}/plan")
+    return root
 
 
-def append_arrivals(df: DataFrame, path: str, n: int | None = None) -> None:
-    """Write one arrival (a later micro-batch of ``path``'s stream) as ``n`` round-robin files."""
-    n = n or _FILES_PER_BATCH.get(path, 1)
-    df.repartition(n).write.mode("append").parquet(path)
+def files_per_arrival(spark: SparkSession, root: str) -> int:
+    return spark.read.schema(_PLAN).parquet(f"{root}/plan").first()[0]
 
 
-def message_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+def append_arrivals(df: DataFrame, root: str) -> None:
+    """Write one arrival (a later micro-batch of the stream from ``root``)."""
+    df.repartition(files_per_arrival(df.sparkSession, root)).write.mode("append").parquet(f"{root}/data")
+
+
+def message_stream(spark: SparkSession, root: str, files_per_trigger: int | None = None) -> DataFrame:
     """The file source with the Kafka columns; ``maxFilesPerTrigger`` bounds a micro-batch
-    (by default the file count of one arrival of a ``landing`` folder)."""
-    return M.file_source(spark, path, files_per_trigger or _FILES_PER_BATCH.get(path, 1))
+    (by default to the files of one arrival)."""
+    return M.file_source(spark, f"{root}/data", files_per_trigger or files_per_arrival(spark, root))
 
 
 def scada_rows(stream: DataFrame, batch_id: str = "stream") -> DataFrame:
@@ -77,17 +80,9 @@ def scada_rows(stream: DataFrame, batch_id: str = "stream") -> DataFrame:
 
 
 def ingest_batch(root: str) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` body over decoded rows — persisted once, routed to the five tables
-    and the dead-letter table, each written for this epoch only (exactly-once on retry)."""
+    """``foreachBatch`` body over decoded rows (see ``bronze.land``)."""
     def run(batch: DataFrame, epoch: int) -> None:
-        d = batch.persist()
-        try:
-            for topic, table in schemas.TOPIC_TABLE.items():
-                good, _ = DC.to_table(d.filter(F.col("topic") == topic), table, F.lit(str(epoch)))
-                B.write_epoch(good, root, table, epoch)
-            B.write_epoch(DC.dlq_one_pass(d, F.lit(str(epoch))), root, "dead_letter_queue", epoch)
-        finally:
-            d.unpersist()
+        B.land(batch, root, epoch)
     return run
 
 
@@ -118,6 +113,14 @@ def replay_dedup(stream: DataFrame, delay: str = "1 day") -> DataFrame:
             .dropDuplicatesWithinWatermark(["topic", "partition", "offset"]))
 
 
+def feed_rows(stream: DataFrame, feeds: dict[str, str]) -> DataFrame:
+    """Good rows of several feeds (topic -> name) as (feed, node_id, timestamp), parsed once."""
+    names = F.create_map(*[F.lit(x) for kv in feeds.items() for x in kv])
+    good = DC.judged(DC.decode_json(stream.filter(F.col("topic").isin(list(feeds))))).filter(F.col("reject").isNull())
+    return good.select(F.element_at(names, F.col("topic")).alias("feed"), F.col("p.node_id").alias("node_id"),
+                       F.try_to_timestamp(F.col("p.timestamp")).alias("timestamp"))
+
+
 def hourly_rollup(rows: DataFrame, value: str = "solar_mw", key: str = "node_id", size: str = "1 hour",
                   slide: str | None = None) -> DataFrame:
     """Tumbling (or sliding) event-time windows per key, with a 10-minute watermark; in
@@ -128,9 +131,9 @@ def hourly_rollup(rows: DataFrame, value: str = "solar_mw", key: str = "node_id"
             .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(value).cast("decimal(28,4)")).alias("mw_sum")))
 
 
-def last_seen(rows: DataFrame, key: str = "node_id") -> DataFrame:
+def last_seen(rows: DataFrame, *keys: str) -> DataFrame:
     """Newest event time per key (complete mode: one state row per key)."""
-    return rows.groupBy(key).agg(F.max("timestamp").alias("last_seen"))
+    return rows.groupBy(*keys).agg(F.max("timestamp").alias("last_seen"))
 
 
 def lag_stats(stream: DataFrame, accuracy: int = 100_000) -> DataFrame:
