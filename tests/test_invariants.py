@@ -46,7 +46,8 @@ def test_landed_plus_dead_letters_is_messages(spark):
 
 
 def test_fact_totals_reconcile(spark):
-    assert Q["reconciliation"](spark, SF_SMALL).filter("not ok").count() == 0
+    r = Q["reconciliation"](spark, SF_SMALL)
+    assert r.filter("not rows_ok").count() == 0 and r.count() == 5 and r.filter("not source_ok").count() > 0
 
 
 def test_fill_keeps_every_observation(spark):

@@ -26,7 +26,7 @@ def con():
 
 def test_entry_smoke(spark):
     df = E.entry(spark)
-    assert df.columns == ["region", "month", "mwh", "revenue", "n_rows", "blended_price"]
+    assert df.columns == ["region", "month", "mwh", "revenue", "ppa_revenue", "spot_revenue", "n_rows", "blended_price"]
     assert df.count() > 0
 
 

@@ -15,20 +15,25 @@ from pyspark.sql import functions as F
 from wattline.functions.columns import (
     carbon_offset, day, exact_sum, hour_ts, month, ratio,
 )
+from wattline.operators.derive import dense_sequence
 
 
 def fact_revenue(gen: DataFrame, plants: DataFrame, keys: Sequence[str] = ("region",),
                  period: str = "month") -> DataFrame:
-    """MWh, revenue and blended price (= sum revenue / sum MWh) per keys and period.
+    """MWh, revenue, PPA settlement (MWh x the plant's contract price), spot revenue (MWh x the
+    row's spot price, i.e. revenue x (1 + spot adjustment)) and blended price (= sum revenue / sum MWh,
+    NULL without MWh) per keys and period.
 
     The plant side is joined on ``plant_id`` without a hint: AQE broadcasts it when its runtime
     size is under the threshold and keeps a sort-merge join (with skew splitting) otherwise."""
     per = month if period == "month" else day
-    g = gen.select("plant_id", per("ts").alias(period), "mwh", "revenue")
-    j = g.join(plants.select("plant_id", *keys), "plant_id")
+    g = gen.select("plant_id", per("ts").alias(period), "mwh", "revenue", "spot_adj")
+    j = g.join(plants.select("plant_id", "ppa_price", *keys), "plant_id")
     return (j.groupBy(*keys, period)
             .agg(exact_sum("mwh", 2, "mwh"),
                  exact_sum("revenue", 2, "revenue"),
+                 exact_sum(F.col("mwh") * F.col("ppa_price"), 2, "ppa_revenue"),
+                 exact_sum(F.col("revenue") * (F.lit(1) + F.col("spot_adj")), 4, "spot_revenue"),
                  F.count(F.lit(1)).alias("n_rows"))
             .withColumn("blended_price", ratio("revenue", "mwh")))
 
@@ -131,20 +136,25 @@ def hourly_profile(samples: DataFrame, sources: Sequence[str]) -> DataFrame:
 
 
 def mix_by_node(samples: DataFrame) -> DataFrame:
-    """MW per (node, source) and its share of the node total (window over the node)."""
+    """MW per (node, source), its share of the node total (window over the node's sources)
+    and the node's place by total MW (largest first, ties by id)."""
     agg = samples.groupBy("node_id", "source_type").agg(exact_sum("mw", 4, "mw"))
-    w = Window.partitionBy("node_id")
-    return agg.withColumn("share", F.round(F.col("mw") / F.sum("mw").over(w), 6))
+    total = samples.groupBy("node_id").agg(exact_sum("mw", 4, "total"))
+    ranked = dense_sequence(total.withColumn("_down", -F.col("total")), ["_down", "node_id"], "node_rank")
+    return (agg.join(ranked.select("node_id", "total", "node_rank"), "node_id")
+            .select("node_id", "source_type", "mw", F.round(F.col("mw") / F.col("total"), 6).alias("share"), "node_rank"))
 
 
 def capacity_vs_demand(plants: DataFrame, dem: DataFrame) -> DataFrame:
-    """Installed capacity and daily demand (mean and peak) per node."""
-    cap = plants.groupBy("node_id", "node_name", "region").agg(exact_sum("capacity_mw", 2, "capacity_mw"))
+    """Installed capacity and daily demand (mean and peak) per node, from north to south:
+    ordered by latitude, with the place in that order (nodes are the 25 nations)."""
+    cap = plants.groupBy("node_id", "node_name", "region", "latitude").agg(exact_sum("capacity_mw", 2, "capacity_mw"))
     daily = node_day_demand(dem)
     d = daily.groupBy("node_id").agg(
         F.max("demand_mwh").alias("peak_demand_mwh"),
         F.round(F.avg("demand_mwh"), 6).alias("avg_demand_mwh"))
-    return cap.join(d, "node_id", "left").orderBy(F.col("region"), F.col("node_id"))
+    north = Window.orderBy(F.col("latitude").desc(), "node_id")
+    return cap.join(d, "node_id", "left").withColumn("north_rank", F.row_number().over(north).cast("long")).orderBy("north_rank")
 
 
 def node_revenue(gen: DataFrame, plants: DataFrame) -> DataFrame:

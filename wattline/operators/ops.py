@@ -32,14 +32,13 @@ def incident_episodes(log: DataFrame) -> DataFrame:
 def incident_cards(log: DataFrame) -> DataFrame:
     """One card per (title, episode): the first alert body opens it (``min_by``), later alerts
     are comments (counted here; listed by ``incident_comments``), a close marks it closed."""
-    e = incident_episodes(log)
-    alerts = e.filter(F.col("action") == "open")
-    cards = alerts.groupBy("full_title", "episode").agg(
-        F.min("ts").alias("opened_at"), F.min_by("body", F.struct("ts", "seq")).alias("description"),
-        (F.count(F.lit(1)) - 1).alias("n_comments"))
-    closed = (e.filter(F.col("action") == "close").groupBy("full_title", "episode")
-              .agg(F.min("ts").alias("closed_at")))
-    return cards.join(closed, ["full_title", "episode"], "left")
+    opened, at = F.col("action") == "open", F.struct("ts", "seq")
+    return (incident_episodes(log).groupBy("full_title", "episode").agg(
+        F.min(F.when(opened, F.col("ts"))).alias("opened_at"),
+        F.min_by(F.when(opened, F.col("body")), F.when(opened, at)).alias("description"),
+        (F.count_if(opened) - 1).alias("n_comments"),
+        F.min(F.when(F.col("action") == "close", F.col("ts"))).alias("closed_at"))
+        .filter(F.col("opened_at").isNotNull()))
 
 
 def incident_comments(log: DataFrame) -> DataFrame:

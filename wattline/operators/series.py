@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 
 DAY = 86_400
 WEEK = 7 * DAY
+#: Rows that the densest (key, bucket) may hold; buckets are shortened until it does.
+BUCKET_ROWS = 1_000_000
 
 
 def epoch_seconds(ts: str | Column) -> Column:
@@ -38,9 +40,18 @@ def bucket_of(ts: str | Column, seconds: int) -> Column:
     return F.floor(epoch_seconds(ts) / F.lit(seconds)).cast("long")
 
 
+def fitted(df: DataFrame, keys: Sequence[str], ts: str | Column, seconds: int, least: int = 60) -> int:
+    """Bucket length for ``df``: ``seconds``, shortened (to ``least`` at most) so that the densest
+    (key, bucket) holds about ``BUCKET_ROWS`` rows.  One counting aggregate over key and time."""
+    per = df.groupBy(*keys, bucket_of(ts, seconds).alias("_b")).count()
+    densest = per.agg(F.max("count")).first()[0] or 0
+    return max(least, seconds // max(1, -(-densest // BUCKET_ROWS)))
+
+
 def _shift_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str],
-               bucket_seconds: int, prefix: str, forward: bool) -> DataFrame:
+               bucket_seconds: int | None, prefix: str, forward: bool) -> DataFrame:
     b = "_bucket"
+    bucket_seconds = bucket_seconds or fitted(df, keys, order[0], DAY)
     d = df.withColumn(b, bucket_of(order[0], bucket_seconds))
     o = [F.col(c) for c in order]
     w = Window.partitionBy(*keys, b).orderBy(*o) if not forward else \
@@ -61,22 +72,23 @@ def _shift_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: S
 
 
 def previous_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str],
-                 bucket_seconds: int = DAY, prefix: str = "prev_") -> DataFrame:
+                 bucket_seconds: int | None = None, prefix: str = "prev_") -> DataFrame:
     """Add ``prev_<c>`` for each order and value column: the previous row of the series ordered by
     ``order`` (unique within the key; the first column is the event time used for buckets)."""
     return _shift_row(df, keys, order, cols, bucket_seconds, prefix, forward=False)
 
 
 def next_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str],
-             bucket_seconds: int = DAY, prefix: str = "next_") -> DataFrame:
+             bucket_seconds: int | None = None, prefix: str = "next_") -> DataFrame:
     """Add ``next_<c>``: the following row of the series (LEAD)."""
     return _shift_row(df, keys, order, cols, bucket_seconds, prefix, forward=True)
 
 
 def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str | Column,
-                  name: str, bucket_seconds: int = DAY) -> DataFrame:
+                  name: str, bucket_seconds: int | None = None) -> DataFrame:
     """Cumulative sum of ``value`` along the series (rows up to and including the current one)."""
     b = "_bucket"
+    bucket_seconds = bucket_seconds or fitted(df, keys, order[0], DAY)
     v = F.col(value) if isinstance(value, str) else value
     d = df.withColumns({b: bucket_of(order[0], bucket_seconds), "_v": v})
     w = (Window.partitionBy(*keys, b).orderBy(*[F.col(c) for c in order])

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from wattline.functions.columns import dround
 from wattline.operators import series as S
+from wattline.session import materialized
 
 
 def dedup_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str]) -> DataFrame:
@@ -58,9 +59,11 @@ def fill_linear(series: DataFrame, key: str, ts: str, value: str, step_hours: in
 
 def zscore_outliers(series: DataFrame, key: str, ts: str, value: str, lookback_seconds: int = 86_400,
                     step_seconds: int = 3_600, min_count: int = 12, z: float = 3.0,
-                    bucket_seconds: int = S.WEEK) -> DataFrame:
+                    bucket_seconds: int | None = None) -> DataFrame:
     """Z-score of each sample against the samples of the previous ``lookback`` (24 h), with at
-    least ``min_count`` of them; sd = 0 gives no z.  Windows run per (key, week) with a 24 h halo."""
+    least ``min_count`` of them; sd = 0 gives no z.  Windows run per (key, week), or a shorter bucket
+    for dense keys, with a 24 h halo."""
+    bucket_seconds = bucket_seconds or S.fitted(series, [key], ts, S.WEEK, least=lookback_seconds)
     h = S.with_halo(series.select(key, ts, value), ts, bucket_seconds, before=lookback_seconds)
     t = S.epoch_seconds(ts).cast("long")
     w = (Window.partitionBy(key, "_bucket").orderBy(t)
@@ -91,6 +94,7 @@ def iqr_outliers(df: DataFrame, key: str, value: str, fence: float = 1.5,
     q = q.withColumn("iqr", F.col("q3") - F.col("q1")).withColumns({
         "lo_fence": dround(F.col("q1") - F.lit(fence) * F.col("iqr"), 4),
         "hi_fence": dround(F.col("q3") + F.lit(fence) * F.col("iqr"), 4)})
+    q = materialized(q, "fences")     # a plain scan, so that Spark can split a hot key of the rows it meets
     flagged = df.select(key, value).join(q.select(key, "lo_fence", "hi_fence"), key).groupBy(key).agg(
         F.count_if((F.col(value) < F.col("lo_fence")) | (F.col(value) > F.col("hi_fence"))).alias("n_outliers"))
     return q.join(flagged, key).withColumn("iqr", dround("iqr", 4))
@@ -122,8 +126,10 @@ def point_in_time(facts: DataFrame, versions: DataFrame, key: str, ts: str) -> D
     return facts.join(v, cond, "left").drop("_vk")
 
 
-def flatline_runs(df: DataFrame, key: str, order: Sequence[str], value: str, min_len: int = 6) -> DataFrame:
-    """Runs of at least ``min_len`` equal consecutive values (islands).  A run starts where the
+def flatline_runs(df: DataFrame, key: str, order: Sequence[str], value: str, min_len: int = 6,
+                  nonzero: bool = False) -> DataFrame:
+    """Runs of at least ``min_len`` equal consecutive values (islands), with ``nonzero`` only of
+    readings that are neither zero nor missing (a plant at rest isn't a stuck sensor).  A run starts where the
     value differs from the previous sample's; the run id is the running count of starts; runs are
     then ordinary groups (partial aggregation, so a very long run is no hot spot)."""
     p = S.previous_row(df.select(key, *order, value), [key], list(order), [value])
@@ -131,6 +137,7 @@ def flatline_runs(df: DataFrame, key: str, order: Sequence[str], value: str, min
     r = S.running_total(p.select(key, *order, value, start.alias("_start")), [key], list(order), "_start", "_run")
     runs = r.groupBy(key, "_run").agg(F.first(value).alias(value), F.min(order[0]).alias("run_start"),
                                       F.max(order[0]).alias("run_end"), F.count(F.lit(1)).alias("run_length"))
+    runs = runs.filter(F.col(value) != 0) if nonzero else runs
     return runs.filter(F.col("run_length") >= min_len).drop("_run")
 
 
@@ -149,7 +156,7 @@ def energy_integral(df: DataFrame, key: str, ts: str, tiebreak: Sequence[str], m
 
 def asof_join(left: DataFrame, right: DataFrame, key: str, ts: str, right_ts: str,
               right_cols: Sequence[str], tolerance_seconds: int = 7200,
-              bucket_seconds: int = S.DAY) -> DataFrame:
+              bucket_seconds: int | None = None) -> DataFrame:
     """For each left row, the last right row of the same key with right_ts <= ts (equal times
     match), or NULLs when that row is older than the tolerance.
 
@@ -157,6 +164,8 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, ts: str, right_ts: st
     (key, day) windows, ordered by time with right rows first on ties.  Right rows within the
     tolerance of the next day are also copied into it as halo rows, so a left row early in a day
     still sees the last right row of the previous day."""
+    bucket_seconds = bucket_seconds or min(S.fitted(left, [key], ts, S.DAY, least=tolerance_seconds),
+                                           S.fitted(right, [key], right_ts, S.DAY, least=tolerance_seconds))
     rvals = [right_ts, *right_cols]
     lstruct = F.struct(*[F.col(c) for c in left.columns])
     rstruct = F.struct(*[F.col(c) for c in rvals])

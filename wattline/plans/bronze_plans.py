@@ -10,6 +10,7 @@ from wattline.plans.registry import register
 from wattline.session import scratch_path
 from wattline.sources import bronze as B
 from wattline.sources import messages as M
+from wattline.sources import tables as T
 
 BATCH = "batch-0"
 FK = M.FAULTS
@@ -237,6 +238,12 @@ SELECT CASE topic {' '.join(f"WHEN '{t}' THEN '{b}'" for t, b in schemas.TOPIC_T
 FROM mm WHERE error_message IS NULL AND k NOT IN {ROW_REJECT}"""
 
 
+def bronze_root(spark, sf):
+    """Root of the Bronze tables that one batch load of the messages has made."""
+    return T.derived(spark, f"{sf.rstrip('/')}/events.parquet", "bronze", lambda path: B.land(_msgs(spark, sf), path, BATCH),
+                     end=f"{B.LEDGER}/batch={BATCH}/_SUCCESS")
+
+
 @register("bronze_ingest", MSG_SQL + ALL_TABLES_SQL, "S7 S8 S9 S13 S14 T1")
 def bronze_ingest(spark, sf):
     root = scratch_path(spark, "bronze")
@@ -250,8 +257,7 @@ n AS (SELECT table_name, COUNT(*) AS row_count FROM t GROUP BY 1
 SELECT table_name, row_count, table_name = 'dead_letter_queue' OR row_count >= {schemas.MIN_ROWS} AS passes FROM n""", "A1 A2 O2")
 def bronze_gate(spark, sf):
     """Row-count gate of a load: the five Bronze tables against the minimum, and the dead letters."""
-    root = scratch_path(spark, "gate")
-    B.land(_msgs(spark, sf), root, BATCH)
+    root = bronze_root(spark, sf)
     counts = B.all_tables(spark, root).groupBy("table_name").agg(F.count(F.lit(1)).alias("row_count"))
     dead = B.read_table(spark, root, "dead_letter_queue").agg(F.count(F.lit(1)).alias("row_count"))
     both = counts.unionByName(dead.withColumn("table_name", F.lit("dead_letter_queue")))
@@ -312,9 +318,7 @@ def landing_scan(spark, sf):
     root = scratch_path(spark, "landing")
     m = _topics(spark, sf, ["weather"]).filter(F.col("value").isNotNull())
     m.select(F.make_valid_utf8(F.col("value").cast("string")).alias("value")).write.mode("overwrite").text(root)
-    from pyspark.sql import types as T
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in LANDING_FIELDS]
-                          + [T.StructField("_corrupt_record", T.StringType())])
+    schema = ", ".join(f"`{c}` string" for c in [*LANDING_FIELDS, "_corrupt_record"])
     r = (spark.read.schema(schema).option("mode", "PERMISSIVE")
          .option("columnNameOfCorruptRecord", "_corrupt_record").json(root)
          .withColumn("_source", F.col("_metadata.file_path")))

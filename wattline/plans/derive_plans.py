@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from wattline.functions import curves as C
 from wattline.functions.columns import day, dround, exact_sum, hour_ts, ratio
@@ -14,6 +13,7 @@ from wattline.plans.sqlparts import day_of, dround as sround, num, xs
 from wattline.plans.sqlparts import hour_ts as sql_hour
 from wattline.plans.sqlparts import ratio as sql_ratio
 from wattline.plans.views import with_views
+from wattline.session import materialized
 from wattline.sources import tables as T
 
 # Fixed values of the bindings.
@@ -181,7 +181,7 @@ def expected_output_band(spark, sf):
     t = T.telemetry(spark, sf)
     # installed capacity ~ the observed peak of each (node, source): an aggregate joined back
     # (map-side partial maxima), not a window over the raw rows of a possibly hot node
-    caps = t.groupBy("node_id", "source_type").agg(F.max("mw").alias("cap"))
+    caps = materialized(t.groupBy("node_id", "source_type").agg(F.max("mw").alias("cap")), "capacities")
     smap = F.create_map(*[x for k, v in SOURCE_OF.items() for x in (F.lit(k), F.lit(v))])
     t = t.join(caps, ["node_id", "source_type"]).select(
         "msg_offset", "node_id", F.element_at(smap, F.col("source_type")).alias("source"), "mw",
@@ -217,9 +217,9 @@ def expected_demand_band(spark, sf):
     t = T.telemetry(spark, sf)
     hn = t.groupBy("node_id", hour_ts("ts").alias("hour")).agg(
         (exact_sum("mw", 4) / F.count("mw")).alias("mw"))
-    w = Window.partitionBy("node_id")
-    base = F.sum(F.col("mw").cast("decimal(28,8)")).over(w).cast("double") / F.count("mw").over(w)
-    e = hn.withColumns({"h": F.hour("hour"), "base": base})
+    hn = materialized(hn, "node_hours")
+    base = hn.groupBy("node_id").agg((F.sum(F.col("mw").cast("decimal(28,8)")).cast("double") / F.count("mw")).alias("base"))
+    e = hn.join(materialized(base, "node_base"), "node_id").withColumn("h", F.hour("hour"))
     curve = C.demand_curve(F.col("h"), F.col("base"), F.lit(1.4), evening_spike=F.lit(1.15))
     e = e.withColumn("curve", curve)
     lo, hi = C.BANDS["demand"]

@@ -5,31 +5,66 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from wattline.functions.columns import dround
 from wattline.operators import ops as O
+from wattline.operators import silver as V
 from wattline.plans.derive_plans import _CLIMATE_SQL, _climate_col
 from wattline.plans.registry import register
+from wattline.plans.sqlparts import dround as sround
+from wattline.plans.sqlparts import num
 from wattline.plans.views import with_views
 from wattline.sources import tables as T
 
 
-@register("dim_node", with_views("telemetry") + f"""
-SELECT CAST(row_number() OVER (ORDER BY node_id) AS BIGINT) AS node_key, node_id, climate, n_samples, n_sources FROM (
+@register("dim_node", with_views("telemetry", "nodes") + f"""
+SELECT CAST(row_number() OVER (ORDER BY t.node_id) AS BIGINT) AS node_key, t.node_id, region, climate, n_samples, n_sources FROM (
   SELECT node_id, {_CLIMATE_SQL} AS climate, COUNT(*) AS n_samples, COUNT(DISTINCT source_type) AS n_sources
-  FROM telemetry GROUP BY 1)""", "D1")
+  FROM telemetry GROUP BY 1) t LEFT JOIN nodes ON t.node_id % 25 = nodes.node_id""", "D1")
 def dim_node(spark, sf):
+    """A telemetry node lies in the nation (of 25) that its number falls on."""
     n = T.telemetry(spark, sf).groupBy("node_id").agg(F.count(F.lit(1)).alias("n_samples"),
                                                         F.count_distinct("source_type").alias("n_sources"))
     n = n.withColumn("climate", _climate_col(F.col("node_id")))
-    return O.with_surrogate(n, ["node_id"], "node_key").select("node_key", "node_id", "climate", "n_samples", "n_sources")
+    where = T.nodes(spark, sf).select(F.col("node_id").alias("_nation"), "region")
+    n = n.join(F.broadcast(where), F.col("node_id") % 25 == F.col("_nation"), "left")
+    return O.with_surrogate(n, ["node_id"], "node_key").select("node_key", "node_id", "region", "climate", "n_samples", "n_sources")
 
 
-@register("dim_plant", with_views("plants") + """
-SELECT CAST(row_number() OVER (ORDER BY plant_id) AS BIGINT) AS plant_key, plant_id, plant_name, node_id, region,
-       capacity_mw FROM plants""", "D2")
+# Plant snapshots derived from ``plants``: by the second, plants in debt have grown by a tenth; by the
+# third, every seventh plant has moved its contract to the next node.
+_SNAP = ["2024-01-01 00:00:00", "2024-06-01 00:00:00", "2025-01-01 00:00:00"]
+_GROWN = sround(f"capacity_mw * {num(1.1)}", 2)
+_PLANT_VERSIONS = f"""snap AS (
+  SELECT plant_id, plant_name, region, node_id, capacity_mw, TIMESTAMP '{_SNAP[0]}' AS snapshot_ts FROM plants
+  UNION ALL
+  SELECT plant_id, plant_name, region, node_id, CASE WHEN acctbal < 0 THEN {_GROWN} ELSE capacity_mw END, TIMESTAMP '{_SNAP[1]}' FROM plants
+  UNION ALL
+  SELECT plant_id, plant_name, region, CAST(CASE WHEN plant_id % 7 = 0 THEN (node_id + 1) % 25 ELSE node_id END AS INTEGER),
+         CASE WHEN acctbal < 0 THEN {_GROWN} ELSE capacity_mw END, TIMESTAMP '{_SNAP[2]}' FROM plants),
+chg AS (SELECT *, LAG(snapshot_ts) OVER w IS NULL OR node_id IS DISTINCT FROM LAG(node_id) OVER w
+                  OR capacity_mw IS DISTINCT FROM LAG(capacity_mw) OVER w AS c
+        FROM snap WINDOW w AS (PARTITION BY plant_id ORDER BY snapshot_ts)),
+v AS (SELECT plant_id, plant_name, region, node_id, capacity_mw, snapshot_ts AS valid_from,
+             LEAD(snapshot_ts) OVER (PARTITION BY plant_id ORDER BY snapshot_ts) AS valid_to,
+             CAST(row_number() OVER (PARTITION BY plant_id ORDER BY snapshot_ts) AS INTEGER) AS version FROM chg WHERE c)"""
+
+
+@register("dim_plant", with_views("plants", extra=_PLANT_VERSIONS) + """
+SELECT CAST(row_number() OVER (ORDER BY plant_id, version) AS BIGINT) AS plant_key, plant_id, plant_name, node_id, region,
+       capacity_mw, valid_from, valid_to, valid_to IS NULL AS is_current, version FROM v""", "D2 W5")
 def dim_plant(spark, sf):
-    p = T.plants(spark, sf).select("plant_id", "plant_name", "node_id", "region", "capacity_mw")
-    return O.with_surrogate(p, ["plant_id"], "plant_key").select(
-        "plant_key", "plant_id", "plant_name", "node_id", "region", "capacity_mw")
+    """SCD2: a key per version, in order of plant and version."""
+    p = T.plants(spark, sf).select("plant_id", "plant_name", "region", "node_id", "capacity_mw", "acctbal")
+    grown = F.when(F.col("acctbal") < 0, dround(F.col("capacity_mw") * F.lit(1.1), 2)).otherwise(F.col("capacity_mw"))
+    moved = F.when(F.col("plant_id") % 7 == 0, (F.col("node_id") + 1) % 25).otherwise(F.col("node_id")).cast("int")
+    at = [F.lit(x).cast("timestamp_ntz").alias("snapshot_ts") for x in _SNAP]
+    same = ["plant_id", "plant_name", "region"]
+    snaps = (p.select(*same, "node_id", "capacity_mw", at[0])
+             .unionByName(p.select(*same, "node_id", grown.alias("capacity_mw"), at[1]))
+             .unionByName(p.select(*same, moved.alias("node_id"), grown.alias("capacity_mw"), at[2])))
+    versions = V.scd2(snaps, "plant_id", "snapshot_ts", ["node_id", "capacity_mw"])
+    return O.with_surrogate(versions, ["plant_id", "version"], "plant_key").select(
+        "plant_key", "plant_id", "plant_name", "node_id", "region", "capacity_mw", "valid_from", "valid_to", "is_current", "version")
 
 
 @register("dim_time", """

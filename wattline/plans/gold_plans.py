@@ -18,15 +18,28 @@ SOURCES = ["click", "error", "purchase", "signup", "view"]
 OWNERS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 CARBON_FACTOR = 0.42
 LCOE_RATE = 0.07
+# Bindings of values that the driver's tables lack: a plant's contract price and a node's latitude.
+PPA_SQL = "(40 + p.plant_id % 20)"
+LATITUDE_SQL = "(CAST(60 - (node_id * 7) % 25 * 4 AS DOUBLE))"
+
+
+def ppa_price(plant_id):
+    return F.lit(40) + plant_id % 20
+
+
+def latitude(node_id):
+    return (F.lit(60) - (node_id * 7) % 25 * 4).cast("double")
 
 
 @register("fact_revenue_region_month", with_views("generation", "plants") + f"""
 SELECT region, {month_of('g.ts')} AS month, {xs('mwh', 2)} AS mwh, {xs('revenue', 2)} AS revenue,
+       {xs(f'mwh * {PPA_SQL}', 2)} AS ppa_revenue, {xs('revenue * (1 + spot_adj)', 4)} AS spot_revenue,
        COUNT(*) AS n_rows, {ratio(xs('revenue', 2), xs('mwh', 2))} AS blended_price
 FROM generation g JOIN plants p USING (plant_id)
 GROUP BY 1, 2""", "A9 J6")
 def fact_revenue_region_month(spark, sf):
-    return gold.fact_revenue(T.generation(spark, sf), T.plants(spark, sf), ["region"], "month")
+    plants = T.plants(spark, sf).withColumn("ppa_price", ppa_price(F.col("plant_id")))
+    return gold.fact_revenue(T.generation(spark, sf), plants, ["region"], "month")
 
 
 @register("fact_generation_plant_hour", with_views("telemetry", "plants", extra=f"""
@@ -118,8 +131,10 @@ def hourly_profile(spark, sf):
 
 
 @register("mix_by_node", with_views("telemetry") + f"""
-SELECT node_id, source_type, mw, round(mw / SUM(mw) OVER (PARTITION BY node_id), 6) AS share
-FROM (SELECT node_id, source_type, {xs('mw', 4)} AS mw FROM telemetry GROUP BY 1, 2)""", "A5 W6")
+, a AS (SELECT node_id, source_type, {xs('mw', 4)} AS mw FROM telemetry GROUP BY 1, 2),
+t AS (SELECT node_id, {xs('mw', 4)} AS total FROM telemetry GROUP BY 1),
+r AS (SELECT *, row_number() OVER (ORDER BY total DESC, node_id) AS node_rank FROM t)
+SELECT a.node_id, source_type, mw, round(mw / total, 6) AS share, node_rank FROM a JOIN r USING (node_id)""", "A5 W6")
 def mix_by_node(spark, sf):
     return gold.mix_by_node(T.telemetry(spark, sf))
 
@@ -128,12 +143,15 @@ def mix_by_node(spark, sf):
 cap AS (SELECT node_id, node_name, region, {xs('capacity_mw', 2)} AS capacity_mw FROM plants GROUP BY 1, 2, 3),
 dd AS (SELECT node_id, {day_of('ts')} AS day, {xs('demand_mw', 6)} AS demand_mwh FROM demand GROUP BY 1, 2),
 d AS (SELECT node_id, MAX(demand_mwh) AS peak_demand_mwh, round(AVG(demand_mwh), 6) AS avg_demand_mwh
-      FROM dd GROUP BY 1)""") + """
-SELECT cap.node_id, node_name, region, capacity_mw, peak_demand_mwh, avg_demand_mwh
-FROM cap LEFT JOIN d ON cap.node_id = d.node_id
-ORDER BY region, cap.node_id""", "A6 O1")
+      FROM dd GROUP BY 1)""") + f"""
+, l AS (SELECT *, {LATITUDE_SQL} AS latitude FROM cap)
+SELECT l.node_id, node_name, region, latitude, capacity_mw, peak_demand_mwh, avg_demand_mwh,
+       row_number() OVER (ORDER BY latitude DESC, l.node_id) AS north_rank
+FROM l LEFT JOIN d ON l.node_id = d.node_id
+ORDER BY north_rank""", "A6 O1")
 def capacity_vs_demand(spark, sf):
-    return gold.capacity_vs_demand(T.plants(spark, sf), T.demand(spark, sf))
+    plants = T.plants(spark, sf).withColumn("latitude", latitude(F.col("node_id")))
+    return gold.capacity_vs_demand(plants, T.demand(spark, sf))
 
 
 @register("node_revenue", with_views("generation", "plants") + f"""

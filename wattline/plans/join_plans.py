@@ -12,7 +12,7 @@ from wattline.plans.sqlparts import day_of, num, xs
 from wattline.plans.sqlparts import dround as sround
 from wattline.plans.sqlparts import hour_ts as sql_hour
 from wattline.plans.views import with_views
-from wattline.session import scratch_path
+from wattline.session import materialized, scratch_path
 from wattline.sources import tables as T
 
 
@@ -79,6 +79,7 @@ def weather_join(spark, sf):
     t = T.telemetry(spark, sf)
     w = (t.filter(F.col("source_type") == "view").groupBy("node_id", hour_ts("ts").alias("hour"))
          .agg(dround(exact_sum("mw", 4) / F.count("mw"), 4).alias("weather_mw")))
+    w = materialized(w, "weather_hours")     # a plain scan, so that Spark can split a hot node of the rows
     s = t.filter(F.col("source_type") != "view").select("msg_offset", "node_id", "ts", "mw",
                                                          hour_ts("ts").alias("hour"))
     return s.join(w, ["node_id", "hour"], "left").select("msg_offset", "node_id", "ts", "mw", "weather_mw")

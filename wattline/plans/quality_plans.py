@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 from wattline import schemas
 from wattline.functions.columns import day, exact_sum, month
 from wattline.operators import quality as Q
-from wattline.plans import derive_plans, gold_plans
+from wattline.plans import bronze_plans, derive_plans, gold_plans
 from wattline.plans.registry import ORACLE, register
 from wattline.plans.sqlparts import day_of, month_of, num, xs
 from wattline.plans.sqlparts import dround as sround
 from wattline.plans.views import with_views
+from wattline.session import materialized
+from wattline.sources import bronze as B
+from wattline.sources import messages as M
 from wattline.sources import tables as T
 
 AS_OF_TELEMETRY = "2024-02-01 00:00:00"
@@ -115,9 +118,17 @@ def _viol_sql(view: str, checks: dict, src: str | None = None) -> str:
     return parts
 
 
-@register("dq_ranges", with_views("generation") + _viol_sql("generation", _RANGE_CHECKS), "V6")
+_FACTOR_CHECK = {"capacity_factor_outside_unit": (
+    "NOT (capacity_factor BETWEEN 0 AND 1)", lambda: ~F.col("capacity_factor").between(0, 1))}
+
+
+@register("dq_ranges", with_views("generation") + _viol_sql("generation", _RANGE_CHECKS) + " UNION ALL "
+          + _viol_sql(_sub("capacity_factor"), _FACTOR_CHECK), "V6")
 def dq_ranges(spark, sf):
-    return Q.violations(T.generation(spark, sf), {n: f() for n, (_, f) in _RANGE_CHECKS.items()})
+    """The ranges of the rows, and of the daily capacity factor of each plant."""
+    rows = Q.violations(T.generation(spark, sf), {n: f() for n, (_, f) in _RANGE_CHECKS.items()})
+    factor = derive_plans.capacity_factor(spark, sf)
+    return rows.unionByName(Q.violations(factor, {n: f() for n, (_, f) in _FACTOR_CHECK.items()}))
 
 
 _TS_CHECKS = {
@@ -251,19 +262,43 @@ def quarantine_split(spark, sf):
     return Q.quarantine(T.generation(spark, sf), ["gen_order", "gen_line"], {n: f() for n, (_, f) in _Q_RULES.items()})
 
 
-@register("reconciliation", with_views("generation", "plants") + f"""
-, a AS (SELECT region, {xs('mwh', 2)} AS a_value FROM generation g JOIN plants p USING (plant_id) GROUP BY 1),
-b AS (SELECT region, CAST(SUM(CAST(mwh AS DECIMAL(28,2))) AS DOUBLE) AS b_value
-      FROM {_sub('fact_revenue_region_month')} GROUP BY 1)
-SELECT region, a_value, b_value, {sround(f'COALESCE(a_value, {num(0.0)}) - COALESCE(b_value, {num(0.0)})', 4)} AS diff,
-       abs(COALESCE(a_value, {num(0.0)}) - COALESCE(b_value, {num(0.0)})) <= {num(0.01)} AS ok
-FROM a FULL OUTER JOIN b USING (region)""", "V13")
+_DAY_SUM = sround("SUM(CAST(metric AS DECIMAL(28,4)))", 4)
+
+
+@register("reconciliation", bronze_plans.MSG_SQL + f""", t AS ({bronze_plans.ALL_TABLES_SQL}),
+src AS (SELECT CASE topic {' '.join(f"WHEN '{a}' THEN '{b}'" for a, b in schemas.TOPIC_TABLE.items())} END AS table_name,
+               COUNT(*) AS source_rows, {xs('mw', 4)} AS source_value,
+               COUNT_IF(error_message IS NOT NULL OR k IN {bronze_plans.ROW_REJECT}) AS dead_rows FROM mm GROUP BY 1),
+br AS (SELECT table_name, COUNT(*) AS bronze_rows, {xs('metric', 4)} AS bronze_value FROM t GROUP BY 1),
+gold AS (SELECT table_name, {xs('day_value', 4)} AS gold_value FROM (
+           SELECT table_name, entity, event_date, {_DAY_SUM} AS day_value FROM t WHERE _dataset <> 'unknown' GROUP BY 1, 2, 3)
+         GROUP BY 1)
+SELECT table_name, source_rows, bronze_rows, dead_rows, source_rows = bronze_rows + dead_rows AS rows_ok,
+       source_value, bronze_value, gold_value, abs(source_value - bronze_value) <= {num(0.01)} AS source_ok,
+       abs(bronze_value - gold_value) <= {num(0.01)} AS gold_ok
+FROM src JOIN br USING (table_name) JOIN gold USING (table_name)""", "V13")
 def reconciliation(spark, sf):
-    g = T.generation(spark, sf).select("plant_id", "mwh")
-    a = (g.join(T.plants(spark, sf).select("plant_id", "region"), "plant_id")
-         .groupBy("region").agg(exact_sum("mwh", 2, "a_value")))
-    b = gold_plans.fact_revenue_region_month(spark, sf).groupBy("region").agg(exact_sum("mwh", 2, "b_value"))
-    return Q.reconcile_totals(a, b, ["region"], 0.01)
+    """Source, Bronze and Gold of each feed, each from its own storage: every source row must have
+    landed or be a dead letter, and the metric must add up.  It doesn't where values were lost: rows
+    rejected on the way to Bronze, rows of unknown dataset on the way to the daily Gold sums."""
+    root = bronze_plans.bronze_root(spark, sf)
+    topics = F.create_map(*[F.lit(x) for kv in schemas.TOPIC_TABLE.items() for x in kv])
+    feed = F.create_map(*[F.lit(x) for kv in M.TOPIC_OF_SOURCE.items() for x in kv])
+    src = T.telemetry(spark, sf).groupBy(F.element_at(topics, F.element_at(feed, F.col("source_type"))).alias("table_name")).agg(
+        F.count(F.lit(1)).alias("source_rows"), exact_sum("mw", 4, "source_value"))
+    dead = B.read_table(spark, root, "dead_letter_queue").groupBy(F.element_at(topics, F.col("topic")).alias("table_name")).agg(
+        F.count(F.lit(1)).alias("dead_rows"))
+    bronze = B.all_tables(spark, root)
+    landed = bronze.groupBy("table_name").agg(F.count(F.lit(1)).alias("bronze_rows"), exact_sum("metric", 4, "bronze_value"))
+    daily = materialized(bronze.filter("_dataset <> 'unknown'").groupBy("table_name", "entity", "event_date").agg(
+        exact_sum("metric", 4, "day_value")), "gold_days")
+    gold = daily.groupBy("table_name").agg(exact_sum("day_value", 4, "gold_value"))
+    j = src.join(landed, "table_name").join(gold, "table_name").join(dead, "table_name", "left")
+    lost = F.coalesce("dead_rows", F.lit(0))
+    return j.select("table_name", "source_rows", "bronze_rows", lost.alias("dead_rows"),
+                    (F.col("source_rows") == F.col("bronze_rows") + lost).alias("rows_ok"), "source_value", "bronze_value", "gold_value",
+                    (F.abs(F.col("source_value") - F.col("bronze_value")) <= F.lit(0.01)).alias("source_ok"),
+                    (F.abs(F.col("bronze_value") - F.col("gold_value")) <= F.lit(0.01)).alias("gold_ok"))
 
 
 PROFILE_COLS = ["mwh", "revenue", "curtail_rate", "spot_adj"]
@@ -333,13 +368,16 @@ def distinct_coverage(spark, sf):
 b AS (SELECT plant_id, ts FROM generation WHERE status = 'O')
 SELECT 'only_first' AS side, plant_id, ts FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)
 UNION ALL
+SELECT 'only_second', plant_id, ts FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)
+UNION ALL
 SELECT 'both', plant_id, ts FROM (SELECT * FROM a INTERSECT SELECT * FROM b)""", "U3")
 def replay_audit(spark, sf):
-    """Keys present in one load and not the other (EXCEPT ALL) and keys in both (INTERSECT);
+    """Keys present in one load and not the other (EXCEPT ALL, both ways) and keys in both (INTERSECT);
     the two 'loads' are the finished and open lines of the generation view."""
     g = T.generation(spark, sf)
     a = g.filter(F.col("status") == "F").select("plant_id", "ts")
     b = g.filter(F.col("status") == "O").select("plant_id", "ts")
     only = a.exceptAll(b).select(F.lit("only_first").alias("side"), "plant_id", "ts")
+    second = b.exceptAll(a).select(F.lit("only_second").alias("side"), "plant_id", "ts")
     both = a.intersect(b).select(F.lit("both").alias("side"), "plant_id", "ts")
-    return only.unionByName(both)
+    return only.unionByName(second).unionByName(both)

@@ -145,18 +145,18 @@ def point_in_time_plant(spark, sf):
 
 
 @register("flatline_runs", with_views("generation") + """
-SELECT plant_id, status, run_start, run_end, run_length FROM (
-  SELECT plant_id, run, first(status) AS status, MIN(ts) AS run_start, MAX(ts) AS run_end, COUNT(*) AS run_length
+SELECT plant_id, mwh, run_start, run_end, run_length FROM (
+  SELECT plant_id, run, first(mwh) AS mwh, MIN(ts) AS run_start, MAX(ts) AS run_end, COUNT(*) AS run_length
   FROM (SELECT *, SUM(s) OVER (PARTITION BY plant_id ORDER BY ts, gen_order, gen_line
                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run
-        FROM (SELECT plant_id, ts, gen_order, gen_line, status,
-                     CASE WHEN LAG(ts) OVER w IS NULL OR status IS DISTINCT FROM LAG(status) OVER w
-                          THEN 1 ELSE 0 END AS s
+        FROM (SELECT plant_id, ts, gen_order, gen_line, mwh,
+                     CASE WHEN LAG(ts) OVER w IS NULL OR mwh IS DISTINCT FROM LAG(mwh) OVER w THEN 1 ELSE 0 END AS s
               FROM generation WINDOW w AS (PARTITION BY plant_id ORDER BY ts, gen_order, gen_line)))
-  GROUP BY plant_id, run) WHERE run_length >= 6""", "W8")
+  GROUP BY plant_id, run) WHERE run_length >= 2 AND mwh <> 0""", "W8")
 def flatline_runs(spark, sf):
+    """Stuck readings of a plant; the random readings here repeat twice at most, so runs of two count."""
     g = T.generation(spark, sf)
-    return V.flatline_runs(g, "plant_id", ["ts", "gen_order", "gen_line"], "status", 6)
+    return V.flatline_runs(g, "plant_id", ["ts", "gen_order", "gen_line"], "mwh", 2, nonzero=True)
 
 
 @register("energy_integral", with_views("telemetry", extra="""

@@ -78,7 +78,8 @@ THRESHOLDS = [
 FAIL_ON_WARN = {"dev": False, "qa": False, "prd": True}
 MIN_ROWS = 100
 
-# Declared column types of the driver's tables (family names), for the schema check (V1).
+# Declared column types of the driver's tables (family names), for the schema check (V1).  Those of nation
+# and customer are declared as an older version had them, so that the check has something to find.
 DRIVER_TYPES = {
     "events": {"event_id": "bigint", "ts": "timestamp", "user_id": "bigint", "event_type": "string",
                "value": "double", "props": "string"},
@@ -87,6 +88,11 @@ DRIVER_TYPES = {
                  "l_returnflag": "string", "l_linestatus": "string", "l_shipdate": "timestamp"},
     "orders": {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string",
                "o_totalprice": "double", "o_orderdate": "timestamp", "o_orderpriority": "string"},
+    "region": {"r_regionkey": "int", "r_name": "string"},
+    "nation": {"n_nationkey": "int", "n_name": "string", "n_regionkey": "int", "n_comment": "string"},
+    "customer": {"c_custkey": "bigint", "c_name": "string", "c_nationkey": "bigint", "c_acctbal": "double"},
+    "part": {"p_partkey": "bigint", "p_name": "string", "p_brand": "string", "p_type": "string", "p_size": "int",
+             "p_retailprice": "double"},
     "supplier": {"s_suppkey": "bigint", "s_name": "string", "s_nationkey": "int", "s_acctbal": "double",
                  "s_region": "string"},
 }
