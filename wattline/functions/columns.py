@@ -49,13 +49,13 @@ def month(c: str | Column) -> Column:
     return F.trunc(col_(c), "month")
 
 
-def hash_uniform(key: Column, salt: str, lo: float, hi: float) -> Column:
+def hash_uniform(key: Column, salt: str, lo: float | Column, hi: float | Column) -> Column:
     """Deterministic draw in [lo, hi) from a key (B11: the same key always gets the same draw, in
     every process): lo + (hi - lo) * (first 32 bits of md5(key|salt) mod 1e6) / 1e6.  MD5 is used
     because SQL engines share it, so the draw can be checked outside Spark."""
     h = F.conv(F.substring(F.md5(F.concat(key.cast("string"), F.lit("|" + salt))), 1, 8), 16, 10).cast("long")
     u = F.pmod(h, F.lit(1_000_000)) / F.lit(1_000_000.0)
-    return F.lit(lo) + F.lit(hi - lo) * u
+    return F.lit(lo) + F.lit(hi - lo) * u      # F.lit leaves a Column as it is
 
 
 def carbon_offset(gen_mwh: str | Column, factor: float = 0.42) -> Column:

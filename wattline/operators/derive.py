@@ -94,16 +94,19 @@ def utc_normalize(df: DataFrame, ts: str, tz: Column, name: str = "ts_utc") -> D
     return df.withColumn(name, F.to_utc_timestamp(F.col(ts).cast("timestamp"), tz).cast("timestamp_ntz"))
 
 
-def derive_scenario(base: DataFrame, key: str, caps: Sequence[str], overrides: Mapping[str, float],
-                    jitter: tuple[float, float] = (0.85, 1.15)) -> DataFrame:
-    """Derived node set.  Each capacity = override factor (default 0) x base capacity x a
-    jitter drawn from (node, column) by hash; demand x [0.85, 1.15]; peak x [0.9, 1.1], 2 decimals."""
-    k = F.col(key).cast("string")
-    out = base
+def derive_scenario(base: DataFrame, mapping: DataFrame, key: str, caps: Sequence[str]) -> DataFrame:
+    """Derived node set, driven by a mapping table (``key``, ff_id, ``overrides`` map of capacity by
+    source, jitter_lo, jitter_hi, add_tidal).  Each capacity = the node's override (default 0) x a
+    jitter within the node's bounds, drawn from (derived id, source) by hash; the added source
+    x [0.8, 1.2]; demand x [0.85, 1.15]; peak x [0.9, 1.1], 2 decimals."""
+    k = F.col("ff_id")
+    out = base.join(mapping, key)
     for c in caps:
-        f = F.lit(overrides.get(c, 0.0))
-        out = out.withColumn(f"ff_{c}", dround(F.col(c) * f * hash_uniform(k, c, *jitter), 0).cast("long"))
-    return (out.withColumn("ff_demand", dround(F.col("base_demand") * hash_uniform(k, "demand", 0.85, 1.15), 0).cast("long"))
+        draw = hash_uniform(k, c, F.col("jitter_lo"), F.col("jitter_hi"))
+        mw = F.coalesce(F.try_element_at("overrides", F.lit(c)), F.lit(0.0))
+        out = out.withColumn(f"ff_{c}", dround(mw * draw, 0).cast("long"))
+    return (out.withColumn("ff_tidal", dround(F.col("add_tidal") * hash_uniform(k, "tidal", 0.8, 1.2), 0).cast("long"))
+            .withColumn("ff_demand", dround(F.col("base_demand") * hash_uniform(k, "demand", 0.85, 1.15), 0).cast("long"))
             .withColumn("ff_peak_mult", dround(F.col("peak_mult") * hash_uniform(k, "peak", 0.9, 1.1), 2)))
 
 

@@ -241,43 +241,71 @@ def climate_factor(spark, sf):
                           "wind_factor": C.wind_factor(F.col("climate"))})
 
 
-SCENARIO_OVERRIDES = {"A_cap": 1.0, "N_cap": 0.8}
-SCENARIO_JITTER = (0.85, 1.15)
-
-
-def _u_sql(key: str, salt: str, lo: float, hi: float) -> str:
-    h = f"CAST(('0x' || substring(md5(CAST({key} AS VARCHAR) || '|{salt}'), 1, 8)) AS BIGINT)"
-    return f"({num(lo)} + {num(hi - lo)} * (({h} % 1000000) / {num(1000000.0)}))"
+def _u_sql(key: str, salt: str, lo: str, hi: str) -> str:
+    h = f"CAST(('0x' || substring(md5({key} || '|{salt}'), 1, 8)) AS BIGINT)"
+    return f"({lo} + ({hi} - {lo}) * (({h} % 1000000) / {num(1000000.0)}))"
 
 
 _SC_FLAGS = ", ".join(
     f"CAST(COALESCE(SUM(CASE WHEN flag = '{f}' THEN CAST(mwh AS DECIMAL(28,2)) END), 0) AS DOUBLE) AS {f}_cap"
     for f in FLAGS)
-def _ff_cap_sql(flag: str) -> str:
-    col = f"{flag}_cap"
-    factor = num(SCENARIO_OVERRIDES.get(col, 0.0))
-    draw = _u_sql("node_id", col, *SCENARIO_JITTER)
-    return f"CAST({sround(f'{col} * {factor} * {draw}', 0)} AS BIGINT) AS ff_{col}"
-
-
-_SC_FF = ",\n       ".join(_ff_cap_sql(f) for f in FLAGS)
 
-
-@register("derive_scenario", with_views("generation", "plants", "demand", extra=f"""
+# The mapping table of the binding, one row for each of the 25 nodes: derived id, capacities of
+# the derived node by source (a missing source means 0), jitter bounds, an added source, notes.
+_MAP_SQL = f"""map AS (
+  SELECT node_id, 'FF-' || node_name AS ff_id, lower(node_name) AS ff_name, {_CLIMATE_SQL} AS ff_climate,
+         CASE WHEN node_id % 3 <> 0 THEN {num(400.0)} + {num(10.0)} * node_id END AS "o_A_cap",
+         CASE WHEN node_id % 2 = 0 THEN {num(150.0)} + {num(5.0)} * node_id END AS "o_N_cap",
+         CAST(NULL AS DOUBLE) AS "o_R_cap",
+         {num(0.7)} + {num(0.01)} * (node_id % 10) AS jitter_lo, {num(1.3)} - {num(0.01)} * (node_id % 10) AS jitter_hi,
+         CASE WHEN node_id % 5 = 0 THEN {num(20.0)} + node_id ELSE {num(0.0)} END AS add_tidal,
+         CASE WHEN node_id % 5 = 0 THEN 'tidal added' ELSE 'same sources' END AS divergence_note,
+         CASE WHEN node_id % 4 = 0 THEN 'evening peak' ELSE '' END AS demand_traits
+  FROM nodes)"""
+
+
+def scenario_mapping(spark, sf):
+    n = F.col("node_id")
+    over = F.map_filter(F.create_map(
+        F.lit("A_cap"), F.when(n % 3 != 0, F.lit(400.0) + F.lit(10.0) * n),
+        F.lit("N_cap"), F.when(n % 2 == 0, F.lit(150.0) + F.lit(5.0) * n)), lambda k, v: v.isNotNull())
+    return T.nodes(spark, sf).select(
+        "node_id", F.concat(F.lit("FF-"), "node_name").alias("ff_id"), F.lower("node_name").alias("ff_name"),
+        _climate_col(n).alias("ff_climate"), over.alias("overrides"),
+        (F.lit(0.7) + F.lit(0.01) * (n % 10)).alias("jitter_lo"), (F.lit(1.3) - F.lit(0.01) * (n % 10)).alias("jitter_hi"),
+        F.when(n % 5 == 0, F.lit(20.0) + n).otherwise(F.lit(0.0)).alias("add_tidal"),
+        F.when(n % 5 == 0, "tidal added").otherwise("same sources").alias("divergence_note"),
+        F.when(n % 4 == 0, "evening peak").otherwise("").alias("demand_traits"))
+
+
+def _ff_cap_sql(c: str) -> str:
+    return f"CAST({sround(f'COALESCE(o_{c}, {num(0.0)}) * ' + _u_sql('ff_id', c, 'jitter_lo', 'jitter_hi'), 0)} AS BIGINT) AS ff_{c}"
+
+
+SCENARIO_SQL = with_views("generation", "plants", "demand", extra=f"""
 gw AS (SELECT node_id, {_SC_FLAGS} FROM generation g JOIN plants p USING (plant_id) GROUP BY 1),
 dd AS (SELECT node_id, {day_of('ts')} AS day, {xs('demand_mw', 6)} AS demand_mwh FROM demand GROUP BY 1, 2),
 dm AS (SELECT node_id, CAST(SUM(CAST(demand_mwh AS DECIMAL(38,6))) AS DOUBLE) / COUNT(*) AS base_demand,
               MAX(demand_mwh) AS mx FROM dd GROUP BY 1),
-b AS (SELECT gw.*, base_demand, mx / base_demand AS peak_mult FROM gw JOIN dm USING (node_id))""") + f"""
-SELECT node_id, A_cap, N_cap, R_cap, base_demand, peak_mult,
-       {_SC_FF},
-       CAST({sround('base_demand * ' + _u_sql('node_id', 'demand', 0.85, 1.15), 0)} AS BIGINT) AS ff_demand,
-       {sround('peak_mult * ' + _u_sql('node_id', 'peak', 0.9, 1.1), 2)} AS ff_peak_mult
-FROM b""", "P23 B11")
+b AS (SELECT gw.*, base_demand, mx / base_demand AS peak_mult FROM gw JOIN dm USING (node_id)),
+{_MAP_SQL},
+s AS (SELECT b.*, map.* EXCLUDE (node_id), {', '.join(_ff_cap_sql(f'{f}_cap') for f in FLAGS)},
+       CAST({sround('add_tidal * ' + _u_sql('ff_id', 'tidal', num(0.8), num(1.2)), 0)} AS BIGINT) AS ff_tidal,
+       CAST({sround('base_demand * ' + _u_sql('ff_id', 'demand', num(0.85), num(1.15)), 0)} AS BIGINT) AS ff_demand,
+       {sround('peak_mult * ' + _u_sql('ff_id', 'peak', num(0.9), num(1.1)), 2)} AS ff_peak_mult
+FROM b JOIN map USING (node_id))""")
+_SC_COLS = ["node_id", "ff_id", "A_cap", "N_cap", "R_cap", "base_demand", "peak_mult", "ff_A_cap", "ff_N_cap", "ff_R_cap",
+            "ff_tidal", "ff_demand", "ff_peak_mult"]
+
+
+@register("derive_scenario", SCENARIO_SQL + f" SELECT {', '.join(_SC_COLS)} FROM s", "P23 B11")
 def derive_scenario(spark, sf):
-    """Derived (second) node set: capacity overrides x a per-node jitter drawn by hash."""
-    return D.derive_scenario(_scenario_base(spark, sf), "node_id", ["A_cap", "N_cap", "R_cap"],
-                             SCENARIO_OVERRIDES, SCENARIO_JITTER)
+    """Derived (second) node set from a mapping table of per-node overrides and jitter bounds."""
+    return scenario(spark, sf).select(*_SC_COLS)
+
+
+def scenario(spark, sf):
+    return D.derive_scenario(_scenario_base(spark, sf), scenario_mapping(spark, sf), "node_id", ["A_cap", "N_cap", "R_cap"])
 
 
 def _scenario_base(spark, sf):
@@ -315,8 +343,8 @@ def explode_nested(spark, sf):
 
 
 def _stories(spark, sf):
-    """Nested input: one row per order with its lines as an array of task structs (at most 7 per
-    order by the TPC-H definition, so each collected group is bounded)."""
+    """Nested input: one row per order with its lines as an array of task structs.  The array is the
+    shape of the input that P25 takes apart; an order has few lines, but nothing here bounds them."""
     o = T.scan(spark, sf, "orders").select(F.col("o_orderkey").alias("story_id"),
                                              F.col("o_orderpriority").alias("sprint"))
     li = T.scan(spark, sf, "lineitem")

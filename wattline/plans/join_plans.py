@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from wattline.functions.columns import dround, exact_sum, hour_ts
 from wattline.operators import gold
 from wattline.operators import joins as J
+from wattline.plans import derive_plans
 from wattline.plans.registry import register
 from wattline.plans.sqlparts import day_of, num, xs
 from wattline.plans.sqlparts import dround as sround
@@ -30,43 +31,25 @@ def dispatch_join(spark, sf):
     return J.full_outer(g, d, ["node_id", "day"])
 
 
-_NODE_SQL = with_views("plants", "demand", "generation", extra=f"""
-cap AS (SELECT node_id, node_name, region, {xs('capacity_mw', 2)} AS capacity_mw FROM plants GROUP BY 1, 2, 3),
-dem AS (SELECT node_id, {xs('demand_mw', 6)} AS demand_mwh FROM demand GROUP BY 1),
-base AS (SELECT cap.*, demand_mwh FROM cap JOIN dem USING (node_id)),
-map AS (SELECT node_id AS base_id, 'FF-' || node_name AS ff_id FROM nodes),
-gm AS (SELECT node_id, {xs('mwh', 2)} AS mwh FROM generation g JOIN plants p USING (plant_id) GROUP BY 1),
-ff AS (SELECT 'FF-' || node_name AS ff_node, lower(node_name) AS ff_name, region AS ff_region,
-              COALESCE(gm.mwh, CAST(0 AS DOUBLE)) AS ff_capacity_mw
-       FROM nodes LEFT JOIN gm USING (node_id))""")
-
-
-@register("node_mapping", _NODE_SQL + f"""
-SELECT node_id AS base_node, node_name AS base_name, region AS base_region, capacity_mw AS base_capacity_mw,
-       demand_mwh AS base_demand_mwh, ff_node, ff_name, ff_region, ff_capacity_mw,
-       {sround('ff_capacity_mw / capacity_mw', 4)} AS capacity_ratio,
-       CASE WHEN ff_capacity_mw > capacity_mw THEN 'larger' ELSE 'smaller' END AS divergence_note
-FROM base JOIN map ON node_id = base_id JOIN ff ON ff_id = ff_node""", "J1")
+@register("node_mapping", derive_plans.SCENARIO_SQL + """
+SELECT s.node_id AS base_node, node_name AS base_name, A_cap AS base_a, N_cap AS base_n, R_cap AS base_r, base_demand,
+       ff_id AS ff_node, ff_name, ff_climate, ff_A_cap AS ff_a, ff_N_cap AS ff_n, ff_R_cap AS ff_r, CAST(0 AS BIGINT) AS ff_geo,
+       ff_tidal, ff_demand, divergence_note, demand_traits
+FROM s JOIN nodes ON s.node_id = nodes.node_id""", "J1")
 def node_mapping(spark, sf):
-    p = T.plants(spark, sf)
-    cap = p.groupBy("node_id", "node_name", "region").agg(exact_sum("capacity_mw", 2, "capacity_mw"))
-    dem = T.demand(spark, sf).groupBy("node_id").agg(exact_sum("demand_mw", 6, "demand_mwh"))
-    base = cap.join(dem, "node_id")
-    nodes = T.nodes(spark, sf)
-    mapping = J.broadcast_if_small(nodes.select(F.col("node_id").alias("base_id"),
-                                                F.concat(F.lit("FF-"), F.col("node_name")).alias("ff_id")))
-    gm = (T.generation(spark, sf).select("plant_id", "mwh").join(p.select("plant_id", "node_id"), "plant_id")
-          .groupBy("node_id").agg(exact_sum("mwh", 2, "mwh")))
-    ff = nodes.join(gm, "node_id", "left").select(
-        F.concat(F.lit("FF-"), F.col("node_name")).alias("ff_node"), F.lower("node_name").alias("ff_name"),
-        F.col("region").alias("ff_region"), F.coalesce(F.col("mwh"), F.lit(0.0)).alias("ff_capacity_mw"))
-    j = J.strict_pairing(base, mapping, ff, "node_id", "base_id", "ff_id", "ff_node")
-    return j.select(F.col("node_id").alias("base_node"), F.col("node_name").alias("base_name"),
-                    F.col("region").alias("base_region"), F.col("capacity_mw").alias("base_capacity_mw"),
-                    F.col("demand_mwh").alias("base_demand_mwh"), "ff_node", "ff_name", "ff_region", "ff_capacity_mw",
-                    dround(F.col("ff_capacity_mw") / F.col("capacity_mw"), 4).alias("capacity_ratio"),
-                    F.when(F.col("ff_capacity_mw") > F.col("capacity_mw"), "larger").otherwise("smaller")
-                    .alias("divergence_note"))
+    """Base and derived nodes side by side, 17 columns.  Both sides and the mapping (25 nodes) are
+    evaluated once, then paired strictly."""
+    s = materialized(derive_plans.scenario(spark, sf), "scenario")
+    base = s.select("node_id", "A_cap", "N_cap", "R_cap", "base_demand").join(F.broadcast(T.nodes(spark, sf)), "node_id")
+    mapping = materialized(derive_plans.scenario_mapping(spark, sf).select(
+        F.col("node_id").alias("base_id"), F.col("ff_id").alias("ff_ref"), "ff_name", "ff_climate", "divergence_note", "demand_traits"), "mapping")
+    derived = s.select("ff_id", "ff_A_cap", "ff_N_cap", "ff_R_cap", "ff_tidal", "ff_demand")
+    j = J.strict_pairing(base, mapping, derived, "node_id", "base_id", "ff_ref", "ff_id")
+    return j.select(F.col("node_id").alias("base_node"), F.col("node_name").alias("base_name"), F.col("A_cap").alias("base_a"),
+                    F.col("N_cap").alias("base_n"), F.col("R_cap").alias("base_r"), "base_demand", F.col("ff_id").alias("ff_node"),
+                    "ff_name", "ff_climate", F.col("ff_A_cap").alias("ff_a"), F.col("ff_N_cap").alias("ff_n"),
+                    F.col("ff_R_cap").alias("ff_r"), F.lit(0).cast("long").alias("ff_geo"), "ff_tidal", "ff_demand",
+                    "divergence_note", "demand_traits")
 
 
 @register("weather_join", with_views("telemetry", extra=f"""

@@ -14,7 +14,8 @@ from wattline.sources import bronze as B
 from wattline.sources import tables as T
 
 DAY_FROM, DAY_TO = "2024-01-10", "2024-01-12"
-RETAIN_AS_OF, RETAIN_YEARS = "2001-12-31", 3
+# Years that each feed is kept before the date.
+RETAIN_AS_OF, RETAIN_YEARS = "2002-06-30", {"scada": 7, "weather": 3, "trading": 10}
 
 
 @register("partitioned_layout", with_views("telemetry") + f"""
@@ -39,8 +40,8 @@ def clustered_layout(spark, sf):
     """Range-clustered files on (plant, time): a plant-range predicate reads only the files and
     row groups whose min/max cover it."""
     path = scratch_path(spark, "generation_clustered")
-    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    B.clustered_write(T.generation(spark, sf), path, ["plant_id", "ts"], files)
+    size = sum(f[1] for f in T.files_of(spark, f"{sf.rstrip('/')}/lineitem.parquet"))
+    B.clustered_write(T.generation(spark, sf), path, ["plant_id", "ts"], size)
     r = spark.read.parquet(path).filter(F.col("plant_id").between(10, 19))
     return r.groupBy("plant_id").agg(F.count(F.lit(1)).alias("n"), exact_sum("mwh", 2, "mwh"))
 
@@ -48,24 +49,30 @@ def clustered_layout(spark, sf):
 @register("compaction", with_views("generation") + f"""
 SELECT CAST(year(ts) AS INTEGER) AS year, COUNT(*) AS n, {xs('mwh', 2)} AS mwh FROM generation GROUP BY 1""", "S16")
 def compaction(spark, sf):
-    """Many small files per year are rewritten at a new location into files of the target size
+    """The files that each scan task has written per year are rewritten at a new location into files of the target size
     (one per year at this scale); the content is unchanged (this query reads the compacted copy)."""
     src, dst = scratch_path(spark, "small_files"), scratch_path(spark, "compacted")
     g = T.generation(spark, sf).withColumn("year", F.year("ts"))
-    g.repartition(32).write.mode("overwrite").partitionBy("year").parquet(src)
+    g.write.mode("overwrite").partitionBy("year").parquet(src)
     B.compact(spark, src, dst, partition_by=["year"], order=["plant_id", "ts"])
     r = spark.read.parquet(dst)
     return r.groupBy("year").agg(F.count(F.lit(1)).alias("n"), exact_sum("mwh", 2, "mwh"))
 
 
-@register("retention_filter", with_views("generation") + f"""
-SELECT CAST(year(ts) AS INTEGER) AS year, COUNT(*) AS n FROM generation
-WHERE CAST(ts AS DATE) >= DATE '{RETAIN_AS_OF}' - INTERVAL {12 * RETAIN_YEARS} MONTH GROUP BY 1""", "S18")
+@register("retention_filter", with_views("generation") + " UNION ALL ".join(f"""
+SELECT '{feed}' AS feed, CAST(year(ts) AS INTEGER) AS year, COUNT(*) AS n FROM generation
+WHERE CAST(ts AS DATE) >= DATE '{RETAIN_AS_OF}' - INTERVAL {12 * years} MONTH GROUP BY 1, 2""" for feed, years in RETAIN_YEARS.items()), "S18")
 def retention_filter(spark, sf):
-    """Keep the last 3 years before ``as_of`` (SCADA keeps 7, weather 3, trading 10: a parameter)."""
-    g = T.generation(spark, sf).withColumn("event_date", F.to_date("ts"))
-    kept = B.retain(g, "event_date", RETAIN_AS_OF, RETAIN_YEARS)
-    return kept.groupBy(F.year("ts").alias("year")).agg(F.count(F.lit(1)).alias("n"))
+    """Retention on stored tables partitioned by year: expired partitions go, the partition that holds
+    the limit is rewritten, the others stay as they are."""
+    out = None
+    for feed, years in RETAIN_YEARS.items():
+        path = scratch_path(spark, f"retention_{feed}")
+        T.generation(spark, sf).withColumn("year", F.year("ts")).write.partitionBy("year").parquet(path)
+        B.retain(spark, path, "year", "ts", RETAIN_AS_OF, years)
+        r = spark.read.parquet(path).groupBy("year").agg(F.count(F.lit(1)).alias("n")).select(F.lit(feed).alias("feed"), "year", "n")
+        out = r if out is None else out.unionByName(r)
+    return out
 
 
 @register("gold_materialize", ORACLE["fact_revenue_region_month"], "S19")

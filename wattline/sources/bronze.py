@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from wattline import schemas
 from wattline.operators import decode as DC
+from wattline.session import materialized
 
 SERIES_PARTITIONS = ["event_date"]
 CLUSTER = ["node_id", "timestamp"]
@@ -128,9 +129,11 @@ def read_table(spark: SparkSession, root: str, table: str, fmt: str = "parquet",
     return r.load(f"{root}/{table}")
 
 
-def clustered_write(df: DataFrame, path: str, keys: Sequence[str], files: int) -> str:
+def clustered_write(df: DataFrame, path: str, keys: Sequence[str], size: int, target_file_bytes: int = 256 << 20) -> str:
     """Range-partition on the clustering keys and sort inside each file, so every file (and
-    row group) covers a narrow key range and min/max statistics let readers skip it."""
+    row group) covers a narrow key range and min/max statistics let readers skip it.  ``size`` (bytes of
+    the source) decides the number of files."""
+    files = max(1, -(-size // target_file_bytes))
     (df.repartitionByRange(files, *keys).sortWithinPartitions(*keys)
      .write.mode("overwrite").parquet(path))
     return path
@@ -157,10 +160,22 @@ def compact(spark: SparkSession, src: str, dst: str, target_file_bytes: int = 25
     return dst
 
 
-def retain(df: DataFrame, date_col: str, as_of: str, years: int) -> DataFrame:
-    """Rows whose date is within ``years`` of ``as_of`` (a partition filter when the date is a
-    partition column, so old directories are not even listed)."""
-    return df.filter(F.col(date_col) >= F.add_months(F.to_date(F.lit(as_of)), -12 * years))
+def retain(spark: SparkSession, path: str, partition: str, ts: str, as_of: str, years: int) -> None:
+    """S18 on a stored table partitioned by a year column: drop the directories of years before the
+    limit, rewrite the year that holds it (staged, then dynamic partition overwrite), leave the rest."""
+    limit = spark.range(1).select(F.add_months(F.to_date(F.lit(as_of)), -12 * years)).first()[0]
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    for d in fs.listStatus(at):
+        name = d.getPath().getName()
+        if name.startswith(f"{partition}=") and int(name.partition("=")[2]) < limit.year:
+            fs.delete(d.getPath(), True)
+    edge = spark.read.parquet(path).filter(F.col(partition) == limit.year)
+    kept = materialized(edge.filter(F.to_date(ts) >= F.lit(limit)), "retained")
+    if kept.take(1):
+        materialize(kept, path, [partition])
+    elif exists(spark, f"{path}/{partition}={limit.year}"):
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{partition}={limit.year}"), True)
 
 
 def materialize(df: DataFrame, path: str, partition_by: Sequence[str]) -> str:
