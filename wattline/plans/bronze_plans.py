@@ -303,42 +303,69 @@ def schema_evolution(spark, sf):
     return back.select("_kafka_offset", "inverter_temp_c")
 
 
+# Two landed feeds: weather files of JSON lines, and operator files of CSV with a header.
 LANDING_FIELDS = ["timestamp", "node_id", "climate", "temperature_c", "humidity_pct", "_dataset"]
+_LANDED_JSON = f"k IN ({FK['truncated']}, {FK['bad_utf8']})"
 
 
 @register("landing_scan", MSG_SQL + f"""
-SELECT CASE WHEN k NOT IN ({FK['truncated']}, {FK['bad_utf8']}, {FK['no_node']}) THEN 'N' || user_id END AS node_id,
-       CASE WHEN k NOT IN ({FK['truncated']}, {FK['bad_utf8']}, {FK['bad_number']}) THEN mw END AS temperature_c,
-       k IN ({FK['truncated']}, {FK['bad_utf8']}) AS is_corrupt
-FROM mm WHERE topic = 'energy.bronze.weather' AND k <> {FK['null_payload']}""", "S20")
+SELECT 'weather' AS feed, CASE WHEN NOT {_LANDED_JSON} AND k <> {FK['no_node']} THEN 'N' || user_id END AS node_id,
+       CASE WHEN NOT {_LANDED_JSON} AND k <> {FK['bad_number']} THEN mw END AS metric, {_LANDED_JSON} AS is_corrupt,
+       NOT {_LANDED_JSON} AND k NOT IN {ROW_REJECT} AS is_good, 'weather' AS _source,
+       CASE WHEN NOT {_LANDED_JSON} AND k <> {FK['no_dataset']} THEN ds ELSE 'unknown' END AS _dataset
+FROM mm WHERE topic = 'energy.bronze.weather' AND k <> {FK['null_payload']}
+UNION ALL
+SELECT 'operator', CASE WHEN k <> {FK['no_node']} THEN 'N' || user_id END, CASE WHEN k <> {FK['bad_number']} THEN mw END, false,
+       k NOT IN {ROW_REJECT}, 'operator', CASE WHEN k <> {FK['no_dataset']} THEN ds ELSE 'unknown' END
+FROM mm WHERE topic = 'energy.bronze.demand' AND error_message IS NULL""", "S20 P2 P5 P6")
 def landing_scan(spark, sf):
-    """Landed JSON-lines files (the weather payloads, written by Spark) read back with a declared
-    schema in PERMISSIVE mode: broken lines keep their text in ``_corrupt_record``; the file of
-    each row is its ``_source``."""
+    """Landed files read back with a declared all-string schema in PERMISSIVE mode (broken JSON lines
+    keep their text in ``_corrupt_record``), then projected, cast and given their lineage; the
+    source of a row is its file (its folder, in this result)."""
     root = scratch_path(spark, "landing")
     m = _topics(spark, sf, ["weather"]).filter(F.col("value").isNotNull())
-    m.select(F.make_valid_utf8(F.col("value").cast("string")).alias("value")).write.mode("overwrite").text(root)
+    m.select(F.make_valid_utf8(F.col("value").cast("string")).alias("value")).write.mode("overwrite").text(f"{root}/weather")
+    d = _msgs(spark, sf, ["demand"]).filter(F.col("error_message").isNull())
+    B.write_seed_csv(DC.project_to_schema(d, "demand").drop(*DC.PASS), f"{root}/operator")
     schema = ", ".join(f"`{c}` string" for c in [*LANDING_FIELDS, "_corrupt_record"])
-    r = (spark.read.schema(schema).option("mode", "PERMISSIVE")
-         .option("columnNameOfCorruptRecord", "_corrupt_record").json(root)
-         .withColumn("_source", F.col("_metadata.file_path")))
-    bad = F.col("_corrupt_record").isNotNull()
-    return r.select(F.when(~bad, F.col("node_id")).alias("node_id"),
-                    F.when(~bad, F.col("temperature_c").try_cast("double")).alias("temperature_c"),
-                    bad.alias("is_corrupt"))
-
-
-SEED_COLS = ["timestamp", "node_id", "demand_mw", "residential_pct"]
+    weather = spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(f"{root}/weather")
+    names = [n for n, _, _ in schemas.BRONZE_COLUMNS["demand"]] + ["_dataset"]
+    operator = spark.read.schema(", ".join(f"`{c}` string" for c in names)).option("header", True).csv(f"{root}/operator")
+    out = None
+    for feed, table, df in (("weather", "weather", weather), ("operator", "demand", operator)):
+        bad = F.col("_corrupt_record").isNotNull() if feed == "weather" else F.lit(False)
+        payload = F.create_map(*[x for c in df.columns if c != "_corrupt_record" for x in (F.lit(c), F.when(~bad, F.col(c)))])
+        rows = df.select(F.col("_metadata.file_path").alias("topic"), F.lit(None).cast("int").alias("partition"),
+                         F.lit(None).cast("long").alias("offset"), F.lit(None).cast("binary").alias("key"),
+                         bad.cast("string").alias("value_text"), payload.alias("p"))
+        typed = DC.cast_typed(DC.project_to_schema(DC.normalize_ppa(DC.normalize_currency(rows)), table), table)
+        e = DC.enrich_meta(typed, BATCH, with_offsets=False, ts_col=None)
+        corrupt = F.col("value_text") == "true"
+        part = e.select(F.lit(feed).alias("feed"), "node_id", F.col(B.METRIC[table]).alias("metric"), corrupt.alias("is_corrupt"),
+                        (F.col("is_good") & ~corrupt).alias("is_good"), F.element_at(F.split("_source", "/"), -2).alias("_source"), "_dataset")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+_SEEDS_SQL = MSG_SQL + f"""
+SELECT CASE topic {' '.join(f"WHEN '{t}' THEN '{b}'" for t, b in schemas.TOPIC_TABLE.items())} END AS table_name,
+       CASE WHEN event_type <> 'error' THEN strftime(ts, {ISO_SQL}) END AS timestamp,
+       CASE WHEN k <> {FK['no_node']} THEN 'N' || user_id END AS node_id,
+       CASE WHEN k = {FK['bad_number']} THEN 'n/a' ELSE CAST(mw AS VARCHAR) END AS metric
+FROM mm WHERE error_message IS NULL"""
 
 
-@register("seed_csv_roundtrip", MSG_SQL + f"""
-SELECT strftime(ts, {ISO_SQL}) AS timestamp, CASE WHEN k <> {FK['no_node']} THEN 'N' || user_id END AS node_id,
-       CASE WHEN k = {FK['bad_number']} THEN 'n/a' ELSE CAST(mw AS VARCHAR) END AS demand_mw,
-       CAST(k AS VARCHAR) AS residential_pct
-FROM mm WHERE topic = 'energy.bronze.demand' AND error_message IS NULL""", "S1 S2")
+@register("seed_csv_roundtrip", _SEEDS_SQL, "S1 S2")
 def seed_csv_roundtrip(spark, sf):
-    """Seed files: the demand payloads written as header CSV, then read back all-STRING."""
-    path = scratch_path(spark, "seed_demand")
-    d = _msgs(spark, sf).filter((F.col("topic") == "energy.bronze.demand") & F.col("error_message").isNull())
-    B.write_seed_csv(DC.project_to_schema(d, "demand").select(*SEED_COLS), path)
-    return B.read_seed_csv(spark, path, SEED_COLS)
+    """The five seed files: each table's payloads written as header CSV, then read back all-STRING."""
+    root = scratch_path(spark, "seeds")
+    d = DC.normalize_ppa(DC.normalize_currency(_msgs(spark, sf).filter(F.col("error_message").isNull())))
+    out = None
+    for topic, table in schemas.TOPIC_TABLE.items():
+        seed = DC.project_to_schema(d.filter(F.col("topic") == topic), table).drop(*DC.PASS)
+        B.write_seed_csv(seed, f"{root}/{table}")
+        back = B.read_seed_csv(spark, f"{root}/{table}", seed.columns)
+        at = F.col("timestamp") if "timestamp" in back.columns else F.lit(None).cast("string")
+        part = back.select(F.lit(table).alias("table_name"), at.alias("timestamp"), "node_id", F.col(B.METRIC[table]).alias("metric"))
+        out = part if out is None else out.unionByName(part)
+    return out
