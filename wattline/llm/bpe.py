@@ -33,7 +33,7 @@ from wattline.llm.common import written
 from wattline.llm.tokens import blocks, ragged, segment_hash
 
 #: Words of the broadcast dictionary at most (about 30 bytes each).
-DICTIONARY_WORDS = 1 << 20
+DICTIONARY_WORDS = 1 << 18
 #: Longest word that is folded in Spark (the fold is quadratic in the bytes of a word).
 FOLD_BYTES = 64
 #: Slots of the literal rank map, a power of two.
@@ -268,7 +268,7 @@ def distinct_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = np.repeat(*runs)
         for batch in batches:
-            for _, _, data, bounds in blocks(batch.column(0), 4 << 20):
+            for _, _, data, bounds in blocks(batch.column(0)):
                 start = word_starts(data, bounds, classes)
                 if not len(start):
                     continue
