@@ -23,11 +23,11 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/wattline-llm/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage is cut, executors may be lost,
     and values fixed at the time of writing (row ids, slices) stay as they are."""
     path = scratch(df.sparkSession, name)
-    df.write.partitionBy(*partition_by).parquet(path) if partition_by else df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

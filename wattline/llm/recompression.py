@@ -19,7 +19,10 @@ _RUN = np.uint64(0x52554E)
 
 
 class Parse:
-    """Symbols of several documents after ``rounds`` rounds; document i has words ``first[i]:first[i + 1]``."""
+    """Symbols of several documents after ``rounds`` rounds; document i has words ``first[i]:first[i + 1]``.
+
+    ``levels`` holds (name, low, high, doc) of the symbols after each round.
+    """
 
     def __init__(self, words: np.ndarray, first: np.ndarray, rounds: int):
         n = len(words)
@@ -28,9 +31,11 @@ class Parse:
         self.start, self.end = np.arange(n), np.arange(1, n + 1)
         self.low, self.high = self.start.copy(), self.end.copy()
         self.doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
+        self.levels = []
         for r in range(rounds):
             self._runs()
             self._pairs(r)
+            self.levels.append((self.name, self.low, self.high, self.doc))
 
     def _next(self) -> np.ndarray:
         """Whether the next symbol is in the same document."""

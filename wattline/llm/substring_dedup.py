@@ -3,12 +3,15 @@
 Repeated windows of ``window`` words are found without hashing every window of the corpus:
 
 1. *Name.*  Every text is parsed by ``ROUNDS`` rounds of recompression (see ``recompression``).  Equal
-   substrings get equal interior symbols, so each symbol whose deciding context fits into a window is
-   a fingerprint of all windows that hold that context.  Spark counts the names: a block of texts sends
-   each of its names once, and what occurs twice inside a block is known to be shared at once, so a
-   very common passage sends a row for each block, not for each occurrence.
+   substrings get equal interior symbols with equal deciding contexts, so a symbol whose context fits
+   into a window, named by itself and the words of its context, is a fingerprint of all windows that
+   hold that context.  Windows that hold no context of the last round fall back on the symbols of the
+   rounds before.  Spark counts the names: a block of texts sends each of its names once, and what
+   occurs twice inside a block is known to be shared at once, so a very common passage sends a row
+   for each block, not for each occurrence.
 2. *Reveal.*  A window that holds a symbol which occurs nowhere else can't be a repeat.  The shared
-   symbols go back to their documents; windows without an unshared symbol are candidates.
+   symbols go back to their documents (texts travel compressed); windows without an unshared symbol
+   are candidates.  Later copies of a whole document need no windows: all their words go.
 3. *Verify.*  Only candidates are hashed whole (64 bits over all their words) and compared by (document,
    start); again a block sends each hash once.  A window is removed if an equal one starts earlier.
 
@@ -28,9 +31,9 @@ from pyspark.sql.window import Window
 
 from wattline.llm.common import written
 from wattline.llm.recompression import Parse
-from wattline.llm.tokens import Words, blocks, joined, mix, pair_hash
+from wattline.llm.tokens import Words, blocks, compress, compressed_blocks, joined, mix, pair_hash
 
-#: Rounds of recompression: a symbol stands for 3.3 words on average, its context for under 20.
+#: Rounds of recompression: a symbol stands for 3.3 words on average, its context for 9.6.
 ROUNDS = 4
 BLOCK = 2 << 20
 #: Stands for a null id in the order of documents (after all others).
@@ -40,22 +43,73 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
-def window_hashes(words: np.ndarray, window: int) -> np.ndarray:
-    """64-bit hashes of all runs of ``window`` words (by differences of prefix sums)."""
-    n = len(words) - window + 1
-    if n <= 0:
-        return np.zeros(0, dtype=np.uint64)
-    up, down = np.full(len(words), _STEP), np.full(n, _BACK)
-    up[0] = down[0] = 1
-    prefix = np.append(np.uint64(0), np.cumsum(words * np.multiply.accumulate(up), dtype=np.uint64))
-    return mix((prefix[window:] - prefix[:-window]) * np.multiply.accumulate(down))
+class Runs:
+    """64-bit hashes of runs of words, by differences of prefix sums."""
 
+    def __init__(self, words: np.ndarray):
+        up, down = np.full(len(words) + 1, _STEP), np.full(len(words) + 1, _BACK)
+        up[0] = down[0] = 1
+        self.down = np.multiply.accumulate(down)
+        self.prefix = np.append(np.uint64(0), np.cumsum(words * np.multiply.accumulate(up)[:-1], dtype=np.uint64))
 
-def _symbols(words: Words, window: int) -> tuple[Parse, np.ndarray, np.ndarray]:
-    """The parse, each symbol's number within its document, and which symbols fit into a window."""
-    parse = Parse(words.hash, words.first, ROUNDS)
-    begins = np.searchsorted(parse.doc, np.arange(len(words.count)))
-    return parse, np.arange(len(parse.doc)) - begins[parse.doc], parse.high - parse.low <= window
+    def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix((self.prefix[end] - self.prefix[start]) * self.down[start])
+
+
+class Symbols:
+    """The fingerprints of a block: ``name``, context ``low:high``, ``doc`` and ``number`` in the document.
+
+    ``level`` says which rounds a symbol comes from (0: all of them), and ``bare[level]`` which windows held
+    no context of the levels before.  A symbol speaks for those only: it is named in every place where
+    such a window stands, but not in every place where its own context does.
+    """
+
+    def __init__(self, words: Words, window: int):
+        runs, first = Runs(words.hash), words.first
+        n = len(words.hash)
+        owner = np.repeat(np.arange(len(words.count)), words.count)
+        starts = max(n - window + 1, 0)
+        bare = owner[:starts] == owner[window - 1:][:starts]            # windows without a context so far
+        found, self.bare = [], []
+        for name, low, high, doc in reversed(Parse(words.hash, first, ROUNDS).levels):
+            fits = (high - low <= window) & (low >= first[doc]) & (high <= first[doc + 1])
+            name, low, high, doc = name[fits], low[fits], high[fits], doc[fits]
+            before = np.append(0, np.cumsum(bare))
+            a, b = np.clip(high - window, 0, starts), np.clip(low + 1, 0, starts)
+            needed = before[np.maximum(a, b)] > before[a]
+            name, low, high, doc, a, b = name[needed], low[needed], high[needed], doc[needed], a[needed], b[needed]
+            level = np.full(len(name), len(self.bare))
+            found.append((pair_hash(name, runs.hash(low, high)), low, high, doc, level))
+            self.bare.append(bare)
+            bare = bare & ~spanned(a, b, starts)
+            if not bare.any():
+                break
+        name, low, high, doc, level = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(doc, kind="stable")
+        self.name, self.low, self.high, self.doc, self.level = name[order], low[order], high[order], doc[order], level[order]
+        self.begins = np.searchsorted(self.doc, np.arange(len(words.count) + 1))
+        self.number = np.arange(len(order)) - self.begins[self.doc]
+        self.runs, self.window, self.starts = runs, window, starts
+
+    def closed(self, alone: np.ndarray) -> np.ndarray:
+        """Windows that a symbol among ``alone`` speaks for: those that hold its context start at
+        high - window .. low."""
+        out = np.zeros(self.starts, dtype=bool)
+        for level, bare in enumerate(self.bare):
+            at = alone[self.level[alone] == level]
+            out |= bare & spanned(np.clip(self.high[at] - self.window, 0, self.starts), np.clip(self.low[at] + 1, 0, self.starts), self.starts)
+        return out
+
+
+def spanned(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """Which of 0..n-1 lie in one of the ranges a:b."""
+    change = np.bincount(a, minlength=n + 1) - np.bincount(np.maximum(a, b), minlength=n + 1)
+    return np.cumsum(change)[:n] > 0
+
+
+def _digests(words: Words, runs: Runs) -> np.ndarray:
+    """64-bit digests of whole documents."""
+    return pair_hash(runs.hash(words.first[:-1], words.first[1:]), words.count.astype(np.uint64))
 
 
 def _packed(values: np.ndarray, owner: np.ndarray, n: int) -> list[bytes | None]:
@@ -64,74 +118,90 @@ def _packed(values: np.ndarray, owner: np.ndarray, n: int) -> list[bytes | None]
     return [values[a:b].tobytes() if b > a else None for a, b in zip(at, at[1:])]
 
 
+#: Marks in the column ``number``: a row for a whole document, and one for a copy found in its block.
+_WHOLE, _COPY = -1, -2
+
+
 def shared_symbols(docs: DataFrame, window: int) -> DataFrame:
-    """(doc, numbers, packed): the symbols of each document that occur more than once in the corpus."""
+    """(doc, numbers, packed, copies): of each document the symbols that occur more than once in the
+    corpus, and the digests with which it is a later copy of another document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(name: np.ndarray, doc: np.ndarray, number: np.ndarray, packed: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(name.view(np.int64)), pa.array(doc, pa.int64()), pa.array(number.astype(np.int32), mask=number < _COPY),
+                 pa.array(packed, pa.binary())], ["name", "doc", "number", "packed"])
+
         for batch in batches:
             ids = batch.column(0).to_numpy()
             for i, j, data, bounds in blocks(batch.column(1), BLOCK):
-                parse, number, fits = _symbols(Words(data, bounds), window)
-                at = np.flatnonzero(fits)
-                name, where, of, times = np.unique(parse.name[at], return_index=True, return_inverse=True, return_counts=True)
-                one = at[where]
-                doc = ids[i:j]
-                n = len(one)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(name.view(np.int64)), pa.array(doc[parse.doc[one]]), pa.array(number[one].astype(np.int32)),
-                     pa.nulls(n, pa.binary())], ["name", "doc", "number", "packed"])
-                twice = at[times[of] > 1]
-                packed = _packed(number[twice].astype(np.int32), parse.doc[twice], j - i)
-                some = [k for k, p in enumerate(packed) if p is not None]
-                # these rows are settled; they only travel along, spread over all partitions
-                spread = pair_hash(doc[some].astype(np.uint64), np.full(len(some), i, np.uint64))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(spread.view(np.int64)), pa.array(doc[some]), pa.nulls(len(some), pa.int32()),
-                     pa.array([packed[k] for k in some], pa.binary())], ["name", "doc", "number", "packed"])
+                words, doc = Words(data, bounds), ids[i:j]
+                s = Symbols(words, window)
+                _, where, of, times = np.unique(s.name, return_index=True, return_inverse=True, return_counts=True)
+                where.sort()                     # by document, which packs better than by name
+                yield rows(s.name[where], doc[s.doc[where]], s.number[where], [None] * len(where))
+                # what occurs twice in the block is settled; it only travels along, spread over all partitions
+                twice = times[of] > 1
+                packed = _packed(s.number[twice].astype(np.int32), s.doc[twice], j - i)
+                some = np.array([k for k, p in enumerate(packed) if p is not None], dtype=np.int64)
+                spread = pair_hash(doc.astype(np.uint64), np.full(j - i, i, np.uint64))
+                yield rows(spread[some], doc[some], np.full(len(some), _COPY - 1), [packed[k] for k in some])
+                long = np.flatnonzero(words.count >= window)
+                digest = _digests(words, s.runs)[long]
+                order = np.lexsort((doc[long], digest))
+                long, digest = long[order], digest[order]
+                head = np.ones(len(long), dtype=bool)
+                head[1:] = digest[1:] != digest[:-1]
+                lead = np.maximum.accumulate(np.where(head, np.arange(len(long)), 0))
+                copy = doc[long] != doc[long[lead]]
+                yield rows(digest[head], doc[long[head]], np.full(head.sum(), _WHOLE), [None] * int(head.sum()))
+                yield rows(spread[long[copy]], doc[long[copy]], np.full(copy.sum(), _COPY), [int(d).to_bytes(8, "big") for d in digest[copy]])
 
     rows = docs.mapInArrow(run, "name long, doc long, number int, packed binary")
-    counted = rows.withColumn("times", F.count("number").over(Window.partitionBy("name")))
-    return (counted.where("packed is not null or times > 1").groupBy("doc")
-            .agg(F.collect_list("number").alias("numbers"), F.collect_list("packed").alias("packed")))
-
-
-def _unshared(parse: Parse, number: np.ndarray, fits: np.ndarray, numbers: list, packed: list) -> np.ndarray:
-    """Symbols that fit into a window and occur once."""
-    known = np.zeros(len(number), dtype=bool)
-    begins = np.flatnonzero(number == 0)
-    of = dict(zip(parse.doc[begins].tolist(), begins.tolist()))
-    ends = np.append(begins[1:], len(number))
-    size = dict(zip(parse.doc[begins].tolist(), (ends - begins).tolist()))
+    same = Window.partitionBy("name")
+    counted = rows.withColumn("times", F.count("number").over(same)).withColumn("first", F.min("doc").over(same))
+    copy = F.when((F.col("number") == _WHOLE) & (F.col("first") < F.col("doc")), F.lpad(F.hex("name"), 16, "0"))
+    copy = F.coalesce(copy, F.when(F.col("number") == _COPY, F.hex("packed")))
+    kept = counted.select("doc", copy.alias("copy"), F.when((F.col("number") >= 0) & (F.col("times") > 1), F.col("number")).alias("number"),
+                          F.when(F.col("number").isNull(), F.col("packed")).alias("packed"))
+    return (kept.where("copy is not null or number is not null or packed is not null").groupBy("doc")
+            .agg(F.collect_list("number").alias("numbers"), F.collect_list("packed").alias("packed"),
+                 F.collect_set("copy").alias("copies")))
+
+
+def _unshared(s: Symbols, numbers: list, packed: list) -> np.ndarray:
+    """Symbols that occur once in the corpus."""
+    known = np.zeros(len(s.number), dtype=bool)
     for d, (plain, packs) in enumerate(zip(numbers, packed)):
-        if d not in of:
-            continue
+        size = s.begins[d + 1] - s.begins[d]
         for part in [np.asarray(plain or [], dtype=np.int64), *(np.frombuffer(p, np.int32) for p in packs or [])]:
-            known[of[d] + part[part < size[d]]] = True      # rows that share an id may have other lengths
-    return np.flatnonzero(fits & ~known)
+            known[s.begins[d] + part[part < size]] = True      # rows that share an id may have other lengths
+    return np.flatnonzero(~known)
 
 
 def candidates(docs: DataFrame, shared: DataFrame, window: int, all_texts: bool = False) -> DataFrame:
-    """One row per row of ``docs`` (id, doc, text): ``n_words``; without candidates ``sha256`` of the joined
-    words; else ``text``, ``gone`` (starts that an earlier window of the same block repeats), and
-    ``starts`` and ``hashes`` of the candidates that are first in their block.  ``all_texts`` keeps the
-    text of every row."""
+    """One row per row of ``docs`` (id, doc, text): ``n_words``, ``copy`` (of an earlier document: all words go);
+    without candidates ``sha256`` of the joined words; else ``text`` (compressed), ``gone`` (starts that
+    an earlier window of the same block repeats), and ``starts`` of the candidates that are first in
+    their block.  ``all_texts`` keeps the text of every row that isn't a copy."""
+    empty = sha256(b"").hexdigest()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             order = batch.column(1).to_numpy()
-            for i, j, data, bounds in blocks(batch.column(2), BLOCK):
+            for i, j, data, bounds in compressed_blocks(batch.column(2), BLOCK):
                 words = Words(data, bounds)
-                parse, number, fits = _symbols(words, window)
-                alone = _unshared(parse, number, fits, batch.column(3).slice(i, j - i).to_pylist(),
-                                  batch.column(4).slice(i, j - i).to_pylist())
+                s = Symbols(words, window)
+                numbers, packed, copies = (batch.column(c).slice(i, j - i).to_pylist() for c in (3, 4, 5))
+                alone = _unshared(s, numbers, packed)
+                digest = _digests(words, s.runs)
+                copy = np.array([bool(c) and n >= window and f"{int(d):016X}" in c
+                                 for c, n, d in zip(copies, words.count, digest)], dtype=bool)
                 n = len(words.hash)
-                # windows that hold the context of an unshared symbol start at high - window .. low
-                change = np.zeros(n + 2, dtype=np.int64)
-                np.add.at(change, np.maximum(parse.high[alone] - window, 0), 1)
-                np.add.at(change, parse.low[alone] + 1, -1)
-                open_ = np.cumsum(change)[:max(n - window + 1, 0)] == 0
                 owner = np.repeat(np.arange(j - i), words.count)
-                open_ &= owner[:len(open_)] == owner[window - 1:][:len(open_)]
+                # the first level has all windows bare
+                open_ = s.bare[0] & ~s.closed(alone) & ~copy[owner[:s.starts]]
                 at = np.flatnonzero(open_)
-                h, of = window_hashes(words.hash, window)[at], owner[at]
+                h, of = s.runs.hash(at, at + window), owner[at]
                 start, doc = at - words.first[of], order[i:j][of]
                 sort = np.lexsort((start, doc, h))
                 new = np.ones(len(sort), dtype=bool)
@@ -139,36 +209,43 @@ def candidates(docs: DataFrame, shared: DataFrame, window: int, all_texts: bool
                 lead = sort[np.maximum.accumulate(np.where(new, np.arange(len(sort)), 0))]
                 later = np.zeros(len(sort), dtype=bool)
                 later[sort] = (doc[lead] != doc[sort]) | (start[lead] != start[sort])
-                some = np.bincount(of, minlength=j - i) > (-1 if all_texts else 0)
-                texts = [None if t is None else sha256(t).hexdigest() for t in
-                         (None if s else b for s, b in zip(some, joined(words, np.ones(n, dtype=bool))))]
+                some = ((np.bincount(of, minlength=j - i) > 0) | all_texts) & ~copy
+                whole = joined(words, ~some[owner])
+                texts = [None if t else empty if c else sha256(b).hexdigest() for t, c, b in zip(some, copy, whole)]
                 start = start.astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(words.count, pa.int64()),
-                     pa.array(texts, pa.string()),
-                     pa.array([t.as_py() or "" if s else None for t, s in zip(batch.column(2).slice(i, j - i), some)], pa.string()),
+                     pa.array(copy), pa.array(texts, pa.string()),
+                     pa.array([t.as_py() if k else None for t, k in zip(batch.column(2).slice(i, j - i), some)], pa.binary()),
                      pa.array(_packed(start[later], of[later], j - i), pa.binary()),
-                     pa.array(_packed(start[~later], of[~later], j - i), pa.binary()),
-                     pa.array(_packed(h[~later], of[~later], j - i), pa.binary())],
-                    ["id", "doc", "n_words", "sha256", "text", "gone", "starts", "hashes"])
+                     pa.array(_packed(start[~later], of[~later], j - i), pa.binary())],
+                    ["id", "doc", "n_words", "copy", "sha256", "text", "gone", "starts"])
 
-    return docs.join(shared, "doc", "left").select("id", "doc", "text", "numbers", "packed").mapInArrow(
-        run, "id long, doc long, n_words long, sha256 string, text string, gone binary, starts binary, hashes binary")
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), compress(batch.column(2))], ["id", "doc", "text"])
+
+    packed = docs.select("id", "doc", "text").mapInArrow(pack, "id long, doc long, text binary")
+    return packed.join(shared, "doc", "left").select("id", "doc", "text", "numbers", "packed", "copies").mapInArrow(
+        run, "id long, doc long, n_words long, copy boolean, sha256 string, text binary, gone binary, starts binary")
 
 
-def later_windows(found: DataFrame) -> DataFrame:
+def later_windows(found: DataFrame, window: int) -> DataFrame:
     """(row, starts): windows of each row of ``found`` of which an equal one starts earlier."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in range(batch.num_rows):
-                start = np.frombuffer(batch.column(2)[r].as_py(), np.int32)
-                h = np.frombuffer(batch.column(3)[r].as_py(), np.int64)
-                n = len(start)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h), pa.array(np.full(n, batch.column(1)[r].as_py(), np.int64)),
-                     pa.array(np.full(n, batch.column(0)[r].as_py(), np.int64)), pa.array(start)], ["hash", "doc", "row", "start"])
+            row, doc = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for i, j, data, bounds in compressed_blocks(batch.column(2), BLOCK):
+                words = Words(data, bounds)
+                packed = batch.column(3).slice(i, j - i).to_pylist()
+                start = np.frombuffer(b"".join(packed), np.int32)
+                of = np.repeat(np.arange(j - i), [len(p) // 4 for p in packed])
+                at = words.first[of] + start
+                h = Runs(words.hash).hash(at, at + window)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(doc[i:j][of]), pa.array(row[i:j][of]), pa.array(start)],
+                                                 ["hash", "doc", "row", "start"])
 
-    windows = (found.where("starts is not null").select("row", "doc", "starts", "hashes")
+    windows = (found.where("starts is not null").select("row", "doc", "text", "starts")
                .mapInArrow(run, "hash long, doc long, row long, start int"))
     here = F.struct("doc", "start")
     first = F.first(here).over(Window.partitionBy("hash").orderBy("doc", "start")
@@ -190,12 +267,14 @@ def remove_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", te
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).withColumn(
         "doc", F.coalesce("id", F.lit(_LAST)))
     shared = shared_symbols(rows.select("doc", "text"), window)
-    found = written(candidates(rows, shared, window, keep_text).withColumn("row", F.monotonically_increasing_id()), "substring-found")
-    later = later_windows(found)
+    # zstd, as runs of starts pack well
+    found = written(candidates(rows, shared, window, keep_text).withColumn("row", F.monotonically_increasing_id()), "substring-found",
+                    compression="zstd")
+    later = later_windows(found, window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, data, bounds in blocks(batch.column(1), BLOCK):
+            for i, j, data, bounds in compressed_blocks(batch.column(1), BLOCK):
                 words = Words(data, bounds)
                 change = np.zeros(len(words.hash) + 1, dtype=np.int64)
                 for d, (gone, more) in enumerate(zip(batch.column(2).slice(i, j - i).to_pylist(),
@@ -215,7 +294,8 @@ def remove_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", te
     names = ["id", "n_words", "n_removed", "kept_sha256"] + ["kept_text"] * keep_text
     cut = found.where("text is not null").select("id", "text", "gone", "row").join(later, "row", "left").select(
         "id", "text", "gone", "later").mapInArrow(run, "id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * keep_text)
-    whole = found.where("text is null").select("id", "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("sha256").alias("kept_sha256"))
+    removed = F.when(F.col("copy"), F.col("n_words")).otherwise(F.lit(0)).cast("long")
+    whole = found.where("text is null").select("id", "n_words", removed.alias("n_removed"), F.col("sha256").alias("kept_sha256"))
     if keep_text:
-        whole = whole.withColumn("kept_text", F.lit(None).cast("string"))     # no such rows
+        whole = whole.withColumn("kept_text", F.lit(""))     # copies only: the other rows have their text
     return cut.unionByName(whole).withColumnRenamed("id", id_col)

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 
 BLOCK_BYTES = 1 << 20
 
@@ -135,3 +136,23 @@ def joined(words: Words, keep: np.ndarray) -> list[bytes]:
     raw = flat.tobytes()
     at = np.append(0, ends)[np.append(0, np.cumsum(keep))[words.first]]
     return [raw[a:b - 1] if b > a else b"" for a, b in zip(at, at[1:])]
+
+
+def compress(column: pa.Array) -> pa.Array:
+    """Texts as zstd frames (null: of no bytes), for shuffles of whole texts."""
+    tool = zstandard.ZstdCompressor(level=3)
+    return pa.array([tool.compress((t.as_buffer() or b"") if t.is_valid else b"") for t in column], pa.binary())
+
+
+def compressed_blocks(column: pa.Array, block_bytes: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """``blocks`` of a column of zstd frames; only one block is held unpacked."""
+    tool = zstandard.ZstdDecompressor()
+    texts, size, i = [], 0, 0
+    for j, frame in enumerate(column):
+        raw = frame.as_buffer()
+        size += zstandard.frame_content_size(raw)
+        texts.append(tool.decompress(raw))
+        if size >= block_bytes or j == len(column) - 1:
+            bounds = np.append(0, np.cumsum([len(t) for t in texts]))
+            yield i, j + 1, np.frombuffer(b"".join(texts), np.uint8), bounds
+            texts, size, i = [], 0, j + 1
