@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wattline.llm.common import written
+from wattline.llm.common import map_batches, written
 
 M, CONFIDENCE, SEED = 8, 0.98, 11
 #: Vectors that the cells are fitted on at most, and of these in a cell at least.
@@ -215,7 +215,7 @@ def _place(rows: DataFrame, cells: dict[int, tuple[int, Tree]]) -> DataFrame:
                     cell[at] = base + tree.find(unit(_matrix(batch.column(0).take(pa.array(at)))) @ projection(int(dim)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell, pa.int64())], [*batch.schema.names, "cell"])
 
-    return rows.mapInArrow(run, f"{_ddl(rows)}, cell long")
+    return rows.transform(map_batches, run, f"{_ddl(rows)}, cell long")
 
 
 def _ddl(df: DataFrame) -> str:
@@ -264,7 +264,7 @@ def _search(index: DataFrame, queries: DataFrame, want: int) -> DataFrame:
                      pa.array([o[2] for o in out], pa.list_(pa.struct([("score", pa.float64()), ("id", pa.int64())])))],
                     ["query", "far", "found"])
 
-    return dealt.mapInArrow(run, "query long, far double, found array<struct<score: double, id: bigint>>")
+    return dealt.transform(map_batches, run, "query long, far double, found array<struct<score: double, id: bigint>>")
 
 
 def _visits(queries: DataFrame, cells: dict[int, tuple[int, Tree]], blocks: dict[int, int], home: bool) -> DataFrame:
@@ -303,7 +303,7 @@ def _visits(queries: DataFrame, cells: dict[int, tuple[int, Tree]], blocks: dict
 
     rows = queries.select("query", "vector", "bound", "cell")
     kind = dict(rows.dtypes)["vector"]
-    return rows.mapInArrow(run, f"query long, vector {kind}, bound double, cell long, block long")
+    return rows.transform(map_batches, run, f"query long, vector {kind}, bound double, cell long, block long")
 
 
 def nearest(table: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import written
+from wattline.llm.common import map_batches, written
 from wattline.llm.tokens import blocks, ragged, segment_hash
 
 #: Words of the broadcast dictionary at most (about 30 bytes each).
@@ -282,7 +282,7 @@ def distinct_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 words = pa.Array.from_buffers(pa.binary(), len(where), [None, pa.py_buffer(offsets), pa.py_buffer(packed)])
                 yield pa.RecordBatch.from_arrays([words, pa.array(times, pa.int64())], ["word", "times"])
 
-    return (docs.select(F.col(text_col).alias("text")).mapInArrow(count, "word binary, times long")
+    return (docs.select(F.col(text_col).alias("text")).transform(map_batches, count, "word binary, times long")
             .groupBy("word").agg(F.sum("times").alias("times")))
 
 
@@ -353,4 +353,4 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", tex
                     names += ["ids", "decoded"]
                 yield pa.RecordBatch.from_arrays(out, names)
 
-    return docs.select(F.col(id_col).alias(id_col), F.col(text_col).alias("_text")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).alias(id_col), F.col(text_col).alias("_text")).transform(map_batches, run, schema)

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from wattline.session import ensure_checkpoint_dir
 
@@ -31,6 +32,18 @@ def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows and bytes of an Arrow batch at most: a Python worker holds a batch of whole texts.
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
+
+
+def map_batches(df: DataFrame, run, schema: str | StructType) -> DataFrame:
+    """``mapInArrow`` with small batches (session settings, read when the plan runs)."""
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return df.mapInArrow(run, schema)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, or a longer one that no column of ``df`` has (names compare without case)."""
     taken = {c.lower() for c in df.columns}

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import free_name, written
+from wattline.llm.common import free_name, map_batches, written
 from wattline.llm.components import components
 from wattline.llm.tokens import Words, blocks, pair_hash
 
@@ -144,7 +144,7 @@ def sketch(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame
                      pa.array([s.tobytes() if n else None for s, n in zip(sig, size)], pa.binary())],
                     ["doc", "size", "digest", "sig"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).mapInArrow(
+    return docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).transform(map_batches, 
         run, "doc long, size long, digest binary, sig binary")
 
 
@@ -162,7 +162,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, width: int, id_col: str, text_
 
     rows = (docs.select(F.col(id_col).cast("long").alias("_doc"), F.col(text_col).alias("text"))
             .join(wanted, F.col("_doc").eqNullSafe(F.col("first"))).select("node", "digest", "text"))
-    return rows.mapInArrow(run, "node long, set binary").dropDuplicates(["node"])     # repeated ids
+    return rows.transform(map_batches, run, "node long, set binary").dropDuplicates(["node"])     # repeated ids
 
 
 def _star_links(pairs: DataFrame, involved: DataFrame, threshold: float, percent: int) -> DataFrame:
@@ -183,7 +183,7 @@ def _star_links(pairs: DataFrame, involved: DataFrame, threshold: float, percent
     one = involved.select(F.col("node").alias("a"), F.col("sig").alias("sig_a"), F.col("set").alias("set_a"))
     two = involved.select(F.col("node").alias("b"), F.col("sig").alias("sig_b"), F.col("set").alias("set_b"))
     return (pairs.join(one, "a").join(two, "b").select("a", "b", "sig_a", "set_a", "sig_b", "set_b")
-            .mapInArrow(run, "a long, b long"))
+            .transform(map_batches, run, "a long, b long"))
 
 
 def _unit_links(rows: list[dict], band: int, across: bool, bounds: list[tuple[int, int]], percent: int) -> list[tuple[int, int]]:
@@ -248,7 +248,7 @@ def _cross_links(members: DataFrame, involved: DataFrame, threshold: float, perc
                              "sig": np.frombuffer(r["sig"], np.uint16), "set": np.frombuffer(r["set"], np.uint64)})
         yield from links(unit, key)
 
-    return rows.mapInArrow(run, "a long, b long")
+    return rows.transform(map_batches, run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",

@@ -22,11 +22,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattline.llm.common import free_name
+from wattline.llm.common import free_name, map_batches
 from wattline.llm.tokens import Words, blocks
 
 #: Labelled documents the model is fitted on at most.
-SAMPLE = 3000
+SAMPLE = 2000
 PASSAGE_BYTES = 512
 PASSAGES = 64
 HIDDEN, GATE = 32, 16
@@ -126,7 +126,7 @@ class Attention:
 
 def fit(x: np.ndarray, n: np.ndarray, label: np.ndarray, epochs: int = 12, steps: int = 600, batch: int = 64, rate: float = 2e-3,
         decay: float = 1e-4, seed: int = 5) -> Attention:
-    """Learn the network from bags (Adam, fixed seed; as many epochs as make ``steps``, and ``epochs`` at
+    """Learn the network from bags, ``x`` being used up (Adam, fixed seed; as many epochs as make ``steps``, and ``epochs`` at
     least).  Without bags the score is 0.5 for every text."""
     rng = np.random.default_rng(seed)
     shapes = {"W": (FEATURES, HIDDEN), "b": (HIDDEN,), "V": (HIDDEN, GATE), "U": (HIDDEN, GATE), "w": (GATE,),
@@ -136,10 +136,12 @@ def fit(x: np.ndarray, n: np.ndarray, label: np.ndarray, epochs: int = 12, steps
     if not len(n):
         p["c"][:] = 0
         return Attention(np.zeros(FEATURES, np.float32), np.ones(FEATURES, np.float32), p)
-    mean, scale = x.mean(0), x.std(0) + np.float32(0.01)
+    mean = x.mean(0)
+    x -= mean                                         # in place: the sample is the driver's largest array
+    scale = np.sqrt(np.einsum("ij,ij->j", x, x) / len(x)) + np.float32(0.01)
+    x /= scale
     model = Attention(mean, scale, p)
     epochs = max(epochs, -(-steps * batch // len(n)))
-    x = (x - mean) / scale
     first = np.cumsum(n) - n
     m, v, step = {k: np.zeros_like(a) for k, a in p.items()}, {k: np.zeros_like(a) for k, a in p.items()}, 0
     for epoch in range(epochs):
@@ -182,10 +184,15 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", use: C
                      pa.array([x[a:b].tobytes() for a, b in zip(first, first[1:])], pa.binary())], ["key", "label", "bag"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    got = rows.mapInArrow(bags, f"key {kind}, label int, bag binary").toArrow().sort_by([("key", "ascending")])
-    parts = [np.frombuffer(b.as_py(), np.float16).reshape(-1, FEATURES) for b in got["bag"]]
-    x = np.concatenate(parts).astype(np.float32) if parts else np.zeros((0, FEATURES), np.float32)
-    return fit(x, np.array([len(b) for b in parts], dtype=np.int64), np.array(got["label"].to_pylist(), dtype=np.float32))
+    got = rows.transform(map_batches, bags, f"key {kind}, label int, bag binary").toArrow().sort_by([("key", "ascending")])
+    n = np.array([len(b.as_buffer()) // (2 * FEATURES) for b in got["bag"]], dtype=np.int64)
+    x, at = np.empty((int(n.sum()), FEATURES), np.float32), 0
+    for bag, rows in zip(got["bag"], n):
+        x[at:at + rows] = np.frombuffer(bag.as_buffer(), np.float16).reshape(-1, FEATURES)
+        at += rows
+    label = np.array(got["label"].to_pylist(), dtype=np.float32)
+    del got
+    return fit(x, n, label)
 
 
 def score(docs: DataFrame, model: Attention, keep: list[str], text_col: str = "text", out_col: str = "score",
@@ -193,17 +200,19 @@ def score(docs: DataFrame, model: Attention, keep: list[str], text_col: str = "t
     """The columns ``keep`` of every row of ``docs`` with the score of its whole text; with ``least``,
     only rows that reach it.  Null texts score as empty ones; repeated rows score alike."""
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(out_col, T.DoubleType())])
+    text_at = keep.index(text_col) if text_col in keep else len(keep)        # a text travels once
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = batch.select(range(len(keep)))
-            for i, j, data, bounds in blocks(batch.column(len(keep))):
+            for i, j, data, bounds in blocks(batch.column(text_at)):
                 cuts, n = passages(bounds)
                 got = pa.array(model.score(encode(data, cuts), n), pa.float64())
                 part = pa.RecordBatch.from_arrays([*kept.slice(i, j - i).columns, got], [*keep, out_col])
                 yield part if least is None else part.filter(pc.greater_equal(got, least))
 
-    return docs.select(*keep, F.col(text_col).alias(free_name(docs, "_text"))).mapInArrow(run, schema)
+    text = [] if text_col in keep else [F.col(text_col).alias(free_name(docs, "_text"))]
+    return docs.select(*keep, *text).transform(map_batches, run, schema)
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wattline.llm.common import written
+from wattline.llm.common import map_batches, written
 from wattline.llm.recompression import Parse
 from wattline.llm.tokens import Words, blocks, compress, compressed_blocks, joined, mix, pair_hash
 
@@ -156,7 +156,7 @@ def shared_symbols(docs: DataFrame, window: int) -> DataFrame:
                 yield rows(digest[head], doc[long[head]], np.full(head.sum(), _WHOLE), [None] * int(head.sum()))
                 yield rows(spread[long[copy]], doc[long[copy]], np.full(copy.sum(), _COPY), [int(d).to_bytes(8, "big") for d in digest[copy]])
 
-    rows = docs.mapInArrow(run, "name long, doc long, number int, packed binary")
+    rows = docs.transform(map_batches, run, "name long, doc long, number int, packed binary")
     same = Window.partitionBy("name")
     counted = rows.withColumn("times", F.count("number").over(same)).withColumn("first", F.min("doc").over(same))
     copy = F.when((F.col("number") == _WHOLE) & (F.col("first") < F.col("doc")), F.lpad(F.hex("name"), 16, "0"))
@@ -225,8 +225,8 @@ def candidates(docs: DataFrame, shared: DataFrame, window: int, all_texts: bool
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), compress(batch.column(2))], ["id", "doc", "text"])
 
-    packed = docs.select("id", "doc", "text").mapInArrow(pack, "id long, doc long, text binary")
-    return packed.join(shared, "doc", "left").select("id", "doc", "text", "numbers", "packed", "copies").mapInArrow(
+    packed = docs.select("id", "doc", "text").transform(map_batches, pack, "id long, doc long, text binary")
+    return packed.join(shared, "doc", "left").select("id", "doc", "text", "numbers", "packed", "copies").transform(map_batches, 
         run, "id long, doc long, n_words long, copy boolean, sha256 string, text binary, gone binary, starts binary")
 
 
@@ -246,7 +246,7 @@ def later_windows(found: DataFrame, window: int) -> DataFrame:
                                                  ["hash", "doc", "row", "start"])
 
     windows = (found.where("starts is not null").select("row", "doc", "text", "starts")
-               .mapInArrow(run, "hash long, doc long, row long, start int"))
+               .transform(map_batches, run, "hash long, doc long, row long, start int"))
     here = F.struct("doc", "start")
     first = F.first(here).over(Window.partitionBy("hash").orderBy("doc", "start")
                                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -293,7 +293,7 @@ def remove_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", te
 
     names = ["id", "n_words", "n_removed", "kept_sha256"] + ["kept_text"] * keep_text
     cut = found.where("text is not null").select("id", "text", "gone", "row").join(later, "row", "left").select(
-        "id", "text", "gone", "later").mapInArrow(run, "id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * keep_text)
+        "id", "text", "gone", "later").transform(map_batches, run, "id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * keep_text)
     removed = F.when(F.col("copy"), F.col("n_words")).otherwise(F.lit(0)).cast("long")
     whole = found.where("text is null").select("id", "n_words", removed.alias("n_removed"), F.col("sha256").alias("kept_sha256"))
     if keep_text:
