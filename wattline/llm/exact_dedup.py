@@ -143,7 +143,9 @@ def _regrouped(docs: DataFrame, out: DataFrame, collided: DataFrame, id_col: str
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; ``docs`` must be read from files."""
+    """The rows of ``docs`` that stay, with all their columns; ``docs`` must be read from files.
+
+    The rows that go are far fewer than those that stay, so they are the side that is joined."""
     at = free_name(docs, "_locator")
-    kept = written(exact_groups(docs, id_col, text_col).where("kept").select(F.col("locator").alias(at)), "exact-dedup-kept")
-    return with_locator(docs, at).join(kept, at, "left_semi").select(*docs.columns)
+    dropped = written(exact_groups(docs, id_col, text_col).where("not kept").select(F.col("locator").alias(at)), "exact-dedup-dropped")
+    return with_locator(docs, at).join(dropped, at, "left_anti").select(*docs.columns)

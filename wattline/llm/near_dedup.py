@@ -282,8 +282,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     joined = components(_star_links(stars, involved, threshold, percent))
     labelled = written(members.drop("center").join(joined.withColumnRenamed("a", "node"), "node", "left")
                        .withColumn("label", F.coalesce("b", "node")).drop("b"), "near-labelled")
-    mixed = written(labelled.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-                    .where("lo <> hi").select("bucket"), "near-mixed")
+    # of buckets with the same members the one of the first band stays: no pair can share an earlier one
+    members_of = [F.count(F.lit(1)).alias("n"), *(F.bit_xor(F.xxhash64(F.lit(k), "node")).alias(f"x{k}") for k in range(2))]
+    mixed = labelled.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("band").alias("band"), *members_of)
+    mixed = written(mixed.where("lo <> hi").groupBy("n", "x0", "x1").agg(F.min_by("bucket", "band").alias("bucket")).select("bucket"), "near-mixed")
     cross = _cross_links(labelled.join(mixed, "bucket", "left_semi"), involved, threshold, percent)
     joined = components(joined.unionByName(cross))
 
@@ -299,7 +301,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is kept, with all their columns."""
-    key = free_name(docs, "_kept")
-    kept = written(near_duplicates(docs, width, percent, id_col, text_col).where("kept").select(F.col(id_col).alias(key)), "near-kept")
-    return docs.join(kept, F.col(id_col).eqNullSafe(F.col(key)), "left_semi")
+    """The rows of ``docs`` whose id is kept, with all their columns; rows without an id stay.
+
+    The ids that go are far fewer than those that stay, so they are the side that is joined."""
+    key = free_name(docs, "_dropped")
+    dropped = written(near_duplicates(docs, width, percent, id_col, text_col).where(f"not kept and `{id_col}` is not null")
+                      .select(F.col(id_col).alias(key)), "near-dropped")
+    return docs.join(dropped, F.col(id_col) == F.col(key), "left_anti")
