@@ -37,7 +37,7 @@ DICTIONARY_WORDS = 1 << 18
 #: Longest word that is folded in Spark (the fold is quadratic in the bytes of a word).
 FOLD_BYTES = 64
 #: Slots of the literal rank map, a power of two.
-SLOTS = 1 << 16
+SLOTS = 1 << 13
 #: Words that a Python worker remembers besides the dictionary.
 CACHE_WORDS = 200_000
 
