@@ -67,6 +67,15 @@ def test_url_templates_follow_labels(spark):
     assert {r.verdict for r in got if "/spam/" not in r.path} == {"allow"}
 
 
+def test_url_branches_of_a_wide_host(spark):
+    """100 sections of 1 % each: the ones that are always bad stay apart, the others merge."""
+    rows = [(k, f"http://wide.net/s{k % 100}/{k}", k % 100 < 10 if k % 200 < 100 else None) for k in range(800)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, bad boolean")
+    got = url_filter.filter_urls(pages, [], label=F.col("bad")).collect()
+    assert {(r.template, r.verdict) for r in got if r.page_id % 100 < 10} == {(f"/s{k}/*", "block") for k in range(10)}
+    assert {(r.template, r.verdict) for r in got if r.page_id % 100 >= 10} == {("/*/*", "allow")}
+
+
 # --- nearest neighbours ------------------------------------------------------------------------
 
 def cosines(x, q):

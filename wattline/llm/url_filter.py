@@ -9,7 +9,8 @@ template on all hosts, and that towards the rate of the whole table.  Templates
 threshold are rejected.
 
 Every step is an aggregate over distinct paths, combined map-side, or a join with a table of literal
-children (at most ``1 / LITERAL_SHARE`` for each node), written first so that Spark can split a hot host.
+children, written first so that Spark can split a hot host.  Their number is bounded by evidence (pages
+and labels of each), not by a share of the host, so it grows with the labelled pages.
 """
 
 from __future__ import annotations
@@ -21,8 +22,8 @@ from pyspark.sql import functions as F
 
 from wattline.llm.common import ascii_lower, written
 
-#: A child stays literal if it has at least so many pages and this share of its node's pages.
-LITERAL_PAGES, LITERAL_SHARE = 4, 0.02
+#: A child stays literal if it has at least so many pages and its labels differ from its node's.
+LITERAL_PAGES = 4
 #: Chi-square value (one degree of freedom, 5 %) above which a branch differs from its node.
 DIFFERS = 3.84
 #: Pseudo-counts of the smoothing, and the smoothed bad rate from which a template is rejected.
@@ -73,13 +74,13 @@ def templates(paths: DataFrame) -> DataFrame:
             F.sum("pages").alias("pages"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
         children = written(children, "url-children")
         nodes = children.groupBy("host", "template").agg(
-            F.sum("pages").alias("all_pages"), F.sum("labelled").alias("all_labelled"), F.sum("bad").alias("all_bad"))
+            F.sum("labelled").alias("all_labelled"), F.sum("bad").alias("all_bad"))
         nodes = written(nodes, "url-nodes")
         rate = (F.col("all_bad") + 0.5) / (F.col("all_labelled") + 1.0)
         off = F.col("bad") - F.col("labelled") * rate
         differs = off * off > DIFFERS * F.col("labelled") * rate * (1 - rate)
         literal = (children.where(F.col("pages") >= LITERAL_PAGES).join(nodes, ["host", "template"])
-                   .where((F.col("pages") >= F.col("all_pages") * LITERAL_SHARE) & (F.col("labelled") > 0) & differs)
+                   .where((F.col("labelled") > 0) & differs)
                    .select("host", "template", F.col("segment").alias("_segment"), F.lit(True).alias("_literal")))
         literal = written(literal, "url-literal")
         step = rows.withColumn("_segment", at).join(literal, ["host", "template", "_segment"], "left")
