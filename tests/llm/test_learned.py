@@ -186,6 +186,17 @@ def test_quality_edges(spark):
     assert quality.score(spark.createDataFrame([], DOCS), model, ["doc_id"]).count() == 0
 
 
+def test_quality_does_not_depend_on_neighbours(spark):
+    """A text scores the same alone and beside a long one without spaces in its block."""
+    texts = ["fine words in a row " * 20, "longer wording everywhere, considerably " * 9, "junk$$$ junk### " * 30, "a b c d $ # " * 40]
+    cut = [quality.passages(np.array([0, len(t)])) for t in texts]
+    x = np.concatenate([quality.encode(np.frombuffer(t.encode(), np.uint8), cuts) for t, (cuts, _) in zip(texts, cut)])
+    model = quality.fit(x, np.concatenate([n for _, n in cut]), np.array([1, 1, 0, 0], np.float32), steps=60)
+    alone = [quality.score(docs(spark, [t]), model, ["doc_id"]).first().score for t in texts]
+    beside = quality.score(docs(spark, [*texts, "x" * 500_000]).coalesce(1), model, ["doc_id"]).orderBy("doc_id").collect()
+    assert [r.score for r in beside[:4]] == pytest.approx(alone, abs=1e-5)
+
+
 def test_passages_cover_texts():
     bounds = np.array([0, 0, 5, 5 + 700, 705 + 1_000_000])
     cuts, n = quality.passages(bounds)

@@ -76,7 +76,8 @@ def encode(data: np.ndarray, cuts: np.ndarray) -> np.ndarray:
         new = np.ones(len(h), dtype=bool)
         new[1:] = (h[1:] != h[:-1]) | (o[1:] != o[:-1])
         out[:, -3] = np.bincount(o[new], minlength=n) / total
-        out[:, -2] = np.minimum((words.end - words.start).sum() / max(len(h), 1), 50) / 50 if len(h) else 0
+        length = np.bincount(owner, weights=words.end - words.start, minlength=n) / total
+        out[:, -2] = np.minimum(length, 50) / 50
     out[:, -1] = np.log1p(size) / 10
     return out
 
@@ -103,9 +104,11 @@ class Attention:
         return {"first": first, "h": h, "t": t, "s": s, "a": a, "z": z, "y": 1 / (1 + np.exp(-np.clip(logit, -30, 30)))}
 
     def score(self, x: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """In double precision and rounded: the order of a matrix product's sums depends on its other rows."""
         if not len(n):
             return np.zeros(0)
-        return self._forward((x - self.mean) / self.scale, n)["y"].astype(np.float64)
+        wide = Attention(self.mean, self.scale, {k: v.astype(np.float64) for k, v in self.p.items()})
+        return np.round(wide._forward((x - self.mean) / self.scale, n)["y"], 9)
 
     def gradient(self, x: np.ndarray, n: np.ndarray, label: np.ndarray, decay: float) -> dict[str, np.ndarray]:
         p, f = self.p, self._forward(x, n)
