@@ -34,6 +34,27 @@ def test_license_edges(spark):
     assert license_scan.scan(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_license_windows(spark):
+    """Notices that are no passage: wrapped and followed by text, in mid-line, without line breaks."""
+    apache, mit, gpl = license_scan.TEMPLATES[1][1], license_scan.TEMPLATES[4][1], license_scan.TEMPLATES[7][1]
+    code = "\n".join(f"value_{k} = compute(of_the_{k}, in_the_{k})" for k in range(60))
+
+    def wrapped(text, n=6):
+        words = text.split()
+        return "\n".join("# " + " ".join(words[i:i + n]) for i in range(0, len(words), n))
+
+    prose = " ".join(f"the rest of the work {k} and the parts {k} of it" for k in range(60))
+    texts = [wrapped(apache) + "\n" + code, wrapped(mit, 4) + "\n" + prose, prose + " " + gpl + " " + prose,
+             "MIT License Copyright (c) 2020 A. N. Author " + mit + " The above copyright notice shall be included. " + prose,
+             "one word, then Licensed under CC BY 4.0. and more words, Licensed under CC BY 4.0. again, Released under the MIT License, " + prose,
+             prose + "\nReleased under the MIT License.\n" + prose, prose + code, wrapped(gpl)]
+    got = {r.doc_id: r for r in license_scan.scan(docs(spark, texts)).collect()}
+    assert [got[i].licences for i in range(len(texts))] == [
+        "Apache-2.0", "MIT", "GPL-2.0,GPL-3.0", "MIT", "CC-BY-4.0,MIT", "MIT", "", "GPL-2.0,GPL-3.0"]
+    assert [got[i].n_passages for i in (1, 2, 3, 4, 5, 6)] == [1, 1, 1, 2, 1, 0]
+    assert got[1].best_score == got[2].best_score == got[3].best_score == got[4].best_score == 1.0 and got[2].best == "GPL-3.0"
+
+
 def targets_by_resharing(sizes, share=1.5, most=2.0):
     names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)
     weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(names)}

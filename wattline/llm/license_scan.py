@@ -6,6 +6,12 @@ letters and digits becomes one space, and its set of word bigrams A is compared
 set B: 2|A n B| / (|A| + |B|).  A pair can only reach the threshold t if
 |B| * t / (2 - t) <= |A| <= |B| * (2 - t) / t, so templates outside these bounds aren't compared.
 
+Where no passage matches, a notice may still stand in a longer line or paragraph (hard-wrapped before
+code, in mid-line, line breaks collapsed).  So what the matching passages leave of the text is searched
+by windows of words: they start and end with a bigram of a template, are no longer than its bounds
+allow, and are scored alike.  A matching window shares at least |B| * t / (2 - t) bigrams with its template;
+a document that hasn't so many of them anywhere is done without windows.
+
 Everything is done inside the document's row (no shuffle, no explode); the templates are a literal.
 """
 
@@ -52,58 +58,126 @@ TEMPLATES: list[tuple[str, str]] = [
                 "this work."),
 ]
 
+#: A word that no template has; stands for a passage that has matched.
+MATCHED = "\ua66e"
 PARAGRAPHS = r"\n[ \t\r]*\n"
 NOT_WORD = r"[^\p{L}\p{N}]+"
 
 
+def _template_words(text: str) -> list[str]:
+    return re.findall(r"[^\W_]+", text.lower())
+
+
 def template_bigrams(text: str) -> list[str]:
-    words = re.findall(r"[^\W_]+", text.lower())
+    words = _template_words(text)
     return sorted({f"{a} {b}" for a, b in zip(words, words[1:])})
 
 
 def _templates(templates: list[tuple[str, str]], threshold: float) -> Column:
     def one(i: int, licence: str, text: str) -> Column:
         grams = template_bigrams(text)
+        # bigrams of a window at most: the upper bound, and as many repeated ones as the template has
+        span = int(len(grams) * (2 - threshold) / threshold) + len(_template_words(text)) - 1 - len(grams)
         return F.struct(F.lit(i).alias("i"), F.lit(licence).alias("licence"), F.lit(len(grams)).alias("n"),
                         F.lit(len(grams) * threshold / (2 - threshold)).alias("lo"),
                         F.lit(len(grams) * (2 - threshold) / threshold).alias("hi"),
-                        F.array(*map(F.lit, grams)).alias("grams"))
+                        F.lit(span).alias("span"), F.array(*map(F.lit, grams)).alias("grams"))
     return F.array(*(one(i, *t) for i, t in enumerate(templates)))
 
 
+def _words(text: Column) -> Column:
+    return F.split(F.trim(F.regexp_replace(F.lower(text), NOT_WORD, " ")), " ")
+
+
 def _bigrams(words: Column) -> Column:
-    pairs = F.zip_with(F.slice(words, F.lit(1), F.size(words) - 1), F.slice(words, F.lit(2), F.size(words) - 1),
-                       lambda a, b: F.concat(a, F.lit(" "), b))
-    return F.array_distinct(pairs)
+    """The bigrams of at least one word, in order."""
+    return F.zip_with(F.slice(words, F.lit(1), F.size(words) - 1), F.slice(words, F.lit(2), F.size(words) - 1),
+                      lambda a, b: F.concat(a, F.lit(" "), b))
+
+
+def _rest(text: Column, found: Column) -> Column:
+    """The text with ``MATCHED`` in place of its passages in ``found``."""
+    def without(passage: Column, otherwise: Column) -> Column:
+        return F.when(F.array_contains(found, passage), F.lit(MATCHED)).otherwise(otherwise)
+
+    def lines(paragraph: Column) -> Column:
+        return F.array_join(F.transform(F.split(paragraph, "\n"), lambda x: without(x, x)), "\n")
+
+    paragraphs = F.transform(F.split(text, PARAGRAPHS), lambda p: without(p, lines(p)))
+    return F.when(F.size(found) == 0, text).otherwise(without(text, F.array_join(paragraphs, "\n")))
+
+
+WINDOW = "struct<start: int, n: int, score: double, licence: string>"
+
+
+def _windows(grams: Column, t: Column, threshold: float) -> Column:
+    """For each bigram of template ``t`` in ``grams`` the best window that starts there, if it matches; by start."""
+    def score(window: Column) -> Column:
+        return F.size(F.array_intersect(window, t["grams"])) * 2.0 / (F.size(F.array_distinct(window)) + t["n"])
+
+    def best(start: Column) -> Column:
+        ends = F.transform(F.slice(grams, start, t["span"]), lambda g, k: F.when(
+            (k + 1 >= t["lo"]) & F.array_contains(t["grams"], g),
+            F.struct(score(F.slice(grams, start, k + 1)).alias("score"), (-k - 1).alias("minus"))))
+        return F.transform(F.array(F.array_max(ends)), lambda e: F.struct(
+            start.alias("start"), (-e["minus"]).alias("n"), e["score"].alias("score"), t["licence"].alias("licence")))
+
+    hits = F.filter(F.transform(grams, lambda g, i: F.when(F.array_contains(t["grams"], g), i + 1)), F.isnotnull)
+    starts = F.filter(hits, lambda i: F.size(F.array_intersect(F.slice(grams, i, t["span"]), t["grams"])) >= t["lo"])
+    return F.filter(F.flatten(F.transform(starts, best)), lambda w: w["score"] >= threshold)
+
+
+def _apart(windows: Column) -> Column:
+    """Of ``windows`` (by start) those that share no word: of two that do, the one with the higher score."""
+    def step(acc: Column, w: Column) -> Column:
+        last = F.try_element_at(acc, F.lit(-1))
+        return (F.when(last.isNull() | (w["start"] > last["start"] + last["n"]), F.concat(acc, F.array(w)))
+                .when(w["score"] > last["score"], F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(w)))
+                .otherwise(acc))
+
+    return F.aggregate(windows, F.array().cast(f"array<{WINDOW}>"), step)
 
 
 def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = 0.8,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: id, ``n_passages`` (distinct matching passages), ``licences``
-    (sorted ids joined by commas), ``best`` and ``best_score`` (highest Dice; ties to the smaller id).
+    """One row per row of ``docs``: id, ``n_passages`` (distinct matching passages and, elsewhere, distinct
+    matching windows that share no word), ``licences`` (sorted ids joined by commas), ``best`` and ``best_score`` (highest Dice; ties to the smaller id).
 
     Null, empty and wordless texts match nothing: 0 passages, an empty list, null best and score.
     Repeated rows give repeated results, an empty table none.  Other columns aren't read.
     """
+    every = _templates(templates, threshold)
     sizes = [len(template_bigrams(t)) for _, t in templates]
     fewest = max(2, int(min(sizes) * threshold / (2 - threshold)) + 1)     # words of the smallest passage
     text = F.coalesce(F.col(text_col), F.lit(""))
     passages = F.array_distinct(F.concat(F.array(text), F.split(text, PARAGRAPHS), F.split(text, "\n")))
-    rows = docs.select(F.col(id_col).alias(id_col), passages.alias("_p"))
+    rows = docs.select(F.col(id_col).alias(id_col), passages.alias("_p"))        # the whole text is the first
     # a passage can't have fewer words than bigrams, so the size bounds hold for words from below
-    rows = rows.select(id_col, F.transform("_p", lambda p: F.split(
-        F.trim(F.regexp_replace(F.lower(p), NOT_WORD, " ")), " ")).alias("_w"))
-    rows = rows.select(id_col, F.transform(F.filter("_w", lambda w: F.size(w) >= fewest), _bigrams).alias("_b"))
+    rows = rows.select(id_col, "_p", F.transform("_p", _words).alias("_w"))
+    rows = rows.select(id_col, "_p", F.transform("_w", lambda w: F.when(
+        F.size(w) >= fewest, F.array_distinct(_bigrams(w))).otherwise(F.array().cast("array<string>"))).alias("_b"))
 
     def matches(grams: Column) -> Column:
-        near = F.filter(_templates(templates, threshold), lambda t: (F.size(grams) >= t["lo"]) & (F.size(grams) <= t["hi"]))
+        near = F.filter(every, lambda t: (F.size(grams) >= t["lo"]) & (F.size(grams) <= t["hi"]))
         scored = F.transform(near, lambda t: F.struct(
             (F.size(F.array_intersect(grams, t["grams"])) * 2.0 / (F.size(grams) + t["n"])).alias("score"),
             t["licence"].alias("licence")))
         return F.filter(scored, lambda s: s["score"] >= threshold)
 
-    rows = rows.select(id_col, F.filter(F.transform("_b", matches), lambda m: F.size(m) > 0).alias("_m"))
-    rows = rows.select(id_col, F.size("_m").alias("n_passages"), F.flatten("_m").alias("_m"))
+    known = F.array(*map(F.lit, sorted({g for _, t in templates for g in template_bigrams(t)})))
+    rows = rows.select(id_col, "_p", F.transform("_b", matches).alias("_m"), F.array_intersect(F.element_at("_b", 1), known).alias("_known"))
+    rows = rows.select(id_col, F.element_at("_p", 1).alias("_text"), F.filter("_p", lambda p, i: F.size(F.get("_m", i)) > 0).alias("_found"),
+                       F.flatten("_m").alias("_m"),
+                       F.filter(every, lambda t: F.size(F.array_intersect("_known", t["grams"])) >= t["lo"]).alias("_near"))
+    rest = F.when(F.size("_near") > 0, _words(_rest(F.col("_text"), F.col("_found"))))
+    rows = rows.select(id_col, "_found", "_m", "_near", rest.alias("_rest"))
+    rows = rows.select(id_col, "_found", "_m", "_near", "_rest", F.when(F.size("_near") > 0, _bigrams(F.col("_rest"))).alias("_grams"))
+    windows = F.flatten(F.transform("_near", lambda t: _apart(_windows(F.col("_grams"), t, threshold))))
+    rows = rows.select(id_col, "_found", "_m", "_rest", F.when(F.size("_near") > 0, F.array_sort(windows))
+                       .otherwise(F.array().cast(f"array<{WINDOW}>")).alias("_windows"))
+    texts = F.array_distinct(F.transform(_apart(F.col("_windows")), lambda w: F.array_join(F.slice("_rest", w["start"], w["n"] + 1), " ")))
+    rows = rows.select(id_col, (F.size("_found") + F.size(texts)).alias("n_passages"), F.concat("_m", F.transform(
+        "_windows", lambda w: F.struct(w["score"].alias("score"), w["licence"].alias("licence")))).alias("_m"))
     best = F.element_at(F.array_sort(F.transform("_m", lambda s: F.struct(
         (-s["score"]).alias("minus"), s["licence"].alias("licence")))), 1)
     return rows.select(
@@ -114,7 +188,7 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshol
 
 
 def oracle(templates: list[tuple[str, str]] = TEMPLATES, threshold: float = 0.8) -> str:
-    """DuckDB SQL of ``scan`` over ``documents``."""
+    """DuckDB SQL of ``scan`` over ``documents`` whose notices are passages (it has no windows)."""
     rows = ", ".join("({}, {}, {})".format(i, "'" + licence + "'", "[" + ", ".join(f"'{g}'" for g in template_bigrams(t)) + "]")
                      for i, (licence, t) in enumerate(templates))
     return f"""
