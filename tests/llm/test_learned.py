@@ -76,6 +76,22 @@ def test_url_branches_of_a_wide_host(spark):
     assert {(r.template, r.verdict) for r in got if r.page_id % 100 >= 10} == {("/*/*", "allow")}
 
 
+def test_url_branches_below_eight_segments(spark):
+    """Branches that part at segment 11 stay apart, and again at segment 14; a path of 3,000 segments takes no round for each."""
+    deep = "/".join("abcdefghij")
+    rows = []
+    for k in range(400):
+        kind, part = ("good", "spam")[k % 2], ("x", "y")[k // 2 % 2]
+        bad = kind == "spam" and part == "y"
+        rows.append((k, f"http://deep.net/{deep}/{kind}/m/n/{part}/{k}", bad if k % 3 else None))
+    rows.append((400, "http://deep.net/" + "q/" * 3000, None))
+    pages = spark.createDataFrame(rows, "page_id long, url string, bad boolean")
+    got = {r.page_id: r for r in url_filter.filter_urls(pages, [], label=F.col("bad")).collect()}
+    assert {r.verdict for r in got.values() if "/spam/m/n/y/" in r.path} == {"block"}
+    assert {r.verdict for r in got.values() if "/spam/m/n/y/" not in r.path} == {"allow"}
+    assert got[3].template == "/*" * 10 + "/spam/*/*/y/*" and got[400].template == "/*" * 3001
+
+
 # --- nearest neighbours ------------------------------------------------------------------------
 
 def cosines(x, q):

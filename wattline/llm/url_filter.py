@@ -28,8 +28,6 @@ LITERAL_PAGES = 4
 DIFFERS = 3.84
 #: Pseudo-counts of the smoothing, and the smoothed bad rate from which a template is rejected.
 PRIOR, REJECT = 2.0, 0.5
-#: Levels of the tree; what is deeper stands as ``**``.
-DEPTH = 8
 
 
 @dataclass(frozen=True)
@@ -63,32 +61,45 @@ def rule_of(host: Column, path: Column, rules: list[Rule]) -> Column:
 
 
 def templates(paths: DataFrame) -> DataFrame:
-    """Template of each row of ``paths`` (host, path, pages, labelled, bad; a row for each path)."""
+    """Template of each row of ``paths`` (host, path, pages, labelled, bad; a row for each path).
+
+    In each round every node goes down to its first level with literal children, however deep; the levels
+    before it are wildcards.  Children can only differ where a node holds labels of both kinds, so paths
+    of other nodes, and paths that end before such a level, are done.
+    """
+    sums = [F.sum(c).alias(c) for c in ("pages", "labelled", "bad")]
     segments = F.split(F.regexp_replace("path", "^/", ""), "/")
-    rows = written(paths.withColumn("segments", segments).withColumn("template", F.lit("")), "url-paths")
-    depth = min(rows.agg(F.max(F.size("segments"))).first()[0] or 0, DEPTH)
-    for d in range(depth):
-        at = F.get("segments", F.lit(d))
-        here = rows.where(F.size("segments") > d)
-        children = here.groupBy("host", "template", at.alias("segment")).agg(
-            F.sum("pages").alias("pages"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
-        children = written(children, "url-children")
-        nodes = children.groupBy("host", "template").agg(
-            F.sum("labelled").alias("all_labelled"), F.sum("bad").alias("all_bad"))
-        nodes = written(nodes, "url-nodes")
+    rows = written(paths.withColumn("segments", segments).withColumn("template", F.lit(""))
+                   .withColumn("at", F.lit(0)), "url-paths")
+    done = []
+    while True:
+        below = rows.select("host", "template", "at", "pages", "labelled", "bad", F.posexplode("segments").alias("pos", "segment")).where("pos >= at")
+        nodes = below.groupBy("host", "template", "pos").agg(*sums).where("bad > 0 and bad < labelled")
+        nodes = written(nodes.select("host", "template", "pos", F.col("labelled").alias("all_labelled"), F.col("bad").alias("all_bad")), "url-nodes")
+        children = below.groupBy("host", "template", "pos", "segment").agg(*sums).where(F.col("pages") >= LITERAL_PAGES)
+        children = written(children.where("labelled > 0"), "url-children")
         rate = (F.col("all_bad") + 0.5) / (F.col("all_labelled") + 1.0)
         off = F.col("bad") - F.col("labelled") * rate
         differs = off * off > DIFFERS * F.col("labelled") * rate * (1 - rate)
-        literal = (children.where(F.col("pages") >= LITERAL_PAGES).join(nodes, ["host", "template"])
-                   .where((F.col("labelled") > 0) & differs)
-                   .select("host", "template", F.col("segment").alias("_segment"), F.lit(True).alias("_literal")))
-        literal = written(literal, "url-literal")
-        step = rows.withColumn("_segment", at).join(literal, ["host", "template", "_segment"], "left")
-        name = F.when(F.size("segments") <= d, F.lit("")).otherwise(
-            F.concat(F.lit("/"), F.when(F.col("_literal"), F.col("_segment")).otherwise(F.lit("*"))))
-        rows = written(step.withColumn("template", F.concat("template", name)).drop("_segment", "_literal"), "url-paths")
-    deeper = F.when(F.size("segments") > DEPTH, F.lit("/**")).otherwise(F.lit(""))
-    return rows.withColumn("template", F.concat("template", deeper)).drop("segments")
+        literal = written(children.join(nodes, ["host", "template", "pos"]).where(differs)
+                          .select("host", "template", "pos", "segment"), "url-literal")
+        level = written(literal.groupBy("host", "template").agg(F.min("pos").alias("level")), "url-levels")
+        if level.isEmpty():
+            break
+        # children of deeper levels are of no use: their nodes may be others once this level has parted them
+        literal = written(literal.join(level, ["host", "template"]).where("pos = level")
+                          .select("host", "template", F.col("segment").alias("_segment"), F.lit(True).alias("_literal")), "url-literal")
+        step = rows.join(level, ["host", "template"], "left").withColumn("_segment", F.get("segments", "level"))
+        step = step.join(literal, ["host", "template", "_segment"], "left")
+        name = F.concat(F.expr("repeat('/*', level - at)"), F.lit("/"), F.when(F.col("_literal"), F.col("_segment")).otherwise(F.lit("*")))
+        parted = F.coalesce(F.size("segments") > F.col("level"), F.lit(False))
+        step = written(step.select(*paths.columns, "segments", F.when(parted, F.concat("template", name)).otherwise(F.col("template")).alias("template"),
+                                   F.when(parted, F.col("level") + 1).otherwise(F.col("at")).alias("at"), parted.alias("parted")), "url-paths")
+        done.append(step.where("not parted").drop("parted"))
+        rows = step.where("parted").drop("parted")
+    for part in done:
+        rows = rows.unionByName(part)
+    return rows.withColumn("template", F.expr("concat(template, repeat('/*', size(segments) - at))")).drop("segments", "at")
 
 
 def judge(paths: DataFrame) -> DataFrame:
