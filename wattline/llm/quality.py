@@ -26,7 +26,7 @@ from wattline.llm.common import free_name, map_batches
 from wattline.llm.tokens import Words, blocks
 
 #: Labelled documents the model is fitted on at most.
-SAMPLE = 2000
+SAMPLE = 3000
 PASSAGE_BYTES = 512
 PASSAGES = 64
 HIDDEN, GATE = 32, 16
