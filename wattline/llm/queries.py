@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from wattline.llm import ann, bpe, exact_dedup, license_scan, mixing, near_dedup, quality, sharding, substring_dedup, url_filter
+from wattline.llm import (
+    ann, bpe, exact_dedup, filter_audit, html_text, license_scan, mixing, near_dedup, quality, sharding, substring_dedup, url_filter,
+    vector_codes)
 from wattline.llm.common import table
 
 
@@ -66,6 +68,18 @@ def op10_exact_dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op11_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.codes(table(spark, sf_dir, "embeddings"))
+
+
 OP7_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 s AS (SELECT doc_id, unnest(range(1, len(w) - 18)) AS s FROM d WHERE len(w) >= 20),
@@ -96,10 +110,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_shard_bytes": op9_shard_bytes,
     "op10_exact_dedup_stream": op10_exact_dedup_stream,
+    "op11_text_density": op11_text_density,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 ORACLE: dict[str, str] = {
     "op1_license_scan": license_scan.oracle(),
     "op7_recompression": OP7_SQL,
     "op10_exact_dedup_stream": OP10_SQL,
+    "op11_text_density": html_text.oracle(),
+    "op12_filter_audit": filter_audit.oracle(),
+    "op13_vector_codes": vector_codes.oracle(),
 }
