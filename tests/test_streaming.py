@@ -2,6 +2,7 @@
 the batch result, late rows are counted one by one, and re-deliveries never land twice."""
 
 import datetime as dt
+import json
 
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from wattline.plans import bronze_plans
 from wattline.session import scratch_path
 from wattline.sources import bronze as B
 from wattline.sources import messages as M
+from wattline.streaming import alerts as A
 from wattline.streaming import ingest as S
 
 
@@ -82,11 +84,106 @@ def test_redelivery_replay_and_repair(spark):
     B.land(DC.decode_json(msgs.limit(7).unionByName(scada(spark, [(50, 3, 2.0)])).unionByName(bad)), root, "2")
     assert B.read_table(spark, root, "scada_telemetry").count() == 21
     assert B.read_table(spark, root, "dead_letter_queue").count() == 1
-    fixed = scada(spark, [(99, 9, 3.0)])
+    fixed = scada(spark, [(99, 9, 3.0), (4, 4, 4.0)])                # 4 is no dead letter
     for run in ("3", "4", "4"):
-        B.land(DC.decode_json(fixed), root, run, landed_only=True)
+        B.land(DC.decode_json(fixed), root, run, redrive=True)
     t = B.read_table(spark, root, "scada_telemetry")
     assert t.count() == 22 and t.filter("_kafka_offset = 99").count() == 1
+    # an epoch that was committed long ago comes again: nothing changes
+    for run in ("1", "2", "3"):
+        B.land(DC.decode_json(msgs), root, run)
+    assert B.read_table(spark, root, "scada_telemetry").count() == 22
+    assert B.taken_messages(spark, root).filter("landed").count() == 22
+
+
+def test_ledger_follows_gaps_not_messages(spark, monkeypatch):
+    monkeypatch.setattr(B, "LEDGER_SPAN", 64)
+    root = scratch_path(spark, "t_ranges")
+    B.land(DC.decode_json(scada(spark, [(i, i, 1.0) for i in range(200)])), root, 0)
+    B.land(DC.decode_json(scada(spark, [(i, i, 1.0) for i in [*range(190, 260), 300]])), root, 1)
+    B.land(DC.decode_json(scada(spark, [(i, i, 1.0) for i in [*range(0, 310, 7)]])), root, 2)
+    got = sorted((r.lo, r.hi) for r in B.ledger(spark, root).collect())
+    late = [i for i in range(0, 310, 7) if i > 259 and i != 300]
+    assert got == sorted([(0, 63), (64, 127), (128, 191), (192, 255), (256, 259), *((i, i) for i in [*late, 300] if i != 301 and i != 300), (300, 301)])
+    assert B.read_table(spark, root, "scada_telemetry").count() == 260 + 1 + len(late)
+    # a retry of the last batch, with more rows, replaces it
+    B.land(DC.decode_json(scada(spark, [(i, i, 1.0) for i in [*range(0, 310, 7), 305]])), root, 2)
+    assert B.read_table(spark, root, "scada_telemetry").count() == 260 + 2 + len(late)
+
+
+def test_earliest_of_two_payloads_under_one_offset_lands(spark):
+    root = scratch_path(spark, "t_twice")
+    a, b = scada(spark, [(5, 10, 1.0)]), scada(spark, [(5, 4, 2.0)])
+    B.land(DC.decode_json(a.unionByName(b).unionByName(scada(spark, [(7, 1, 3.0)]))), root, 0)
+    assert {(r._kafka_offset, r.solar_mw) for r in B.read_table(spark, root, "scada_telemetry").collect()} == {(5, 2.0), (7, 3.0)}
+
+
+def test_strict_json(spark):
+    """What json.loads rejects is rejected; bare NaN and infinities are numbers."""
+    texts = ['{"node_id":"N1"}', "{'node_id':'N1'}", '{"node_id":\'N1\'}', '{"node_id":"N1"},{"5f3c-end-of-payload":""}]', '{"x":1}]',
+             '{"node_id":"it\'s"}', '{"x":NaN,"y":-Infinity,"z":"NaN"}', '{"x":INF}', '{"x":Infinit}', ' {"a":{"b":[1,2]}} ', "[1]", "", "{}"]
+    df = spark.createDataFrame([(i, t.encode()) for i, t in enumerate(texts)], "offset long, value binary")
+    got = {r.offset: (r.error_message, r.p) for r in DC.decode_json(df).collect()}
+    ok = []
+    for t in texts:
+        try:
+            ok.append(isinstance(json.loads(t), dict))
+        except ValueError:
+            ok.append(False)
+    assert [got[i][0] is None for i in range(len(texts))] == ok
+    assert got[6][1] == {"x": "NaN", "y": "-Infinity", "z": "NaN"} and got[5][1] == {"node_id": "it's"}
+
+
+def readings(spark, rows):
+    """Messages of (feed, node, minute, offset)."""
+    day = dt.datetime(2024, 1, 1)
+    metric = {"scada": "solar_mw", "weather": "temperature_c"}
+    return spark.createDataFrame(
+        [(b"k", f'{{"timestamp":"{(day + dt.timedelta(minutes=m)).isoformat()}","node_id":"{n}","{metric[f]}":"1"}}'.encode(),
+          f"energy.bronze.{f}", 0, o, day + dt.timedelta(minutes=m)) for f, n, m, o in rows],
+        "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp")
+
+
+def expected_alerts(rows, limits):
+    """Plain form over all readings: gaps of closed windows, and what is open at the last watermark."""
+    wm = max(m for _, _, m in rows) - 10
+    out = set()
+    for feed, node in {(f, n) for f, n, _ in rows}:
+        t = sorted(m for f, n, m in rows if (f, n) == (feed, node) and m // 5 * 5 + 5 <= wm)
+        for a, b in zip(t, [*t[1:], None]):
+            end, due = a // 5 * 5 + 5, a + limits[feed]
+            if b is None:
+                out |= {(feed, node, "stale", "raised", due)} if -(-due // 5) * 5 < wm else set()
+                out |= {(feed, node, "missed", "raised", end + 5)} if end + 5 < wm else set()
+            else:
+                out |= {(feed, node, "stale", "raised", due), (feed, node, "stale", "cleared", b)} if b > due else set()
+                out |= {(feed, node, "missed", "raised", end + 5), (feed, node, "missed", "cleared", b)} if b // 5 * 5 > end else set()
+    return out
+
+
+def test_alerts_fire_clear_and_survive_a_restart(spark):
+    """Timers set by one run fire in the next; the cut into batches doesn't matter."""
+    rows = [("scada", "N1", m) for m in [*range(0, 60, 4), *range(100, 130, 4), 300]]
+    rows += [("scada", "N2", m) for m in range(0, 300, 3)] + [("weather", "N1", m) for m in (1, 2, 121, 123, 290)] + [("scada", "N3", 7)]
+    limits = {"scada": 15, "weather": 120}
+    numbered = [(f, n, m, k) for k, (f, n, m) in enumerate(sorted(rows, key=lambda r: r[2]))]
+    before = A.use_disk_state(spark)
+    try:
+        seen = []
+        for cuts in ([0, 301], [0, 20, 70, 110, 301]):
+            root, out, ck = (scratch_path(spark, x) for x in ("t_al", "t_al_out", "t_al_ck"))
+            spark.createDataFrame([(1,)], "files_per_arrival int").write.parquet(f"{root}/plan")
+            for a, b in zip(cuts, cuts[1:]):
+                S.append_arrivals(readings(spark, [r for r in numbered if a <= r[2] < b]), root)
+                events = A.alerts(S.feed_rows(S.message_stream(spark, root), {f"energy.bronze.{f}": f for f in limits}), limits)
+                S.run_available(events.writeStream.format("parquet").option("path", out).outputMode("append"), ck)   # stopped and started anew
+            start = dt.datetime(2024, 1, 1)
+            seen.append({(r.feed, r.node_id, r.alert, r.event, (r.event_at - start).total_seconds() / 60): r.n_missed
+                         for r in spark.read.parquet(out).collect()})
+    finally:
+        A.restore(spark, before)
+    assert seen[0] == seen[1] and set(seen[0]) == expected_alerts(rows, limits)
+    assert seen[0]["scada", "N1", "missed", "cleared", 100] == 8 and ("scada", "N3", "stale", "raised", 22) in seen[0]
 
 
 def test_publish_round_trip(spark):

@@ -7,6 +7,8 @@ expression on the whole frame; one strict ``from_json`` parses each payload to a
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,7 +18,10 @@ from wattline import schemas
 CURRENCIES = ("usd", "gil")
 PASS = ["topic", "partition", "offset", "key", "value_text"]   # carried through every step
 MONEY = ("spot_price", "ppa_price", "revenue", "curtailment_cost")
-_END = "5f3c-end-of-payload"
+#: Values that only a bare number can have after the parse (a bare NaN keeps quotes in a map of strings).
+#: Fixed: these are numbers to every consumer of the topics, the short forms are no JSON.
+_NUMBERS = {'"NaN"': "NaN", '"Infinity"': "Infinity", '"-Infinity"': "-Infinity"}
+_NO_NUMBERS = ('"INF"', '"+INF"')
 
 
 def decode_json(msgs: DataFrame) -> DataFrame:
@@ -26,18 +31,26 @@ def decode_json(msgs: DataFrame) -> DataFrame:
 
     Spark's parser stops after the first value, so the text is parsed as the first element of an
     array that ends with a marker: only a text that is one whole value gives exactly two elements.
+    The marker is drawn anew for every plan, so no sender can end the array himself.  Strings in single
+    quotes are no JSON; bare NaN and infinities are numbers.
     The parse is the output of a generator, which later projections refer to instead of repeating it."""
+    end = uuid.uuid4().hex
     raw = F.col("value").cast("string")
     d = msgs.withColumn("value_text", F.make_valid_utf8(raw))
-    whole = F.concat(F.lit("["), F.col("value_text"), F.lit(f',{{"{_END}":""}}]'))
-    d = d.select("*", F.inline(F.array(F.struct(F.from_json(whole, "array<map<string,string>>").alias("_parsed")))))
-    one = (F.size("_parsed") == 2) & F.map_contains_key(F.get("_parsed", F.lit(1)), _END)
+    whole = F.concat(F.lit("["), F.col("value_text"), F.lit(f',{{"{end}":""}}]'))
+    d = d.select("*", F.inline(F.array(F.struct(F.from_json(whole, "array<map<string,string>>", {"allowSingleQuotes": "false"}).alias("_parsed")))))
+    one = (F.size("_parsed") == 2) & F.map_contains_key(F.get("_parsed", F.lit(1)), end)
+    fields = F.get("_parsed", F.lit(0))
+    bare = F.col("value_text").rlike("NaN|INF|Infinity")
+    strange = bare & F.exists(F.map_values(fields), lambda v: v.isin(*_NO_NUMBERS))
+    numbers = F.create_map(*[F.lit(x) for kv in _NUMBERS.items() for x in kv])
     starts = F.expr(r"trim(LEADING ' \t\n\r' FROM value_text)").startswith("{")
     err = (F.when(F.col("value").isNull(), F.lit("null payload"))
            .when(~F.is_valid_utf8(raw), F.lit("invalid utf-8"))
            .when(~starts, F.lit("not a json object"))
-           .when(~F.coalesce(one, F.lit(False)), F.lit("invalid json")))
-    return d.withColumn("error_message", err).withColumn("p", F.get("_parsed", F.lit(0))).drop("_parsed")
+           .when(~F.coalesce(one & ~F.coalesce(strange, F.lit(False)), F.lit(False)), F.lit("invalid json")))
+    p = F.when(bare, F.transform_values(fields, lambda k, v: F.coalesce(F.try_element_at(numbers, v), v))).otherwise(fields)
+    return d.withColumn("error_message", err).withColumn("p", p).drop("_parsed")
 
 
 def _money(name: str) -> Column:

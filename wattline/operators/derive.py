@@ -72,6 +72,21 @@ def dense_sequence(df: DataFrame, order: Sequence[str], name: str = "seq",
             .drop("_pid", "_off"))
 
 
+def sequence_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "seq",
+                    partitions: int | None = None) -> DataFrame:
+    """0-based position of each row among the rows of its ``keys``, in ``order`` (unique with the keys),
+    without a window over a key: slices of the order of all rows (see ``_sliced``), the key's rows in earlier
+    slices, and a window inside key and slice."""
+    tagged = _sliced(df, [*keys, *order], partitions)
+    counts = tagged.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", *keys, F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy("_pid", *keys).orderBy(*order)
+    return (tagged.join(offsets, ["_pid", *keys])
+            .withColumn(name, F.col("_off") + F.row_number().over(inside) - 1)
+            .drop("_pid", "_off"))
+
+
 def surrogate_ids(df: DataFrame, order: Sequence[str], prefix: str = "PLT", width: int = 4,
                   name: str = "plant_code") -> DataFrame:
     """``PLT-0001`` style ids in running order of ``order``."""

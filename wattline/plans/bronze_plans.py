@@ -14,19 +14,22 @@ from wattline.sources import tables as T
 
 BATCH = "batch-0"
 FK = M.FAULTS
+#: Faults that no repair mends.
+NOT_JSON = ("trailing_text", "two_objects", "single_quotes", "forged_end")
 ROW_REJECT = (FK["bad_number"], FK["no_node"])
 ISO_SQL = "'%Y-%m-%dT%H:%M:%S.%f'"
 
 # DuckDB form of ``messages.telemetry_messages``: what each event's message is and how it breaks.
-MSG_SQL = f"""WITH m AS (
-  SELECT event_id AS "offset", CAST(user_id % {M.PARTITIONS} AS INTEGER) AS "partition",
+MSG_SQL = f"""WITH sent AS (
+  SELECT event_id, CAST(user_id % {M.PARTITIONS} AS INTEGER) AS "partition",
          CASE event_type {' '.join(f"WHEN '{a}' THEN '{b}'" for a, b in M.TOPIC_OF_SOURCE.items())} END AS topic,
          CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, user_id, ts, value AS mw, event_type
   FROM events),
+m AS (SELECT *, row_number() OVER (PARTITION BY topic, "partition" ORDER BY ts + to_seconds(k), event_id) - 1 AS "offset" FROM sent),
 mm AS (SELECT *,
          CASE WHEN k = {FK['null_payload']} THEN 'null payload' WHEN k = {FK['bad_utf8']} THEN 'invalid utf-8'
               WHEN k = {FK['array']} THEN 'not a json object'
-              WHEN k IN ({FK['truncated']}, {FK['trailing_text']}, {FK['two_objects']}) THEN 'invalid json' END
+              WHEN k IN ({FK['truncated']}, {', '.join(str(FK[f]) for f in NOT_JSON)}) THEN 'invalid json' END
            AS error_message,
          CASE WHEN k < 50 THEN 'chile' ELSE 'ff' END AS ds
        FROM m)
@@ -43,7 +46,7 @@ def _msgs(spark, sf, topics=None):
 
 @register("publish_messages", MSG_SQL + f"""
 SELECT CASE WHEN k = {FK['no_node']} THEN
-              CASE WHEN event_type = 'error' THEN 'PLT-' || "offset" ELSE ':' || strftime(ts, {ISO_SQL}) END
+              CASE WHEN event_type = 'error' THEN 'PLT-' || event_id ELSE ':' || strftime(ts, {ISO_SQL}) END
             ELSE 'N' || user_id || CASE WHEN event_type <> 'error' THEN ':' || strftime(ts, {ISO_SQL}) ELSE '' END
        END AS key,
        topic, "partition", "offset", ts + to_seconds(k) AS timestamp, k = {FK['null_payload']} AS value_is_null
@@ -167,7 +170,7 @@ def _first_metric(topic_col: str) -> str:
 _DLQ_SQL = MSG_SQL + f""", d AS (
 SELECT topic, "partition" AS partition_id, "offset" AS offset_id,
        CASE WHEN k = {FK['no_node']} THEN
-              CASE WHEN event_type = 'error' THEN 'PLT-' || "offset" ELSE ':' || strftime(ts, {ISO_SQL}) END
+              CASE WHEN event_type = 'error' THEN 'PLT-' || event_id ELSE ':' || strftime(ts, {ISO_SQL}) END
             ELSE 'N' || user_id || CASE WHEN event_type <> 'error' THEN ':' || strftime(ts, {ISO_SQL}) ELSE '' END
        END AS key,
        COALESCE(error_message, CASE WHEN k = {FK['no_node']} THEN 'missing node_id' ELSE {_first_metric('topic')} END)
@@ -194,10 +197,10 @@ def repair(text):
 
 
 @register("dlq_replay", _DLQ_SQL + f""", e AS (
-SELECT topic, offset_id, CASE WHEN k = {FK['null_payload']} THEN 'null payload'
-         WHEN k IN ({FK['bad_utf8']}, {FK['trailing_text']}, {FK['two_objects']}) THEN 'invalid json'
+SELECT topic, partition_id, offset_id, CASE WHEN k = {FK['null_payload']} THEN 'null payload'
+         WHEN k IN ({FK['bad_utf8']}, {', '.join(str(FK[f]) for f in NOT_JSON)}) THEN 'invalid json'
          WHEN k IN {ROW_REJECT} THEN error_message END AS replay_error FROM d)
-SELECT topic, offset_id, replay_error, CASE WHEN replay_error IS NULL THEN 1 ELSE 0 END::BIGINT AS times_landed FROM e""", "S11")
+SELECT topic, partition_id, offset_id, replay_error, CASE WHEN replay_error IS NULL THEN 1 ELSE 0 END::BIGINT AS times_landed FROM e""", "S11")
 def dlq_replay(spark, sf):
     """Re-drive the dead letters of a Bronze load: repair the text, decode again and land what is
     now good (plants included).  The replay runs twice; messages that have landed since are left
@@ -208,14 +211,20 @@ def dlq_replay(spark, sf):
     fixed = dead.select(F.col("key").cast("binary").alias("key"), F.encode(repair(F.col("value")), "UTF-8").alias("value"),
                         "topic", F.col("partition_id").alias("partition"), F.col("offset_id").alias("offset"))
     for run in ("replay-1", "replay-2"):
-        B.land(DC.decode_json(fixed), root, run, landed_only=True)
+        B.land(DC.decode_json(fixed), root, run, redrive=True)
+    key = ["topic", "partition_id", "offset_id"]
     tried = B.read_table(spark, root, "dead_letter_queue").filter("batch = 'replay-1'").select(
-        "topic", "offset_id", F.col("error_message").alias("replay_error"))
-    landed = B.ledger(spark, root).filter("landed").groupBy("topic", F.col("offset").alias("offset_id")).agg(
-        F.count(F.lit(1)).alias("times_landed"))
-    return (dead.select("topic", "offset_id").join(tried, ["topic", "offset_id"], "left")
-            .join(landed, ["topic", "offset_id"], "left")
-            .select("topic", "offset_id", "replay_error", F.coalesce("times_landed", F.lit(0)).alias("times_landed")))
+        *key, F.col("error_message").alias("replay_error"))
+    # rows of the four series tables carry their offset; a plant's id tells its message, which the ledger has
+    rows = B.ledger(spark, root).filter("kind = 'redriven' AND topic = 'energy.bronze.plants'").select(
+        "topic", F.col("partition").alias("partition_id"), F.explode(F.sequence("lo", "hi")).alias("offset_id"))
+    for topic, table in schemas.TOPIC_TABLE.items():
+        if table != "plants":
+            rows = rows.unionByName(B.read_table(spark, root, table).filter("batch <> '" + BATCH + "'").select(
+                F.lit(topic).alias("topic"), F.col("_kafka_partition").alias("partition_id"), F.col("_kafka_offset").alias("offset_id")))
+    landed = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("times_landed"))
+    return (dead.select(*key).join(tried, key, "left").join(landed, key, "left")
+            .select(*key, "replay_error", F.coalesce("times_landed", F.lit(0)).alias("times_landed")))
 
 
 @register("dlq_threshold", MSG_SQL + f"""
@@ -232,7 +241,7 @@ def dlq_threshold(spark, sf):
 
 ALL_TABLES_SQL = f"""
 SELECT CASE topic {' '.join(f"WHEN '{t}' THEN '{b}'" for t, b in schemas.TOPIC_TABLE.items())} END AS table_name,
-       CASE WHEN event_type = 'error' THEN 'PLT-' || "offset" ELSE 'N' || user_id END AS entity,
+       CASE WHEN event_type = 'error' THEN 'PLT-' || event_id ELSE 'N' || user_id END AS entity,
        CASE WHEN event_type <> 'error' THEN CAST(ts AS DATE) END AS event_date, mw AS metric,
        CASE WHEN k <> {FK['no_dataset']} THEN ds ELSE 'unknown' END AS _dataset
 FROM mm WHERE error_message IS NULL AND k NOT IN {ROW_REJECT}"""
@@ -241,7 +250,7 @@ FROM mm WHERE error_message IS NULL AND k NOT IN {ROW_REJECT}"""
 def bronze_root(spark, sf):
     """Root of the Bronze tables that one batch load of the messages has made."""
     return T.derived(spark, f"{sf.rstrip('/')}/events.parquet", "bronze", lambda path: B.land(_msgs(spark, sf), path, BATCH),
-                     end=f"{B.LEDGER}/batch={BATCH}/_SUCCESS")
+                     end=f"{B.LEDGER}/00000000-{BATCH}/_SUCCESS")
 
 
 @register("bronze_ingest", MSG_SQL + ALL_TABLES_SQL, "S7 S8 S9 S13 S14 T1")
@@ -305,7 +314,7 @@ def schema_evolution(spark, sf):
 
 # Two landed feeds: weather files of JSON lines, and operator files of CSV with a header.
 LANDING_FIELDS = ["timestamp", "node_id", "climate", "temperature_c", "humidity_pct", "_dataset"]
-_LANDED_JSON = f"k IN ({FK['truncated']}, {FK['bad_utf8']})"
+_LANDED_JSON = f"k IN ({FK['truncated']}, {FK['bad_utf8']}, {FK['single_quotes']})"
 
 
 @register("landing_scan", MSG_SQL + f"""
@@ -328,7 +337,8 @@ def landing_scan(spark, sf):
     d = _msgs(spark, sf, ["demand"]).filter(F.col("error_message").isNull())
     B.write_seed_csv(DC.project_to_schema(d, "demand").drop(*DC.PASS), f"{root}/operator")
     schema = ", ".join(f"`{c}` string" for c in [*LANDING_FIELDS, "_corrupt_record"])
-    weather = spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(f"{root}/weather")
+    weather = spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").option(
+        "allowSingleQuotes", "false").json(f"{root}/weather")
     names = [n for n, _, _ in schemas.BRONZE_COLUMNS["demand"]] + ["_dataset"]
     operator = spark.read.schema(", ".join(f"`{c}` string" for c in names)).option("header", True).csv(f"{root}/operator")
     out = None

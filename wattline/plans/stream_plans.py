@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from wattline import schemas
 from wattline.functions.columns import dround
 from wattline.plans import bronze_plans as BP
 from wattline.plans.derive_plans import _climate_col
@@ -16,6 +17,7 @@ from wattline.plans.registry import register
 from wattline.sources import bronze as B
 from wattline.sources import messages as M
 from wattline.sources import tables as T
+from wattline.streaming import alerts as A
 from wattline.streaming import ingest as S
 
 FK = M.FAULTS
@@ -83,7 +85,14 @@ def stream_replay_dedup(spark, sf):
         S.append_arrivals(again, root)
         S.ingest(spark, root, f"{path}/tables", f"{path}/checkpoint")
     root = _derived(spark, sf, "replay", build) + "/tables"
-    return B.ledger(spark, root).select("topic", "partition", "offset", "landed")
+    taken = B.taken_messages(spark, root)
+    rows = taken.filter("landed AND topic = 'energy.bronze.plants'").drop("landed")        # plants carry no offset
+    for topic, table in schemas.TOPIC_TABLE.items():
+        if table != "plants":
+            rows = rows.unionByName(B.read_table(spark, root, table).select(
+                F.lit(topic).alias("topic"), F.col("_kafka_partition").alias("partition"), F.col("_kafka_offset").alias("offset")))
+    dead = B.read_table(spark, root, "dead_letter_queue").select("topic", F.col("partition_id").alias("partition"), F.col("offset_id").alias("offset"))
+    return rows.withColumn("landed", F.lit(True)).unionByName(dead.withColumn("landed", F.lit(False)))
 
 
 def _rollup_path(spark, sf, size="1 hour"):
@@ -187,6 +196,37 @@ def stream_staleness(spark, sf):
                     dround(mins, 2).alias("minutes_since"), (mins > limit).alias("is_stale"))
 
 
+_LIMIT_US = "CASE feed " + " ".join(f"WHEN '{f}' THEN {m * 60_000_000}" for f, m in STALE_MINUTES.items()) + " END"
+
+
+# The alerts are the gaps between consecutive readings of closed windows, and what is open at the last watermark.
+@register("stream_alerts", BP.MSG_SQL + f""", g AS (
+  SELECT split_part(topic, '.', 3) AS feed, 'N' || user_id AS node_id, epoch_us(ts) AS t, epoch_us(ts) // {A.WINDOW_US} * {A.WINDOW_US} + {A.WINDOW_US} AS we
+  FROM mm WHERE topic IN ({', '.join(f"'energy.bronze.{f}'" for f in STALE_MINUTES)}) AND error_message IS NULL AND k NOT IN {BP.ROW_REJECT}),
+wm AS (SELECT MAX(t) - 600000000 AS wm FROM g),
+c AS (SELECT g.*, {_LIMIT_US} AS lim, LEAD(t) OVER w AS nt, LEAD(we) OVER w AS nwe FROM g, wm WHERE we <= wm
+      WINDOW w AS (PARTITION BY feed, node_id ORDER BY t)),
+e AS (SELECT feed, node_id, 'stale' AS alert, 'raised' AS event, t + lim AS event_us, t, NULL AS n FROM c, wm
+      WHERE nt > t + lim OR (nt IS NULL AND (t + lim + {A.WINDOW_US} - 1) // {A.WINDOW_US} * {A.WINDOW_US} < wm)
+      UNION ALL SELECT feed, node_id, 'stale', 'cleared', nt, t, NULL FROM c WHERE nt > t + lim
+      UNION ALL SELECT feed, node_id, 'missed', 'raised', we + {A.WINDOW_US}, t, NULL FROM c, wm
+      WHERE nwe > we + {A.WINDOW_US} OR (nt IS NULL AND we + {A.WINDOW_US} < wm)
+      UNION ALL SELECT feed, node_id, 'missed', 'cleared', nt, t, (nwe - we) // {A.WINDOW_US} - 1 FROM c WHERE nwe > we + {A.WINDOW_US})
+SELECT feed, node_id, alert, event, make_timestamp(event_us) AS event_at, make_timestamp(t) AS last_seen, n::BIGINT AS n_missed FROM e""", "T7 T9")
+def stream_alerts(spark, sf):
+    """Alerts that the stream raises by timers and clears when a node comes back (scada after 15 minutes,
+    weather after two hours; 5-minute windows)."""
+    def build(path):
+        before = A.use_disk_state(spark)
+        try:
+            rows = S.feed_rows(S.message_stream(spark, _landing(spark, sf)), {f"energy.bronze.{f}": f for f in STALE_MINUTES})
+            _file_sink(A.alerts(rows, STALE_MINUTES), path)
+        finally:
+            A.restore(spark, before)
+    r = spark.read.parquet(_derived(spark, sf, "alerts", build) + "/out")
+    return r.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("event_at", "last_seen")})
+
+
 @register("stream_ingestion_lag", BP.MSG_SQL + """
 SELECT topic, COUNT(*) AS n, CAST(quantile_disc(k, 0.5) AS DOUBLE) AS p50_lag_s,
        CAST(quantile_disc(k, 0.95) AS DOUBLE) AS p95_lag_s, CAST(MAX(k) AS DOUBLE) AS max_lag_s,

@@ -8,9 +8,11 @@ table are not partitioned.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,45 +64,164 @@ def write_epoch(df: DataFrame, root: str, table: str, epoch: int | str, fmt: str
     return path
 
 
-LEDGER = "landed_messages"
-LEDGER_SCHEMA = "topic string, partition int, offset bigint, landed boolean, batch string"
+LEDGER = "landed_ranges"
+#: Marks of epochs whose snapshot is gone.
+CLOSED = "_closed"
+#: Offsets of one ledger bucket: ranges don't cross buckets, so they are merged bucket by bucket.
+LEDGER_SPAN = 1 << 20
+RANGES = "topic string, partition int, bucket bigint, lo bigint, hi bigint, kind string"
+_PLACE = ["topic", "partition", "bucket"]
+KEYS = ["topic", "partition", "offset"]
 
 
-def exists(spark: SparkSession, path: str) -> bool:
+def _fs(spark: SparkSession, path: str):
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _fs(spark, path)
+    return fs.exists(at)
+
+
+def _snapshots(spark: SparkSession, root: str) -> dict[str, int]:
+    """Ledger snapshots that stand complete: epoch -> number."""
+    fs, at = _fs(spark, f"{root}/{LEDGER}")
+    if not fs.exists(at):
+        return {}
+    names = [f.getPath().getName() for f in fs.listStatus(at) if fs.exists(_fs(spark, f"{f.getPath()}/_SUCCESS")[1])]
+    return {epoch: int(n) for n, _, epoch in (x.partition("-") for x in names)}
+
+
+def _snapshot(spark: SparkSession, root: str, n: int, epoch: str) -> DataFrame:
+    return spark.read.schema(RANGES).parquet(f"{root}/{LEDGER}/{n:08d}-{epoch}")
 
 
 def ledger(spark: SparkSession, root: str) -> DataFrame:
-    """Keys of all messages taken so far: landed in a table, or (``landed`` false) dead letters."""
-    path = f"{root}/{LEDGER}"
-    if not exists(spark, path):
-        return spark.createDataFrame([], LEDGER_SCHEMA)
-    return spark.read.schema(LEDGER_SCHEMA).parquet(path)
-
-
-def land(decoded: DataFrame, root: str, epoch: int | str, landed_only: bool = False) -> None:
-    """One batch of decoded messages into the five tables and the dead-letter table.
-
-    Messages that an earlier batch has taken (left anti join with the ledger; with ``landed_only``
-    dead letters may come again) and second copies inside the batch are left out.  What remains is
-    judged once and staged by topic and outcome; every table is written from its own part of the
-    stage.  All writes carry the epoch, so a retry replaces them."""
-    spark = decoded.sparkSession
-    before = ledger(spark, root).filter(F.col("batch") != F.lit(str(epoch)))
-    if landed_only:
-        before = before.filter("landed")
-    keys = ["topic", "partition", "offset"]
-    new = DC.judged(decoded).join(before.select(*keys), keys, "left_anti").dropDuplicates(keys)
+    """Ranges of offsets taken so far, per topic, partition and kind: ``taken`` (landed or rejected when they
+    first came) and ``redriven`` (dead letters that have landed since).  Its size follows the gaps between
+    the offsets, not the messages: a partition read without gaps has one row for each ``LEDGER_SPAN`` offsets."""
+    done = _snapshots(spark, root)
+    if not done:
+        return spark.createDataFrame([], RANGES)
+    epoch = max(done, key=done.get)
+    return _snapshot(spark, root, done[epoch], epoch)
+
+
+def merged(ranges: DataFrame) -> DataFrame:
+    """Ranges with those that touch or overlap made one, inside each bucket (LEDGER_SPAN offsets at most)."""
+    w = Window.partitionBy(*_PLACE, "kind").orderBy("lo", "hi")
+    before = F.max("hi").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    starts = F.when(before.isNull() | (F.col("lo") > before + 1), 1).otherwise(0)
+    runs = ranges.withColumn("_s", starts).withColumn("_run", F.sum("_s").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return runs.groupBy(*_PLACE, "kind", "_run").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).select(
+        *_PLACE, "lo", "hi", "kind")
+
+
+def _bucket() -> Column:
+    return F.floor(F.col("offset") / LEDGER_SPAN).cast("bigint")
+
+
+def offset_ranges(rows: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
+    """Ranges of the offsets of ``rows``, and the buckets in which a message stands more than once.
+
+    Buckets without gaps are known by their counts; only the offsets of the others are put in order."""
+    once = rows.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_n"))
+    per = materialized(once.groupBy("topic", "partition", _bucket().alias("bucket")).agg(
+        F.min("offset").alias("lo"), F.max("offset").alias("hi"), F.count(F.lit(1)).alias("n"), F.sum("_n").alias("rows")), "ranges")
+    full = F.col("n") == F.col("hi") - F.col("lo") + 1
+    ranges = per.filter(full).select(*_PLACE, "lo", "hi", F.lit(kind).alias("kind"))
+    gappy = per.filter(~full).select(*_PLACE)
+    if gappy.take(1):
+        loose = rows.select("topic", "partition", _bucket().alias("bucket"), "offset").join(gappy, _PLACE, "left_semi").distinct()
+        ranges = ranges.unionByName(merged(loose.select(*_PLACE, F.col("offset").alias("lo"), F.col("offset").alias("hi"),
+                                                        F.lit(kind).alias("kind"))))
+    return ranges, per.filter("rows > n").select(*_PLACE)
+
+
+def _second_copies(rows: DataFrame, where: DataFrame) -> DataFrame:
+    """``_row`` of every message that stands before its own second copy in the batch: of equal offsets the
+    one with the earliest broker time stays, then the smallest content."""
+    order = F.struct(*[c for c in ("timestamp", "_hash", "_row") if c in rows.columns])
+    near = rows.withColumn("bucket", _bucket()).join(where, _PLACE, "left_semi").select(*KEYS, "_row", order.alias("_order"))
+    first = near.groupBy(*KEYS).agg(F.min("_order").alias("_first"))
+    return near.join(first, KEYS).filter(F.col("_order") != F.col("_first")).select("_row")
+
+
+def land(decoded: DataFrame, root: str, epoch: int | str, redrive: bool = False) -> None:
+    """One batch of decoded messages into the five tables and the dead-letter table.
+
+    Messages that an earlier batch has taken (their offset lies in a range of the ledger) and second copies
+    inside the batch are left out.  With ``redrive`` the batch holds dead letters sent again: they land if
+    they are good now and have not landed since.  What remains is judged once and staged by topic and
+    outcome, without a shuffle; every table is written from its own part of the stage.  All writes carry the
+    epoch, so a retry of the last epoch replaces them; an earlier epoch that comes again is left as it is.
+    The ledger is merged on write: one snapshot for each batch, the last two are kept."""
+    spark, epoch = decoded.sparkSession, str(epoch)
+    done = _snapshots(spark, root)
+    n = done.pop(epoch, None)
+    last = max(done.values(), default=-1)
+    if (n is not None and n < last) or (n is None and exists(spark, f"{root}/{CLOSED}/{epoch}")):
+        return
+    n = last + 1 if n is None else n
+    before = {k: e for e, k in done.items()}.get(n - 1)
+    known = spark.createDataFrame([], RANGES) if before is None else _snapshot(spark, root, n - 1, before)
+    kind = "redriven" if redrive else "taken"
+    new = DC.judged(decoded).withColumn("bucket", _bucket())
+    old = known.filter(F.col("kind") == kind).select(*[F.col(c).alias(f"_{c}") for c in (*_PLACE, "lo", "hi")])
+    inside = [F.col(c) == F.col(f"_{c}") for c in _PLACE] + [F.col("offset").between(F.col("_lo"), F.col("_hi"))]
+    new = new.join(old, inside, "left_anti")
+    if redrive:
+        dead = read_table(spark, root, "dead_letter_queue").select(
+            "topic", F.col("partition_id").alias("partition"), F.col("offset_id").alias("offset"))
+        new = new.join(dead, KEYS, "left_semi")
+    landed = F.col("reject").isNull()
+    content = F.xxhash64("value") if "value" in decoded.columns else F.lit(0)
+    staged = new.select(
+        *KEYS, "key", *[c for c in ("timestamp",) if c in decoded.columns], "error_message", "reject",
+        F.when(~landed, F.col("value_text")).alias("value_text"), F.when(landed, F.col("p")).alias("p"),
+        content.alias("_hash"), F.monotonically_increasing_id().alias("_row"), F.col("topic").alias("_topic"), landed.alias("landed"))
     stage = f"{root}/_stage/batch={epoch}"
-    parted = new.withColumn("_topic", F.col("topic")).withColumn("landed", F.col("reject").isNull())
-    parted.write.mode("overwrite").partitionBy("_topic", "landed").parquet(stage)
-    staged = spark.read.schema(parted.schema).parquet(stage)
-    for topic, table in schemas.TOPIC_TABLE.items():
-        good, _ = DC.to_table(staged.filter((F.col("_topic") == topic) & F.col("landed")), table, F.lit(str(epoch)))
-        write_epoch(good, root, table, epoch)
-    write_epoch(DC.dead_letters(staged.filter(~F.col("landed")), F.lit(str(epoch))), root, "dead_letter_queue", epoch)
-    staged.select(*keys, "landed").write.mode("overwrite").parquet(f"{root}/{LEDGER}/batch={epoch}")
+    staged.write.mode("overwrite").partitionBy("_topic", "landed").parquet(stage)
+    staged = spark.read.schema(staged.schema).parquet(stage)
+    ranges, twice = offset_ranges(staged.select(*KEYS), kind)
+    if twice.take(1):
+        staged = staged.join(materialized(_second_copies(staged, twice), "copies"), "_row", "left_anti")
+    if redrive:         # what is rejected again may come again
+        ranges, _ = offset_ranges(staged.filter("landed").select(*KEYS), kind)
+
+    def table_rows(topic: str, table: str) -> DataFrame:
+        rows = staged.filter((F.col("_topic") == topic) & F.col("landed"))
+        return DC.to_table(rows, table, F.lit(epoch))[0]
+
+    writes = [lambda t=t, b=b: write_epoch(table_rows(t, b), root, b, epoch) for t, b in schemas.TOPIC_TABLE.items()]
+    writes.append(lambda: write_epoch(DC.dead_letters(staged.filter(~F.col("landed")), F.lit(epoch)), root, "dead_letter_queue", epoch))
+    at_once(spark, writes)
+    (merged(known.unionByName(ranges)).coalesce(max(1, spark.sparkContext.defaultParallelism // 4))
+     .write.mode("overwrite").parquet(f"{root}/{LEDGER}/{n:08d}-{epoch}"))
+    for e, k in done.items():
+        if k < n - 1:
+            fs, at = _fs(spark, f"{root}/{LEDGER}/{k:08d}-{e}")
+            fs.mkdirs(_fs(spark, f"{root}/{CLOSED}/{e}")[1])
+            fs.delete(at, True)
+
+
+def at_once(spark: SparkSession, writes: Sequence[Callable[[], object]]) -> None:
+    """Independent writes as concurrent jobs of one session: small tables fill the gaps of large ones."""
+    with ThreadPoolExecutor(len(writes)) as pool:
+        for f in [pool.submit(inheritable_thread_target(spark)(w)) for w in writes]:
+            f.result()
+
+
+def taken_messages(spark: SparkSession, root: str) -> DataFrame:
+    """Every message taken, one row each: topic, partition, offset, landed (false for what is still a dead letter)."""
+    all_ranges = ledger(spark, root)
+    offsets = F.explode(F.sequence("lo", "hi")).alias("offset")
+    back = all_ranges.filter("kind = 'redriven'").select("topic", "partition", offsets)
+    dead = read_table(spark, root, "dead_letter_queue").select(
+        "topic", F.col("partition_id").alias("partition"), F.col("offset_id").alias("offset")).distinct().join(back, KEYS, "left_anti")
+    return (all_ranges.filter("kind = 'taken'").select("topic", "partition", offsets)
+            .join(dead.withColumn("_dead", F.lit(True)), KEYS, "left").select(*KEYS, F.col("_dead").isNull().alias("landed")))
 
 
 #: One metric of each table, for queries over all of them.

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattline import schemas
+from wattline.operators.derive import sequence_within
 from wattline.sources import tables as T
 
 # Fixed values of the binding: each telemetry source type feeds one topic.
@@ -26,7 +27,8 @@ ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 # Fault rules of the binding, on the event's props.k (0..99): which messages arrive damaged.
 FAULTS = {"null_payload": 7, "truncated": 13, "array": 42, "bad_utf8": 88, "bad_number": 55,
           "no_node": 66, "no_dataset": 77, "bare_numbers": 99,
-          "trailing_text": 21, "two_objects": 22, "leading_newline": 23, "other_currency": 24}
+          "trailing_text": 21, "two_objects": 22, "leading_newline": 23, "other_currency": 24,
+          "single_quotes": 25, "forged_end": 26}
 CLIMATES = ["desert", "arid", "tropical", "arctic", "mountain", "monsoon", "coastal", "island", "urban",
             "plains", "highland", "temperate", "rainy", "volcanic"]
 
@@ -78,17 +80,21 @@ def file_source(spark: SparkSession, path: str, max_files: int = 1) -> DataFrame
 
 
 def telemetry_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages derived from ``events`` (one per event, offset = event id, partition = node mod 6,
-    broker timestamp = event time + k seconds of publishing delay).
+    """Messages derived from ``events`` (one per event, partition = node mod 6, broker timestamp = event
+    time + k seconds of publishing delay).  A broker numbers the messages of a topic and partition as they
+    arrive: offsets are dense, in the order of broker time and event id.
 
     Payload per topic: the table's key columns plus two metrics (the sample and props.k), with
     currency-suffixed price names by dataset (k < 50 -> 'chile'/usd, else 'ff'/gil).  The FAULTS
     rules damage a fixed share of messages so that every reject path carries rows."""
-    t = T.telemetry(spark, sf_dir)
     k = F.get_json_object("raw", "$.k")
     ki = k.cast("int")
     topic = F.element_at(F.create_map(*[x for a, b in TOPIC_OF_SOURCE.items() for x in (F.lit(a), F.lit(b))]),
                          F.col("source_type"))
+    t = T.telemetry(spark, sf_dir).select(
+        "*", topic.alias("_topic"), F.pmod(F.col("node_id"), F.lit(PARTITIONS)).cast("int").alias("partition"),
+        (F.col("ts").cast("timestamp") + F.make_dt_interval(secs=ki.cast("decimal(18,6)"))).alias("timestamp"))
+    t = sequence_within(t, ["_topic", "partition"], ["timestamp", "msg_offset"], "offset")
     ds = F.when(ki < 50, F.lit("chile")).otherwise(F.lit("ff"))
     cur = F.when(ds == "chile", F.lit("usd")).otherwise(F.lit("gil"))
     ts_s = F.date_format("ts", ISO)
@@ -128,6 +134,8 @@ def telemetry_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(ki == FAULTS["trailing_text"], F.concat(F.col("_js"), F.lit(" trailing")))
             .when(ki == FAULTS["two_objects"], F.concat(F.col("_js"), F.col("_js")))
             .when(ki == FAULTS["leading_newline"], F.concat(F.lit("\n"), F.col("_js")))
+            .when(ki == FAULTS["single_quotes"], F.translate("_js", '"', "'"))
+            .when(ki == FAULTS["forged_end"], F.concat(F.col("_js"), F.lit(',{"end-of-payload":""}]')))
             .when(ki == FAULTS["array"], F.concat(F.lit("["), F.col("_js"), F.lit("]")))
             .when(ki == FAULTS["bare_numbers"], F.regexp_replace("_js", r'"(-?[0-9]+(\.[0-9]+)?)"', "$1"))
             .otherwise(F.col("_js")))
@@ -136,12 +144,10 @@ def telemetry_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = (F.when(ki == FAULTS["null_payload"], F.lit(None).cast("binary"))
              .when(ki == FAULTS["bad_utf8"], bad_utf8)
              .otherwise(F.encode(body, "UTF-8")))
-    m = t.select("*", payload.alias("_payload"), js.alias("_js"), ki.alias("_k"), topic.alias("_topic"))
+    m = t.select("*", payload.alias("_payload"), js.alias("_js"))
     m = m.select(
         F.encode(message_key(F.col("_payload")), "UTF-8").alias("key"), value.alias("value"),
-        F.col("_topic").alias("topic"), F.pmod(F.col("node_id"), F.lit(PARTITIONS)).cast("int").alias("partition"),
-        F.col("msg_offset").alias("offset"),
-        (F.col("ts").cast("timestamp") + F.make_dt_interval(secs=F.col("_k").cast("decimal(18,6)"))).alias("timestamp"))
+        F.col("_topic").alias("topic"), "partition", "offset", "timestamp")
     return m
 
 

@@ -82,10 +82,14 @@ def files_of(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
     return sorted((str(f.getPath()), f.getLen(), f.getModificationTime()) for f in listed if f.isFile())
 
 
+#: Version of what is derived; raised when the meaning of a derived table changes, so older ones aren't read.
+DERIVED = 3
+
+
 def derived(spark: SparkSession, source: str, name: str, write: Callable[[str], None], end: str = "_SUCCESS") -> str:
     """Folder of what is derived from the files at ``source``: named after their state, made by
     ``write`` unless a finished one (which has the file ``end``) is there."""
-    state = hashlib.sha256(repr(files_of(spark, source)).encode()).hexdigest()[:16]
+    state = hashlib.sha256(repr((DERIVED, files_of(spark, source))).encode()).hexdigest()[:16]
     path = f"{ensure_checkpoint_dir(spark)}/wattline/{name}-{state}"
     done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{end}")
     if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):

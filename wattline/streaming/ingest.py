@@ -107,12 +107,6 @@ def ingest(spark: SparkSession, source_path: str, root: str, checkpoint: str,
     return run_available(d.writeStream.foreachBatch(ingest_batch(root)), checkpoint)
 
 
-def replay_dedup(stream: DataFrame, delay: str = "1 day") -> DataFrame:
-    """T5: drop re-delivered messages — same (topic, partition, offset) within the watermark delay."""
-    return (stream.withWatermark("timestamp", delay)
-            .dropDuplicatesWithinWatermark(["topic", "partition", "offset"]))
-
-
 def feed_rows(stream: DataFrame, feeds: dict[str, str]) -> DataFrame:
     """Good rows of several feeds (topic -> name) as (feed, node_id, timestamp), parsed once."""
     names = F.create_map(*[F.lit(x) for kv in feeds.items() for x in kv])
