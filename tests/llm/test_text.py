@@ -210,6 +210,26 @@ def test_substring_dedup_edges(spark):
     assert sorted((str(r.doc_id), r.n_words, r.n_removed) for r in rows) == [
         ("3", 30, 0), ("3", 30, 0), ("3", 31, 0), ("5", 30, 30), ("None", 30, 30)]
     assert substring_dedup.remove_repeats(spark.createDataFrame([], DOCS), 20).count() == 0
+    # rows without id: by a hash of their text, after all others; different texts are different documents
+    texts = [text, text + " x", "y " + text, text, None, ""]
+    rows = substring_dedup.remove_repeats(docs(spark, texts, ids=[None] * 6), 20).collect()
+    assert sum(r.n_removed == 0 for r in rows if r.n_words >= 30) in (1, 2) and sum(r.n_removed >= 30 for r in rows) >= 2
+    top = (1 << 63) - 1
+    rows = substring_dedup.remove_repeats(docs(spark, [text, text, text + " x"], ids=[top, None, 1]), 20).collect()
+    assert [r.n_removed for r in sorted(rows, key=lambda r: r.doc_id or 0)][1:] == [0, 30]
+
+
+def test_sums_of_powers_do_not_decide(spark):
+    """Words and whole texts in the order of Thue and Morse and its complement have equal sums of powers modulo 2^64."""
+    bits = [bin(k).count("1") & 1 for k in range(2048)]
+    one, two = (" ".join(f"u{k} " + ("alpha", "beta")[b ^ flip] for k, b in enumerate(bits[:1024])) for flip in (0, 1))
+    long = ["".join("ab"[b ^ flip] for b in bits) for flip in (0, 1)]
+    around = " ".join(f"w{k}" for k in range(19))
+    texts = [one, two, f"{around} {long[0]}", f"{around} {long[1]}", one]
+    rows = {r.doc_id: r for r in substring_dedup.remove_repeats(docs(spark, texts), 20).collect()}
+    assert [rows[i].n_removed for i in range(5)] == [0, 0, 0, 0, 2048]
+    with_copies = substring_dedup.remove_repeats(docs(spark, texts + [two + " end"], ids=[0, 1, 2, 3, 4, 5]).repartition(6), 20)
+    assert {r.doc_id: r.n_removed for r in with_copies.collect()}[5] == 2048
 
 
 def test_substring_dedup_whole_table(spark):

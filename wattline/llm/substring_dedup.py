@@ -12,10 +12,13 @@ Repeated windows of ``window`` words are found without hashing every window of t
 2. *Reveal.*  A window that holds a symbol which occurs nowhere else can't be a repeat.  The shared
    symbols go back to their documents (texts travel compressed); windows without an unshared symbol
    are candidates.  Later copies of a whole document need no windows: all their words go.
-3. *Verify.*  Only candidates are hashed whole (64 bits over all their words) and compared by (document,
-   start); again a block sends each hash once.  A window is removed if an equal one starts earlier.
+3. *Verify.*  Only candidates are compared by (document, start): a window by 96 bits over all its words, of
+   which 64 are mixed word after word (see ``window_keys``), a whole document by 128 bits; a block
+   sends each window once.  A window is removed if an equal one starts earlier.
 
-The filter never drops a repeat: all symbols of a repeated window occur at least twice.
+The filter never drops a repeat: all symbols of a repeated window occur at least twice.  Names and the
+prefix sums behind them only decide what is a candidate; sums alone would take some different texts for
+equal (a word sequence and its complement in the order of Thue and Morse).
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -36,7 +39,7 @@ from wattline.llm.tokens import Words, blocks, compress, compressed_blocks, join
 #: Rounds of recompression: a symbol stands for 3.3 words on average, its context for 9.6.
 ROUNDS = 4
 BLOCK = 2 << 20
-#: Stands for a null id in the order of documents (after all others).
+#: The last place in the order of documents.
 _LAST = (1 << 63) - 1
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -56,6 +59,23 @@ class Runs:
         return mix((self.prefix[end] - self.prefix[start]) * self.down[start])
 
 
+def window_keys(hashes: np.ndarray, runs: Runs, at: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two keys of the windows that start at ``at``: 64 bits mixed over the word hashes in order (runs of 1, 2,
+    4, ... words, joined to the window's length), and 32 bits of the window's prefix-sum hash."""
+    key, done, size, power = None, 0, 1, hashes
+    left = window
+    while left:
+        if left & 1:
+            part = power[at + done]
+            key = mix(part) if key is None else pair_hash(key, part)
+            done += size
+        left >>= 1
+        if left:
+            power = pair_hash(power[:-size], power[size:]) if len(power) > size else power[:0]
+            size *= 2
+    return key, (runs.hash(at, at + window) >> np.uint64(32)).astype(np.int64)
+
+
 class Symbols:
     """The fingerprints of a block: ``name``, context ``low:high``, ``doc`` and ``number`` in the document.
 
@@ -107,9 +127,16 @@ def spanned(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
     return np.cumsum(change)[:n] > 0
 
 
-def _digests(words: Words, runs: Runs) -> np.ndarray:
-    """64-bit digests of whole documents."""
-    return pair_hash(runs.hash(words.first[:-1], words.first[1:]), words.count.astype(np.uint64))
+def _digests(words: Words, runs: Runs) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit digests of whole documents: by prefix sums, and by the sum of each word mixed with its place."""
+    place = np.arange(len(words.hash)) - np.repeat(words.first[:-1], words.count)
+    placed = np.append(np.uint64(0), np.cumsum(mix(words.hash ^ mix(place.astype(np.uint64) + _STEP)), dtype=np.uint64))
+    return (pair_hash(runs.hash(words.first[:-1], words.first[1:]), words.count.astype(np.uint64)),
+            mix(placed[words.first[1:]] - placed[words.first[:-1]]))
+
+
+def _named(digests: tuple[np.ndarray, np.ndarray]) -> list[bytes]:
+    return [int(a).to_bytes(8, "big") + int(b).to_bytes(8, "big") for a, b in zip(*digests)]
 
 
 def _packed(values: np.ndarray, owner: np.ndarray, n: int) -> list[bytes | None]:
@@ -128,8 +155,8 @@ def shared_symbols(docs: DataFrame, window: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows(name: np.ndarray, doc: np.ndarray, number: np.ndarray, packed: list) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
-                [pa.array(name.view(np.int64)), pa.array(doc, pa.int64()), pa.array(number.astype(np.int32), mask=number < _COPY),
-                 pa.array(packed, pa.binary())], ["name", "doc", "number", "packed"])
+                [pa.array(name.view(np.int64)), pa.array(number.astype(np.int32), mask=number < _COPY), pa.array(doc, pa.int64()),
+                 pa.array(packed, pa.binary())], ["name", "number", "doc", "packed"])
 
         for batch in batches:
             ids = batch.column(0).to_numpy()
@@ -146,21 +173,21 @@ def shared_symbols(docs: DataFrame, window: int) -> DataFrame:
                 spread = pair_hash(doc.astype(np.uint64), np.full(j - i, i, np.uint64))
                 yield rows(spread[some], doc[some], np.full(len(some), _COPY - 1), [packed[k] for k in some])
                 long = np.flatnonzero(words.count >= window)
-                digest = _digests(words, s.runs)[long]
-                order = np.lexsort((doc[long], digest))
-                long, digest = long[order], digest[order]
+                one, two = (d[long] for d in _digests(words, s.runs))
+                order = np.lexsort((doc[long], two, one))
+                long, one, two = long[order], one[order], two[order]
                 head = np.ones(len(long), dtype=bool)
-                head[1:] = digest[1:] != digest[:-1]
+                head[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
                 lead = np.maximum.accumulate(np.where(head, np.arange(len(long)), 0))
                 copy = doc[long] != doc[long[lead]]
-                yield rows(digest[head], doc[long[head]], np.full(head.sum(), _WHOLE), [None] * int(head.sum()))
-                yield rows(spread[long[copy]], doc[long[copy]], np.full(copy.sum(), _COPY), [int(d).to_bytes(8, "big") for d in digest[copy]])
+                yield rows(one[head], doc[long[head]], np.full(head.sum(), _WHOLE), _named((one[head], two[head])))
+                yield rows(spread[long[copy]], doc[long[copy]], np.full(copy.sum(), _COPY), _named((one[copy], two[copy])))
 
-    rows = docs.transform(map_batches, run, "name long, doc long, number int, packed binary")
-    same = Window.partitionBy("name")
+    # columns that stay the same from row to row stand together, which packs better in the shuffle
+    rows = docs.transform(map_batches, run, "name long, number int, doc long, packed binary")
+    same = Window.partitionBy("name", F.when(F.col("number") == _WHOLE, F.col("packed")))
     counted = rows.withColumn("times", F.count("number").over(same)).withColumn("first", F.min("doc").over(same))
-    copy = F.when((F.col("number") == _WHOLE) & (F.col("first") < F.col("doc")), F.lpad(F.hex("name"), 16, "0"))
-    copy = F.coalesce(copy, F.when(F.col("number") == _COPY, F.hex("packed")))
+    copy = F.when(((F.col("number") == _WHOLE) & (F.col("first") < F.col("doc"))) | (F.col("number") == _COPY), F.hex("packed"))
     kept = counted.select("doc", copy.alias("copy"), F.when((F.col("number") >= 0) & (F.col("times") > 1), F.col("number")).alias("number"),
                           F.when(F.col("number").isNull(), F.col("packed")).alias("packed"))
     return (kept.where("copy is not null or number is not null or packed is not null").groupBy("doc")
@@ -193,19 +220,18 @@ def candidates(docs: DataFrame, shared: DataFrame, window: int, all_texts: bool
                 s = Symbols(words, window)
                 numbers, packed, copies = (batch.column(c).slice(i, j - i).to_pylist() for c in (3, 4, 5))
                 alone = _unshared(s, numbers, packed)
-                digest = _digests(words, s.runs)
-                copy = np.array([bool(c) and n >= window and f"{int(d):016X}" in c
-                                 for c, n, d in zip(copies, words.count, digest)], dtype=bool)
+                copy = np.array([bool(c) and n >= window and d.hex().upper() in c
+                                 for c, n, d in zip(copies, words.count, _named(_digests(words, s.runs)))], dtype=bool)
                 n = len(words.hash)
                 owner = np.repeat(np.arange(j - i), words.count)
                 # the first level has all windows bare
                 open_ = s.bare[0] & ~s.closed(alone) & ~copy[owner[:s.starts]]
                 at = np.flatnonzero(open_)
-                h, of = s.runs.hash(at, at + window), owner[at]
+                (h, more), of = window_keys(words.hash, s.runs, at, window), owner[at]
                 start, doc = at - words.first[of], order[i:j][of]
-                sort = np.lexsort((start, doc, h))
+                sort = np.lexsort((start, doc, more, h))
                 new = np.ones(len(sort), dtype=bool)
-                new[1:] = h[sort][1:] != h[sort][:-1]
+                new[1:] = (h[sort][1:] != h[sort][:-1]) | (more[sort][1:] != more[sort][:-1])
                 lead = sort[np.maximum.accumulate(np.where(new, np.arange(len(sort)), 0))]
                 later = np.zeros(len(sort), dtype=bool)
                 later[sort] = (doc[lead] != doc[sort]) | (start[lead] != start[sort])
@@ -241,31 +267,42 @@ def later_windows(found: DataFrame, window: int) -> DataFrame:
                 start = np.frombuffer(b"".join(packed), np.int32)
                 of = np.repeat(np.arange(j - i), [len(p) // 4 for p in packed])
                 at = words.first[of] + start
-                h = Runs(words.hash).hash(at, at + window)
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(doc[i:j][of]), pa.array(row[i:j][of]), pa.array(start)],
-                                                 ["hash", "doc", "row", "start"])
+                h, more = window_keys(words.hash, Runs(words.hash), at, window)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(h.view(np.int64)), pa.array(more << 32 | start.astype(np.int64)), pa.array(doc[i:j][of]), pa.array(row[i:j][of])],
+                    ["hash", "place", "doc", "row"])
 
+    # the start shares a column with the second key, and the columns that stay the same stand together
     windows = (found.where("starts is not null").select("row", "doc", "text", "starts")
-               .transform(map_batches, run, "hash long, doc long, row long, start int"))
+               .transform(map_batches, run, "hash long, place long, doc long, row long")
+               .withColumn("start", F.col("place").bitwiseAND(0xFFFFFFFF).cast("int")))
     here = F.struct("doc", "start")
-    first = F.first(here).over(Window.partitionBy("hash").orderBy("doc", "start")
+    first = F.first(here).over(Window.partitionBy("hash", F.shiftright("place", 32)).orderBy("doc", "start")
                                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return windows.withColumn("first", first).where(F.col("first") != here).groupBy("row").agg(
         F.collect_list("start").alias("later"))
 
 
+def _without_id(top: int) -> Column:
+    """Order of rows without id: after ``top``, the largest id, by a hash of the text.  Equal texts count as one
+    document; different ones don't meet in one group."""
+    room = min(1 << 40, _LAST - top)
+    return F.lit(top) + 1 + F.pmod(F.xxhash64("text"), F.lit(room)) if room > 1 else F.lit(_LAST)
+
+
 def remove_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: str = "text",
                    keep_text: bool = False) -> DataFrame:
     """One row per row of ``docs``: id, ``n_words``, ``n_removed``, ``kept_sha256``, with ``keep_text`` also
     ``kept_text``: the words that no removed window covers, joined by one space.
 
     A window is ``window`` consecutive words of one document; it is removed if the same words also start
-    earlier (smaller id, null last; or the same id, earlier start).  Null texts have no words, and
+    earlier (smaller id; or the same id, earlier start).  Rows without id come last, by a hash of their text.  Null texts have no words, and
     texts shorter than a window stay whole.  Repeated rows of a document get the same result.  An empty
     table gives no rows.  Other columns aren't read.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).withColumn(
-        "doc", F.coalesce("id", F.lit(_LAST)))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    top = rows.agg(F.max("id")).first()[0]
+    rows = rows.withColumn("doc", F.coalesce("id", _without_id(0 if top is None else top)))
     shared = shared_symbols(rows.select("doc", "text"), window)
     # zstd, as runs of starts pack well
     found = written(candidates(rows, shared, window, keep_text).withColumn("row", F.monotonically_increasing_id()), "substring-found",
