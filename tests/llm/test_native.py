@@ -119,9 +119,26 @@ def test_mixing_levels_and_edges(spark, monkeypatch):
     assert same.count() == 40 and same.agg(F.sum("taken")).first()[0] == 180
     assert mixing.mix(spark.createDataFrame([], DOCS)).count() == 0
     assert mixing.mix(docs(spark, [None, ""])).agg(F.sum("taken")).first()[0] == 0
-    distinct = docs(spark, texts, sources)
-    mixed = mixing.mix(distinct)
-    assert mixing.repeat_rows(distinct, mixed).count() == mixed.agg(F.sum("copies")).first()[0]
+
+
+def test_repeated_rows_follow_the_mix(spark):
+    """Also where an id stands on several texts, is missing, or a row stands several times."""
+    texts, sources = mixed_rows(spark, 300, 2)
+    texts += ["a b c"] * 20 + ["a b d"] * 3
+    sources += ["x", None] * 10 + ["x"] * 3
+    for ids in (None, [i // 2 for i in range(323)], [None] * 323, [7] * 323):
+        table = docs(spark, texts, sources, ids).repartition(5)
+        mixed = mixing.mix(table, by_text=True)
+        rows = mixing.repeat_rows(table, mixed)
+        assert rows.columns == table.columns
+        want = {(r.doc_id, r.source, r.size): r.n for r in mixed.groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("n")).collect() if r.n}
+        got = defaultdict(int)
+        for r in rows.collect():
+            got[r.doc_id, r.source, len(WORDS.findall(r.text or ""))] += 1
+        assert got == want
+        # rows that are alike are taken one by one: none more often than twice its source's rate allows
+        times = rows.groupBy("doc_id", "source", "text").count().where("text = 'a b c'").agg(F.sum("count")).first()[0]
+        assert times <= 20 * 2
 
 
 def shards_by_hand(rows, n):

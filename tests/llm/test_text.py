@@ -150,6 +150,18 @@ def test_near_duplicates_edges(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [0, 3] and "_text" in kept.columns
 
 
+def test_near_duplicates_by_document(spark):
+    """An id on two texts is two documents; documents without id are told apart by their text."""
+    near, clean = "a b c d e f g h i j k l m n o p", "nothing of this stands in the other text at all"
+    texts = [near, near + " q", clean, near + " r", clean + " or here", None, near + " s"]
+    kept = near_dedup.keep_one(docs(spark, texts, ids=[1, 2, 2, None, None, None, 2])).collect()
+    assert len(kept) == 4 and {(r.doc_id, r.text) for r in kept} >= {(1, near), (2, clean), (None, None)}
+    assert not {near + x for x in (" q", " r", " s")} & {r.text for r in kept}
+    # every component keeps one document, also where all its documents lack an id
+    lone = near_dedup.keep_one(docs(spark, [near, near + " q", clean, "x " * 400_000 + "y"], ids=[None] * 4)).collect()
+    assert len(lone) == 3 and sum(r.text.startswith(near) for r in lone) == 1
+
+
 def test_components(spark):
     r = random.Random(8)
     links = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 160)] + [(r.randint(200, 299), r.randint(200, 299)) for _ in range(80)]

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wattline.llm.common import WORD, free_name, uniform, written
+from wattline.operators.derive import sequence_within
 
 #: Documents per block on average, and blocks per node of the tree.
 BLOCK = 64
@@ -96,17 +97,20 @@ def _level(items: DataFrame, depth: int, seed: int) -> DataFrame:
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 7,
-        id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+        id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", by_text: bool = False) -> DataFrame:
     """Copies of each document: id, ``source``, ``size``, ``source_size``, ``target``, ``copies``, ``taken``.
 
     Null texts and texts without words have size 0 and 0 copies.  Null sources form the last source.
     Rows with the same id, source and size are numbered and rounded one by one.  Draws hash ids,
     so runs agree whatever the partitioning.  An empty table gives no rows.  Other columns of
-    ``docs`` aren't read.
+    ``docs`` aren't read.  With ``by_text`` an id may stand on several texts, which are told apart by
+    ``text_hash``; ``k`` numbers the rows that agree in all (see ``repeat_rows``).
     """
+    hashes = [F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash")] if by_text else []
+    marks = ["text_hash"] if by_text else []
     rows = written(docs.select(F.col(id_col).alias("doc"), F.col(source_col).alias("source"),
-                               word_count(F.col(text_col)).alias("size"))
-                   .groupBy("doc", "source", "size").agg(F.count(F.lit(1)).alias("times")), "mixing-sizes")
+                               word_count(F.col(text_col)).alias("size"), *hashes)
+                   .groupBy("doc", "source", "size", *marks).agg(F.count(F.lit(1)).alias("times")), "mixing-sizes")
     sizes = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("times")).alias("words"),
                                        F.sum(F.when(F.col("size") > 0, F.col("times")).otherwise(0)).alias("docs"))
     targets = written(source_targets(sizes, weights, share, most), "mixing-targets")
@@ -115,6 +119,9 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.
     each = (rows.withColumnRenamed("source", "_source")
             .join(small, F.col("_source").eqNullSafe(F.col("source"))).drop("_source")
             .withColumn("n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).drop("times"))
+    if by_text:
+        each = each.withColumnRenamed("n", "k").withColumn("n", F.xxhash64("text_hash", "k"))
+        marks = ["text_hash", "k"]
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     each = each.withColumn("whole", F.when(F.col("size") > 0, F.floor(rate)).otherwise(0)).withColumn(
         "p", F.when(F.col("size") > 0, rate - F.floor(rate)).otherwise(0.0))
@@ -141,15 +148,42 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.
                        & (F.col("size") == F.col("_size")) & F.col("source").eqNullSafe(F.col("_s")), "left")
     copies = (F.col("whole") + F.coalesce(F.col("extra"), F.lit(0))).cast("long")
     return joined.select(F.col("doc").alias(id_col), "source", "size", "source_size", "target",
-                         copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+                         copies.alias("copies"), (copies * F.col("size")).alias("taken"), *marks)
 
 
-def repeat_rows(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes its id.
+def repeat_rows(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                source_col: str = "source") -> DataFrame:
+    """The rows of ``docs``, each as often as ``mixed`` (by text) takes it.
 
-    Rows that share an id would each be taken as often as all of them together, so ids must be unique.
+    Rows that agree in id, text and source are numbered first (in any order, as they are alike), by slices of
+    the order of all of them, so no group meets in one task.
     """
-    key, times = free_name(docs, "_id"), free_name(docs, "_copies")
-    taken = mixed.where("copies > 0").groupBy(F.col(id_col).alias(key)).agg(F.sum("copies").alias(times))
-    both = docs.join(taken, F.col(id_col).eqNullSafe(F.col(key)))
-    return (both.withColumn(times, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times)))).select(*docs.columns))
+    names = [free_name(docs, n) for n in ("_id", "_text", "_source", "_k", "_copies")]
+    key, text, source, k, times = names
+    rows = docs.withColumn(text, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    group = ["doc", "text_hash", "source"]
+    taken = mixed.select(F.col(id_col).alias("doc"), "text_hash", "source", "k", "copies")
+    alike = written(taken.where("k > 1").select(*group).distinct(), "mixing-alike")
+
+    def same(a: list[str], b: list[str]) -> Column:
+        return F.col(a[0]).eqNullSafe(F.col(b[0])) & (F.col(a[1]) == F.col(b[1])) & F.col(a[2]).eqNullSafe(F.col(b[2]))
+
+    on = same([id_col, text, source_col], [key, text + "_", source])
+    taken = taken.where("copies > 0").select(F.col("doc").alias(key), F.col("text_hash").alias(text + "_"),
+                                             F.col("source").alias(source), F.col("k").alias(k), F.col("copies").alias(times))
+    if not alike.take(1):
+        both = rows.join(taken, on)
+    else:
+        few = alike.select(*[F.col(c).alias(f"_a_{c}") for c in group])
+        match = same([id_col, text, source_col], ["_a_doc", "_a_text_hash", "_a_source"])
+        single, several = rows.join(few, match, "left_anti"), rows.join(few, match, "left_semi")
+        place = free_name(rows, "_place")
+        # keys without nulls, as the order of slices is joined on them
+        ids = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in ((id_col, "_g"), (source_col, "_s"))]
+        ids += [F.col(id_col).isNull().alias("_gn"), F.col(source_col).isNull().alias("_sn")]
+        kept = written(several.withColumn(place, F.monotonically_increasing_id()), "mixing-several")
+        number = sequence_within(kept.select(place, text, *ids), ["_g", "_gn", "_s", "_sn", text], [place], "_number")
+        numbered = kept.join(number.select(F.col(place).alias("_p"), "_number"), F.col(place) == F.col("_p")).drop(place, "_p")
+        both = (single.join(taken, on).unionByName(
+            numbered.join(taken, on & (F.col(k) == F.col("_number") + 1)).drop("_number")))
+    return both.withColumn(times, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times)))).select(*docs.columns)

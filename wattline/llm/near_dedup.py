@@ -24,7 +24,7 @@ from math import exp, lgamma, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattline.llm.common import free_name, map_batches, written
@@ -129,27 +129,37 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def sketch(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc, size, digest, sig) of each row; digest and signature are null for an empty set."""
+    """(doc, text_hash, size, digest, sig) of each row; digest and signature are null for an empty set."""
     hashes = BANDS * ROWS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, data, bounds in blocks(batch.column(1)):
+            for i, j, data, bounds in blocks(batch.column(2)):
                 values, size = shingle_sets(Words(data, bounds, lower=True), width)
                 sig = signatures(values, size, hashes)
                 end = np.cumsum(size)
                 digest = [blake2b(values[e - n:e].tobytes(), digest_size=16).digest() if n else None for e, n in zip(end, size)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i), pa.array(size, pa.int64()), pa.array(digest, pa.binary()),
-                     pa.array([s.tobytes() if n else None for s, n in zip(sig, size)], pa.binary())],
-                    ["doc", "size", "digest", "sig"])
+                    [batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(size, pa.int64()),
+                     pa.array(digest, pa.binary()), pa.array([s.tobytes() if n else None for s, n in zip(sig, size)], pa.binary())],
+                    ["doc", "text_hash", "size", "digest", "sig"])
+
+    return docs.select(F.col(id_col).cast("long").alias("doc"), text_hash(text_col).alias("text_hash"), F.col(text_col).alias("text")).transform(
+        map_batches, run, "doc long, text_hash long, size long, digest binary, sig binary")
+
 
-    return docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).transform(map_batches, 
-        run, "doc long, size long, digest binary, sig binary")
+def text_hash(text_col: str) -> Column:
+    """With the id, what tells documents apart: an id may stand on several texts, or be missing."""
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+
+
+def _place() -> Column:
+    """Orders documents: the smallest id first, null ids last, then by text."""
+    return F.struct(F.col("doc").isNull().alias("no_doc"), "doc", "text_hash")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """(node, digest, set) of the classes in ``wanted`` (node, first, digest), read again from their first documents."""
+    """(node, set) of the classes in ``wanted`` (node, doc, text_hash, digest), read again from their first documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, data, bounds in blocks(batch.column(2)):
@@ -160,9 +170,9 @@ def full_sets(docs: DataFrame, wanted: DataFrame, width: int, id_col: str, text_
                 out = pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(sets, pa.binary())], ["node", "set"])
                 yield out.filter(pa.array(same, pa.bool_()))
 
-    rows = (docs.select(F.col(id_col).cast("long").alias("_doc"), F.col(text_col).alias("text"))
-            .join(wanted, F.col("_doc").eqNullSafe(F.col("first"))).select("node", "digest", "text"))
-    return rows.transform(map_batches, run, "node long, set binary").dropDuplicates(["node"])     # repeated ids
+    rows = (docs.select(F.col(id_col).cast("long").alias("_doc"), text_hash(text_col).alias("_hash"), F.col(text_col).alias("text"))
+            .join(wanted, F.col("_doc").eqNullSafe(F.col("doc")) & (F.col("_hash") == F.col("text_hash"))).select("node", "digest", "text"))
+    return rows.transform(map_batches, run, "node long, set binary").dropDuplicates(["node"])     # repeated rows
 
 
 def _star_links(pairs: DataFrame, involved: DataFrame, threshold: float, percent: int) -> DataFrame:
@@ -258,13 +268,20 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     Links join documents with 100 * intersection >= ``percent`` * union of their distinct shingles of ``width``
     words (A-Z lower-cased).  Null, empty and wordless texts are linked with nothing and kept.  ``component_id``
     is the smallest id of the component; null ids never win over an id, and are kept where there is
-    no other.  Repeated rows of an id have one component.  An empty table gives no rows.  Other
-    columns aren't read.
+    no other.  An id that stands on several texts is several documents; rows that agree in id and text are
+    one.  An empty table gives no rows.  Other columns aren't read.
     """
+    return _judged(docs, width, percent, id_col, text_col).select(
+        F.col("doc").alias(id_col), F.col("size").alias("n_shingles"), "component_id",
+        F.col("doc").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def _judged(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """(doc, text_hash, size, component_id, stays) of each row; one document of each component stays."""
     threshold = percent / 100
     sketched = written(sketch(docs, width, id_col, text_col), "near-sketch")
     classes = (sketched.where("digest is not null").groupBy("digest")
-               .agg(F.min("doc").alias("first"), F.first("sig").alias("sig")))
+               .agg(F.min(_place()).alias("first"), F.first("sig").alias("sig")))
     classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "near-classes")
 
     bands = F.array(*[F.struct(F.lit(b).alias("band"), F.xxhash64(F.lit(b), F.substring("sig", 1 + 2 * ROWS * b, 2 * ROWS)).alias("bucket"))
@@ -275,7 +292,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     members = written(banded.join(buckets, "bucket"), "near-members")
 
     wanted = classes.join(members.select("node").distinct(), "node", "left_semi")
-    sets = full_sets(docs, wanted.select("node", "first", "digest"), width, id_col, text_col)
+    sets = full_sets(docs, wanted.select("node", "first.doc", "first.text_hash", "digest"), width, id_col, text_col)
     involved = written(wanted.select("node", "sig").join(sets, "node"), "near-sets")
 
     stars = members.where("node <> center").select(F.col("node").alias("a"), F.col("center").alias("b")).distinct()
@@ -291,20 +308,22 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
 
     named = classes.select("digest", "first", "node").join(joined.withColumnRenamed("a", "node"), "node", "left")
     named = written(named.select("digest", "first", F.coalesce("b", "node").alias("label")), "near-named")
-    smallest = named.groupBy("label").agg(F.min("first").alias("component_id"))
-    final = written(named.join(smallest, "label").select("digest", "component_id"), "near-components")
-    some = sketched.where("digest is not null").join(final, "digest").select("doc", "size", "component_id")
-    none = sketched.where("digest is null").select("doc", "size", F.col("doc").alias("component_id"))
-    return some.unionByName(none).select(
-        F.col("doc").alias(id_col), F.col("size").alias("n_shingles"), "component_id",
-        F.col("doc").eqNullSafe(F.col("component_id")).alias("kept"))
+    smallest = named.groupBy("label").agg(F.min("first").alias("keeper"))
+    final = written(named.join(smallest, "label").select("digest", "keeper"), "near-components")
+    rows = sketched.select("doc", "text_hash", "size", "digest")
+    some = rows.where("digest is not null").join(final, "digest").select(
+        "doc", "text_hash", "size", F.col("keeper.doc").alias("component_id"), (F.col("keeper") == _place()).alias("stays"))
+    none = rows.where("digest is null").select("doc", "text_hash", "size", F.col("doc").alias("component_id"), F.lit(True).alias("stays"))
+    return some.unionByName(none)
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is kept, with all their columns; rows without an id stay.
-
-    The ids that go are far fewer than those that stay, so they are the side that is joined."""
-    key = free_name(docs, "_dropped")
-    dropped = written(near_duplicates(docs, width, percent, id_col, text_col).where(f"not kept and `{id_col}` is not null")
-                      .select(F.col(id_col).alias(key)), "near-dropped")
-    return docs.join(dropped, F.col(id_col) == F.col(key), "left_anti")
+    """The rows of ``docs`` that stay, with all their columns: one document of each component, which is an id with
+    its text (rows that agree in both stay or go together), and all texts without words.
+
+    The documents that go are far fewer than those that stay, so they are the side that is joined."""
+    key, text = free_name(docs, "_dropped"), free_name(docs, "_dropped_text")
+    dropped = written(_judged(docs, width, percent, id_col, text_col).where("not stays")
+                      .select(F.col("doc").alias(key), F.col("text_hash").alias(text)).distinct(), "near-dropped")
+    same = F.col(id_col).cast("long").eqNullSafe(F.col(key)) & (text_hash(text_col) == F.col(text))
+    return docs.join(dropped, same, "left_anti")

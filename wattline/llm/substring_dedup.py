@@ -73,7 +73,7 @@ def window_keys(hashes: np.ndarray, runs: Runs, at: np.ndarray, window: int) ->
         if left:
             power = pair_hash(power[:-size], power[size:]) if len(power) > size else power[:0]
             size *= 2
-    return key, (runs.hash(at, at + window) >> np.uint64(32)).astype(np.int64)
+    return key, (runs.hash(at, at + window) >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 class Symbols:
@@ -185,7 +185,8 @@ def shared_symbols(docs: DataFrame, window: int) -> DataFrame:
 
     # columns that stay the same from row to row stand together, which packs better in the shuffle
     rows = docs.transform(map_batches, run, "name long, number int, doc long, packed binary")
-    same = Window.partitionBy("name", F.when(F.col("number") == _WHOLE, F.col("packed")))
+    rows = rows.withColumn("whole", F.when(F.col("number") == _WHOLE, F.col("packed")))
+    same = Window.partitionBy("name", "whole")
     counted = rows.withColumn("times", F.count("number").over(same)).withColumn("first", F.min("doc").over(same))
     copy = F.when(((F.col("number") == _WHOLE) & (F.col("first") < F.col("doc"))) | (F.col("number") == _COPY), F.hex("packed"))
     kept = counted.select("doc", copy.alias("copy"), F.when((F.col("number") >= 0) & (F.col("times") > 1), F.col("number")).alias("number"),
@@ -269,15 +270,14 @@ def later_windows(found: DataFrame, window: int) -> DataFrame:
                 at = words.first[of] + start
                 h, more = window_keys(words.hash, Runs(words.hash), at, window)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.view(np.int64)), pa.array(more << 32 | start.astype(np.int64)), pa.array(doc[i:j][of]), pa.array(row[i:j][of])],
-                    ["hash", "place", "doc", "row"])
+                    [pa.array(h.view(np.int64)), pa.array(more), pa.array(start), pa.array(doc[i:j][of]), pa.array(row[i:j][of])],
+                    ["hash", "more", "start", "doc", "row"])
 
-    # the start shares a column with the second key, and the columns that stay the same stand together
+    # columns that stay the same from row to row stand together, which packs better in the shuffle
     windows = (found.where("starts is not null").select("row", "doc", "text", "starts")
-               .transform(map_batches, run, "hash long, place long, doc long, row long")
-               .withColumn("start", F.col("place").bitwiseAND(0xFFFFFFFF).cast("int")))
+               .transform(map_batches, run, "hash long, more int, start int, doc long, row long"))
     here = F.struct("doc", "start")
-    first = F.first(here).over(Window.partitionBy("hash", F.shiftright("place", 32)).orderBy("doc", "start")
+    first = F.first(here).over(Window.partitionBy("hash", "more").orderBy("doc", "start")
                                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return windows.withColumn("first", first).where(F.col("first") != here).groupBy("row").agg(
         F.collect_list("start").alias("later"))
