@@ -34,7 +34,7 @@ def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated or left out so that the words of each source come near its target."""
-    return mixing.repeat_rows(docs, mixing.mix(docs))
+    return mixing.repeat_rows(docs, mixing.mix(docs, by_text=True))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
