@@ -52,5 +52,5 @@ def load_all() -> None:
     """Import every plan module so their ``register`` calls run."""
     from wattline.plans import (  # noqa: F401
         bronze_plans, derive_plans, dims_plans, gold_plans, join_plans, ops_plans,
-        quality_plans, silver_plans, stream_plans, layout_plans,
+        quality_plans, silver_plans, sketch_plans, stream_plans, layout_plans,
     )
