@@ -73,19 +73,3 @@ def test_duplicate_keys_collapse_in_dedup(spark):
     df = spark.createDataFrame(rows, "k int, t timestamp_ntz, off int, v double")
     out = V.dedup_latest(df, ["k", "t"], ["off"], ["v"]).collect()
     assert [(r.off, r.v) for r in out] == [(2, 6.0)]
-
-
-def test_compaction_splits_a_large_directory_and_keeps_the_content(spark):
-    # one hot year holding most rows: with a small target size it is written as several files
-    df = spark.range(0, 3000).selectExpr("CAST(id < 2500 AS INT) AS year", "id", "id * 0.5 AS v")
-    src, dst = scratch_path(spark, "t_small"), scratch_path(spark, "t_compact")
-    df.repartition(12).write.partitionBy("year").parquet(src)
-    B.compact(spark, src, dst, target_file_bytes=4096, partition_by=["year"], order=["id"])
-    out = spark.read.parquet(dst)
-    files = {}
-    for f in out.inputFiles():
-        d = f.rsplit("/", 2)[-2]
-        files[d] = files.get(d, 0) + 1
-    assert files["year=1"] > 1
-    assert out.exceptAll(spark.read.parquet(src)).count() == 0
-    assert out.count() == 3000

@@ -13,6 +13,7 @@ from wattline.plans.sqlparts import xs
 from wattline.plans.views import with_views
 from wattline.session import scratch_path
 from wattline.sources import bronze as B
+from wattline.sources import compaction as P
 from wattline.sources import messages as M
 from wattline.sources import refresh as R
 from wattline.sources import tables as T
@@ -53,13 +54,13 @@ def clustered_layout(spark, sf):
 @register("compaction", with_views("generation") + f"""
 SELECT CAST(year(ts) AS INTEGER) AS year, COUNT(*) AS n, {xs('mwh', 2)} AS mwh FROM generation GROUP BY 1""", "S16")
 def compaction(spark, sf):
-    """The files that each scan task has written per year are rewritten at a new location into files of the target size
-    (one per year at this scale); the content is unchanged (this query reads the compacted copy)."""
-    src, dst = scratch_path(spark, "small_files"), scratch_path(spark, "compacted")
+    """The small files that each scan task has written per year are packed into files of the target size
+    (one per year at this scale), in place; full-sized files stay; the content is unchanged."""
+    path = scratch_path(spark, "small_files")
     g = T.generation(spark, sf).withColumn("year", F.year("ts"))
-    g.write.mode("overwrite").partitionBy("year").parquet(src)
-    B.compact(spark, src, dst, partition_by=["year"], order=["plant_id", "ts"])
-    r = spark.read.parquet(dst)
+    g.write.mode("overwrite").partitionBy("year").parquet(path)
+    P.compact(spark, path, order=["plant_id", "ts"])
+    r = spark.read.parquet(path)
     return r.groupBy("year").agg(F.count(F.lit(1)).alias("n"), exact_sum("mwh", 2, "mwh"))
 
 
@@ -73,7 +74,7 @@ def retention_filter(spark, sf):
     for feed, years in RETAIN_YEARS.items():
         path = scratch_path(spark, f"retention_{feed}")
         T.generation(spark, sf).withColumn("year", F.year("ts")).write.partitionBy("year").parquet(path)
-        B.retain(spark, path, "year", "ts", RETAIN_AS_OF, years)
+        B.retain(spark, path, "year", "ts", RETAIN_AS_OF, 12 * years)
         r = spark.read.parquet(path).groupBy("year").agg(F.count(F.lit(1)).alias("n")).select(F.lit(feed).alias("feed"), "year", "n")
         out = r if out is None else out.unionByName(r)
     return out
@@ -92,6 +93,21 @@ def gold_materialize(spark, sf):
     return spark.read.parquet(path).select(*fact.columns)
 
 
+RETAIN_DAYS_AS_OF = "2024-02-12"
+
+
+@register("retention_days", with_views("telemetry") + f"""
+SELECT CAST(ts AS DATE) AS event_date, COUNT(*) AS n FROM telemetry
+WHERE CAST(ts AS DATE) >= DATE '{RETAIN_DAYS_AS_OF}' - INTERVAL 1 MONTH GROUP BY 1""", "S18")
+def retention_days(spark, sf):
+    """Retention on the Bronze layout (a directory for each day): directories before the limit go, no file is rewritten."""
+    root = scratch_path(spark, "retention_days")
+    t = T.telemetry(spark, sf).withColumn("event_date", F.to_date("ts")).withColumnRenamed("ts", "timestamp")
+    path = B.append_table(t, root, "telemetry")
+    B.retain(spark, path, "event_date", "timestamp", RETAIN_DAYS_AS_OF, 1)
+    return spark.read.parquet(path).groupBy("event_date").agg(F.count(F.lit(1)).alias("n"))
+
+
 LATE_TENS = 3       # fixed rule of the binding: messages with props.k from 30 to 39 come in a later load
 
 

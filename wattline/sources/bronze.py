@@ -8,6 +8,7 @@ table are not partitioned.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -260,43 +261,34 @@ def clustered_write(df: DataFrame, path: str, keys: Sequence[str], size: int, ta
     return path
 
 
-def compact(spark: SparkSession, src: str, dst: str, target_file_bytes: int = 256 * 1024 * 1024,
-            partition_by: Sequence[str] = (), order: Sequence[str] = ()) -> str:
-    """Rewrite a table into files of about ``target_file_bytes`` at a new location (never in
-    place: the source stays readable until the caller switches to ``dst``).  The file count comes
-    from the table's size on disk (a listing, no row is read for it); rows are
-    range-partitioned on the directory columns plus ``order``, so each task writes a contiguous
-    slice of one or a few directories and a large directory is split over many tasks rather than
-    written by one."""
-    df = spark.read.parquet(src)
-    at = spark._jvm.org.apache.hadoop.fs.Path(src)
-    size = at.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
-    files = max(1, -(-size // target_file_bytes))
-    keys = [*partition_by, *order]
-    laid = df.repartitionByRange(files, *keys).sortWithinPartitions(*keys) if keys else df.coalesce(files)
-    w = laid.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(dst)
-    return dst
-
-
-def retain(spark: SparkSession, path: str, partition: str, ts: str, as_of: str, years: int) -> None:
-    """S18 on a stored table partitioned by a year column: drop the directories of years before the
-    limit, rewrite the year that holds it (staged, then dynamic partition overwrite), leave the rest."""
-    limit = spark.range(1).select(F.add_months(F.to_date(F.lit(as_of)), -12 * years)).first()[0]
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+def _period(value: str) -> tuple[dt.date, dt.date]:
+    """First and last day of a year (2024), month (2024-01) or day (2024-01-31)."""
+    y, m, d = (*(int(x) for x in value.split("-")), None, None)[:3]
+    first = dt.date(y, m or 1, d or 1)
+    after = dt.date(y + 1, 1, 1) if m is None else dt.date(y + m // 12, m % 12 + 1, 1) if d is None else first + dt.timedelta(1)
+    return first, after - dt.timedelta(1)
+
+
+def retain(spark: SparkSession, path: str, partition: str, ts: str, as_of: str, months: int) -> None:
+    """S18 on a stored table partitioned by year, month or day: drop the directories of periods that end before
+    the limit, rewrite the one that the limit falls into (staged, then dynamic partition overwrite) unless
+    it starts there, leave the rest.  Directories with other values (the default partition) stay."""
+    limit = spark.range(1).select(F.add_months(F.to_date(F.lit(as_of)), -months)).first()[0]
+    fs, at = _fs(spark, path)
     for d in fs.listStatus(at):
-        name = d.getPath().getName()
-        if name.startswith(f"{partition}=") and int(name.partition("=")[2]) < limit.year:
+        name, _, value = d.getPath().getName().partition("=")
+        if name != partition or not value.replace("-", "").isdigit():
+            continue
+        first, last = _period(value)
+        if last < limit:
             fs.delete(d.getPath(), True)
-    edge = spark.read.parquet(path).filter(F.col(partition) == limit.year)
-    kept = materialized(edge.filter(F.to_date(ts) >= F.lit(limit)), "retained")
-    if kept.take(1):
-        materialize(kept, path, [partition])
-    elif exists(spark, f"{path}/{partition}={limit.year}"):
-        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{partition}={limit.year}"), True)
+        elif first < limit:
+            edge = spark.read.parquet(path).filter(F.col(partition).cast("string") == value)
+            kept = materialized(edge.filter(F.to_date(ts) >= F.lit(limit)), "retained")
+            if kept.take(1):
+                materialize(kept, path, [partition])
+            else:
+                fs.delete(d.getPath(), True)
 
 
 def materialize(df: DataFrame, path: str, partition_by: Sequence[str]) -> str:
