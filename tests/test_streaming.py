@@ -186,6 +186,36 @@ def test_alerts_fire_clear_and_survive_a_restart(spark):
     assert seen[0]["scada", "N1", "missed", "cleared", 100] == 8 and ("scada", "N3", "stale", "raised", 22) in seen[0]
 
 
+def test_late_rows_leave_as_a_branch(spark):
+    """The ten late rows of one window are a table; a retried batch replaces its own folders."""
+    root, out, ck = (scratch_path(spark, x) for x in ("t_lb", "t_lb_out", "t_lb_ck"))
+    spark.createDataFrame([(1,)], "files_per_arrival int").write.parquet(f"{root}/plan")
+    arrivals = [[(i, i * 10, 1.0) for i in range(6)], [(100, 600, 1.0)], [(101, 700, 1.0)], [(200 + i, 5 + i, 2.0) for i in range(10)] + [(290, 695, 4.0)], [(300, 800, 1.0)]]
+    for a in arrivals:
+        S.append_arrivals(scada(spark, a), root)
+        S.rollup_with_late(S.scada_rows(S.message_stream(spark, root)), out, ck, ["_kafka_offset"])        # started anew for each arrival
+    assert sorted(r._kafka_offset for r in S.late_rows(spark, out).collect()) == list(range(200, 210))
+    hour = 3_600_000_000
+    base = int(dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc).timestamp() * 1_000_000)
+    assert {((r.end_us - base) // hour, r.n, float(r.total)) for r in S.closed_windows(spark, out).collect()} == {(1, 6, 6.0), (11, 1, 1.0), (12, 2, 5.0)}
+
+
+def test_columns_appear_mid_stream(spark):
+    def batch(rows):
+        return DC.decode_json(spark.createDataFrame(
+            [(b"k", json.dumps({"timestamp": "2024-01-01T00:00:00", "node_id": "N1", "solar_mw": "1", **x}).encode(), "energy.bronze.scada", 0, o)
+             for o, x in rows], "key binary, value binary, topic string, partition int, offset long"))
+    root = scratch_path(spark, "t_evolve")
+    B.land(batch([(0, {}), (1, {"spot_price_usd": "3"})]), root, 0, evolve=True)
+    assert B.added_columns(spark, root) == {}
+    for _ in range(2):                                                   # the second time as a retry
+        B.land(batch([(2, {"temp": "4.5", "note": "a"}), (3, {"temp": "5", "note": "7", "Bad Name": "x"}), (4, {"temp": None})]), root, 1, evolve=True)
+    B.land(batch([(5, {"temp": "hot", "note": "b", "more": "1"}), (6, {})]), root, 2, evolve=True)
+    assert B.added_columns(spark, root) == {"scada_telemetry": {"more": "double", "note": "string", "temp": "double"}}
+    got = {r._kafka_offset: (r.temp, r.note, r.more) for r in B.read_table(spark, root, "scada_telemetry", merge_schema=True).collect()}
+    assert got == {0: (None,) * 3, 1: (None,) * 3, 2: (4.5, "a", None), 3: (5.0, "7", None), 4: (None,) * 3, 5: (None, "b", 1.0), 6: (None,) * 3}
+
+
 def test_publish_round_trip(spark):
     """S3: rows published as messages decode to the same rows."""
     rows = spark.createDataFrame([(dt.datetime(2024, 1, 1), "N1", 1.5), (dt.datetime(2024, 1, 2), "N2", None)],

@@ -8,6 +8,7 @@ expression on the whole frame; one strict ``from_json`` parses each payload to a
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -74,17 +75,29 @@ def normalize_ppa(df: DataFrame) -> DataFrame:
     return df.withColumn("ppa_price_mwh", _ppa())
 
 
-def project_to_schema(df: DataFrame, table: str) -> DataFrame:
+def declared_field(table: str, name: Column) -> Column:
+    """Whether a payload key belongs to the table as declared (money names with their currency included)."""
+    known = [n for n, _, _ in schemas.BRONZE_COLUMNS[table]] + ["_dataset", "timestamp", "node_id", "plant_id"]
+    money = [name.startswith(f"{m}_") for m in (*MONEY, "ppa_price")]
+    out = name.isin(*known, *MONEY)
+    for m in money:
+        out = out | m
+    return out
+
+
+def project_to_schema(df: DataFrame, table: str, extra: Mapping[str, str] | None = None) -> DataFrame:
     """P5: the table's payload columns in declared order, as strings; a key missing from the
-    payload is NULL, unknown keys are dropped.  Money columns come from P3/P4 when present."""
+    payload is NULL, unknown keys are dropped but for the ``extra`` ones.  Money columns come from P3/P4
+    when present."""
     normalized = set(MONEY) | {"ppa_price_mwh"}
     cols = []
     for n, _, _ in schemas.BRONZE_COLUMNS[table]:
         cols.append((F.col(n) if n in normalized and n in df.columns else F.col(f"p.{n}")).alias(n))
+    cols += [F.col("p")[n].alias(n) for n in extra or {}]
     return df.select(*PASS, *cols, F.col("p._dataset").alias("_dataset"))
 
 
-def cast_typed(df: DataFrame, table: str) -> DataFrame:
+def cast_typed(df: DataFrame, table: str, extra: Mapping[str, str] | None = None) -> DataFrame:
     """P6 + F5: ``try_cast`` to the declared types (ANSI stays on; a bad value never fails the
     job).  Reasons: a NOT NULL column that is NULL, or a non-NULL string that does not cast.
 
@@ -101,6 +114,7 @@ def cast_typed(df: DataFrame, table: str) -> DataFrame:
     bad = None
     for _, c in checks:
         bad = c if bad is None else (bad | c)
+    typed += [F.col(n).try_cast(t).alias(n) for n, t in (extra or {}).items()]
     r = F.filter(F.array(*[F.when(c, F.lit(label)) for label, c in checks]), lambda x: x.isNotNull())
     return df.select(*PASS, *typed, "_dataset", r.alias("reasons"), (~bad).alias("is_good"))
 
@@ -120,18 +134,20 @@ def enrich_meta(df: DataFrame, batch_id: str | Column, with_offsets: bool = True
     return out
 
 
-def to_table(decoded: DataFrame, table: str, batch_id: str | Column) -> tuple[DataFrame, DataFrame]:
+def to_table(decoded: DataFrame, table: str, batch_id: str | Column,
+             extra: Mapping[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Full path for one table's rows of a decoded frame: normalize, project, cast, enrich.
-    Returns (good rows in the declared schema, rejected rows with their reasons)."""
+    Returns (good rows in the declared schema, with the ``extra`` columns behind it (name -> type; a value
+    that doesn't cast is NULL), rejected rows with their reasons)."""
     ok = decoded.filter(F.col("error_message").isNull())
     ok = normalize_ppa(normalize_currency(ok))
-    typed = cast_typed(project_to_schema(ok, table), table)
+    typed = cast_typed(project_to_schema(ok, table, extra), table, extra)
     good = typed.filter(F.col("is_good")).drop("reasons", "is_good")
     bad = typed.filter(~F.col("is_good")).drop("is_good")
     is_plants = table == "plants"
     good = enrich_meta(good, batch_id, with_offsets=not is_plants, ts_col=None if is_plants else "timestamp")
     cols = [f.name for f in schemas.bronze_schema(table).fields]
-    return good.select(*cols), bad
+    return good.select(*cols, *(extra or {})), bad
 
 
 def _field(n: str) -> Column:

@@ -175,6 +175,60 @@ def stream_late_rows(spark, sf):
             .select((F.col("sent") - F.col("counted")).alias("late_rows_dropped"), "windows_emitted"))
 
 
+_LATE_ROWS_SQL = BP.MSG_SQL + f""",
+g AS (SELECT topic, "partition", "offset", ts, mw, k // 10 = {LATE_TENS} AS late,
+             CASE WHEN k <> {FK['no_dataset']} THEN ds ELSE 'unknown' END AS dataset, date_trunc('hour', ts) + INTERVAL 1 HOUR AS wend
+      FROM mm WHERE topic = 'energy.bronze.scada' AND error_message IS NULL AND k NOT IN {BP.ROW_REJECT}),
+wm AS (SELECT MAX(ts) FILTER (NOT late) - INTERVAL 10 MINUTE AS before, MAX(ts) - INTERVAL 10 MINUTE AS last FROM g)
+"""
+
+
+@register("stream_late_branch", _LATE_ROWS_SQL + """
+SELECT 'late' AS kind, "partition", "offset", ts AS event_time, wend AS window_end, dataset, mw AS total, 1::BIGINT AS n
+FROM g, wm WHERE late AND wend <= before
+UNION ALL
+SELECT 'window', NULL, NULL, NULL, wend, dataset, CAST(SUM(CAST(mw AS DECIMAL(28,4))) AS DOUBLE), COUNT(*)
+FROM g, wm WHERE NOT (late AND wend <= before) AND wend <= last GROUP BY wend, dataset""", "T6")
+def stream_late_branch(spark, sf):
+    """One run: hourly windows, and the late rows themselves as a table of their own."""
+    k = M.payload_k(F.col("value"))
+    held = F.coalesce(F.floor(k / 10) == LATE_TENS, F.lit(False))
+    root = T.derived(spark, f"{sf.rstrip('/')}/events.parquet", "landing-late",
+                     lambda path: S.landing(spark, sf, path, CHUNKS, held), end="plan/_SUCCESS")
+    out = _derived(spark, sf, "late-branch", lambda path: S.rollup_with_late(
+        S.scada_rows(S.message_stream(spark, root)), path, f"{path}/checkpoint", ["_kafka_partition", "_kafka_offset"]))
+    end = F.timestamp_micros("end_us").cast("timestamp_ntz").alias("window_end")
+    late = S.late_rows(spark, out).select(
+        F.lit("late").alias("kind"), F.col("_kafka_partition").alias("partition"), F.col("_kafka_offset").alias("offset"),
+        F.col("timestamp").cast("timestamp_ntz").alias("event_time"), end, F.col("_dataset").alias("dataset"),
+        F.col("solar_mw").alias("total"), F.lit(1).cast("long").alias("n"))
+    windows = S.closed_windows(spark, out).select(
+        F.lit("window").alias("kind"), F.lit(None).cast("int").alias("partition"), F.lit(None).cast("long").alias("offset"),
+        F.lit(None).cast("timestamp_ntz").alias("event_time"), end, F.col("_dataset").alias("dataset"),
+        F.col("total").cast("double").alias("total"), "n")
+    return late.unionByName(windows)
+
+
+@register("stream_evolution", BP.MSG_SQL + f"""
+SELECT "partition", "offset" AS _kafka_offset, CASE WHEN ts >= TIMESTAMP '{BP.EVOLVE_AT}' THEN CAST(k AS DOUBLE) / 2 END AS inverter_temp_c,
+       CASE WHEN ts >= TIMESTAMP '{BP.EVOLVE_AT}' THEN 'F' || k // 10 END AS firmware {_SCADA_GOOD}""", "S17 T1")
+def stream_evolution(spark, sf):
+    """Two fields appear in the payloads in the middle of the stream (a number and a text); the table gets both
+    columns from that micro-batch on, earlier rows are NULL there."""
+    def build(path):
+        text = F.col("value").cast("string")
+        k = M.payload_k(F.col("value"))
+        more = F.concat(F.lit(',"inverter_temp_c":"'), (k / 2).cast("string"), F.lit('","firmware":"F'), F.floor(k / 10).cast("string"), F.lit('"}'))
+        since = F.get_json_object(text, "$.timestamp") >= F.lit(BP.EVOLVE_AT.replace(" ", "T"))
+        new = (F.col("topic") == "energy.bronze.scada") & F.is_valid_utf8(text) & text.endswith("}") & k.isNotNull() & since
+        value = F.when(new, F.encode(F.concat(F.expr("substring(cast(value as string), 1, length(cast(value as string)) - 1)"), more), "UTF-8")
+                       ).otherwise(F.col("value"))
+        root = S.landing(spark, sf, f"{path}/landing", CHUNKS, value=value)
+        S.ingest(spark, root, f"{path}/tables", f"{path}/checkpoint", evolve=True)
+    t = B.read_table(spark, _derived(spark, sf, "evolution", build) + "/tables", "scada_telemetry", merge_schema=True)
+    return t.select(F.col("_kafka_partition").alias("partition"), "_kafka_offset", "inverter_temp_c", "firmware")
+
+
 _STALE_SQL = " ".join(f"WHEN '{f}' THEN {m}" for f, m in STALE_MINUTES.items())
 
 

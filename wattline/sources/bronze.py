@@ -149,7 +149,48 @@ def _second_copies(rows: DataFrame, where: DataFrame) -> DataFrame:
     return near.join(first, KEYS).filter(F.col("_order") != F.col("_first")).select("_row")
 
 
-def land(decoded: DataFrame, root: str, epoch: int | str, redrive: bool = False) -> None:
+#: Columns that senders have added to a table: one row each.
+COLUMNS = "_columns"
+_COLUMNS = "table_name string, name string, type string, since string"
+
+
+def added_columns(spark: SparkSession, root: str) -> dict[str, dict[str, str]]:
+    """Table -> (column -> type) of the columns registered so far."""
+    out: dict[str, dict[str, str]] = {}
+    if exists(spark, f"{root}/{COLUMNS}"):
+        for r in spark.read.schema(_COLUMNS).parquet(f"{root}/{COLUMNS}").orderBy("table_name", "name").collect():
+            out.setdefault(r.table_name, {}).setdefault(r.name, r.type)
+    return out
+
+
+def register_columns(staged: DataFrame, root: str, epoch: str) -> dict[str, dict[str, str]]:
+    """Payload keys of landed rows that no table column holds become columns, from this batch on.
+
+    A key is registered if it is a plain lower-case name; as a double if all its values in the batch that brings
+    it are numbers, else as a string.  Only the unknown entries of rows that have some are looked at.  The
+    registry is written by epoch, so a retry finds the same columns."""
+    spark = staged.sparkSession
+    known = added_columns(spark, root)
+    new = None
+    for topic, table in schemas.TOPIC_TABLE.items():
+        have = list(known.get(table, {}))
+
+        def unknown(k, table=table, have=have):
+            return ~DC.declared_field(table, k) & ~k.isin(*have, "") & k.rlike("^[a-z][a-z0-9_]{0,63}$")
+        extra = staged.filter((F.col("_topic") == topic) & F.col("landed")).select(
+            F.map_filter("p", lambda k, v: unknown(k)).alias("x")).filter(F.size("x") > 0)
+        part = extra.select(F.explode("x").alias("name", "value")).groupBy("name").agg(
+            F.count("value").alias("n"), F.count(F.col("value").try_cast("double")).alias("numbers")).select(
+            F.lit(table).alias("table_name"), "name", F.when(F.col("n") == F.col("numbers"), "double").otherwise("string").alias("type"),
+            F.lit(epoch).alias("since"))
+        new = part if new is None else new.unionByName(part)
+    rows = new.collect()                    # one row for each new column
+    if rows:
+        spark.createDataFrame(rows, _COLUMNS).coalesce(1).write.mode("overwrite").parquet(f"{root}/{COLUMNS}/batch={epoch}")
+    return added_columns(spark, root)
+
+
+def land(decoded: DataFrame, root: str, epoch: int | str, redrive: bool = False, evolve: bool = False) -> None:
     """One batch of decoded messages into the five tables and the dead-letter table.
 
     Messages that an earlier batch has taken (their offset lies in a range of the ledger) and second copies
@@ -157,7 +198,9 @@ def land(decoded: DataFrame, root: str, epoch: int | str, redrive: bool = False)
     they are good now and have not landed since.  What remains is judged once and staged by topic and
     outcome, without a shuffle; every table is written from its own part of the stage.  All writes carry the
     epoch, so a retry of the last epoch replaces them; an earlier epoch that comes again is left as it is.
-    The ledger is merged on write: one snapshot for each batch, the last two are kept."""
+    The ledger is merged on write: one snapshot for each batch, the last two are kept.  With ``evolve``, fields that
+    the tables lack become columns (see ``register_columns``); rows landed before read NULL there
+    (``read_table`` with ``merge_schema``)."""
     spark, epoch = decoded.sparkSession, str(epoch)
     done = _snapshots(spark, root)
     n = done.pop(epoch, None)
@@ -191,9 +234,11 @@ def land(decoded: DataFrame, root: str, epoch: int | str, redrive: bool = False)
     if redrive:         # what is rejected again may come again
         ranges, _ = offset_ranges(staged.filter("landed").select(*KEYS), kind)
 
+    added = register_columns(staged, root, epoch) if evolve else {}
+
     def table_rows(topic: str, table: str) -> DataFrame:
         rows = staged.filter((F.col("_topic") == topic) & F.col("landed"))
-        return DC.to_table(rows, table, F.lit(epoch))[0]
+        return DC.to_table(rows, table, F.lit(epoch), added.get(table))[0]
 
     writes = [lambda t=t, b=b: write_epoch(table_rows(t, b), root, b, epoch) for t, b in schemas.TOPIC_TABLE.items()]
     writes.append(lambda: write_epoch(DC.dead_letters(staged.filter(~F.col("landed")), F.lit(epoch)), root, "dead_letter_queue", epoch))

@@ -10,7 +10,7 @@ so nothing is lost or written twice after a failure.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,17 +28,19 @@ ARRIVAL_FILE_BYTES = 128 << 20
 _PLAN = "files_per_arrival int"
 
 
-def landing(spark: SparkSession, sf_dir: str, root: str, chunks: int = 6, held_back: Column | None = None) -> str:
+def landing(spark: SparkSession, sf_dir: str, root: str, chunks: int = 6, held_back: Column | None = None,
+            value: Column | None = None) -> str:
     """Arrival files for a stream, under ``root``: the messages of the topic store cut into
     ``chunks`` equal event-time ranges that arrive in time order (the file source replays files in
     arrival order), one micro-batch per range.  Rows matching ``held_back`` are kept out of their
-    range and arrive last, as late deliveries.
+    range and arrive last, as late deliveries.  ``value`` replaces the payload.
 
     The messages are staged partitioned by range, and each range is read back alone (partition
     pruning) and written as ``n`` round-robin files.  ``n`` follows the bytes of the largest range, so
     no task carries a hot range.  It is stored beside the files (``files_per_arrival``): every process
     that streams from ``root`` reads ``n`` files per trigger, one range per micro-batch."""
     msgs = M.read_topics(spark, M.publish_topics(spark, sf_dir))
+    msgs = msgs if value is None else msgs.withColumn("value", value)
     t = F.unix_micros(F.col("timestamp"))
     lo, hi = msgs.agg(F.min(t), F.max(t)).first()
     step = (hi - lo) // chunks + 1
@@ -79,10 +81,10 @@ def scada_rows(stream: DataFrame, batch_id: str = "stream") -> DataFrame:
     return good
 
 
-def ingest_batch(root: str) -> Callable[[DataFrame, int], None]:
+def ingest_batch(root: str, evolve: bool = False) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` body over decoded rows (see ``bronze.land``)."""
     def run(batch: DataFrame, epoch: int) -> None:
-        B.land(batch, root, epoch)
+        B.land(batch, root, epoch, evolve=evolve)
     return run
 
 
@@ -97,14 +99,16 @@ LOAD_METRICS = "load_totals"
 
 
 def ingest(spark: SparkSession, source_path: str, root: str, checkpoint: str,
-           files_per_trigger: int | None = None):
+           files_per_trigger: int | None = None, evolve: bool = False):
     """T1-T4 + A2: Kafka-shaped stream -> Bronze tables + dead letters.  Per-batch counters
     (messages, message-level rejects) are attached with ``observe`` and reported in each
-    progress event under ``observedMetrics['load_totals']``."""
+    progress event under ``observedMetrics['load_totals']``.  With ``evolve`` (S17) new payload fields become
+    columns in the middle of the stream: payloads are decoded as maps, so the query, its checkpoint and its
+    offsets stay as they are."""
     d = DC.decode_json(message_stream(spark, source_path, files_per_trigger))
     d = d.observe(LOAD_METRICS, F.count(F.lit(1)).alias("messages"),
                   F.count_if(F.col("error_message").isNotNull()).alias("rejected_messages"))
-    return run_available(d.writeStream.foreachBatch(ingest_batch(root)), checkpoint)
+    return run_available(d.writeStream.foreachBatch(ingest_batch(root, evolve)), checkpoint)
 
 
 def feed_rows(stream: DataFrame, feeds: dict[str, str]) -> DataFrame:
@@ -125,6 +129,43 @@ def hourly_rollup(rows: DataFrame, value: str = "solar_mw", key: str = "node_id"
             .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(value).cast("decimal(28,4)")).alias("mw_sum")))
 
 
+def rollup_with_late(rows: DataFrame, root: str, checkpoint: str, keep: Sequence[str], value: str = "solar_mw",
+                     key: str = "_dataset", size_us: int = 3_600_000_000, delay_us: int = 600_000_000):
+    """T6 in one run: windows and, as a branch of its own, the rows that come too late for theirs.
+
+    Each micro-batch is staged once, split by whether the watermark of the batches before (their newest
+    event time less the delay) has closed a row's window: ``rows/batch=<epoch>/late=true`` are the late rows
+    themselves (columns ``keep``), the others are summed into ``partial/batch=<epoch>``.  ``seen/batch=<epoch>``
+    holds the newest event time.  All folders carry the epoch, so a retried batch replaces its own."""
+    spark = rows.sparkSession
+
+    def run(batch: DataFrame, epoch: int) -> None:
+        seen = f"{root}/seen"
+        before = spark.read.parquet(seen).filter(F.col("batch") < epoch).agg(F.max("newest_us")).first()[0] if B.exists(spark, seen) else None
+        end = (F.floor(F.unix_micros("timestamp") / size_us) + 1).cast("long") * size_us
+        late = F.lit(False) if before is None else end <= F.lit(before - delay_us)
+        stage = f"{root}/rows/batch={epoch}"
+        staged = batch.select(*dict.fromkeys([*keep, "timestamp", key, value]), end.alias("end_us"), late.alias("late"))
+        staged.write.mode("overwrite").partitionBy("late").parquet(stage)
+        staged = spark.read.schema(staged.schema).parquet(stage)
+        (staged.filter("NOT late").groupBy("end_us", key).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(value).cast("decimal(28,4)")).alias("total"))
+         .write.mode("overwrite").parquet(f"{root}/partial/batch={epoch}"))
+        (staged.agg(F.max(F.unix_micros("timestamp")).alias("newest_us")).filter("newest_us IS NOT NULL").coalesce(1)
+         .write.mode("overwrite").parquet(f"{seen}/batch={epoch}"))
+    return run_available(rows.writeStream.foreachBatch(run), checkpoint)
+
+
+def late_rows(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.parquet(f"{root}/rows").filter(F.col("late").cast("boolean")).drop("late", "batch")
+
+
+def closed_windows(spark: SparkSession, root: str, key: str = "_dataset", delay_us: int = 600_000_000) -> DataFrame:
+    """(end_us, key, n, total) of the windows that the last watermark has closed."""
+    newest = spark.read.schema("newest_us long, batch int").parquet(f"{root}/seen").agg(F.max("newest_us")).first()[0]
+    part = spark.read.parquet(f"{root}/partial").filter(F.col("end_us") <= F.lit((newest or 0) - delay_us))
+    return part.groupBy("end_us", key).agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+
+
 def last_seen(rows: DataFrame, *keys: str) -> DataFrame:
     """Newest event time per key (complete mode: one state row per key)."""
     return rows.groupBy(*keys).agg(F.max("timestamp").alias("last_seen"))
