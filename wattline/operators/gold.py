@@ -16,6 +16,7 @@ from wattline.functions.columns import (
     carbon_offset, day, exact_sum, hour_ts, month, ratio,
 )
 from wattline.operators.derive import dense_sequence
+from wattline.session import materialized
 
 
 def fact_revenue(gen: DataFrame, plants: DataFrame, keys: Sequence[str] = ("region",),
@@ -138,8 +139,10 @@ def hourly_profile(samples: DataFrame, sources: Sequence[str]) -> DataFrame:
 def mix_by_node(samples: DataFrame) -> DataFrame:
     """MW per (node, source), its share of the node total (window over the node's sources)
     and the node's place by total MW (largest first, ties by id)."""
-    agg = samples.groupBy("node_id", "source_type").agg(exact_sum("mw", 4, "mw"))
-    total = samples.groupBy("node_id").agg(exact_sum("mw", 4, "total"))
+    units = F.sum(F.rint(F.col("mw") * F.lit(1e4)).cast("long"))
+    agg = materialized(samples.groupBy("node_id", "source_type").agg(units.alias("_u")), "mix")      # the one scan
+    total = agg.groupBy("node_id").agg((F.sum("_u").cast("double") / F.lit(1e4)).alias("total"))
+    agg = agg.withColumn("mw", F.col("_u").cast("double") / F.lit(1e4))
     ranked = dense_sequence(total.withColumn("_down", -F.col("total")), ["_down", "node_id"], "node_rank")
     return (agg.join(ranked.select("node_id", "total", "node_rank"), "node_id")
             .select("node_id", "source_type", "mw", F.round(F.col("mw") / F.col("total"), 6).alias("share"), "node_rank"))

@@ -8,12 +8,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast hint only behind a proven bound: a cheap job counts at most ``max_rows + 1`` rows
-    (the limit stops the scan early).  Over the bound the frame is returned as is and the planner
-    keeps a shuffle join (AQE may still broadcast it from runtime statistics)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+#: Bytes (as JSON text) up to which a side is broadcast.
+BROADCAST_BYTES = 32 << 20
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint only behind a proven bound: a job looks at ``max_rows + 1`` rows at most (the
+    limit stops the scan early) and adds up their size.  Beyond ``max_rows`` rows or ``max_bytes`` bytes the
+    frame is returned as is and the planner keeps a shuffle join (AQE may still broadcast it from
+    runtime statistics)."""
+    size = F.octet_length(F.to_json(F.struct(*df.columns)))
+    n, held = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    return F.broadcast(df) if n <= max_rows and held <= max_bytes else df
+
+
+def through_days(fact: DataFrame, days: DataFrame, partition: str, day: str) -> DataFrame:
+    """The rows of a fact stored by day whose day is in ``days`` (a filtered calendar; broadcast if it is small).
+
+    The calendar's filter runs first and its days become the partition filter of the fact's scan (dynamic
+    partition pruning), so directories of other days are never opened.  Its first and last day are
+    looked up beforehand: Spark prunes by a side only if that has a comparison in its filter, and
+    the bounds narrow the listing as well."""
+    kept = days.select(F.col(day).alias("_day")).filter(F.col("_day").isNotNull()).distinct()
+    n, lo, hi = kept.agg(F.count(F.lit(1)), F.min("_day"), F.max("_day")).first()
+    if not n:
+        return fact.limit(0)
+    kept = kept.filter(F.col("_day").between(F.lit(lo), F.lit(hi)))
+    kept = F.broadcast(kept) if n <= 100_000 else kept
+    return fact.filter(F.col(partition).between(F.lit(lo), F.lit(hi))).join(kept, F.col(partition) == F.col("_day"), "left_semi")
 
 
 def full_outer(a: DataFrame, b: DataFrame, keys: Sequence[str], tag: str = "match") -> DataFrame:

@@ -56,7 +56,7 @@ def table_catalog(stats: DataFrame, as_of: str) -> DataFrame:
     desc = F.concat_ws("\n\n",
                        F.concat(F.lit("**Table**: `"), F.col("table_name"), F.lit("`")),
                        F.concat(F.lit("**Row count**: "), F.format_number(F.col("row_count"), 0)),
-                       F.concat(F.lit("**Freshness**: "), F.date_format("freshness", "yyyy-MM-dd'T'HH:mm:ss")),
+                       F.concat(F.lit("**Freshness**: "), F.coalesce(F.date_format("freshness", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("unknown"))),
                        F.concat(F.lit("**Updated**: "), F.lit(as_of)))
     return stats.select(F.concat(F.lit(ASSET_PREFIX + " "), F.col("table_name")).alias("title"),
                         "table_name", "row_count", "freshness", desc.alias("description"))

@@ -1,21 +1,20 @@
 """Skew-safe building blocks for per-series windows.
 
 A plain ``Window.partitionBy(node).orderBy(ts)`` sends every row of a node to one task; if one
-node holds a third of the data that task holds a third of the data.  The helpers here partition by
-``(key, time bucket)`` instead, so a hot key is spread over as many tasks as it has buckets, and
-repair the bucket edges with a small per-bucket table:
-
-* ``previous_row`` / ``next_row`` — LAG / LEAD of the whole series.  Inside a bucket a window does
-  the work; the first row of a bucket takes the last row of the previous non-empty bucket, found by
-  a partial aggregate (``max(struct(order, values))``) and a window over the one-row-per-bucket table.
-* ``running_total`` — cumulative sum over the series: sum inside the bucket plus the prefix sum of
-  earlier bucket totals.
-* ``with_halo`` — for windows that look back (or ahead) at most a fixed time, rows near a bucket
-  edge are copied into the neighbouring bucket as read-only halo rows, so a range frame inside
-  ``(key, bucket)`` sees everything it would see over the whole series.
-
-The per-bucket tables hold one row per (key, bucket); their joins are on ``(key, bucket)``, the
-same keys the windows are partitioned on, so the large side is not shuffled again.
+node holds a third of the data that task holds a third of the data.  The helpers here cut the order of
+all rows, by (key, time), into balanced slices instead (``sliced``: written once, so that every later
+step sees the same slices and the input is evaluated once).  A hot key is spread over as many slices as it
+fills, whatever its density.  Windows run inside (slice, key), and the slices' edges are repaired from
+tables of one row for each slice, or for each slice and key:
+
+* ``previous_row`` / ``next_row`` — LAG / LEAD of the whole series: the first row of a slice takes the
+  last row of the slice before, if the key is the same.
+* ``running_total`` — the sum inside the slice plus the key's totals of earlier slices.
+* ``carried_last`` — the last value so far that isn't null, from earlier slices where need be.
+
+``with_halo`` serves windows that look back (or ahead) at most a fixed time: rows near a bucket edge
+are copied into the neighbouring bucket as read-only halo rows, so a range frame inside (key, bucket)
+sees everything it would see over the whole series.
 """
 
 from __future__ import annotations
@@ -25,6 +24,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wattline.session import materialized
+
 DAY = 86_400
 WEEK = 7 * DAY
 #: Rows that the densest (key, bucket) may hold; buckets are shortened until it does.
@@ -48,58 +49,77 @@ def fitted(df: DataFrame, keys: Sequence[str], ts: str | Column, seconds: int, l
     return max(least, seconds // max(1, -(-densest // BUCKET_ROWS)))
 
 
-def _shift_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str],
-               bucket_seconds: int | None, prefix: str, forward: bool) -> DataFrame:
-    b = "_bucket"
-    bucket_seconds = bucket_seconds or fitted(df, keys, order[0], DAY)
-    d = df.withColumn(b, bucket_of(order[0], bucket_seconds))
-    o = [F.col(c) for c in order]
-    w = Window.partitionBy(*keys, b).orderBy(*o) if not forward else \
-        Window.partitionBy(*keys, b).orderBy(*[c.desc() for c in o])
-    carried = list(dict.fromkeys(list(order) + list(cols)))
-    inside = {f"{prefix}{c}": F.lag(F.col(c)).over(w) for c in carried}
-    d = d.withColumns(inside).withColumn("_edge", F.lag(F.lit(1)).over(w).isNull())
-    # one row per (key, bucket): the bucket's last (or first) row
-    pick = F.max if not forward else F.min
-    edge = df.withColumn(b, bucket_of(order[0], bucket_seconds)).groupBy(*keys, b).agg(
-        pick(F.struct(*[F.col(c) for c in carried])).alias("_row"))
-    wb = Window.partitionBy(*keys).orderBy(F.col(b) if not forward else F.col(b).desc())
-    edge = edge.select(*keys, b, F.lag("_row").over(wb).alias("_nb"))
-    j = d.join(edge, [*keys, b], "left")
-    fixed = {f"{prefix}{c}": F.when(F.col("_edge"), F.col(f"_nb.{c}")).otherwise(F.col(f"{prefix}{c}"))
-             for c in carried}
-    return j.withColumns(fixed).drop("_edge", "_nb", b)
-
-
-def previous_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str],
-                 bucket_seconds: int | None = None, prefix: str = "prev_") -> DataFrame:
+def sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``df`` cut into balanced ranges of (keys, order), numbered by ``_pid`` and written once."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return materialized(df.repartitionByRange(n, *keys, *order).withColumn("_pid", F.spark_partition_id()), "slices")
+
+
+def _neighbours(slices: DataFrame, row: Column, forward: bool) -> DataFrame:
+    """(_pid, _nb): the last row (``forward``: the first) of the nearest slice before (behind) each slice.
+
+    One row for each slice, so the window over all of them is small, and so is what is broadcast."""
+    edge = slices.groupBy("_pid").agg((F.min if forward else F.max)(row).alias("_row"))
+    w = Window.orderBy(F.col("_pid").desc() if forward else F.col("_pid"))
+    return F.broadcast(edge.select("_pid", F.lag("_row").over(w).alias("_nb")))
+
+
+def _same_key(keys: Sequence[str]) -> Column:
+    out = F.lit(True)
+    for k in keys:
+        out = out & F.col(k).eqNullSafe(F.col(f"_nb.{k}"))
+    return out
+
+
+def _shift_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str], prefix: str, forward: bool) -> DataFrame:
+    slices = sliced(df, keys, order)
+    carried = list(dict.fromkeys([*order, *cols]))
+    w = Window.partitionBy("_pid", *keys).orderBy(*[F.col(c).desc() if forward else F.col(c) for c in order])
+    d = slices.withColumns({f"{prefix}{c}": F.lag(c).over(w) for c in carried} | {"_edge": F.lag(F.lit(1)).over(w).isNull()})
+    near = _neighbours(slices, F.struct(*dict.fromkeys([*keys, *carried])), forward)
+    j = d.join(near, "_pid", "left")
+    take = F.col("_edge") & _same_key(keys)
+    fixed = {f"{prefix}{c}": F.when(take, F.col(f"_nb.{c}")).otherwise(F.col(f"{prefix}{c}")) for c in carried}
+    return j.withColumns(fixed).drop("_edge", "_nb", "_pid")
+
+
+def previous_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str], prefix: str = "prev_") -> DataFrame:
     """Add ``prev_<c>`` for each order and value column: the previous row of the series ordered by
-    ``order`` (unique within the key; the first column is the event time used for buckets)."""
-    return _shift_row(df, keys, order, cols, bucket_seconds, prefix, forward=False)
+    ``order`` (unique within the key)."""
+    return _shift_row(df, keys, order, cols, prefix, forward=False)
 
 
-def next_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str],
-             bucket_seconds: int | None = None, prefix: str = "next_") -> DataFrame:
+def next_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str], prefix: str = "next_") -> DataFrame:
     """Add ``next_<c>``: the following row of the series (LEAD)."""
-    return _shift_row(df, keys, order, cols, bucket_seconds, prefix, forward=True)
+    return _shift_row(df, keys, order, cols, prefix, forward=True)
 
 
-def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str | Column,
-                  name: str, bucket_seconds: int | None = None) -> DataFrame:
+def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str | Column, name: str) -> DataFrame:
     """Cumulative sum of ``value`` along the series (rows up to and including the current one)."""
-    b = "_bucket"
-    bucket_seconds = bucket_seconds or fitted(df, keys, order[0], DAY)
-    v = F.col(value) if isinstance(value, str) else value
-    d = df.withColumns({b: bucket_of(order[0], bucket_seconds), "_v": v})
-    w = (Window.partitionBy(*keys, b).orderBy(*[F.col(c) for c in order])
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    d = d.withColumn("_in", F.sum("_v").over(w))
-    tot = d.groupBy(*keys, b).agg(F.sum("_v").alias("_t"))
-    wb = Window.partitionBy(*keys).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    tot = tot.select(*keys, b, F.coalesce(F.sum("_t").over(wb), F.lit(0)).alias("_before"))
-    return (d.join(tot, [*keys, b], "left")
+    slices = sliced(df.withColumn("_v", F.col(value) if isinstance(value, str) else value), keys, order)
+    w = (Window.partitionBy("_pid", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    totals = slices.groupBy("_pid", *keys).agg(F.sum("_v").alias("_t"))         # slices + keys rows
+    wb = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select(F.col("_pid").alias("_p"), *[F.col(k).alias(f"_b_{k}") for k in keys], F.coalesce(F.sum("_t").over(wb), F.lit(0)).alias("_before"))
+    on = [F.col("_pid") == F.col("_p")] + [F.col(k).eqNullSafe(F.col(f"_b_{k}")) for k in keys]
+    return (slices.withColumn("_in", F.sum("_v").over(w)).join(before, on, "left")
             .withColumn(name, F.col("_in") + F.col("_before"))
-            .drop(b, "_v", "_in", "_before"))
+            .drop("_pid", "_v", "_in", "_before", "_p", *[f"_b_{k}" for k in keys]))
+
+
+def carried_last(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str) -> DataFrame:
+    """The last ``value`` (a struct) of the series that isn't null, up to and including the current row."""
+    slices = sliced(df, keys, order)
+    w = Window.partitionBy("_pid", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # the last value of any key in each slice: of the slice's first key there can be none between it and the slice
+    some = slices.filter(F.col(value).isNotNull()).groupBy("_pid").agg(
+        F.max(F.struct(*keys, *order, F.col(value).alias("_x"))).alias("_row"))
+    pids = slices.groupBy("_pid").agg(F.lit(1).alias("_one")).join(some, "_pid", "left")
+    w_before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    near = F.broadcast(pids.select("_pid", F.last("_row", ignorenulls=True).over(w_before).alias("_nb")))     # one row a slice
+    j = slices.withColumn("_here", F.last(value, ignorenulls=True).over(w)).join(near, "_pid", "left")
+    return (j.withColumn(name, F.coalesce("_here", F.when(_same_key(keys), F.col("_nb._x"))))
+            .drop("_pid", "_here", "_nb"))
 
 
 def with_halo(df: DataFrame, ts: str, bucket_seconds: int, before: int = 0, after: int = 0) -> DataFrame:

@@ -155,34 +155,24 @@ def energy_integral(df: DataFrame, key: str, ts: str, tiebreak: Sequence[str], m
 
 
 def asof_join(left: DataFrame, right: DataFrame, key: str, ts: str, right_ts: str,
-              right_cols: Sequence[str], tolerance_seconds: int = 7200,
-              bucket_seconds: int | None = None) -> DataFrame:
+              right_cols: Sequence[str], tolerance_seconds: int = 7200) -> DataFrame:
     """For each left row, the last right row of the same key with right_ts <= ts (equal times
     match), or NULLs when that row is older than the tolerance.
 
-    No range join: both sides are unioned and ``last(ignorenulls)`` of one struct runs over
-    (key, day) windows, ordered by time with right rows first on ties.  Right rows within the
-    tolerance of the next day are also copied into it as halo rows, so a left row early in a day
-    still sees the last right row of the previous day."""
-    bucket_seconds = bucket_seconds or min(S.fitted(left, [key], ts, S.DAY, least=tolerance_seconds),
-                                           S.fitted(right, [key], right_ts, S.DAY, least=tolerance_seconds))
+    No range join: both sides are unioned, ordered by (key, time) with right rows first on ties, and the
+    last right row is carried along balanced slices of that order (``series.carried_last``), so a key
+    with a third of all rows fills many slices and no task."""
     rvals = [right_ts, *right_cols]
     lstruct = F.struct(*[F.col(c) for c in left.columns])
     rstruct = F.struct(*[F.col(c) for c in rvals])
     ltype = left.select(lstruct.alias("x")).schema["x"].dataType
     rtype = right.select(rstruct.alias("x")).schema["x"].dataType
-    l_ = left.select(F.col(key).alias("_k"), F.col(ts).alias("_t"), F.lit(0).alias("_obs"),
-                     lstruct.alias("_l"), F.lit(None).cast(rtype).alias("_r"))
-    r_ = right.select(F.col(key).alias("_k"), F.col(right_ts).alias("_t"), F.lit(1).alias("_obs"),
-                      F.lit(None).cast(ltype).alias("_l"), rstruct.alias("_r"))
-    u = (S.with_halo(l_, "_t", bucket_seconds)
-         .unionByName(S.with_halo(r_, "_t", bucket_seconds, before=tolerance_seconds)))
-    w = (Window.partitionBy("_k", "_bucket").orderBy("_t", F.col("_obs").desc())
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    got = (u.withColumn("_m", F.last("_r", ignorenulls=True).over(w))
-           .filter((F.col("_obs") == 0) & ~F.col("_halo")))
+    u = (left.select(F.col(key).alias("_k"), F.col(ts).alias("_t"), F.lit(1).alias("_o"), lstruct.alias("_l"), F.lit(None).cast(rtype).alias("_r"))
+         .unionByName(right.select(F.col(key).alias("_k"), F.col(right_ts).alias("_t"), F.lit(0).alias("_o"), F.lit(None).cast(ltype).alias("_l"),
+                                   rstruct.alias("_r"))))
+    got = S.carried_last(u, ["_k"], ["_t", "_o"], "_r", "_m").filter(F.col("_o") == 1)
     age = F.unix_micros(F.col("_t").cast("timestamp")) - F.unix_micros(F.col(f"_m.{right_ts}").cast("timestamp"))
-    fresh = age <= F.lit(tolerance_seconds * 1_000_000)
+    fresh = F.col("_k").isNotNull() & (age <= F.lit(tolerance_seconds * 1_000_000))
     return got.select("_l.*", *[F.when(fresh, F.col(f"_m.{c}")).alias(c) for c in rvals])
 
 

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from wattline import schemas
 from wattline.operators import decode as DC
 from wattline.plans.registry import register
+from wattline.plans.views import with_views
 from wattline.session import scratch_path
 from wattline.sources import bronze as B
+from wattline.sources import landing as L
 from wattline.sources import messages as M
 from wattline.sources import tables as T
 
@@ -58,6 +60,20 @@ def publish_messages(spark, sf):
                     F.col("value").isNull().alias("value_is_null"))
 
 
+@register("publish_rows", with_views("demand") + """
+SELECT 'N' || node_id || ':' || strftime(ts, '%Y-%m-%d %H:%M:%S') AS key, 'N' || node_id AS node_id, reading_id::VARCHAR AS reading_id,
+       demand_mw AS demand_mw, 'ff' AS _dataset, true AS in_partition FROM demand""", "S3 P1")
+def publish_rows(spark, sf):
+    """Rows published to a topic and read back by a consumer: key, every field as text, the dataset, and a partition
+    that follows from the key."""
+    d = T.demand(spark, sf).select(F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
+                                   F.concat(F.lit("N"), F.col("node_id").cast("string")).alias("node_id"), "reading_id", "demand_mw")
+    m = DC.decode_json(M.publish(d, "energy.bronze.demand", "ff")).filter(F.col("error_message").isNull())
+    return m.select(F.col("key").cast("string").alias("key"), F.col("p.node_id").alias("node_id"), F.col("p.reading_id").alias("reading_id"),
+                    F.col("p.demand_mw").cast("double").alias("demand_mw"), F.col("p._dataset").alias("_dataset"),
+                    (F.col("partition") == F.pmod(F.xxhash64(F.col("key").cast("string")), F.lit(M.PARTITIONS))).alias("in_partition"))
+
+
 @register("decode_json", MSG_SQL + f"""
 SELECT topic, "partition", "offset", error_message,
        CASE WHEN error_message IS NULL AND k <> {FK['no_node']} THEN 'N' || user_id END AS node_id,
@@ -312,7 +328,8 @@ def schema_evolution(spark, sf):
     return back.select("_kafka_offset", "inverter_temp_c")
 
 
-# Two landed feeds: weather files of JSON lines, and operator files of CSV with a header.
+# Five landed feeds: weather files of JSON lines, operator files of CSV with a header, trading files of nested JSON
+# over several lines, registry extracts of fixed-width records, and meter files of tagged, delimited records.
 LANDING_FIELDS = ["timestamp", "node_id", "climate", "temperature_c", "humidity_pct", "_dataset"]
 _LANDED_JSON = f"k IN ({FK['truncated']}, {FK['bad_utf8']}, {FK['single_quotes']})"
 
@@ -326,7 +343,13 @@ FROM mm WHERE topic = 'energy.bronze.weather' AND k <> {FK['null_payload']}
 UNION ALL
 SELECT 'operator', CASE WHEN k <> {FK['no_node']} THEN 'N' || user_id END, CASE WHEN k <> {FK['bad_number']} THEN mw END, false,
        k NOT IN {ROW_REJECT}, 'operator', CASE WHEN k <> {FK['no_dataset']} THEN ds ELSE 'unknown' END
-FROM mm WHERE topic = 'energy.bronze.demand' AND error_message IS NULL""", "S20 P2 P5 P6")
+FROM mm WHERE topic = 'energy.bronze.demand' AND error_message IS NULL
+""" + "".join(f"""
+UNION ALL
+SELECT '{feed}', CASE WHEN NOT c AND k <> {FK['no_node']} THEN 'N' || user_id END, CASE WHEN NOT c AND k <> {FK['bad_number']} THEN mw END, c,
+       NOT c AND k NOT IN {ROW_REJECT}, '{feed}', CASE WHEN NOT c AND k <> {FK['no_dataset']} THEN ds ELSE 'unknown' END
+FROM (SELECT *, k % 10 = {digit} AS c FROM mm) WHERE topic = 'energy.bronze.{topic}' AND error_message IS NULL"""
+    for feed, (topic, _, digit) in L.FEEDS.items()), "S20 P2 P5 P6")
 def landing_scan(spark, sf):
     """Landed files read back with a declared all-string schema in PERMISSIVE mode (broken JSON lines
     keep their text in ``_corrupt_record``), then projected, cast and given their lineage; the
@@ -354,6 +377,16 @@ def landing_scan(spark, sf):
         part = e.select(F.lit(feed).alias("feed"), "node_id", F.col(B.METRIC[table]).alias("metric"), corrupt.alias("is_corrupt"),
                         (F.col("is_good") & ~corrupt).alias("is_good"), F.element_at(F.split("_source", "/"), -2).alias("_source"), "_dataset")
         out = part if out is None else out.unionByName(part)
+    for feed, (topic, metric, digit) in L.FEEDS.items():
+        d = _msgs(spark, sf, [topic]).filter(F.col("error_message").isNull())
+        rows = d.select("offset", F.col("p.node_id").alias("node_id"), F.col(f"p.{metric}").alias("metric"),
+                        F.col("p._dataset").alias("_dataset"), (M.payload_k(F.col("value")) % 10 == digit).alias("damaged"))
+        L.write(feed, rows, f"{root}/{feed}")
+        read = L.read(spark, feed, f"{root}/{feed}")
+        good = ~F.col("is_corrupt") & F.col("node_id").isNotNull() & F.col("metric").isNotNull()
+        out = out.unionByName(read.select(F.lit(feed).alias("feed"), "node_id", "metric", "is_corrupt", good.alias("is_good"),
+                                          F.element_at(F.split("file", "/"), -2).alias("_source"),
+                                          F.coalesce("_dataset", F.lit("unknown")).alias("_dataset")))
     return out
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from wattline.functions.columns import exact_sum
 from wattline.operators import decode as DC
+from wattline.operators import joins as J
+from wattline.operators import ops as O
 from wattline.plans import bronze_plans as BP
 from wattline.plans import gold_plans
 from wattline.plans.registry import ORACLE, register
@@ -38,6 +40,32 @@ def partitioned_layout(spark, sf):
     return r.groupBy("event_date", "node_id").agg(F.count(F.lit(1)).alias("n"), exact_sum("mw", 4, "mw_sum"))
 
 
+def _telemetry_by_day(spark, sf):
+    """Telemetry stored by day, with the calendar of its days beside it."""
+    def build(path):
+        t = T.telemetry(spark, sf).withColumn("event_date", F.to_date("ts")).withColumnRenamed("ts", "timestamp")
+        B.append_table(t, path, "telemetry")
+        O.calendar_dim(F.min("ts"), F.max("ts"), T.scan(spark, sf, "events"), southern=True).select("day", "is_weekend").distinct().coalesce(1).write.mode(
+            "overwrite").parquet(f"{path}/calendar")
+        spark.range(1).coalesce(1).write.mode("overwrite").parquet(f"{path}/end")
+    return T.derived(spark, f"{sf.rstrip('/')}/events.parquet", "by-day", build, end="end/_SUCCESS")
+
+
+@register("weekend_nodes", with_views("telemetry", extra=f"""
+nd AS (SELECT n_nationkey AS nation, r_name AS region FROM nation JOIN region ON n_regionkey = r_regionkey)""") + f"""
+SELECT CAST(ts AS DATE) AS event_date, region, COUNT(*) AS n, {xs('mw', 4)} AS mw
+FROM telemetry JOIN nd ON node_id % 25 = nation WHERE dayofweek(ts) IN (0, 6) AND region IN ('ASIA', 'EUROPE') GROUP BY 1, 2""", "J6 S14 F1")
+def weekend_nodes(spark, sf):
+    """Facts stored by day, filtered through two dimensions: the calendar's filter prunes the directories that the scan
+    opens (dynamic partition pruning), that of the regions reaches the scan as a run-time filter on the node where the
+    fact is large."""
+    root = _telemetry_by_day(spark, sf)
+    nodes = T.nodes(spark, sf).filter(F.col("region").isin("ASIA", "EUROPE")).select(F.col("node_id").alias("_nation"), "region")
+    facts = J.through_days(B.read_table(spark, root, "telemetry"), spark.read.parquet(f"{root}/calendar").filter("is_weekend"), "event_date", "day")
+    return (facts.join(nodes, F.col("node_id") % 25 == F.col("_nation")).groupBy("event_date", "region")
+            .agg(F.count(F.lit(1)).alias("n"), exact_sum("mw", 4, "mw")))
+
+
 @register("clustered_layout", with_views("generation") + f"""
 SELECT plant_id, COUNT(*) AS n, {xs('mwh', 2)} AS mwh FROM generation WHERE plant_id BETWEEN 10 AND 19 GROUP BY 1""",
           "S15")
@@ -132,6 +160,16 @@ SELECT 'month', region, CAST(date_trunc('month', event_date) AS DATE), NULL, COU
 def gold_refresh(spark, sf):
     """Two loads, the second with late messages: each refresh rebuilds the (region, day) partitions that the new
     batches touch, and the months they lie in."""
+    gold = gold_root(spark, sf)
+    cols = ["region", F.col("period").cast("date").alias("period"), "node_id", "n", "total"]
+    day = spark.read.parquet(f"{gold}/fact_day").withColumnRenamed("event_date", "period").select(F.lit("day").alias("level"), *cols)
+    month = (spark.read.parquet(f"{gold}/fact_month").withColumnRenamed("month", "period")
+             .withColumn("node_id", F.lit(None).cast("string")).select(F.lit("month").alias("level"), *cols))
+    return day.unionByName(month)
+
+
+def gold_root(spark, sf):
+    """Gold folder that two loads and their refreshes have made."""
     def build(path):
         msgs = DC.decode_json(M.read_topics(spark, M.publish_topics(spark, sf), ["scada"]))
         late = F.coalesce(F.floor(M.payload_k(F.col("value")) / 10) == LATE_TENS, F.lit(False))
@@ -139,9 +177,4 @@ def gold_refresh(spark, sf):
             B.land(part, f"{path}/bronze", epoch)
             R.refresh(spark, f"{path}/bronze", f"{path}/gold", node_region(spark, sf))
         spark.range(1).coalesce(1).write.mode("overwrite").parquet(f"{path}/end")
-    gold = T.derived(spark, f"{sf.rstrip('/')}/events.parquet", "refresh", build, end="end/_SUCCESS") + "/gold"
-    cols = ["region", F.col("period").cast("date").alias("period"), "node_id", "n", "total"]
-    day = spark.read.parquet(f"{gold}/fact_day").withColumnRenamed("event_date", "period").select(F.lit("day").alias("level"), *cols)
-    month = (spark.read.parquet(f"{gold}/fact_month").withColumnRenamed("month", "period")
-             .withColumn("node_id", F.lit(None).cast("string")).select(F.lit("month").alias("level"), *cols))
-    return day.unionByName(month)
+    return T.derived(spark, f"{sf.rstrip('/')}/events.parquet", "refresh", build, end="end/_SUCCESS") + "/gold"

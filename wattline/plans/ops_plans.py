@@ -8,10 +8,11 @@ from wattline import schemas
 from wattline.operators import decode as DC
 from wattline.operators import joins as J
 from wattline.operators import ops as O
-from wattline.plans import bronze_plans
+from wattline.plans import bronze_plans, layout_plans
 from wattline.plans.registry import register
 from wattline.plans.views import with_views
 from wattline.session import materialized
+from wattline.sources import bronze as B
 from wattline.sources import tables as T
 
 AS_OF = "2024-02-01T00:00:00"
@@ -61,16 +62,36 @@ def incident_comments(spark, sf):
 _STATS = ["telemetry", "generation", "demand"]
 
 
-@register("table_catalog", with_views(*_STATS) + ", s AS (" + " UNION ALL ".join(
-    f"SELECT '{t}' AS table_name, COUNT(*) AS row_count, MAX(ts) AS freshness FROM {t}" for t in _STATS) + f""")
+_LOADED_SQL = bronze_plans.MSG_SQL[len("WITH "):]
+_GOOD = f"error_message IS NULL AND k NOT IN {bronze_plans.ROW_REJECT}"
+
+
+@register("table_catalog", with_views(*_STATS, extra=_LOADED_SQL) + ", s AS (" + " UNION ALL ".join(
+    [f"SELECT '{t}' AS table_name, COUNT(*) AS row_count, MAX(ts) AS freshness FROM {t}" for t in _STATS]
+    + [f"SELECT 'bronze.{b}', COUNT(*), {'NULL' if b == 'plants' else 'MAX(ts)'} FROM mm WHERE topic = '{t}' AND {_GOOD}" for t, b in schemas.TOPIC_TABLE.items()]
+    + [f"SELECT 'bronze.dead_letter_queue', COUNT(*), NULL FROM mm WHERE NOT ({_GOOD})",
+       f"""SELECT 'gold.fact_day', COUNT(*), CAST(MAX(d) AS TIMESTAMP) FROM (
+             SELECT DISTINCT user_id, CAST(ts AS DATE) AS d FROM mm WHERE topic = 'energy.bronze.scada' AND {_GOOD})"""]) + f""")
 SELECT '[ASSET] ' || table_name AS title, table_name, row_count, freshness,
        '**Table**: `' || table_name || '`' || chr(10) || chr(10) || '**Row count**: ' || format('{{:,}}', row_count)
-       || chr(10) || chr(10) || '**Freshness**: ' || strftime(freshness, '%Y-%m-%dT%H:%M:%S') || chr(10) || chr(10)
+       || chr(10) || chr(10) || '**Freshness**: ' || coalesce(strftime(freshness, '%Y-%m-%dT%H:%M:%S'), 'unknown') || chr(10) || chr(10)
        || '**Updated**: {AS_OF}' AS description
 FROM s""", "A14")
 def table_catalog(spark, sf):
-    """The catalog is written, then run again over the grown tables: cards are replaced by title
+    """Cards of the source views, the Bronze tables of a load, its dead letters and a Gold fact (plants and dead letters
+    carry no event time).  The catalog is written, then run again over the grown tables: cards are replaced by title
     (an upsert on the stored catalog), so no card of the first run is left."""
+    def loaded():
+        root, out = bronze_plans.bronze_root(spark, sf), None
+        for name in [*schemas.TOPIC_TABLE.values(), "dead_letter_queue"]:
+            t = B.read_table(spark, root, name)
+            at = F.max("timestamp").cast("timestamp_ntz") if "timestamp" in t.columns else F.lit(None).cast("timestamp_ntz")
+            s = t.agg(F.count(F.lit(1)).alias("row_count"), at.alias("freshness")).select(F.lit(f"bronze.{name}").alias("table_name"), "row_count", "freshness")
+            out = s if out is None else out.unionByName(s)
+        fact = spark.read.parquet(layout_plans.gold_root(spark, sf) + "/fact_day")
+        return out.unionByName(fact.agg(F.count(F.lit(1)).alias("row_count"), F.max("event_date").cast("timestamp_ntz").alias("freshness"))
+                               .select(F.lit("gold.fact_day").alias("table_name"), "row_count", "freshness"))
+
     def stats(cut):
         views = {"telemetry": T.telemetry(spark, sf), "generation": T.generation(spark, sf), "demand": T.demand(spark, sf)}
         out = None
@@ -81,7 +102,7 @@ def table_catalog(spark, sf):
             out = s if out is None else out.unionByName(s)
         return out
     first = materialized(O.table_catalog(stats("1996-01-01 00:00:00"), "1996-01-01T00:00:00").withColumn("_run", F.lit(1)), "catalog")
-    second = O.table_catalog(stats(None), AS_OF).withColumn("_run", F.lit(2))
+    second = O.table_catalog(stats(None).unionByName(loaded()), AS_OF).withColumn("_run", F.lit(2))
     return J.merge_upsert(first, second, ["title"], ["_run"]).drop("_run")
 
 

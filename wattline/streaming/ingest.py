@@ -183,6 +183,6 @@ def lag_stats(stream: DataFrame, accuracy: int = 100_000) -> DataFrame:
 
 def enrich(rows: DataFrame, dim: DataFrame, key: str = "node_id") -> DataFrame:
     """Stream-static join with a node dimension.  The dimension is broadcast only behind a
-    row-count bound; streaming plans have no AQE to decide it at run time."""
+    bound of rows and bytes; streaming plans have no AQE to decide it at run time."""
     from wattline.operators.joins import broadcast_if_small
     return rows.join(broadcast_if_small(dim, 1_000_000), key, "left")
