@@ -311,3 +311,28 @@ def test_exact_dedup_takes_new_files_only(spark, tmp_path):
         exact_dedup.arrival_log(docs(spark, part, ids=ids), log)
         state = exact_dedup.drain(spark, log, checkpoint, updates)
     assert sorted((r.keeper.doc, r.group_size) for r in state.collect()) == [(1, 2), (2, 1), (5, 3)]
+
+
+def test_exact_dedup_on_a_table_that_grows(spark, tmp_path, monkeypatch):
+    """Later micro-batches and later runs hit the state of earlier ones; only new rows are logged."""
+    monkeypatch.setattr(exact_dedup, "LEAST_BATCH", 512)
+    path, folder = str(tmp_path / "docs"), str(tmp_path / "state")
+    rng = random.Random(9)
+    rows = []
+    for load in range(3):
+        new = [(rng.choice([None, 1000 * (3 - load) + k]), f"text {rng.randint(0, 60)}" + " " * rng.randint(1, 3) + "end") for k in range(80)]
+        rows += new
+        spark.createDataFrame(new, "doc_id long, text string").repartition(5).write.mode("append").parquet(path)
+        got = exact_dedup.exact_groups(spark.read.parquet(path), folder=folder).collect()
+        groups = defaultdict(list)
+        for i, t in rows:
+            groups[" ".join(t.split())].append(i)
+        assert len(got) == len(rows) and spark.read.parquet(f"{folder}/log").count() == len(rows)
+        assert sorted((str(r.doc), r.group_size, str(r.keep_id)) for r in got) == sorted(
+            (str(i), len(g), str(min((x for x in g if x is not None), default=None))) for g in groups.values() for i in g)
+        assert sum(r.kept for r in got) == len(groups)
+    batches = spark.read.schema("digest binary, batch int").parquet(f"{folder}/updates").select("batch").distinct().count()
+    assert batches >= 7
+    # digests that first came in an earlier micro-batch were hit
+    times = spark.read.schema("digest binary, group_size long, batch int").parquet(f"{folder}/updates").groupBy("digest").count()
+    assert times.where("count > 1").count() > 10
