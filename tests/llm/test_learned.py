@@ -72,10 +72,108 @@ def test_url_branches_of_a_wide_host(spark):
     rows = [(k, f"http://wide.net/s{k % 100}/{k}", k % 100 < 10 if k % 200 < 100 else None) for k in range(800)]
     pages = spark.createDataFrame(rows, "page_id long, url string, bad boolean")
     got = url_filter.filter_urls(pages, [], label=F.col("bad")).collect()
-    assert {(r.template, r.verdict) for r in got if r.page_id % 100 < 10} == {(f"/s{k}/*", "block") for k in range(10)}
+    assert {(r.template, r.verdict) for r in got if r.page_id % 100 < 10} == {("/~s0+9/*", "block")}
     assert {(r.template, r.verdict) for r in got if r.page_id % 100 >= 10} == {("/*/*", "allow")}
 
 
+def test_url_siblings_and_single_labels(spark):
+    """Branches that are alike share a template; one label parts nothing."""
+    rows = [(k, f"http://two.net/{('bad1', 'bad2', 'good')[k % 3]}/{k}", k % 3 < 2) for k in range(120)]
+    rows += [(1000 + k, f"http://one.net/g/{k}", False) for k in range(100)] + [(2000 + k, f"http://one.net/u/{k}", True if k == 7 else None) for k in range(51)]
+    rows += [(3000 + k, f"http://odd.net/{'abcd'[k % 4]}/{k}", (k % 4 == 0) or (k % 4 == 1 and k % 8 == 1)) for k in range(400)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, bad boolean")
+    got = {r.page_id: r for r in url_filter.filter_urls(pages, [], label=F.col("bad")).collect()}
+    assert {(got[k].template, got[k].verdict) for k in range(120)} == {("/~bad1+1/*", "block"), ("/good/*", "allow")}
+    assert {(r.template, r.verdict) for i, r in got.items() if 1000 <= i < 3000} == {("/*/*", "allow")}
+    assert {r.template for i, r in got.items() if i >= 3000} == {"/a/*", "/*/*", "/~c+1/*"}      # b is as bad as all
+
+
+def plain_templates(rows):
+    """(host, path) -> (template, bad rate) by a plain tree; rows: (host, path, label)."""
+    pages, chance = {}, url_filter.DIFFERS
+    for host, path, label in rows:
+        p = pages.setdefault((host, path), [0, 0, 0])
+        p[0] += 1
+        p[1] += label is not None
+        p[2] += label is True
+    template = {}
+
+    def kl(bad, n, rate):
+        return sum(k * math.log(k / (n * p)) for k, p in ((bad, rate), (n - bad, 1 - rate)) if k)
+
+    def go(members, done, at):
+        segments = {m: re.sub("^/", "", m[1]).split("/") for m in members}
+        for pos in range(at, max(map(len, segments.values()))):
+            here = [m for m in members if len(segments[m]) > pos]
+            labelled, bad = (sum(pages[m][k] for m in here) for k in (1, 2))
+            if not 0 < bad < labelled:
+                continue
+            children = {}
+            for m in here:
+                children.setdefault(segments[m][pos], []).append(m)
+            literal = []
+            for segment, own in children.items():
+                n, lab, b = (sum(pages[m][k] for m in own) for k in range(3))
+                if n >= url_filter.LITERAL_PAGES and lab >= 2 and kl(b, lab, (bad + 0.5) / (labelled + 1)) > chance:
+                    literal.append((math.floor(math.asin(math.sqrt((b + 0.5) / (lab + 1))) * 512 / math.pi), lab, b, segment))
+            if not literal:
+                continue
+            groups = [[[c], sum(x[1] for x in literal if x[0] == c), sum(x[2] for x in literal if x[0] == c)] for c in sorted({x[0] for x in literal})]
+
+            def off(a, b):
+                r = (a[2] + b[2]) / (a[1] + b[1])
+                return sum(kl(g[2], g[1], r) if 0 < r < 1 else 0.0 for g in (a, b))
+            while len(groups) > 1:
+                least, k = min((off(a, b), k) for k, (a, b) in enumerate(zip(groups, groups[1:])))
+                if least > chance:
+                    break
+                a, b = groups[k:k + 2]
+                groups[k:k + 2] = [[a[0] + b[0], a[1] + b[1], a[2] + b[2]]]
+            names = {}
+            for cells, _, _ in groups:
+                mine = sorted(x[3] for x in literal if x[0] in cells)
+                names |= {s: mine[0] if len(mine) == 1 else f"~{mine[0]}+{len(mine) - 1}" for s in mine}
+            parts = {}
+            for m in here:
+                parts.setdefault(names.get(segments[m][pos], "*"), []).append(m)
+            for name, own in parts.items():
+                go(own, done + "/*" * (pos - at) + "/" + name, pos + 1)
+            members = [m for m in members if len(segments[m]) <= pos]
+            break
+        for m in members:
+            template[m] = done + "/*" * (len(segments[m]) - at)
+
+    for host in {h for h, _ in pages}:
+        go([m for m in pages if m[0] == host], "", 0)
+    base = (sum(p[2] for p in pages.values()) + 0.5) / (sum(p[1] for p in pages.values()) + 1)
+
+    def counts(keep):
+        return [sum(p[k] for m, p in pages.items() if keep(m)) for k in (1, 2)]
+    out = {}
+    for m, t in template.items():
+        every, own = counts(lambda x: template[x] == t), counts(lambda x: x[0] == m[0] and template[x] == t)
+        prior = (every[1] + 2 * base) / (every[0] + 2)
+        out[m] = (t, (own[1] + 2 * prior) / (own[0] + 2))
+    return out
+
+
+def test_url_templates_against_plain_tree(spark):
+    rng = random.Random(3)
+    rows = []
+    for k in range(900):
+        a, b, c = rng.choice(["news", "blog", "spam", "shop"]), rng.choice("xyz"), rng.choice(["p", str(k)])
+        bad = rng.random() < {"spam": 0.9, "shop": 0.85, "news": 0.05, "blog": 0.5 if b == "x" else 0.02}[a]
+        path = "/" + "/".join([a, b, c][:rng.choice([1, 2, 3, 3])]) + rng.choice(["", "/"])
+        rows.append((rng.choice(["one.net", "two.net"]), path, rng.choice([None, bad, bad])))
+    want = plain_templates(rows)
+    pages = spark.createDataFrame([(k, f"http://{h}{p}", y) for k, (h, p, y) in enumerate(rows)], "page_id long, url string, bad boolean")
+    got = url_filter.filter_urls(pages, [], label=F.col("bad")).collect()
+    assert len({t for t, _ in want.values()}) > 6
+    for r in got:
+        assert (r.template, r.bad_rate) == (want[r.host, r.path][0], pytest.approx(want[r.host, r.path][1], abs=1e-6))
+        assert r.verdict == ("block" if want[r.host, r.path][1] >= 0.5 else "allow")
+
+
 def test_url_branches_below_eight_segments(spark):
     """Branches that part at segment 11 stay apart, and again at segment 14; a path of 3,000 segments takes no round for each."""
     deep = "/".join("abcdefghij")

@@ -60,6 +60,11 @@ def test_article_without_the_rest(page):
     assert html_text.main_text(page) == "\n".join(PARAS)
 
 
+def test_heading_above_the_core():
+    page = body(MENU, "<h1>Bridge</h1><h2>A vote</h2>", '<div class="c">', ps(PARAS), "</div>", "<footer><h2>Imprint</h2></footer>")
+    assert html_text.main_text(page) == "\n".join(["Bridge", "A vote", *PARAS])
+
+
 def test_headings_and_blocks():
     page = body(MENU, "<article><header><h1>The <em>bridge</em></h1><p class=byline>By A. N. Other</p></header>",
                 "<p>One\n\t two<br>three</p><p>four<br><br>five</p>six<ul><li>seven<li><b>ei</b>ght</ul>"

@@ -9,8 +9,8 @@ core of the article; the smallest density on its path up to the body is the page
   ``footer``, ``aside`` and the like, hidden ones, and those whose class, id or role names a menu, header,
   sidebar, notice, advert or reader comments.  A header inside an article keeps its headings only.
 * If a page has ``article`` elements with text (else ``main``), the core is searched in those, and the
-  whole element around it is the article.  Otherwise the article is the core and those of its siblings
-  with the same tag and class, or headings, that reach the threshold.
+  whole element around it is the article.  Otherwise the article is the core, the headings right above it,
+  and those of its siblings with the same tag and class, or headings, that reach the threshold.
 * Link lists below the threshold are left out of the article.
 
 A page is parsed and measured inside one row; nothing is shuffled.  Tag soup is read as a browser would:
@@ -281,9 +281,14 @@ def _article(dom: Dom, state: list[int]) -> list[int]:
         found = around or [core]
     else:
         up, like = dom.parent[core], (dom.name[core], dom.attrs[core].strip())
-        found = [i for i in range(up + 1, dom.end[up]) if dom.parent[i] == up and (i == core or (
-            state[i] == 0 and chars[i] and density[i] >= threshold
-            and ((dom.name[i], dom.attrs[i].strip()) == like or dom.name[i] in HEADINGS)))]
+        beside = [i for i in range(up + 1, dom.end[up]) if dom.parent[i] == up and chars[i] and state[i] == 0]
+        found = [i for i in beside if i == core or (density[i] >= threshold and (
+            (dom.name[i], dom.attrs[i].strip()) == like or dom.name[i] in HEADINGS))]
+        k = beside.index(core) - 1
+        while k >= 0 and dom.name[beside[k]] in HEADINGS:           # the headings right above it
+            found.append(beside[k])
+            k -= 1
+        found = sorted(set(found))
     for root in found:
         for i in range(root + 1, dom.end[root]):
             if state[dom.parent[i]] == 1:

@@ -2,30 +2,43 @@
 
 For each host the paths form a tree of segments.  Level by level, a node's frequent children stay
 literal and the others (numbers, slugs, ids: variable segments) fall into one wildcard.  Of the literal
-children, those whose labelled rate doesn't differ from that of the whole node (chi-square, one degree
-of freedom) are merged into the wildcard as well, so a branch stays apart only where it says something.
+children, those whose labelled rate doesn't differ from that of the whole node are merged into the
+wildcard as well, so a branch stays apart only where it says something; the others are merged with each
+other while they are alike, the most alike first (``~bad1+1`` stands for ``bad1`` and one more).
 A path's template is what remains; its labelled bad rate is smoothed towards the rate of the same
 template on all hosts, and that towards the rate of the whole table.  Templates at or above the
 threshold are rejected.
 
+Rates differ if labels as uneven would come by chance in fewer than ``CHANCE`` cases, by the Chernoff bound
+n * KL(rate || other rate) > ln(1 / CHANCE).  It holds for any number of labels, where chi-square needs
+expected counts of five or so; a single label never parts a branch.
+
 Every step is an aggregate over distinct paths, combined map-side, or a join with a table of literal
 children, written first so that Spark can split a hot host.  Their number is bounded by evidence (pages
-and labels of each), not by a share of the host, so it grows with the labelled pages.
+and labels of each), not by a share of the host, so it grows with the labelled pages.  They meet in one
+row of a node as at most ``CELLS`` + 1 sums, by their rate (cells of equal width on the arcsine scale, where
+a rate's spread doesn't depend on it).
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from math import log, pi
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import ascii_lower, written
+from wattline.llm.common import ascii_lower, map_batches, written
 
-#: A child stays literal if it has at least so many pages and its labels differ from its node's.
-LITERAL_PAGES = 4
-#: Chi-square value (one degree of freedom, 5 %) above which a branch differs from its node.
-DIFFERS = 3.84
+#: A child stays literal if it has at least so many pages and labels, and these differ from its node's.
+LITERAL_PAGES, LITERAL_LABELS = 4, 2
+#: Chance that a branch is parted though it is like its node, and the Chernoff exponent for it.
+CHANCE = 0.01
+DIFFERS = log(1 / CHANCE)
+#: Cells of rates in which the children of a node are compared.
+CELLS = 256
 #: Pseudo-counts of the smoothing, and the smoothed bad rate from which a template is rejected.
 PRIOR, REJECT = 2.0, 0.5
 
@@ -60,6 +73,53 @@ def rule_of(host: Column, path: Column, rules: list[Rule]) -> Column:
     return found
 
 
+def _exponent(bad: Column, n: Column, rate: Column) -> Column:
+    """n * KL(bad / n || rate)."""
+    def part(k: Column, p: Column) -> Column:
+        return F.when(k > 0, k * F.log(k / (n * p))).otherwise(0.0)
+    return part(bad, rate) + part(n - bad, 1 - rate)
+
+
+def unlike(a: tuple[int, int], b: tuple[int, int]) -> float:
+    """The exponent for two (labelled, bad) against their common rate."""
+    n, bad = a[0] + b[0], a[1] + b[1]
+    return sum(k * log(k * n / (m * whole)) for m, x in (a, b) for k, whole in ((x, bad), (m - x, n - bad)) if k)
+
+
+def alike(cells: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """(cell, group) of (cell, labelled, bad): neighbours in rate are merged while they don't differ, the most alike first."""
+    groups = [([c], (n, bad)) for c, n, bad in sorted(cells)]
+    while len(groups) > 1:
+        off, k = min((unlike(a[1], b[1]), k) for k, (a, b) in enumerate(zip(groups, groups[1:])))
+        if off > DIFFERS:
+            break
+        (x, a), (y, b) = groups[k:k + 2]
+        groups[k:k + 2] = [(x + y, (a[0] + b[0], a[1] + b[1]))]
+    return [(c, g) for g, (members, _) in enumerate(groups) for c in members]
+
+
+def named_groups(literal: DataFrame) -> DataFrame:
+    """(host, template, segment, name) of the literal children (host, template, segment, labelled, bad) of one level."""
+    rate = (F.col("bad") + 0.5) / (F.col("labelled") + 1.0)
+    literal = literal.withColumn("cell", F.floor(F.asin(F.sqrt(rate)) * (2 * CELLS / pi)).cast("int"))
+    cells = literal.groupBy("host", "template", "cell").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
+    nodes = cells.groupBy("host", "template").agg(F.collect_list(F.struct("cell", "labelled", "bad")).alias("cells"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [alike([(c["cell"], c["labelled"], c["bad"]) for c in cells]) for cells in b.column(2).to_pylist()]
+            of = pa.array([i for i, x in enumerate(found) for _ in x], pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).take(of), b.column(1).take(of), pa.array([c for x in found for c, _ in x], pa.int32()),
+                 pa.array([g for x in found for _, g in x], pa.int32())], ["host", "template", "cell", "group"])
+
+    groups = written(map_batches(nodes, run, "host string, template string, cell int, group int"), "url-groups")
+    of = written(literal.join(groups, ["host", "template", "cell"]).select("host", "template", "segment", "group"), "url-members")
+    first = of.groupBy("host", "template", "group").agg(F.min("segment").alias("least"), F.count(F.lit(1)).alias("n"))
+    name = F.when(F.col("n") == 1, F.col("least")).otherwise(F.concat(F.lit("~"), "least", F.lit("+"), (F.col("n") - 1).cast("string")))
+    return of.join(first, ["host", "template", "group"]).select("host", "template", "segment", name.alias("name"))
+
+
 def templates(paths: DataFrame) -> DataFrame:
     """Template of each row of ``paths`` (host, path, pages, labelled, bad; a row for each path).
 
@@ -78,20 +138,18 @@ def templates(paths: DataFrame) -> DataFrame:
         nodes = written(nodes.select("host", "template", "pos", F.col("labelled").alias("all_labelled"), F.col("bad").alias("all_bad")), "url-nodes")
         children = below.groupBy("host", "template", "pos", "segment").agg(*sums).where(F.col("pages") >= LITERAL_PAGES)
         children = written(children.where("labelled > 0"), "url-children")
-        rate = (F.col("all_bad") + 0.5) / (F.col("all_labelled") + 1.0)
-        off = F.col("bad") - F.col("labelled") * rate
-        differs = off * off > DIFFERS * F.col("labelled") * rate * (1 - rate)
-        literal = written(children.join(nodes, ["host", "template", "pos"]).where(differs)
-                          .select("host", "template", "pos", "segment"), "url-literal")
+        differs = _exponent(F.col("bad"), F.col("labelled"), (F.col("all_bad") + 0.5) / (F.col("all_labelled") + 1.0)) > DIFFERS
+        literal = written(children.join(nodes, ["host", "template", "pos"]).where((F.col("labelled") >= LITERAL_LABELS) & differs)
+                          .select("host", "template", "pos", "segment", "labelled", "bad"), "url-literal")
         level = written(literal.groupBy("host", "template").agg(F.min("pos").alias("level")), "url-levels")
         if level.isEmpty():
             break
         # children of deeper levels are of no use: their nodes may be others once this level has parted them
-        literal = written(literal.join(level, ["host", "template"]).where("pos = level")
-                          .select("host", "template", F.col("segment").alias("_segment"), F.lit(True).alias("_literal")), "url-literal")
+        literal = written(literal.join(level, ["host", "template"]).where("pos = level").drop("pos", "level"), "url-literal")
+        literal = written(named_groups(literal).select("host", "template", F.col("segment").alias("_segment"), F.col("name").alias("_literal")), "url-literal")
         step = rows.join(level, ["host", "template"], "left").withColumn("_segment", F.get("segments", "level"))
         step = step.join(literal, ["host", "template", "_segment"], "left")
-        name = F.concat(F.expr("repeat('/*', level - at)"), F.lit("/"), F.when(F.col("_literal"), F.col("_segment")).otherwise(F.lit("*")))
+        name = F.concat(F.expr("repeat('/*', level - at)"), F.lit("/"), F.coalesce("_literal", F.lit("*")))
         parted = F.coalesce(F.size("segments") > F.col("level"), F.lit(False))
         step = written(step.select(*paths.columns, "segments", F.when(parted, F.concat("template", name)).otherwise(F.col("template")).alias("template"),
                                    F.when(parted, F.col("level") + 1).otherwise(F.col("at")).alias("at"), parted.alias("parted")), "url-paths")
