@@ -3,6 +3,7 @@ duplicates and bad rows included)."""
 
 import datetime as dt
 import math
+import random
 
 import pytest
 from pyspark.sql import Window
@@ -270,3 +271,27 @@ def test_strict_pairing_rejects_unmapped(spark):
     d = spark.createDataFrame([("x",)], "dk string")
     with pytest.raises(ValueError):
         J.strict_pairing(base, m, d, "b", "mb", "md", "dk")
+
+
+def test_zscore_of_a_dense_node_is_put_together_from_short_buckets(spark):
+    """Buckets shorter than the look-back give what one window over the key gives."""
+    rng = random.Random(6)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(rng.choice(["hot", "hot", "hot", "cold", None]), t0 + dt.timedelta(seconds=rng.choice([rng.randrange(300_000), rng.randrange(0, 300_000, 600)])),
+             rng.choice([None, *[round(rng.gauss(50, 10), 4) for _ in range(50)], 500.0])) for _ in range(1500)]
+    df = spark.createDataFrame(rows, "k string, t timestamp_ntz, v double")
+    def got(bucket):
+        out = V.zscore_outliers(df, "k", "t", "v", bucket_seconds=bucket)
+        return sorted((str(r.k), r.t, str(r.v), r.n, str(r.z), r.is_outlier) for r in out.collect())
+    want = got(10_000_000)
+    assert any(r[5] for r in want)
+    for bucket in (3600, 1000, 61):
+        assert got(bucket) == want
+
+
+def test_nested_snapshot_splits_large_parents(spark):
+    parents = spark.createDataFrame([(1,), (2,), (3,)], "id long")
+    kids = spark.createDataFrame([(1, k, f"n{k}") for k in range(25)] + [(2, 0, "a")], "pid long, pos int, name string").repartition(4)
+    got = {(r.id, r.part): [c.name for c in r.children] for r in O.nested_snapshot(parents, kids, "id", "pid", ["pos", "name"], "pos", most=10).collect()}
+    assert got == {(1, 0): [f"n{k}" for k in range(10)], (1, 1): [f"n{k}" for k in range(10, 20)], (1, 2): [f"n{k}" for k in range(20, 25)],
+                   (2, 0): ["a"], (3, 0): []}

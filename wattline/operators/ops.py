@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattline.operators import series as S
-from wattline.operators.derive import dense_sequence
+from wattline.operators.derive import dense_sequence, sequence_within
 
 INCIDENT_PREFIX = "[INCIDENT]"
 ASSET_PREFIX = "[ASSET]"
@@ -62,17 +62,24 @@ def table_catalog(stats: DataFrame, as_of: str) -> DataFrame:
                         "table_name", "row_count", "freshness", desc.alias("description"))
 
 
+#: Children in one array at most.
+NESTED = 1000
+
+
 def nested_snapshot(parents: DataFrame, children: DataFrame, key: str, child_key: str,
-                    child_cols: Sequence[str], order: str) -> DataFrame:
+                    child_cols: Sequence[str], order: str, most: int = NESTED) -> DataFrame:
     """Each parent with the array of its children sorted by ``order``; a parent without
-    children keeps an empty array.  Children are grouped first (partial aggregation per task),
-    then left-joined to the parents.  Use only where a parent's children are bounded."""
-    kids = children.groupBy(F.col(child_key).alias(key)).agg(
-        F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in [order, *[x for x in child_cols if x != order]]])))
-        .alias("children"))
+    children keeps an empty array.  A parent with more than ``most`` children has several rows, numbered by
+    ``part`` from 0, so an array is bounded whatever a parent holds; children are numbered by slices of
+    their order (``derive.sequence_within``), never in one window per parent."""
+    cols = [order, *[x for x in child_cols if x != order]]
+    placed = sequence_within(children.select(F.col(child_key).alias(key), *cols), [key], cols, "_n")
+    kids = placed.groupBy(key, F.floor(F.col("_n") / most).cast("long").alias("part")).agg(
+        F.array_sort(F.collect_list(F.struct("_n", F.struct(*cols).alias("x")))).alias("children"))
+    kids = kids.withColumn("children", F.transform("children", lambda c: c["x"]))
     j = parents.join(kids, key, "left")
     empty = F.array().cast(kids.schema["children"].dataType)
-    return j.withColumn("children", F.coalesce(F.col("children"), empty))
+    return j.withColumns({"part": F.coalesce("part", F.lit(0).cast("long")), "children": F.coalesce(F.col("children"), empty)})
 
 
 def with_surrogate(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:

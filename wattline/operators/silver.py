@@ -7,6 +7,7 @@ by (key, time bucket), never by the key alone.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import gcd
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -62,18 +63,23 @@ def zscore_outliers(series: DataFrame, key: str, ts: str, value: str, lookback_s
                     bucket_seconds: int | None = None) -> DataFrame:
     """Z-score of each sample against the samples of the previous ``lookback`` (24 h), with at
     least ``min_count`` of them; sd = 0 gives no z.  Windows run per (key, week), or a shorter bucket
-    for dense keys, with a 24 h halo."""
-    bucket_seconds = bucket_seconds or S.fitted(series, [key], ts, S.WEEK, least=lookback_seconds)
-    h = S.with_halo(series.select(key, ts, value), ts, bucket_seconds, before=lookback_seconds)
-    t = S.epoch_seconds(ts).cast("long")
-    w = (Window.partitionBy(key, "_bucket").orderBy(t)
-         .rangeBetween(-lookback_seconds, -step_seconds))
-    v = F.col(value).cast("decimal(18,4)")
-    s = h.withColumns({
-        "n": F.count(F.col(value)).over(w),
-        "_s1": F.sum(v).over(w).cast("double"),
-        "_s2": F.sum(v * v).over(w).cast("double"),
-    }).filter(~F.col("_halo"))
+    for dense keys, with a 24 h halo.  Where a key's day alone is too much for one task, the window is put
+    together from whole buckets of minutes and the two that it cuts (``_look_back_sums``)."""
+    bucket_seconds = bucket_seconds or S.fitted(series, [key], ts, S.WEEK)
+    rows = series.select(key, ts, value)
+    if bucket_seconds < lookback_seconds:
+        s = _look_back_sums(rows, key, ts, value, lookback_seconds, step_seconds, bucket_seconds)
+    else:
+        h = S.with_halo(rows, ts, bucket_seconds, before=lookback_seconds)
+        t = S.epoch_seconds(ts).cast("long")
+        w = (Window.partitionBy(key, "_bucket").orderBy(t)
+             .rangeBetween(-lookback_seconds, -step_seconds))
+        v = F.col(value).cast("decimal(18,4)")
+        s = h.withColumns({
+            "n": F.count(F.col(value)).over(w),
+            "_s1": F.sum(v).over(w).cast("double"),
+            "_s2": F.sum(v * v).over(w).cast("double"),
+        }).filter(~F.col("_halo"))
     mean = F.col("_s1") / F.col("n")
     var = (F.col("_s2") - F.col("_s1") * F.col("_s1") / F.col("n")) / (F.col("n") - 1)
     s = s.withColumn("_var", F.when(F.col("n") >= 2, var))
@@ -84,6 +90,40 @@ def zscore_outliers(series: DataFrame, key: str, ts: str, value: str, lookback_s
                       F.coalesce(F.abs(F.col("z")) > F.lit(z), F.lit(False)).alias("is_outlier"))
 
 
+def _look_back_sums(rows: DataFrame, key: str, ts: str, value: str, lookback: int, step: int, most: int) -> DataFrame:
+    """Count, sum and sum of squares (``n``, ``_s1``, ``_s2``) of the samples from ``lookback`` to ``step`` seconds before
+    each row, for keys so dense that a bucket must be shorter than the look-back.
+
+    Buckets divide both times, so the window of a row in bucket b is: the later part of bucket b - lookback,
+    the whole buckets in between, and the earlier part of bucket b - step, cut at the row's own place in its
+    bucket.  Rows are copied to the two buckets that cut them; the whole buckets are summed first, and a window
+    runs over one row for each (key, bucket).  Sums are exact decimals, so the way they are put together
+    doesn't show."""
+    whole = gcd(lookback, step)
+    size = max(d for d in range(1, whole + 1) if whole % d == 0 and (d <= most or d == 1))
+    far, near = lookback // size, step // size
+    t = S.epoch_seconds(ts).cast("long")
+    v = F.col(value).cast("decimal(18,4)")
+    own = rows.withColumns({"_b": F.floor(t / size).cast("long"), "_v": v}).withColumn("_o", t - F.col("_b") * size)
+    totals = own.groupBy(key, "_b").agg(F.count(value).alias("_n"), F.sum("_v").alias("_1"), F.sum(F.col("_v") * F.col("_v")).alias("_2"))
+    between = Window.partitionBy(key).orderBy("_b").rangeBetween(-(far - 1), -(near + 1))
+    middle = totals.select(F.col(key).alias("_k"), F.col("_b").alias("_mb"), *[F.sum(c).over(between).alias(f"_m{c}") for c in ("_n", "_1", "_2")])
+    roles = F.explode(F.array(*[F.struct((F.col("_b") + d).alias("b"), F.lit(r).alias("r")) for d, r in ((0, "own"), (far, "far"), (near, "near"))]))
+    copies = own.withColumn("_x", roles).withColumns({"_b": F.col("_x.b"), "_r": F.col("_x.r")}).drop("_x")
+    w = Window.partitionBy(key, "_b").orderBy("_o")
+    after, before = w.rangeBetween(0, Window.unboundedFollowing), w.rangeBetween(Window.unboundedPreceding, 0)
+
+    def cut(x, name: str):
+        parts = [F.sum(F.when(F.col("_r") == r, x)).over(frame) for r, frame in (("far", after), ("near", before))]
+        return F.coalesce(parts[0], F.lit(0)) + F.coalesce(parts[1], F.lit(0)) + F.coalesce(F.col(f"_m{name}"), F.lit(0))
+
+    one = F.when(F.col(value).isNotNull(), 1).otherwise(0).cast("long")
+    on = F.col(key).eqNullSafe(F.col("_k")) & (F.col("_b") == F.col("_mb"))
+    out = copies.join(middle, on, "left").withColumns({"n": cut(one, "_n"), "_s1": cut(F.col("_v"), "_1").cast("double"),
+                                                       "_s2": cut(F.col("_v") * F.col("_v"), "_2").cast("double")})
+    return out.filter(F.col("_r") == "own").select(key, ts, value, "n", "_s1", "_s2")
+
+
 def iqr_outliers(df: DataFrame, key: str, value: str, fence: float = 1.5,
                  accuracy: int = 100_000) -> DataFrame:
     """W4 (IQR): quartiles per key from the mergeable quantile sketch (exact for groups smaller

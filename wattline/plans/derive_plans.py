@@ -344,7 +344,7 @@ def explode_nested(spark, sf):
 
 def _stories(spark, sf):
     """Nested input: one row per order with its lines as an array of task structs.  The array is the
-    shape of the input that P25 takes apart; an order has few lines, but nothing here bounds them."""
+    shape of the input that P25 takes apart; an order with more than a thousand lines has several rows."""
     o = T.scan(spark, sf, "orders").select(F.col("o_orderkey").alias("story_id"),
                                              F.col("o_orderpriority").alias("sprint"))
     li = T.scan(spark, sf, "lineitem")
@@ -352,7 +352,8 @@ def _stories(spark, sf):
                     F.concat(F.col("l_returnflag"), F.lit(", ,"), F.col("l_linestatus")).alias("owner"),
                     F.when(F.col("l_linestatus") == "O", F.lit("in_progress")).alias("state"),
                     F.col("l_quantity").alias("points"))
-    t = li.groupBy(F.col("l_orderkey").alias("story_id")).agg(F.collect_list(task).alias("tasks"))
+    part = F.floor(F.col("l_linenumber") / 1000)          # line numbers are dense
+    t = li.groupBy(F.col("l_orderkey").alias("story_id"), part.alias("_part")).agg(F.collect_list(task).alias("tasks")).drop("_part")
     return o.join(t, "story_id")
 
 

@@ -111,7 +111,7 @@ WITH k AS (SELECT l_orderkey, COUNT(*) AS n_children,
                   to_json(list({'l_linenumber': l_linenumber, 'l_quantity': l_quantity, 'l_returnflag': l_returnflag}
                                ORDER BY l_linenumber, l_quantity, l_returnflag)) AS children_json
            FROM lineitem GROUP BY 1)
-SELECT o_orderkey, o_orderstatus, COALESCE(n_children, 0) AS n_children,
+SELECT o_orderkey, o_orderstatus, 0::BIGINT AS part, COALESCE(n_children, 0) AS n_children,
        CAST(COALESCE(children_json, '[]') AS VARCHAR) AS children_json
 FROM orders LEFT JOIN k ON o_orderkey = l_orderkey""", "A15")
 def nested_snapshot(spark, sf):
@@ -119,7 +119,7 @@ def nested_snapshot(spark, sf):
     li = T.scan(spark, sf, "lineitem")
     s = O.nested_snapshot(o, li, "o_orderkey", "l_orderkey", ["l_linenumber", "l_quantity", "l_returnflag"],
                           "l_linenumber")
-    return s.select("o_orderkey", "o_orderstatus", F.size("children").cast("long").alias("n_children"),
+    return s.select("o_orderkey", "o_orderstatus", "part", F.size("children").cast("long").alias("n_children"),
                     F.to_json("children").alias("children_json"))
 
 

@@ -157,7 +157,7 @@ def publish_topics(spark: SparkSession, sf_dir: str) -> str:
     broker.  The store is named after the state of its input (files, sizes, times), so a grown or
     changed input gets a new one and an unchanged one is found again, by any process."""
     def write(path: str) -> None:
-        # no shuffle by topic: with a handful of topics that would put a whole topic in one task;
+        # no shuffle of payloads, and none by topic: with a handful of topics that would put a whole topic in one task;
         # each task writes its own rows of every topic (the writer sorts them by topic locally)
         telemetry_messages(spark, sf_dir).write.mode("overwrite").partitionBy("topic").parquet(path)
     return T.derived(spark, f"{sf_dir.rstrip('/')}/events.parquet", "topics", write)
