@@ -338,7 +338,7 @@ def test_pipeline(spark, tmp_path):
     assert ids[2] == sorted(first.values())
     want = near_components([(r.doc_id, r.text) for r in after[2].collect()], 5, 80)
     assert ids[3] == sorted(set(want.values()))
-    mixed = mixing.mix(after[3]).collect()
+    mixed = mixing.mix(after[3], by_text=True).collect()
     assert ids[4] == sorted(r.doc_id for r in mixed for _ in range(r.copies))
     assert ids[5] == ids[4] and after[5].where("n_tokens <> size(ids)").count() == 0
 
