@@ -41,21 +41,19 @@ def fill_linear(series: DataFrame, key: str, ts: str, value: str, step_hours: in
                 max_fill: int = 6) -> DataFrame:
     """Complete the regular grid between a key's first and last sample.  Missing steps are
     interpolated linearly in time when the gap has at most ``max_fill`` missing steps; longer gaps
-    stay NULL; nothing is extrapolated.  Driven by the previous sample, so no calendar join."""
+    stay NULL; nothing is extrapolated.  Driven by the previous sample, so no calendar join: each sample gives
+    itself and the steps missing before it."""
     p = S.previous_row(series.select(key, ts, value), [key], [ts], [value])
     step_us = step_hours * 3_600_000_000
-    k = ((F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col(f"prev_{ts}").cast("timestamp")))
-         / F.lit(step_us)).cast("long") - 1
-    g = p.filter(F.col(f"prev_{ts}").isNotNull()).withColumn("_k", k).filter(F.col("_k") >= 1)
-    g = g.withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_k").cast("int"))))
+    since = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col(f"prev_{ts}").cast("timestamp"))
+    missing = F.coalesce((since / F.lit(step_us)).cast("long") - 1, F.lit(0))
+    g = p.withColumn("_k", missing.cast("int")).withColumn("_i", F.explode(F.sequence(F.lit(0), F.greatest("_k", F.lit(0)))))
+    own = F.col("_i") == 0
     interp = F.col(f"prev_{value}") + (F.col(value) - F.col(f"prev_{value}")) * F.col("_i") / (F.col("_k") + 1)
-    filled = g.select(
-        F.col(key),
-        (F.col(f"prev_{ts}") + F.make_dt_interval(hours=F.col("_i") * F.lit(step_hours))).alias(ts),
-        F.when(F.col("_k") <= max_fill, dround(interp, 4)).alias(value))
-    filled = filled.withColumn("is_filled", F.col(value).isNotNull())
-    observed = series.select(key, ts, value, F.lit(False).alias("is_filled"))
-    return observed.unionByName(filled)
+    at = F.col(f"prev_{ts}") + F.make_dt_interval(hours=F.col("_i") * F.lit(step_hours))
+    filled = F.when(~own & (F.col("_k") <= max_fill), dround(interp, 4))
+    return g.select(F.col(key), F.when(own, F.col(ts)).otherwise(at).alias(ts), F.when(own, F.col(value)).otherwise(filled).alias(value),
+                    filled.isNotNull().alias("is_filled"))
 
 
 def zscore_outliers(series: DataFrame, key: str, ts: str, value: str, lookback_seconds: int = 86_400,
