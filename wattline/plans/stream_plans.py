@@ -271,13 +271,14 @@ def stream_alerts(spark, sf):
     """Alerts that the stream raises by timers and clears when a node comes back (scada after 15 minutes,
     weather after two hours; 5-minute windows)."""
     def build(path):
-        before = A.use_disk_state(spark)
+        root = _landing(spark, sf)
+        before = A.use_disk_state(spark, sum(f[1] for f in T.files_of(spark, f"{root}/data")))
         try:
-            rows = S.feed_rows(S.message_stream(spark, _landing(spark, sf)), {f"energy.bronze.{f}": f for f in STALE_MINUTES})
+            rows = S.feed_rows(S.message_stream(spark, root), {f"energy.bronze.{f}": f for f in STALE_MINUTES})
             _file_sink(A.alerts(rows, STALE_MINUTES), path)
         finally:
             A.restore(spark, before)
-    r = spark.read.parquet(_derived(spark, sf, "alerts", build) + "/out")
+    r = spark.read.parquet(_derived(spark, sf, "alert-events", build) + "/out")
     return r.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("event_at", "last_seen")})
 
 

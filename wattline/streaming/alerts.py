@@ -111,10 +111,19 @@ def alerts(readings: DataFrame, limits: Mapping[str, int]) -> DataFrame:
                          F.timestamp_micros("last_us").alias("last_seen"), "n_missed")
 
 
-def use_disk_state(spark: SparkSession) -> dict[str, str | None]:
-    """Keyed processors need the RocksDB store; returns the settings that were there before."""
-    before = {k: spark.conf.get(k, None) for k in _STORE}
-    for k, v in _STORE.items():
+#: Input bytes of a state partition: a checkpoint keeps its number of partitions for good.
+STATE_BYTES = 64 << 20
+
+
+def use_disk_state(spark: SparkSession, input_bytes: int | None = None) -> dict[str, str | None]:
+    """Keyed processors need the RocksDB store; returns the settings that were there before.  With ``input_bytes``,
+    what the stream is expected to read, no more state partitions than that needs (and one for each core)."""
+    settings = dict(_STORE)
+    if input_bytes is not None:
+        n = max(spark.sparkContext.defaultParallelism, -(-input_bytes // STATE_BYTES))
+        settings["spark.sql.shuffle.partitions"] = str(min(n, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
         spark.conf.set(k, v)
     return before
 
