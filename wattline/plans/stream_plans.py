@@ -7,6 +7,8 @@ watermark)."""
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import functions as F
 
 from wattline import schemas
@@ -29,10 +31,27 @@ STALE_AS_OF = "2024-01-31 00:00:00"
 STALE_MINUTES = {"scada": 15, "weather": 120}
 
 
+#: Bytes of events for each partition of a stream's state, which keeps its number for good.
+STATE_BYTES = 16 << 20
+
+
+@contextmanager
+def _sized(spark, sf):
+    """Shuffle partitions as the input needs them, one for each core at least and never more than the session's."""
+    size = sum(f[1] for f in T.files_of(spark, f"{sf.rstrip('/')}/events.parquet"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(min(int(before), max(spark.sparkContext.defaultParallelism, -(-size // STATE_BYTES)))))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def _derived(spark, sf, name, build):
     """Folder of a finished stream run; ``build(folder)`` runs it."""
     def run(path):
-        build(path)
+        with _sized(spark, sf):
+            build(path)
         spark.range(1).coalesce(1).write.mode("overwrite").parquet(f"{path}/end")
     return T.derived(spark, f"{sf.rstrip('/')}/events.parquet", f"stream-{name}", run, end="end/_SUCCESS")
 
