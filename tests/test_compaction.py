@@ -70,6 +70,27 @@ def test_interrupted_compaction(spark, monkeypatch, cut):
     assert sorted(map(tuple, spark.read.parquet(path).collect())) == rows and P.WORK not in "".join(files(path))
 
 
+def test_bin_larger_than_a_task_is_one_sorted_file(spark, monkeypatch):
+    """Rows are sorted by slices; the slices of a bin still become one file, in order."""
+    path = scratch_path(spark, "t_slices")
+    spark.range(20_000).select(F.expr("CASE WHEN id < 15000 THEN 'x' ELSE 'y' END").alias("p"), (F.col("id") * 7919 % 3).alias("a"), "id").repartition(
+        6).write.partitionBy("p").parquet(path)
+    monkeypatch.setattr(P, "SLICE", 8 << 10)
+    seen, real = [], P._join_slices
+
+    def watch(spark, stage, bins):
+        rows = spark.read.parquet(stage).groupBy("_bin", F.col("_metadata.file_path")).count().collect()
+        seen.extend((r["_bin"], r["count"]) for r in rows)
+        real(spark, stage, bins)
+    monkeypatch.setattr(P, "_join_slices", watch)
+    P.compact(spark, path, ["a", "id"])
+    assert len(seen) > 8 and max(n for _, n in seen) < 5_000              # no task has held a bin
+    spark.catalog.refreshByPath(path)
+    got = {f: [tuple(r) for r in spark.read.parquet(f).select("a", "id").coalesce(1).collect()] for f in files(path)}
+    assert len(got) == 2 and all(rows == sorted(rows) for rows in got.values())
+    assert sorted(i for rows in got.values() for _, i in rows) == list(range(20_000))
+
+
 def test_evolved_files_compact_together(spark):
     path = scratch_path(spark, "t_evolved")
     spark.range(5).write.parquet(path)

@@ -79,14 +79,20 @@ def clustered_layout(spark, sf):
     return r.groupBy("plant_id").agg(F.count(F.lit(1)).alias("n"), exact_sum("mwh", 2, "mwh"))
 
 
+#: Bytes of lineitem for each load.
+LOAD_BYTES = 16 << 20
+
+
 @register("compaction", with_views("generation") + f"""
 SELECT CAST(year(ts) AS INTEGER) AS year, COUNT(*) AS n, {xs('mwh', 2)} AS mwh FROM generation GROUP BY 1""", "S16")
 def compaction(spark, sf):
-    """The small files that four loads have written per year are packed into files of the target size
-    (one per year at this scale), in place; full-sized files stay; the content is unchanged."""
+    """The small files that four loads (more for large tables: each is written by one task, a file per year) have
+    written are packed into files of the target size (one per year at this scale), in place; full-sized files
+    stay; the content is unchanged."""
     path = scratch_path(spark, "small_files")
     g = T.generation(spark, sf).withColumn("year", F.year("ts"))
-    g.repartition(4, "gen_order").write.mode("overwrite").partitionBy("year").parquet(path)
+    size = sum(f[1] for f in T.files_of(spark, f"{sf.rstrip('/')}/lineitem.parquet"))
+    g.repartition(max(4, -(-size // LOAD_BYTES)), "gen_order").write.mode("overwrite").partitionBy("year").parquet(path)
     P.compact(spark, path, order=["plant_id", "ts"])
     r = spark.read.parquet(path)
     return r.groupBy("year").agg(F.count(F.lit(1)).alias("n"), exact_sum("mwh", 2, "mwh"))

@@ -252,9 +252,9 @@ def land(decoded: DataFrame, root: str, epoch: int | str, redrive: bool = False,
             fs.delete(at, True)
 
 
-def at_once(spark: SparkSession, writes: Sequence[Callable[[], object]]) -> None:
-    """Independent writes as concurrent jobs of one session: small tables fill the gaps of large ones."""
-    with ThreadPoolExecutor(len(writes)) as pool:
+def at_once(spark: SparkSession, writes: Sequence[Callable[[], object]], most: int | None = None) -> None:
+    """Independent writes as concurrent jobs of one session (``most`` at a time): small tables fill the gaps of large ones."""
+    with ThreadPoolExecutor(min(len(writes), most or len(writes))) as pool:
         for f in [pool.submit(inheritable_thread_target(spark)(w)) for w in writes]:
             f.result()
 

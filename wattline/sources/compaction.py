@@ -1,8 +1,9 @@
 """Compaction that leaves full-sized files alone.
 
 A plan over the file listing packs the small files of each directory into bins of about the target size (first
-fit, largest first).  One Spark job reads the small files only, gives every row the bin of its file and writes
-one file for each bin.  The new files are swapped in directory by directory:
+fit, largest first).  One Spark job reads the small files only, gives every row the bin of its file and writes the
+rows in order, ``SLICE`` bytes a task.  A bin of several slices is then put together in their order, without a
+sort, so that no task holds a bin: one file for each bin.  The new files are swapped in directory by directory:
 
 1. the job writes to ``_compaction/<run>/stage`` under the table (readers skip it);
 2. the list of what replaces what is written beside it; from here on the run is decided;
@@ -22,9 +23,13 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from wattline.sources.bronze import at_once
+
 TARGET = 256 << 20
 #: A file below this share of the target is small.
 SMALL = 0.75
+#: Bytes of the files whose rows one task sorts.
+SLICE = 32 << 20
 #: Files that one job reads.
 FILES_A_JOB = 20_000
 WORK = "_compaction"
@@ -99,27 +104,32 @@ def compact(spark: SparkSession, path: str, order: Sequence[str] = (), target: i
 
     Rows of a bin are sorted by ``order``.  Full-sized files keep their names and times."""
     recover(spark, path)
-    bins, replaced = plan(data_files(spark, path), target), 0
+    found = data_files(spark, path)
+    sizes = {name: size for _, name, size in found}
+    bins, replaced = plan(found, target), 0
     while bins:
         take, files = 0, 0
         while take < len(bins) and (not take or files + len(bins[take][1]) <= FILES_A_JOB):
             files += len(bins[take][1])
             take += 1
-        _rewrite(spark, path, bins[:take], order)
+        _rewrite(spark, path, bins[:take], order, sum(sizes[n] for _, ns in bins[:take] for n in ns))
         replaced, bins = replaced + files, bins[take:]
     return replaced
 
 
-def _rewrite(spark: SparkSession, path: str, bins: list[tuple[str, list[str]]], order: Sequence[str]) -> None:
+def _rewrite(spark: SparkSession, path: str, bins: list[tuple[str, list[str]]], order: Sequence[str], size: int) -> None:
     run = f"{path}/{WORK}/{uuid.uuid4().hex[:12]}"
     stage = f"{run}/stage"
     names = [n for _, ns in bins for n in ns]
     # a listing and a scan may write the root of the same file with one slash or three
-    of = spark.createDataFrame([(re.sub("^([^:/]+):/+", r"\1:/", n), k) for k, (_, ns) in enumerate(bins) for n in ns], "_file string, _bin int")
+    of = spark.createDataFrame([(re.sub("^([^:/]+):/+", r"\1:/", n), k) for k, (_, ns) in enumerate(bins) for n in ns], "_file string, _bin int").withColumn("_part", F.hash("_file"))
     rows = spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true").parquet(*[_plain(spark, n) for n in names])
-    tagged = rows.withColumn("_file", F.regexp_replace(F.col("_metadata.file_path"), "^([^:/]+):/+", "$1:/")).join(F.broadcast(of), "_file").drop("_file")   # FILES_A_JOB rows
-    (tagged.repartition(len(bins), "_bin").sortWithinPartitions("_bin", *order)
+    tagged = rows.withColumn("_file", F.regexp_replace(F.col("_metadata.file_path"), "^([^:/]+):/+", "$1:/")).withColumn("_at", F.col("_metadata.row_index")).join(F.broadcast(of), "_file").drop("_file")   # FILES_A_JOB rows
+    # file and row make the order one without equals: a frequent value is no large slice
+    by = ["_bin", *order, "_part", "_at"]
+    (tagged.repartitionByRange(max(1, -(-size // SLICE)), *by).sortWithinPartitions(*by).drop("_part", "_at")
      .write.partitionBy("_bin").parquet(stage))
+    _join_slices(spark, stage, len(bins))
     if spark.read.parquet(stage).count() != rows.count():           # both from the files' footers
         raise RuntimeError(f"compaction of {path} lost rows; its files are as they were")
     fs, _ = _fs(spark, stage)
@@ -134,6 +144,29 @@ def _rewrite(spark: SparkSession, path: str, bins: list[tuple[str, list[str]]],
     _drop_empty(spark, path)
 
 
+def _join_slices(spark: SparkSession, stage: str, bins: int) -> None:
+    """One file for each bin: the slices of a bin are read one after the other by one task."""
+    def join(k: int, slices: list[str]) -> None:
+        whole = spark.read.parquet(slices[0]).coalesce(1)
+        for s in slices[1:]:
+            whole = whole.union(spark.read.schema(whole.schema).parquet(s).coalesce(1))
+        whole.coalesce(1).write.parquet(f"{stage}/_whole/{k}")
+        fs, at = _fs(spark, f"{stage}/_bin={k}")
+        made = [f.getPath() for f in fs.listStatus(_fs(spark, f"{stage}/_whole/{k}")[1]) if f.getPath().getName().endswith(".parquet")]
+        fs.delete(at, True)
+        fs.mkdirs(at)
+        for f in made:
+            fs.rename(f, _fs(spark, f"{at}/{f.getName()}")[1])
+    joins = []
+    for k in range(bins):
+        fs, at = _fs(spark, f"{stage}/_bin={k}")
+        slices = sorted(f.getPath().toString() for f in fs.listStatus(at))        # named by task: in the order of the slices
+        if len(slices) > 1:
+            joins.append(lambda k=k, slices=slices: join(k, slices))
+    if joins:
+        at_once(spark, joins, max(1, spark.sparkContext.defaultParallelism))
+
+
 def _plain(spark: SparkSession, uri: str) -> str:
     """The path that a reader takes for a listed URI (which is encoded)."""
     return spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri)).toString()
