@@ -102,6 +102,8 @@ def telemetry_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     mw_s = F.when(ki == FAULTS["bad_number"], F.lit("n/a")).otherwise(F.col("mw").cast("string"))
     clim = F.element_at(F.array(*[F.lit(c) for c in CLIMATES]), (F.pmod(F.col("node_id"), F.lit(len(CLIMATES))) + 1).cast("int"))
 
+    ppa_cur = F.when(ki == FAULTS["other_currency"], F.lit("eur")).otherwise(cur)
+
     def on(src: str) -> Column:
         return F.col("source_type") == src
 
@@ -119,16 +121,14 @@ def telemetry_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("demand_mw", F.when(on("purchase"), mw_s)),
         ("residential_pct", F.when(on("purchase"), k)),
         ("total_generation_mw", F.when(on("signup"), mw_s)),
-        (F.concat(F.lit("spot_price_"), cur), F.when(on("signup"), k)),
-        (F.concat(F.lit("revenue_"), cur), F.when(on("signup"), F.col("mw").cast("string"))),
-        (F.concat(F.lit("ppa_price_"), F.when(ki == FAULTS["other_currency"], F.lit("eur")).otherwise(cur), F.lit("_mwh")),
-         F.when(on("error"), k)),
+        *[(f"spot_price_{c}", F.when(on("signup") & (cur == c), k)) for c in ("usd", "gil")],
+        *[(f"revenue_{c}", F.when(on("signup") & (cur == c), F.col("mw").cast("string"))) for c in ("usd", "gil")],
+        *[(f"ppa_price_{c}_mwh", F.when(on("error") & (ppa_cur == c), k)) for c in ("usd", "gil", "eur")],
         ("lat", F.when(on("error") & (ds == "chile"), F.concat(F.lit("-"), k))),
         ("lon", F.when(on("error") & (ds == "chile"), F.col("mw").cast("string"))),
         ("_dataset", F.when(ki != FAULTS["no_dataset"], ds)),
     ]
-    structs = [F.struct((F.lit(n) if isinstance(n, str) else n).alias("k"), v.alias("v")) for n, v in entries]
-    payload = F.map_from_entries(F.filter(F.array(*structs), lambda e: e["v"].isNotNull()))
+    payload = F.struct(*[v.alias(n) for n, v in entries])       # fields without a value are left out of the text
     js = F.to_json(payload)
     body = (F.when(ki == FAULTS["truncated"], F.expr("substring(_js, 1, length(_js) - 1)"))
             .when(ki == FAULTS["trailing_text"], F.concat(F.col("_js"), F.lit(" trailing")))

@@ -83,7 +83,7 @@ def files_of(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
 
 
 #: Version of what is derived; raised when the meaning of a derived table changes, so older ones aren't read.
-DERIVED = 3
+DERIVED = 4
 
 
 def derived(spark: SparkSession, source: str, name: str, write: Callable[[str], None], end: str = "_SUCCESS") -> str:
