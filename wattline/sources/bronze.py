@@ -71,6 +71,8 @@ CLOSED = "_closed"
 #: Offsets of one ledger bucket: ranges don't cross buckets, so they are merged bucket by bucket.
 LEDGER_SPAN = 1 << 20
 RANGES = "topic string, partition int, bucket bigint, lo bigint, hi bigint, kind string"
+#: Offsets of one block of a lookup in the ledger.
+LOOKUP_SPAN = 256
 _PLACE = ["topic", "partition", "bucket"]
 KEYS = ["topic", "partition", "offset"]
 
@@ -140,6 +142,22 @@ def offset_ranges(rows: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
     return ranges, per.filter("rows > n").select(*_PLACE)
 
 
+def not_taken(rows: DataFrame, ranges: DataFrame) -> DataFrame:
+    """Rows whose offset lies in none of ``ranges``.
+
+    Redriven dead letters leave nearly as many ranges as messages in a bucket.  Those shorter than ``LOOKUP_SPAN``
+    are met by blocks of that many offsets, which hold few of them; only the others, few in a bucket, by bucket."""
+    def block(c: str) -> Column:
+        return F.floor(F.col(c) / LOOKUP_SPAN).cast("bigint")
+    short = F.col("hi") - F.col("lo") < LOOKUP_SPAN
+    cut = ranges.filter(short).withColumn("bucket", F.explode(F.array_distinct(F.array(block("lo"), block("hi")))))
+    for part, at in ((cut, block("offset")), (ranges.filter(~short), _bucket())):
+        old = part.select(*[F.col(c).alias(f"_{c}") for c in (*_PLACE, "lo", "hi")])
+        inside = [F.col(c) == F.col(f"_{c}") for c in _PLACE] + [F.col("offset").between(F.col("_lo"), F.col("_hi"))]
+        rows = rows.withColumn("bucket", at).join(old, inside, "left_anti")
+    return rows
+
+
 def _second_copies(rows: DataFrame, where: DataFrame) -> DataFrame:
     """``_row`` of every message that stands before its own second copy in the batch: of equal offsets the
     one with the earliest broker time stays, then the smallest content."""
@@ -211,10 +229,7 @@ def land(decoded: DataFrame, root: str, epoch: int | str, redrive: bool = False,
     before = {k: e for e, k in done.items()}.get(n - 1)
     known = spark.createDataFrame([], RANGES) if before is None else _snapshot(spark, root, n - 1, before)
     kind = "redriven" if redrive else "taken"
-    new = DC.judged(decoded).withColumn("bucket", _bucket())
-    old = known.filter(F.col("kind") == kind).select(*[F.col(c).alias(f"_{c}") for c in (*_PLACE, "lo", "hi")])
-    inside = [F.col(c) == F.col(f"_{c}") for c in _PLACE] + [F.col("offset").between(F.col("_lo"), F.col("_hi"))]
-    new = new.join(old, inside, "left_anti")
+    new = not_taken(DC.judged(decoded), known.filter(F.col("kind") == kind))
     if redrive:
         dead = read_table(spark, root, "dead_letter_queue").select(
             "topic", F.col("partition_id").alias("partition"), F.col("offset_id").alias("offset"))
