@@ -4,6 +4,8 @@ the batch result, late rows are counted one by one, and re-deliveries never land
 import datetime as dt
 import json
 
+import pandas as pd
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
@@ -12,6 +14,7 @@ from wattline.plans import bronze_plans
 from wattline.session import scratch_path
 from wattline.sources import bronze as B
 from wattline.sources import messages as M
+from wattline.sources import tables as T
 from wattline.streaming import alerts as A
 from wattline.streaming import ingest as S
 
@@ -49,6 +52,33 @@ def test_landing_splits_by_the_largest_range_and_any_process_finds_the_batch_siz
     assert sum(p.numInputRows for p in q.recentProgress) == spark.read.parquet(f"{land}/data").count()
 
 
+def test_arrivals_have_all_their_files_and_are_read_by_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(S, "ARRIVAL_FILE_BYTES", 5_000)
+    # the last range has one row: its batch must not take files of another
+    land = S.landing(spark, SF_SMALL, scratch_path(spark, "t_landing"), chunks=2, held_back=(F.col("partition") == 0) & (F.col("offset") == 0)
+                     & (F.col("topic") == "energy.bronze.scada"))
+    n = S.files_per_arrival(spark, land)
+    assert n > 1 and len(T.files_of(spark, f"{land}/data")) == 3 * n + 1          # _SUCCESS
+    # one file, short row groups: as many tasks as the file has room for
+    root = scratch_path(spark, "t_groups")
+    spark.createDataFrame([(1,)], "files_per_arrival int").write.parquet(f"{root}/plan")
+    S.append_arrivals(spark.range(400_000).select(F.sha2(F.col("id").cast("string"), 256).cast("binary").alias("value")), root)
+    [f] = [f[0] for f in T.files_of(spark, f"{root}/data") if f[0].endswith(".parquet")]
+    assert pq.ParquetFile(f.removeprefix("file:")).num_row_groups > 2
+
+
+def test_lookup_in_a_ledger_with_many_gaps(spark):
+    """Every second offset of a bucket has been taken, and a long range behind them: no message meets them all."""
+    gaps = spark.range(0, 20_000, 2).select(F.col("id").alias("lo"), F.col("id").alias("hi"))
+    long = spark.createDataFrame([(20_010, 30_000), (500, 755)], "lo long, hi long")
+    ranges = gaps.unionByName(long).select(F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.lit(0).cast("bigint").alias("bucket"),
+                                           "lo", "hi", F.lit("redriven").alias("kind"))
+    rows = spark.range(32_000).select(F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"))
+    left = B.not_taken(rows, ranges).select("offset")
+    want = [i for i in range(32_000) if not (i < 20_000 and i % 2 == 0 or 20_010 <= i <= 30_000 or 500 <= i <= 755)]
+    assert sorted(r.offset for r in left.collect()) == want
+
+
 def scada(spark, rows):
     """Messages of one node: (offset, minute of the day, solar_mw)."""
     day = dt.datetime(2024, 1, 1)
@@ -186,6 +216,56 @@ def test_alerts_fire_clear_and_survive_a_restart(spark):
     assert seen[0]["scada", "N1", "missed", "cleared", 100] == 8 and ("scada", "N3", "stale", "raised", 22) in seen[0]
 
 
+def test_alerts_of_many_nodes_take_one_call_for_a_group():
+    """One call holds many nodes; it gives what a call for each node gives, an alert of the time before included."""
+    class Handle:
+        def __init__(self):
+            self.timers, self.state = set(), None
+
+        def getValueState(self, name, schema):
+            return self
+
+        def exists(self):
+            return self.state is not None
+
+        def get(self):
+            return self.state
+
+        def update(self, state):
+            self.state = state
+
+        def listTimers(self):
+            return iter(self.timers)
+
+        def deleteTimer(self, t):
+            self.timers.discard(t)
+
+        def registerTimer(self, t):
+            self.timers.add(t)
+
+    class At:
+        def __init__(self, ms):
+            self.getCurrentWatermarkInMs = lambda: ms
+    minute = 60_000_000
+    watch, handle = A.Watch({"scada": 15 * minute}), Handle()
+    watch.init(handle)
+
+    def windows(rows):
+        return iter([pd.DataFrame([("scada", n, (m // 5 * 5 + 5) * minute, m * minute, m * minute) for n, m in rows],
+                                  columns=["feed", "node_id", "end_us", "first_us", "last_us"])])
+
+    def told(frames):
+        return {(r.node_id, r.alert, r.event, r.at_us // minute, None if pd.isna(r.n_missed) else r.n_missed) for f in frames for r in f.itertuples()}
+    nodes = [f"N{i}" for i in range(200)]
+    assert told(watch.handleInputRows((0,), windows([(n, 2) for n in nodes] + [("N0", 52)]), At(60 * 60_000))) == {
+        ("N0", "stale", "raised", 17, None), ("N0", "stale", "cleared", 52, None), ("N0", "missed", "raised", 10, None), ("N0", "missed", "cleared", 52, 9)}
+    assert handle.timers == {10 * 60_000}
+    assert told(watch.handleExpiredTimer((0,), At(60 * 60_000), None)) == {(n, *e) for n in nodes[1:] for e in (
+        ("stale", "raised", 17, None), ("missed", "raised", 10, None))}
+    assert handle.timers == {60 * 60_000}
+    assert told(watch.handleInputRows((0,), windows([("N7", 61)]), At(65 * 60_000))) == {("N7", "stale", "cleared", 61, None), ("N7", "missed", "cleared", 61, 11)}
+
+
 def test_late_rows_leave_as_a_branch(spark):
     """The ten late rows of one window are a table; a retried batch replaces its own folders."""
     root, out, ck = (scratch_path(spark, x) for x in ("t_lb", "t_lb_out", "t_lb_ck"))

@@ -24,7 +24,9 @@ WATERMARK = "10 minutes"
 
 
 #: Size of an arrival file (the largest range of a landing decides how many files each one gets).
-ARRIVAL_FILE_BYTES = 128 << 20
+ARRIVAL_FILE_BYTES = 32 << 20
+#: Row groups of arrival files, before compression: a file is read by several tasks, each with some of its row groups.
+ROW_GROUP_BYTES = 8 << 20
 _PLAN = "files_per_arrival int"
 
 
@@ -37,8 +39,10 @@ def landing(spark: SparkSession, sf_dir: str, root: str, chunks: int = 6, held_b
 
     The messages are staged partitioned by range, and each range is read back alone (partition
     pruning) and written as ``n`` round-robin files.  ``n`` follows the bytes of the largest range, so
-    no task carries a hot range.  It is stored beside the files (``files_per_arrival``): every process
-    that streams from ``root`` reads ``n`` files per trigger, one range per micro-batch."""
+    no task carries a hot range, and files have short row groups, so that a micro-batch is decoded by all
+    cores even if it is one file.  ``n`` is stored beside the files (``files_per_arrival``): every process
+    that streams from ``root`` reads ``n`` files per trigger, one range per micro-batch.  A range with fewer
+    rows than files gets empty ones."""
     msgs = M.read_topics(spark, M.publish_topics(spark, sf_dir))
     msgs = msgs if value is None else msgs.withColumn("value", value)
     t = F.unix_micros(F.col("timestamp"))
@@ -54,18 +58,33 @@ def landing(spark: SparkSession, sf_dir: str, root: str, chunks: int = 6, held_b
                   for i in slots)
     n = max(1, -(-largest // ARRIVAL_FILE_BYTES))
     for i in slots:
-        staged.filter(F.col("_slot") == i).drop("_slot").repartition(n).write.mode("append" if i else "overwrite").parquet(f"{root}/data")
+        _write_arrival(staged.filter(F.col("_slot") == i).drop("_slot"), root, n, "append" if i else "overwrite")
     spark.createDataFrame([(n,)], _PLAN).coalesce(1).write.mode("overwrite").parquet(f"{root}/plan")
     return root
 
 
+def _write_arrival(df: DataFrame, root: str, n: int, mode: str = "append") -> None:
+    """One arrival of exactly ``n`` files."""
+    spark, data = df.sparkSession, f"{root}/data"
+
+    def write(rows: DataFrame, mode: str) -> None:
+        rows.write.mode(mode).option("parquet.block.size", ROW_GROUP_BYTES).parquet(data)
+
+    def files() -> int:
+        return sum(f[0].endswith(".parquet") for f in T.files_of(spark, data))
+    before = files() if mode == "append" and B.exists(spark, data) else 0
+    write(df.repartition(n), mode)
+    for _ in range(before + n - files()):
+        write(spark.createDataFrame([], df.schema).coalesce(1), "append")
+
+
 def files_per_arrival(spark: SparkSession, root: str) -> int:
     return spark.read.schema(_PLAN).parquet(f"{root}/plan").first()[0]
 
 
 def append_arrivals(df: DataFrame, root: str) -> None:
     """Write one arrival (a later micro-batch of the stream from ``root``)."""
-    df.repartition(files_per_arrival(df.sparkSession, root)).write.mode("append").parquet(f"{root}/data")
+    _write_arrival(df, root, files_per_arrival(df.sparkSession, root))
 
 
 def message_stream(spark: SparkSession, root: str, files_per_trigger: int | None = None) -> DataFrame:
